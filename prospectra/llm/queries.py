@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat_format, exact_dedup, sharding
+from . import chat_format, exact_dedup, hyperminhash, sharding
 from .common import table
 
 
@@ -17,6 +17,7 @@ def over(name: str, f: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSessi
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_chat_format": over("conversations", chat_format.op4_chat_format),
     "op5_exact_dedup": over("documents", exact_dedup.op5_exact_dedup),
+    "op10_minhash_near_dedup": over("documents", hyperminhash.op10_minhash_near_dedup),
     "op8_sharding": over("documents", sharding.op8_sharding),
 }
 
