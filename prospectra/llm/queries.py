@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat_format, exact_dedup, hyperminhash, sharding
+from . import chat_format, exact_dedup, hyperminhash, sharding, token_records, word_bpe
 from .common import table
 
 
@@ -15,9 +15,11 @@ def over(name: str, f: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSessi
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_token_records": over("documents", token_records.op1_token_records),
     "op4_chat_format": over("conversations", chat_format.op4_chat_format),
     "op5_exact_dedup": over("documents", exact_dedup.op5_exact_dedup),
     "op10_minhash_near_dedup": over("documents", hyperminhash.op10_minhash_near_dedup),
+    "op7_bpe_codec": over("documents", word_bpe.op7_bpe_codec),
     "op8_sharding": over("documents", sharding.op8_sharding),
 }
 
