@@ -6,21 +6,24 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat_format, exact_dedup, hyperminhash, sharding, token_records, word_bpe
+from . import chat_format, decontamination, exact_dedup, hyperminhash, sharding, token_records, toxicity, word_bpe
 from .common import table
 
 
-def over(name: str, f: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, sf_dir: f(table(spark, sf_dir, name))
+def over(*names_and_function) -> Callable[[SparkSession, str], DataFrame]:
+    *names, f = names_and_function
+    return lambda spark, sf_dir: f(*(table(spark, sf_dir, n) for n in names))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_records": over("documents", token_records.op1_token_records),
+    "op2_toxicity": over("documents", "labels", toxicity.op2_toxicity),
     "op4_chat_format": over("conversations", chat_format.op4_chat_format),
     "op5_exact_dedup": over("documents", exact_dedup.op5_exact_dedup),
     "op10_minhash_near_dedup": over("documents", hyperminhash.op10_minhash_near_dedup),
     "op7_bpe_codec": over("documents", word_bpe.op7_bpe_codec),
     "op8_sharding": over("documents", sharding.op8_sharding),
+    "op9_decontamination": over("documents", "benchmark", decontamination.op9_decontamination),
 }
 
 ORACLE_SQL: dict[str, str] = {"op5_exact_dedup": exact_dedup.OP5_SQL}
