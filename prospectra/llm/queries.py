@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat_format, decontamination, exact_dedup, hyperminhash, sharding, token_records, toxicity, word_bpe
+from . import chat_format, decontamination, exact_dedup, hyperminhash, line_dedup, sharding, token_records, toxicity, word_bpe
 from .common import table
 
 
@@ -21,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_chat_format": over("conversations", chat_format.op4_chat_format),
     "op5_exact_dedup": over("documents", exact_dedup.op5_exact_dedup),
     "op10_minhash_near_dedup": over("documents", hyperminhash.op10_minhash_near_dedup),
+    "op6_line_dedup": over("documents", line_dedup.op6_line_dedup),
     "op7_bpe_codec": over("documents", word_bpe.op7_bpe_codec),
     "op8_sharding": over("documents", sharding.op8_sharding),
     "op9_decontamination": over("documents", "benchmark", decontamination.op9_decontamination),
