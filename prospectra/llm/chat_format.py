@@ -14,7 +14,8 @@ backslash restores it. A role that is not plain letters, digits, `_` or `-`
 is written as `=` and the hex digits of its UTF-8.
 
 Conversations are formatted in segments of at most SEGMENT values of `turn`, so
-that no task gathers a long conversation's turns. Tokens of a turn are its words
+that no task gathers a long conversation's turns; history does not reach over a segment's
+start. Tokens of a turn are its words
 plus `turn_tokens` for the template, unless another column expression is given.
 
 Defined cases: null texts and roles are empty; rows without a conv_id form one
@@ -64,42 +65,51 @@ def windows(turns: DataFrame, budget: int = 1024, history: int = 256, turn_token
     role, text = F.coalesce(F.col("role"), F.lit("")), F.coalesce(F.col("text"), F.lit(""))
     base = turns.select("conv_id", F.coalesce(F.col("turn").cast("long"), F.lit(0)).alias("turn"), role.alias("role"), text.alias("text"))
     base = base.withColumn("segment", F.floor(F.col("turn") / SEGMENT)).withColumn("cost", (tokens(F.col("text")) + turn_tokens).cast("long"))
-    # The system turn is known to all segments; it counts where it is not the first turn of the window itself.
-    opening = base.groupBy("conv_id").agg(F.min(F.struct("turn", "role", "text", "cost")).alias("o"))
-    system = opening.where("o.role = 'system'").select(F.col("conv_id").alias("_c"), F.col("o").alias("system"))
-    turn = F.struct("turn", "role", "text", "cost")
-    held = base.groupBy("conv_id", "segment").agg(F.sort_array(F.collect_list(turn)).alias("t"))
-    # Prefix sums over the segment; a greedy fold keeps where the current window began.
-    sums = F.aggregate("t", F.array(F.lit(0).cast("long")), lambda a, x: F.concat(a, F.array(F.element_at(a, -1) + x.cost)))
-    held = held.join(system, F.col("conv_id").eqNullSafe(F.col("_c")), "left").drop("_c").withColumn("p", sums)
-    held = held.withColumn("sys_cost", F.coalesce(F.col("system.cost"), F.lit(0).cast("long")))
-    # Start k opens a window if the turns from the last start up to and with k pass what the budget leaves.
-    room = lambda start: F.lit(budget) - F.when((start > 0) | (F.col("segment") > 0), F.col("sys_cost")).otherwise(F.lit(0)) - F.col("p")[start] + F.col("p")[F.col("_reach")[start]]
-    # _reach[k]: the first turn of the history that a window starting at turn k repeats.
-    reach = F.transform(F.sequence(F.lit(0), F.size("t") - 1), lambda k: F.least(k, F.size(F.filter("p", lambda s: F.col("p")[k] - s > history))))
-    held = held.withColumn("_reach", reach)
-    starts = F.aggregate(
-        F.sequence(F.lit(1), F.size("t")),
-        F.array(F.lit(0)),
-        lambda a, k: F.when((k < F.size("t")) & (F.col("p")[k + 1] - F.col("p")[F.element_at(a, -1)] > room(F.element_at(a, -1))), F.concat(a, F.array(k))).otherwise(a),
-    )
-    held = held.withColumn("starts", starts)
-    spans = held.select("*", F.posexplode("starts").alias("window", "from"))
-    spans = spans.withColumn("to", F.coalesce(F.try_element_at("starts", F.col("window") + 2), F.size("t")))
-    alone = (F.col("window") == 0) & (F.col("t")[0].turn == F.col("system.turn"))
-    rewind = F.when(F.col("window") == 0, F.col("from")).otherwise(F.col("_reach")[F.col("from")])
+    # Prefix sums: the tokens before a turn, and the tokens and number of the turns just before it that history holds.
+    segment = Window.partitionBy("conv_id", "segment")
+    base = base.withColumn("before", F.sum("cost").over(segment.orderBy("turn", "role", "text", "cost").rowsBetween(Window.unboundedPreceding, 0)) - F.col("cost"))
+    recent = segment.orderBy("before").rangeBetween(-history, -1)
+    base = base.withColumn("past", F.coalesce(F.sum("cost").over(recent), F.lit(0))).withColumn("n_past", F.count("*").over(recent).cast("int"))
+    # The system turn is known to all segments.
+    opening = base.groupBy("conv_id").agg(F.min(F.struct("turn", "role", "text", "cost")).alias("system")).where("system.role = 'system'").withColumnRenamed("conv_id", "_c")
+    held = base.groupBy("conv_id", "segment").agg(F.sort_array(F.collect_list(F.struct("turn", "role", "text", "cost", "before", "past", "n_past"))).alias("t"))
+    held = held.join(opening, F.col("conv_id").eqNullSafe(F.col("_c")), "left").drop("_c")
+    # A turn opens a window if the prefix sum from the window's first turn on would pass what repeats leave of the budget.
+    fixed = F.coalesce(F.col("system.cost"), F.lit(0).cast("long"))
+    one = lambda lo, hi: F.array(F.struct(lo.alias("from"), hi.alias("to")))
+    begin = F.struct(F.array().cast("array<struct<from:int,to:int>>").alias("done"), F.lit(0).alias("from"), F.lit(0).alias("k"), F.lit(0).cast("long").alias("start"), F.lit(0).cast("long").alias("again"))
+
+    def step(a: Column, x: Column) -> Column:
+        opens = (a.k > a["from"]) & (x.before + x.cost - a.start + a.again > budget)
+        return F.struct(
+            F.when(opens, F.concat(a.done, one(a["from"], a.k))).otherwise(a.done).alias("done"),
+            F.when(opens, a.k).otherwise(a["from"]).alias("from"),
+            (a.k + 1).alias("k"),
+            F.when(opens, x.before).otherwise(a.start).alias("start"),
+            F.when(opens, x.past + fixed).otherwise(F.when((a.k == 0) & (F.col("segment") > 0), fixed).otherwise(a.again)).alias("again"),
+        )
+
+    spans = F.aggregate("t", begin, step, lambda a: F.concat(a.done, one(a["from"], a.k)))
+    spans = held.select("conv_id", "segment", "t", "system", F.posexplode(spans).alias("window", "span"))
+    lo, hi = F.col("span.from"), F.col("span.to")
+    n_past = F.when(F.col("window") > 0, F.col("t")[lo].n_past).otherwise(0)
+    turn = lambda x: F.struct(x.role.alias("role"), x.text.alias("text"))
     # The system turn is not repeated where the window or its history has it anyway.
-    has = F.coalesce((rewind == 0) & (F.col("t")[0].turn == F.col("system.turn")), F.lit(False)) | F.coalesce(alone, F.lit(False))
-    repeated_system = F.when(F.col("system").isNull() | has, F.array().cast("array<struct<turn:bigint,role:string,text:string,cost:bigint>>")).otherwise(F.array("system"))
-    spans = spans.select("conv_id", "segment", "window", F.concat(repeated_system, F.slice("t", rewind + 1, F.col("from") - rewind)).alias("again"), F.slice("t", F.col("from") + 1, F.col("to") - F.col("from")).alias("new"))
+    has = F.col("system").isNull() | ((lo == n_past) & (F.col("t")[0].turn == F.col("system.turn")))
+    system = F.when(has, F.array().cast("array<struct<role:string,text:string>>")).otherwise(F.array(turn(F.col("system"))))
+    cut = spans.select("conv_id", "segment", "window", F.inline(F.array(F.struct(F.concat(system, F.transform(F.slice("t", lo - n_past + 1, n_past), turn)).alias("again"), F.transform(F.slice("t", lo + 1, hi - lo), turn).alias("new")))))
     part = lambda new: lambda x: F.struct(header(x.role).alias("head"), escape(x.text).alias("body"), (F.lit(new) & (x.role == "assistant")).alias("target"))
-    spans = spans.select("conv_id", "segment", "window", F.concat(F.transform("again", part(False)), F.transform("new", part(True))).alias("x"), F.size("again").alias("n_again"))
-    long = lambda x: F.length(x.head) + F.length(x.body) + len(END) + 1
-    ends = F.aggregate("x", F.array(F.lit(0)), lambda a, x: F.concat(a, F.array(F.element_at(a, -1) + long(x))))
-    spans = spans.withColumn("ends", ends)
-    mask = F.filter(F.transform("x", lambda x, i: F.when(x.target, F.struct((F.col("ends")[i] + F.length(x.head)).alias("start"), F.length(x.body).alias("length")))), lambda m: m.isNotNull())
+    laid = cut.select("conv_id", "segment", "window", F.size("again").alias("n_again"), F.inline(F.array(F.struct(F.concat(F.transform("again", part(False)), F.transform("new", part(True))).alias("x")))))
+    empty = F.struct(F.lit(0).alias("k"), F.lit(0).alias("at"), F.lit(0).alias("first"), F.array().cast("array<struct<start:int,length:int>>").alias("mask"))
+
+    def lay(a: Column, x: Column) -> Column:
+        head, body = F.length(x.head), F.length(x.body)
+        target = F.array(F.struct((a.at + head).alias("start"), body.alias("length")))
+        return F.struct((a.k + 1).alias("k"), (a.at + head + body + len(END) + 1).alias("at"), F.when(a.k == F.col("n_again"), a.at).otherwise(a["first"]).alias("first"), F.when(x.target, F.concat(a.mask, target)).otherwise(a.mask).alias("mask"))
+
     formatted = F.array_join(F.transform("x", lambda x: F.concat(x.head, x.body, F.lit(END + "\n"))), "")
-    return spans.select("conv_id", "segment", "window", formatted.alias("formatted"), mask.alias("mask"), F.col("ends")[F.col("n_again")].alias("first"))
+    out = laid.select("conv_id", "segment", "window", formatted.alias("formatted"), F.inline(F.array(F.aggregate("x", empty, lay))))
+    return out.select("conv_id", "segment", "window", "formatted", "mask", "first")
 
 
 def parse(formatted: DataFrame) -> DataFrame:
