@@ -170,3 +170,35 @@ def shingles(words: Words, width: int = 5) -> tuple[np.ndarray, np.ndarray]:
 def binary_text(text: str = "text") -> Column:
     """The text's UTF-8 bytes for Arrow functions; null counts as empty."""
     return F.coalesce(F.col(text).cast("binary"), F.lit(b"")).alias(text)
+
+
+# ---------------------------------------------------------------- packed shuffles
+
+
+def even_keys(spark: SparkSession, n: int) -> list[int]:
+    """n integers that `repartition(n, key)` deals to n different partitions."""
+    ids = spark.range(32 * n + 64).select(F.col("id").cast("int").alias("k"))
+    found = ids.groupBy(F.pmod(F.hash("k"), F.lit(n)).alias("p")).agg(F.min("k").alias("k")).orderBy("p").collect()
+    taken = [r.k for r in found]
+    return taken + [-1 - k for k in range(n - len(taken))]
+
+
+def pack(*arrays: np.ndarray) -> bytes:
+    """Arrays as one compressed value: bytes of like weight stand together, so small numbers cost little."""
+    codec, out = pa.Codec("zstd", 1), []
+    for a in arrays:
+        a = np.ascontiguousarray(a)
+        raw = a.view(np.uint8).reshape(-1, a.itemsize).T.tobytes()
+        data = codec.compress(raw, asbytes=True) if raw else b""
+        out.append(len(a).to_bytes(6, "little") + a.dtype.str[1:].encode() + len(data).to_bytes(6, "little") + data)
+    return b"".join(out)
+
+
+def unpack(data: bytes) -> list[np.ndarray]:
+    codec, out, at = pa.Codec("zstd", 1), [], 0
+    while at < len(data):
+        n, kind, size = int.from_bytes(data[at : at + 6], "little"), np.dtype("<" + data[at + 6 : at + 8].decode()), int.from_bytes(data[at + 8 : at + 14], "little")
+        raw = codec.decompress(data[at + 14 : at + 14 + size], n * kind.itemsize, asbytes=True) if n else b""
+        out.append(np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(kind.itemsize, n).T).reshape(-1).view(kind))
+        at += 14 + size
+    return out

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat_format, decontamination, exact_dedup, hyperminhash, line_dedup, sharding, token_records, toxicity, word_bpe
+from . import chat_format, decontamination, exact_dedup, hyperminhash, line_dedup, pitman_yor, sharding, token_records, toxicity, word_bpe
 from .common import table
 
 
@@ -18,6 +18,7 @@ def over(*names_and_function) -> Callable[[SparkSession, str], DataFrame]:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_records": over("documents", token_records.op1_token_records),
     "op2_toxicity": over("documents", "labels", toxicity.op2_toxicity),
+    "op3_lm_scoring": over("documents", pitman_yor.op3_lm_scoring),
     "op4_chat_format": over("conversations", chat_format.op4_chat_format),
     "op5_exact_dedup": over("documents", exact_dedup.op5_exact_dedup),
     "op10_minhash_near_dedup": over("documents", hyperminhash.op10_minhash_near_dedup),
