@@ -7,11 +7,14 @@ Bands of registers are join keys. Candidates pass a Jaccard estimate that is
 corrected for register collisions; what passes is confirmed on full sets.
 
 No step lists all pairs of a group. Equal sets are one class, and only its
-smallest doc_id goes on. In a band group every document is compared with the
-smallest one; confirmed links are contracted to components, and only groups
-that still hold two or more components are compared further, in tiles whose
-survivors alone leave the task. So components are those of all links among
-candidates, however large a group of copies is.
+smallest doc_id goes on. In a band group every document is compared with one
+leader, the one whose bands have the most company, such as the original of many
+copies. Jaccard distance is a metric: a document near enough to its leader (CLOSED)
+can have partners at 0.75 only among those at LOOSE or more, so these become one
+cluster and the document is done with that group. What is left of the groups gets
+a new leader, ROUNDS times; the rest is compared by sketches in tiles. At last
+each cluster's full sets are intersected, in tiles of at most TILE documents on a
+side; a tile gives the links of a spanning forest, not all of its pairs.
 
 A pair at similarity 0.75 is missed by all bands with a probability of about
 (1 - 0.75 ** BAND) ** (BUCKETS // BAND), some 1e-6.
@@ -25,7 +28,7 @@ columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -37,10 +40,11 @@ from .components import components
 
 INDEX_BITS, MANTISSA, BAND = 8, 10, 5
 BUCKETS = 1 << INDEX_BITS
-#: Of a tile of candidates, the rows on one side.
-TILE = 256
-#: Pairs that are confirmed against one copy of the first document's set.
-PAIRS_A_SET = 64
+#: Estimates at which documents form a cluster, and at which a document is done with a group: with errors of 0.1
+#: allowed for, 1 - LOOSE is the sum of 1 - 0.75 and 1 - CLOSED at least.
+LOOSE, CLOSED, ROUNDS = 0.3, 0.75, 3
+#: Of a tile, the documents on one side, and the shingles that they have together.
+TILE, TILE_LOAD = 256, 300_000
 
 
 def sketch(rows: np.ndarray, keys: np.ndarray, n: int) -> np.ndarray:
@@ -93,13 +97,6 @@ def estimate(a: np.ndarray, b: np.ndarray, n: np.ndarray, m: np.ndarray) -> tupl
     return np.clip((equal - chance * disjoint) / np.maximum(used, 1), 0, 1), used
 
 
-def likely(a, b, n, m, percent: int) -> np.ndarray:
-    """Whether a pair may reach the threshold: the estimate is at most five standard errors below it."""
-    j, used = estimate(a, b, n, m)
-    t = percent / 100
-    return j >= t - 5 * np.sqrt(t * (1 - t) / np.maximum(used, 1)) - 1 / np.maximum(used, 1)
-
-
 def sketches(docs: DataFrame, width: int = 5) -> DataFrame:
     """doc_id, n_shingles, digest (128 bits of the set), registers of docs (doc_id, text)."""
 
@@ -142,101 +139,131 @@ def bands(reps: DataFrame) -> DataFrame:
     return reps.select("doc_id", "registers").mapInArrow(run, "key long, doc_id long")
 
 
-def confirm(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """a, b, inter, uni of the pairs (a, b) whose full sets reach the threshold.
-
-    Texts go to (a, part) once for a and once for each b, sorted so that a's text comes first; a task holds one set at a time.
-    """
-    pairs = pairs.select("a", "b")
-    parts = pairs.groupBy("a").agg(F.ceil(F.count("*") / PAIRS_A_SET).alias("parts"))
-    spread = pairs.join(parts, "a").select("a", F.pmod(F.xxhash64("b"), F.col("parts")).cast("long").alias("part"), F.col("b").alias("doc_id"), F.lit(1).alias("side"))
-    heads = parts.select("a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts").cast("long") - 1)).alias("part"), F.col("a").alias("doc_id"), F.lit(0).alias("side"))
-    asked = materialize(spread.unionByName(heads), "asked")
-    texts = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), binary_text())
-    sent = asked.join(texts, "doc_id").repartition("a", "part").sortWithinPartitions("a", "part", "side")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        head, held = None, np.zeros(0, np.uint64)
-        for batch in batches:
-            a, part, doc, side = (batch.column(k).to_numpy() for k in range(4))
-            out: list[tuple[int, int, int, int]] = []
-            for lo, hi in slices(batch.column(4)):
-                rows, keys = shingles(Words(batch.column(4).slice(lo, hi - lo)), width)
-                ends = np.searchsorted(rows, np.arange(hi - lo + 1))
-                for i in range(lo, hi):
-                    own = keys[ends[i - lo] : ends[i - lo + 1]]
-                    if side[i] == 0:
-                        if (a[i], part[i]) != head:
-                            head, held = (a[i], part[i]), own.copy()
-                        continue
-                    inter = len(np.intersect1d(held, own, assume_unique=True)) if (a[i], part[i]) == head else 0
-                    uni = len(held) + len(own) - inter
-                    if uni and 100 * inter >= percent * uni:
-                        out.append((a[i], doc[i], inter, uni))
-            yield pa.record_batch([pa.array([x[k] for x in out], pa.int64()) for k in range(4)], names=["a", "b", "inter", "uni"])
-
-    return sent.select("a", "part", "doc_id", "side", "text").mapInArrow(run, "a long, b long, inter long, uni long")
-
-
-def screened(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sizes and sketches allow the threshold."""
-    half = lambda c: reps.select(F.col("doc_id").alias(c), F.col("n_shingles").alias(f"n_{c}"), F.col("registers").alias(f"r_{c}"))
-    sizes = lambda c: reps.select(F.col("doc_id").alias(c), F.col("n_shingles").alias(f"n_{c}"))
-    fit = pairs.join(sizes("a"), "a").join(sizes("b"), "b").where(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent)
-    both = fit.select("a", "b").join(half("a"), "a").join(half("b"), "b")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for lo in range(0, batch.num_rows, 4096):
-                x = batch.slice(lo, 4096)
-                ok = likely(registers_of(x.column(4)), registers_of(x.column(5)), x.column(2).to_numpy(), x.column(3).to_numpy(), percent)
-                yield pa.record_batch([x.column(0).filter(pa.array(ok)), x.column(1).filter(pa.array(ok))], names=["a", "b"])
-
-    return both.select("a", "b", "n_a", "n_b", "r_a", "r_b").mapInArrow(run, "a long, b long")
+def forest(ids: np.ndarray, linked: np.ndarray) -> list[tuple[int, int]]:
+    """Pairs (smallest id, other) of each connected class of a symmetric matrix of links."""
+    out, free = [], np.ones(len(ids), bool)
+    for i in np.argsort(ids, kind="stable"):
+        if not free[i]:
+            continue
+        held = np.zeros(len(ids), bool)
+        held[i] = True
+        front = held.copy()
+        while front.any():
+            front = linked[front].any(axis=0) & ~held
+            held |= front
+        free &= ~held
+        out += [(int(ids[i]), int(j)) for j in ids[held] if j != ids[i]]
+    return out
 
 
-def tiled(rows: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of different components in one group of rows (key, doc_id, component) that pass the estimate.
+def tiles(rows: DataFrame, load: str | None = None) -> DataFrame:
+    """Deals the rows (key, doc_id, ...) of each key into chunks and repeats them for each pair of chunks: x <= y, chunk.
 
-    A group of s rows is cut into c = ceil(s / TILE) chunks; a task compares two chunks at a time inside numpy.
+    A key of s rows has ceil(s / TILE) chunks, or more if `load` adds up to more than TILE_LOAD a chunk; a row is repeated once a chunk.
     """
-    sizes = rows.groupBy("key").agg(F.ceil(F.count("*") / TILE).cast("int").alias("chunks"))
+    chunks = F.ceil(F.count("*") / TILE)
+    if load:
+        chunks = F.greatest(chunks, F.ceil(F.sum(load) / TILE_LOAD))
+    sizes = rows.groupBy("key").agg(chunks.cast("int").alias("chunks"))
     dealt = rows.join(sizes, "key").withColumn("chunk", F.pmod(F.xxhash64("doc_id"), F.col("chunks")).cast("int"))
-    others = F.sequence(F.lit(0), F.col("chunks") - 1)
-    tiles = dealt.select("key", F.explode(others).alias("other"), "chunk", "doc_id", "component")
-    tiles = tiles.select("key", F.least("chunk", "other").alias("x"), F.greatest("chunk", "other").alias("y"), "chunk", "doc_id", "component")
-    full = tiles.join(reps.select("doc_id", "n_shingles", "registers"), "doc_id").repartition("key", "x", "y").sortWithinPartitions("key", "x", "y")
-
-    def compare(held: list[pa.RecordBatch]) -> pa.RecordBatch:
-        t = pa.Table.from_batches(held)
-        ids, comp, n, chunk = (t.column(c).to_numpy() for c in ("doc_id", "component", "n_shingles", "chunk"))
-        regs, found = registers_of(t.column("registers").combine_chunks()), []
-        same_chunk = t.column("x")[0].as_py() == t.column("y")[0].as_py()
-        for i in range(len(ids)):
-            fit = (comp != comp[i]) & (np.minimum(n, n[i]) * 100 >= np.maximum(n, n[i]) * percent) & (ids > ids[i])
-            if not same_chunk:
-                fit &= chunk != chunk[i]
-            at = np.flatnonzero(fit)
-            if len(at):
-                at = at[likely(regs[at], regs[i], n[at], n[i : i + 1], percent)]
-                found += [(ids[i], j) for j in ids[at]]
-        return pa.record_batch([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
+    repeated = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    return repeated.withColumn("x", F.least("chunk", "other")).withColumn("y", F.greatest("chunk", "other")).drop("other", "chunks")
+
+
+def by_tile(rows: DataFrame, compare, *columns: str) -> DataFrame:
+    """a, b of compare(table of one tile) for every tile of rows; tiles stream through a task, one in memory at a time."""
+    names = ["key", "x", "y", *columns]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tile, held = None, []
+
+        def done() -> pa.RecordBatch:
+            found = compare(pa.Table.from_batches(held).combine_chunks())
+            return pa.record_batch([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
         for batch in batches:
             k = np.stack([batch.column(c).to_numpy() for c in range(3)])
             cuts = [0, *(np.flatnonzero((k[:, 1:] != k[:, :-1]).any(axis=0)) + 1), batch.num_rows] if batch.num_rows else [0]
             for lo, hi in zip(cuts, cuts[1:], strict=False):
                 if tuple(k[:, lo]) != tile and held:
-                    yield compare(held)
+                    yield done()
                     held = []
                 tile = tuple(k[:, lo])
                 held.append(batch.slice(lo, hi - lo))
         if held:
-            yield compare(held)
+            yield done()
+
+    dealt = rows.select(*names).repartition("key", "x", "y").sortWithinPartitions("key", "x", "y")
+    return dealt.mapInArrow(run, "a long, b long")
+
+
+def led(rows: DataFrame, reps: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """One round over band groups (key, doc_id): weak links (a, b), and the rows that are not done.
+
+    The leader of a group is the document whose groups are largest in sum, then the smallest.
+    """
+    sizes = rows.groupBy("key").agg(F.count("*").alias("n"))
+    company = rows.join(sizes, "key").groupBy("doc_id").agg(F.sum("n").alias("company"))
+    first = rows.join(company, "doc_id").groupBy("key").agg(F.max(F.struct("company", (-F.col("doc_id")).alias("d"))).alias("m")).select("key", (-F.col("m.d")).alias("lead"))
+    seated = materialize(rows.join(first, "key"), "led")
+    half = lambda c: reps.select(F.col("doc_id").alias(c), F.col("n_shingles").alias(f"n_{c}"), F.col("registers").alias(f"r_{c}"))
+    pairs = seated.where("lead <> doc_id").select("lead", "doc_id").distinct().join(half("lead"), "lead").join(half("doc_id"), "doc_id")
 
-    return full.select("key", "x", "y", "chunk", "doc_id", "component", "n_shingles", "registers").mapInArrow(run, "a long, b long").distinct()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 4096):
+                x = batch.slice(lo, 4096)
+                j, _ = estimate(registers_of(x.column(4)), registers_of(x.column(5)), x.column(2).to_numpy(), x.column(3).to_numpy())
+                some = pa.array(j >= LOOSE)
+                yield pa.record_batch([x.column(0).filter(some), x.column(1).filter(some), pa.array(j).filter(some)], names=["lead", "doc_id", "j"])
+
+    near = materialize(pairs.select("lead", "doc_id", "n_lead", "n_doc_id", "r_lead", "r_doc_id").mapInArrow(run, "lead long, doc_id long, j double"), "near")
+    left = seated.where("lead <> doc_id").join(near.where(F.col("j") >= CLOSED).select("lead", "doc_id"), ["lead", "doc_id"], "left_anti").select("key", "doc_id")
+    several = left.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    return near.select(F.col("lead").alias("a"), F.col("doc_id").alias("b")), materialize(left.join(several, "key"), "left")
+
+
+def by_sketch(percent: int):
+    def compare(t: pa.Table) -> list[tuple[int, int]]:
+        ids, n = t.column("doc_id").to_numpy(), t.column("n_shingles").to_numpy()
+        regs = registers_of(t.column("registers"))
+        linked = np.zeros((len(ids), len(ids)), bool)
+        for i in range(len(ids)):
+            j, used = estimate(regs, regs[i], n, n[i : i + 1])
+            linked[i] = j >= percent / 100 - 5 * np.sqrt(0.1875 / np.maximum(used, 1)) - 1 / np.maximum(used, 1)
+        return forest(ids, linked | linked.T)
+
+    return compare
+
+
+def by_set(width: int, percent: int):
+    def compare(t: pa.Table) -> list[tuple[int, int]]:
+        ids, text = t.column("doc_id").to_numpy(), t.column("text").combine_chunks()
+        rows, keys = [], []
+        for lo, hi in slices(text):
+            r, k = shingles(Words(text.slice(lo, hi - lo)), width)
+            rows.append(r + lo)
+            keys.append(k)
+        rows, keys = np.concatenate(rows), np.concatenate(keys)
+        size = np.bincount(rows, minlength=len(ids))
+        # Columns are the shingles that two documents or more have; products of their incidence add up to intersections.
+        _, column, times = np.unique(keys, return_inverse=True, return_counts=True)
+        place = np.cumsum(times > 1) - 1
+        some = times[column] > 1
+        rows, column = rows[some], place[column[some]]
+        order = np.argsort(column, kind="stable")
+        rows, column = rows[order], column[order]
+        inter = np.zeros((len(ids), len(ids)), np.float32)
+        for lo in range(0, int(place[-1]) + 1 if len(place) else 0, 4096):
+            p, q = np.searchsorted(column, (lo, lo + 4096))
+            block = np.zeros((len(ids), 4096), np.float32)
+            block[rows[p:q], column[p:q] - lo] = 1
+            inter += block @ block.T
+        inter = inter.astype(np.int64)
+        uni = size[:, None] + size[None, :] - inter
+        return forest(ids, (100 * inter >= percent * uni) & (uni > 0))
+
+    return compare
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75) -> DataFrame:
@@ -244,26 +271,31 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75) -> DataF
     all_docs = materialize(sketches(docs, width), "sketches")
     some = all_docs.where("n_shingles > 0")
     # Equal sets are one class.
-    best = some.groupBy("n_shingles", "digest").agg(F.min(F.struct("doc_id", "registers")).alias("m"), F.count("*").alias("members"))
-    reps = materialize(best.select(F.col("m.doc_id").alias("doc_id"), "n_shingles", "digest", F.col("m.registers").alias("registers"), "members"), "classes")
+    best = some.groupBy("n_shingles", "digest").agg(F.min(F.struct("doc_id", "registers")).alias("m"))
+    reps = materialize(best.select(F.col("m.doc_id").alias("doc_id"), "n_shingles", "digest", F.col("m.registers").alias("registers")), "classes")
     # Band groups of two or more.
     keyed = bands(reps)
-    first = keyed.groupBy("key").agg(F.min("doc_id").alias("lead"), F.count("*").alias("n")).where("n > 1")
-    grouped = materialize(keyed.join(first.select("key", "lead"), "key"), "groups")
-    stars = grouped.where("lead <> doc_id").select(F.col("lead").alias("a"), F.col("doc_id").alias("b")).distinct()
-    links = materialize(confirm(screened(stars, reps, percent), docs, width, percent), "links")
-    tree = materialize(components(links), "components")
-    # Groups that the stars left in several components are compared in full.
-    part = grouped.join(tree.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
-    part = materialize(part, "parts")
-    open_keys = part.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("n")).where("x <> y and n > 2").select("key")
-    rest = tiled(part.join(open_keys, "key").select("key", "doc_id", "component"), reps, percent)
-    rest = rest.join(stars, ["a", "b"], "left_anti")
-    more = materialize(confirm(rest, docs, width, percent), "links")
-    if not more.isEmpty():
-        tree = materialize(components(links.unionByName(more)), "components")
-    named = reps.join(tree.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("n_shingles", "digest", F.coalesce("component", "doc_id").alias("component_id"))
-    placed = some.select("doc_id", "n_shingles", "digest").join(named, ["n_shingles", "digest"]).select("doc_id", "n_shingles", "component_id")
+    shared = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    left = materialize(keyed.join(shared, "key"), "groups")
+    weak: list[DataFrame] = []
+    for _ in range(ROUNDS):
+        if left.isEmpty():
+            break
+        links, left = led(left, reps)
+        weak.append(links)
+    if not left.isEmpty():
+        rest = tiles(left).join(reps.select("doc_id", "n_shingles", "registers"), "doc_id")
+        weak.append(by_tile(rest, by_sketch(percent), "doc_id", "n_shingles", "registers"))
+    if weak:
+        cluster = components(reduce(DataFrame.unionByName, weak)).withColumnRenamed("component", "key").withColumnRenamed("node", "doc_id")
+        texts = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), binary_text())
+        sized = cluster.join(reps.select("doc_id", "n_shingles"), "doc_id")
+        full = materialize(tiles(sized, "n_shingles"), "tiles").join(texts, "doc_id")
+        tree = components(by_tile(full, by_set(width, percent), "doc_id", "text")).withColumnRenamed("node", "doc_id")
+        reps = reps.join(tree, "doc_id", "left").withColumn("component_id", F.coalesce("component", "doc_id"))
+    else:
+        reps = reps.withColumn("component_id", F.col("doc_id"))
+    placed = some.select("doc_id", "n_shingles", "digest").join(reps.select("n_shingles", "digest", "component_id"), ["n_shingles", "digest"]).select("doc_id", "n_shingles", "component_id")
     blank = all_docs.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return placed.unionByName(blank).withColumn("kept", F.col("doc_id") == F.col("component_id"))
 
