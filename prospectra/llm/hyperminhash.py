@@ -63,9 +63,29 @@ def sketch(rows: np.ndarray, keys: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
+#: For each bucket, in which order it looks for one that is not empty.
+ROUTES = np.argsort(mix(np.arange(BUCKETS * BUCKETS, dtype=np.uint64) + np.uint64(12345)).reshape(BUCKETS, BUCKETS), axis=1)
+
+
+def filled(registers: np.ndarray) -> np.ndarray:
+    """Registers for banding: each empty bucket takes over that of the first other one on its route that is not empty.
+
+    So a short document's bands rest on as many of its shingles as a long one's, and one common shingle makes no company.
+    """
+    out = registers.copy()
+    row, bucket = np.nonzero(registers == 0)
+    for step in range(BUCKETS):
+        if not len(row):
+            break
+        value = registers[row, ROUTES[bucket, step]]
+        out[row, bucket] = value
+        row, bucket = row[value == 0], bucket[value == 0]
+    return out
+
+
 def band_keys(registers: np.ndarray) -> np.ndarray:
-    """A key for each row and band; 0 where the band is empty."""
-    n = BUCKETS // BAND
+    """A key for each row and band; 0 where the document has no shingles."""
+    n, registers = BUCKETS // BAND, filled(registers)
     cut = registers[:, : n * BAND].reshape(len(registers), n, BAND).astype(np.uint64)
     acc = np.broadcast_to(np.arange(1, n + 1, dtype=np.uint64), cut.shape[:2]).copy()
     for j in range(BAND):
