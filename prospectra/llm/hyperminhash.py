@@ -310,7 +310,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75) -> DataF
         cluster = components(reduce(DataFrame.unionByName, weak)).withColumnRenamed("component", "key").withColumnRenamed("node", "doc_id")
         texts = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), binary_text())
         sized = cluster.join(reps.select("doc_id", "n_shingles"), "doc_id")
-        full = materialize(tiles(sized, "n_shingles"), "tiles").join(texts, "doc_id")
+        full = texts.join(materialize(tiles(sized, "n_shingles"), "tiles").hint("merge"), "doc_id")  # both grow with the corpus: never broadcast
         tree = components(by_tile(full, by_set(width, percent), "doc_id", "text")).withColumnRenamed("node", "doc_id")
         reps = reps.join(tree, "doc_id", "left").withColumn("component_id", F.coalesce("component", "doc_id"))
     else:
