@@ -17,9 +17,8 @@ as one file under a name of its own attempt. Only files named by tasks that
 succeeded are in the manifest, so lost or repeated tasks leave nothing behind that
 is read. Files are opened by URI with pyarrow, so shared stores work as folders do.
 
-Ids come from the tokenizers library. Pieces between blanks are encoded once and
-kept in a bounded memory, as the split pattern never joins over a blank that
-stands before other than white space.
+Ids come from the tokenizers library; each new word is encoded once and kept in a
+bounded memory.
 
 Defined cases: a null text is empty and has the end id alone; rows without a doc_id
 are left out; rows that repeat a doc_id are written each, in order of their text's
@@ -46,7 +45,8 @@ from .common import new_path
 
 MASK = 0xA282EAD8
 HEAD, FOOT, DOC, ENTRY = 12, 4, 8, 32
-MEMORY, LONGEST = 300_000, 64
+#: Words of either kind that a worker keeps.
+MEMORY = 700_000
 #: Bytes of records that one read takes on.
 READ_BYTES = 4 << 20
 
@@ -74,10 +74,16 @@ def unframed(data: bytes, at: int = 0) -> tuple[bytes, int]:
 
 
 class Encoder:
-    """tokenizers' ids of whole texts, with a bounded memory of pieces."""
+    """tokenizers' ids of whole texts, with a bounded memory of words.
 
-    #: Before each blank that stands before other than white space.
-    cut = re.compile(r"(?= \S)")
+    A blank or line feed between other than white space starts a part of its own in the split pattern, so a text
+    without other white space is its words' ids in order. New words are encoded many at a time, with line feeds
+    between them, and parted at the line feeds' id. Any other text is encoded as it is.
+    """
+
+    #: White space other than blanks and line feeds, and the bytes without which a text has none.
+    odd, hints = re.compile(r"[^\S \n]"), bytes([9, 11, 12, 13, *range(28, 32), 0xC2, 0xE1, 0xE2, 0xE3])
+    pairs, edge = ("  ", " \n", "\n ", "\n\n"), (" ", "\n")
 
     def __init__(self, path: str, width: int):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -85,38 +91,58 @@ class Encoder:
 
         self.model, self.kind = Tokenizer.from_file(path), f"<u{width}"
         self.special = [t.content for t in self.model.get_added_tokens_decoder().values()]
-        self.pieces: dict[str, bytes] = {}
-
-    def _raw(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.kind).tobytes() for e in self.model.encode_batch_fast(texts, add_special_tokens=False)]
+        feed = self._ids("a\nb")
+        self.feed = int(feed[1]) if len(feed) == 3 else None
+        self.feed_raw = feed[1:2].tobytes()
+        #: Words at the start of a line, and words after a blank.
+        self.known: tuple[dict[str, bytes], dict[str, bytes]] = ({"": b""}, {})
+
+    def _plain(self, t: str) -> bool:
+        if self.feed is None or any(s in t for s in self.special) or any(x in t for x in self.pairs) or t[:1] in self.edge or t[-1:] in self.edge:
+            return False
+        raw = t.encode("utf-8", "surrogatepass")
+        return len(raw.translate(None, self.hints)) == len(raw) or not self.odd.search(t)
+
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.model.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.kind)
+
+    def _learn(self, words: set[str], blank: bool) -> None:
+        known, new = self.known[blank], [w for w in words if w not in self.known[blank]]
+        lead = " " if blank else ""
+        for lo in range(0, len(new), 4096):
+            part = new[lo : lo + 4096]
+            ids = self._ids("\n".join([lead + w for w in part]))
+            cut = np.flatnonzero(ids == self.feed)
+            if len(cut) == len(part) - 1:
+                raw, ends = ids.tobytes(), (np.append(cut, len(ids)) * ids.itemsize).tolist()
+                starts = [0, *[x + ids.itemsize for x in ends[:-1]]]
+                known.update(zip(part, [raw[x:y] for x, y in zip(starts, ends, strict=True)], strict=True))
+            else:
+                known.update((w, self._ids(lead + w).tobytes()) for w in part)
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split, unknown = [], set()
-        for t in texts:
-            parts = None
-            if not any(s in t for s in self.special):
-                if "  " in t or " \n" in t or " \t" in t or not t.isprintable() and not t.replace("\n", "").isprintable():
-                    parts = self.cut.split(t)
-                else:
-                    first, *rest = t.split(" ")
-                    parts = [first, *[" " + p for p in rest]]
-                    if parts[-1] == " " and len(parts) > 1:  # a blank at the end belongs to no word
-                        parts[-2:] = [parts[-2] + " "]
-                unknown.update([p for p in parts if p not in self.pieces])
-            split.append(parts)
-        if len(self.pieces) + len(unknown) > MEMORY:
-            self.pieces.clear()
-            unknown = {p for parts in split if parts for p in parts}
-        new = list(unknown)
-        known = self.pieces if len(new) <= MEMORY else {}
-        for at in range(0, len(new), 4096):
-            known.update(zip(new[at : at + 4096], self._raw(new[at : at + 4096]), strict=True))
-        get = known.__getitem__
-        out = [self._raw([t])[0] if parts is None else b"".join(map(get, parts)) for t, parts in zip(texts, split, strict=True)]
-        if known is self.pieces:
-            for p in new:
-                if len(p) > LONGEST:
-                    del known[p]
+        lines = [[x.split(" ") for x in t.split("\n")] if self._plain(t) else None for t in texts]
+        first, rest = set(), set()
+        for doc in lines:
+            for words in doc or ():
+                first.add(words[0])
+                rest.update(words[1:])
+        for k, words in enumerate((first, rest)):
+            known = self.known[k]
+            if len(known) > MEMORY:  # the words of these texts stay, so frequent ones do
+                stay = {w: known[w] for w in words if w in known}
+                known.clear()
+                known.update(stay)
+        self.known[0][""] = b""
+        self._learn(first, False)
+        self._learn(rest, True)
+        begin, after = self.known[0].__getitem__, self.known[1].__getitem__
+        out = []
+        for t, doc in zip(texts, lines, strict=True):
+            if doc is None:
+                out.append(self._ids(t).tobytes())
+            else:
+                out.append(self.feed_raw.join([begin(words[0]) + b"".join(map(after, words[1:])) for words in doc]))
         return out
 
 
