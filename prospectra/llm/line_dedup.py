@@ -135,7 +135,7 @@ def line_classes(docs: DataFrame, shortest: int = SHORTEST) -> DataFrame:
     shared = halves.groupBy("half").agg(F.count("*").alias("n")).where("n > 1").select("half")
     wanted = materialize(halves.join(shared, "half").groupBy("id").agg(F.min("first").alias("first")).select("id", "first.doc_id", "first.line_no"), "suspects")
     numbers = wanted.groupBy("doc_id").agg(F.collect_list(F.struct("line_no", "id")).alias("l"))
-    texts = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(numbers, "doc_id")
+    texts = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(numbers.hint("merge"), "doc_id")  # suspects grow with the corpus: never broadcast
     texts = texts.select(F.split("text", "\n").alias("t"), "l").select(F.inline(F.transform("l", lambda x: F.struct(x.id.alias("id"), F.try_element_at("t", x.line_no + 1).alias("line")))))
     suspects = materialize(texts.select("id", F.trim(F.regexp_replace("line", r"[\t\r]", " ")).alias("line")).where("line is not null").dropDuplicates(["id"]), "texts")
     pairs = linked(suspects, partitions(spark))
