@@ -2,8 +2,8 @@
 
 Words are compared without case and without punctuation at their ends. One scan
 counts in how many documents each n-gram of the test items occurs; an item's seeds
-are its n-grams found in at most `rare` of the documents, and always its KEEP rarest
-ones. A second scan joins documents with items by seeds; each seed fixes a diagonal,
+are its n-grams found in at most `rare` of the documents (or FEW_DOCS), and always the KEEP
+rarest ones that occur at all. A second scan joins documents with items by seeds; each seed fixes a diagonal,
 and the words around it are aligned with the item (match 1, mismatch and gap -1).
 A pair is reported if the score reaches `share` of the item's words or `words`.
 Before aligning, the words that the passage and the item share bound the score.
@@ -32,7 +32,7 @@ from .common import Words, binary_text, mix, slices
 
 WIDTH, KEEP = 3, 8
 BLOCK_WORDS = 400_000
-RARE, SHARE, WORDS = 1e-3, 0.4, 32
+RARE, FEW_DOCS, SHARE, WORDS = 1e-3, 64, 0.4, 32
 
 
 def bare(text: str) -> Column:
@@ -136,8 +136,9 @@ def document_counts(docs: DataFrame, items: Items) -> dict[int, int]:
 
 def seeds_of(items: Items, counts: dict[int, int], n_docs: int, rare: float) -> np.ndarray:
     seen = np.array([counts.get(int(k), 0) for k in items.key], np.int64)
-    seed = seen <= rare * n_docs
-    order = np.lexsort((items.place, seen, items.item))
+    seed = seen <= max(rare * n_docs, FEW_DOCS)
+    # What no document has cannot be a seed; it comes last, so that the KEEP rarest are found somewhere.
+    order = np.lexsort((items.place, np.where(seen == 0, np.iinfo(np.int64).max, seen), items.item))
     first = np.searchsorted(items.item[order], items.item[order], "left")
     rank = np.empty(len(order), np.int64)
     rank[order] = np.arange(len(order)) - first

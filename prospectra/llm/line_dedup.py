@@ -160,9 +160,10 @@ def dropped_lines(docs: DataFrame, shortest: int = SHORTEST) -> DataFrame:
 
 def dedup_lines(docs: DataFrame, shortest: int = SHORTEST) -> DataFrame:
     """docs with the repeated lines taken out of their texts; all columns are kept."""
-    gone = dropped_lines(docs, shortest).where("size(dropped) > 0").select(F.col("doc_id").alias("_d"), "dropped")
-    kept = F.array_join(F.filter(F.split("text", "\n"), lambda _, i: ~F.array_contains("dropped", i)), "\n")
-    return docs.join(gone, F.col("doc_id") == F.col("_d"), "left").withColumn("text", F.when(F.col("dropped").isNull(), F.col("text")).otherwise(kept)).drop("_d", "dropped")
+    gone = dropped_lines(docs, shortest).where("size(dropped) > 0").select(F.col("doc_id").alias("_lines_doc"), F.col("dropped").alias("_lines_gone"))
+    kept = F.array_join(F.filter(F.split("text", "\n"), lambda _, i: ~F.array_contains("_lines_gone", i)), "\n")
+    joined = docs.join(gone, F.col("doc_id") == F.col("_lines_doc"), "left")
+    return joined.withColumn("text", F.when(F.col("_lines_gone").isNull(), F.col("text")).otherwise(kept)).drop("_lines_doc", "_lines_gone")
 
 
 def op6_line_dedup(docs: DataFrame) -> DataFrame:

@@ -92,7 +92,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = FIT_ROWS) -> tuple[n
     """Weights by feature and bias from docs (doc_id, text) and labels (doc_id, toxic)."""
     known = labels.where("doc_id is not null and toxic is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
-    sample = docs.join(F.broadcast(chosen), "doc_id").select("doc_id", "toxic", "text")  # at most max_rows rows
+    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "toxic", "text")  # at most max_rows rows
     sample = materialize(sample.repartition(PARTS, "doc_id"), "labelled")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
