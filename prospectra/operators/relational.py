@@ -103,11 +103,29 @@ def anti_by_id(venues: DataFrame, gigs: DataFrame) -> DataFrame:
     return venues.join(gigs.select("venue_id").distinct(), "venue_id", "left_anti")
 
 
+def contained_names(own: DataFrame, other: DataFrame) -> DataFrame:
+    """The names of `own` (name) that hold, or are held in, a name of `other` (name): distinct, not empty.
+
+    A name held in another starts with characters that the other has somewhere, so its first three are an equi-join key
+    against all runs of up to three of the other; a match is verified. No side is compared with all of the other.
+    """
+    runs = lambda c: F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(1), F.length(c)), lambda i: F.array(*(F.col(c).substr(i, F.lit(n)) for n in (1, 2, 3))))))
+    x, y = own.select(F.col("name").alias("x")), other.select(F.col("name").alias("y"))
+    holds = x.select("x", F.explode(runs("x")).alias("k")).join(y.select("y", F.substring("y", 1, 3).alias("k")), "k").where(F.contains("x", "y"))
+    held = y.select("y", F.explode(runs("y")).alias("k")).join(x.select("x", F.substring("x", 1, 3).alias("k")), "k").where(F.contains("y", "x"))
+    return holds.select(F.col("x").alias("name")).unionByName(held.select(F.col("x").alias("name"))).distinct()
+
+
 def anti_by_name(venues: DataFrame, gigs: DataFrame) -> DataFrame:
-    """Without venues whose name holds, or is held in, a past gig's name. The list of names is that of one performer's past gigs."""
-    names = gigs.select(F.lower(F.trim("venue_name")).alias("_gig")).where("_gig <> ''").distinct()
-    own = F.lower(F.trim("name"))
-    return venues.join(names, F.contains(own, F.col("_gig")) | F.contains(F.col("_gig"), own), "left_anti")
+    """Without venues whose name holds, or is held in, a past gig's name; an empty name is held in any.
+
+    Distinct names are matched first; venues then lose the matches by an equi anti join.
+    """
+    names = lambda t, c: t.select(F.lower(F.trim(c)).alias("name")).where("name <> ''").distinct()
+    played = names(gigs, "venue_name")
+    hits = contained_names(names(venues, "name"), played)
+    blank = played.limit(1).select(F.lit("").alias("name"))
+    return venues.withColumn("_own", F.coalesce(F.lower(F.trim("name")), F.lit(""))).join(hits.unionByName(blank).select(F.col("name").alias("_own")), "_own", "left_anti").drop("_own")
 
 
 def anti_pipelined_domains(venues: DataFrame, domain: Column) -> DataFrame:
