@@ -45,8 +45,8 @@ from .common import new_path
 
 MASK = 0xA282EAD8
 HEAD, FOOT, DOC, ENTRY = 12, 4, 8, 32
-#: Words of either kind that a worker keeps.
-MEMORY = 700_000
+#: Words that a worker keeps.
+MEMORY = 1_000_000
 #: Bytes of records that one read takes on.
 READ_BYTES = 4 << 20
 
@@ -83,6 +83,7 @@ class Encoder:
 
     #: White space other than blanks and line feeds, and the bytes without which a text has none.
     odd, hints = re.compile(r"[^\S \n]"), bytes([9, 11, 12, 13, *range(28, 32), 0xC2, 0xE1, 0xE2, 0xE3])
+    marks = frozenset(".,;:!?")
     pairs, edge = ("  ", " \n", "\n ", "\n\n"), (" ", "\n")
 
     def __init__(self, path: str, width: int):
@@ -94,8 +95,9 @@ class Encoder:
         feed = self._ids("a\nb")
         self.feed = int(feed[1]) if len(feed) == 3 else None
         self.feed_raw = feed[1:2].tobytes()
-        #: Words at the start of a line, and words after a blank.
-        self.known: tuple[dict[str, bytes], dict[str, bytes]] = ({"": b""}, {})
+        #: Ids of words after a blank, and of a line feed with the word after it.
+        self.known: dict[str, bytes] = {}
+        self.mark_ids: dict[str, bytes] = {}
 
     def _plain(self, t: str) -> bool:
         if self.feed is None or any(s in t for s in self.special) or any(x in t for x in self.pairs) or t[:1] in self.edge or t[-1:] in self.edge:
@@ -106,44 +108,45 @@ class Encoder:
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.model.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.kind)
 
-    def _learn(self, words: set[str], blank: bool) -> None:
-        known, new = self.known[blank], [w for w in words if w not in self.known[blank]]
-        lead = " " if blank else ""
-        for lo in range(0, len(new), 4096):
-            part = new[lo : lo + 4096]
-            ids = self._ids("\n".join([lead + w for w in part]))
+    def _encode_words(self, words: list[str]) -> None:
+        """Words of one kind; the known ids get those of their line feed too."""
+        if not words:
+            return
+        lead, start = (self.feed_raw, 1) if words[0][0] == "\n" else (b"", 0)
+        pad = "" if start else " "
+        for lo in range(0, len(words), 4096):
+            part = words[lo : lo + 4096]
+            ids = self._ids("\n".join([pad + w[start:] for w in part]))
             cut = np.flatnonzero(ids == self.feed)
             if len(cut) == len(part) - 1:
                 raw, ends = ids.tobytes(), (np.append(cut, len(ids)) * ids.itemsize).tolist()
                 starts = [0, *[x + ids.itemsize for x in ends[:-1]]]
-                known.update(zip(part, [raw[x:y] for x, y in zip(starts, ends, strict=True)], strict=True))
+                self.known.update(zip(part, [lead + raw[x:y] for x, y in zip(starts, ends, strict=True)], strict=True))
             else:
-                known.update((w, self._ids(lead + w).tobytes()) for w in part)
+                self.known.update((w, lead + self._ids(pad + w[start:]).tobytes()) for w in part)
+
+    def _learn(self, new: set[str]) -> None:
+        # Letters and a mark after them are parts of their own: only the letters are encoded.
+        marked = [w for w in new if w[-1] in self.marks and w[w[0] == "\n" : -1].isalpha()]
+        new.difference_update(marked)
+        new.update({w[:-1] for w in marked}.difference(self.known))
+        self._encode_words([w for w in new if w[0] != "\n"])
+        self._encode_words([w for w in new if w[0] == "\n"])
+        for w in marked:
+            mark = w[-1]
+            if mark not in self.mark_ids:
+                self.mark_ids[mark] = self._ids(mark).tobytes()
+            self.known[w] = self.known[w[:-1]] + self.mark_ids[mark]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        lines = [[x.split(" ") for x in t.split("\n")] if self._plain(t) else None for t in texts]
-        first, rest = set(), set()
-        for doc in lines:
-            for words in doc or ():
-                first.add(words[0])
-                rest.update(words[1:])
-        for k, words in enumerate((first, rest)):
-            known = self.known[k]
-            if len(known) > MEMORY:  # the words of these texts stay, so frequent ones do
-                stay = {w: known[w] for w in words if w in known}
-                known.clear()
-                known.update(stay)
-        self.known[0][""] = b""
-        self._learn(first, False)
-        self._learn(rest, True)
-        begin, after = self.known[0].__getitem__, self.known[1].__getitem__
-        out = []
-        for t, doc in zip(texts, lines, strict=True):
-            if doc is None:
-                out.append(self._ids(t).tobytes())
-            else:
-                out.append(self.feed_raw.join([begin(words[0]) + b"".join(map(after, words[1:])) for words in doc]))
-        return out
+        docs = [("\n" + t).replace("\n", " \n")[1:].split(" ") if self._plain(t) else None for t in texts]
+        words = set().union(*[d for d in docs if d])
+        if len(self.known) > MEMORY:  # the words of these texts stay, so frequent ones do
+            self.known = {w: self.known[w] for w in words if w in self.known}
+        self.known["\n"] = self.feed_raw
+        self._learn(words.difference(self.known))
+        get, skip = self.known.__getitem__, len(self.feed_raw)
+        return [self._ids(t).tobytes() if d is None else b"".join(map(get, d))[skip:] for t, d in zip(texts, docs, strict=True)]
 
 
 _LOADED: dict[tuple[str, int, int], Encoder] = {}
