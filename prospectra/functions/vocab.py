@@ -48,3 +48,16 @@ PARENT_DOMAINS = ("marriott.com", "hilton.com", "hyatt.com", "ihg.com", "foursea
 HOTEL_BRANDS = ("waldorf", "conrad", "sofitel", "pendry", "salamander", "ritz-carlton", "four seasons", "fairmont", "mandarin", "st. regis", "westin", "hyatt", "marriott", "hilton", "intercontinental", "kimpton", "rosewood", "peninsula", "langham", "omni", "loews")
 FB_RESERVED = ("tr", "pixel", "plugins", "sharer", "share", "login", "dialog", "policy.php", "policy", "terms", "terms.php", "about", "legal", "cookies", "r.php", "recover", "help", "privacy", "settings", "ads", "business", "watch", "marketplace", "events", "wix", "wixstudio", "squarespace", "wordpress", "shopify", "godaddy", "weebly", "webflow", "carrd", "linktree", "linktr")
 IG_RESERVED = ("p", "reel", "reels", "explore", "stories", "accounts", "developer", "about", "legal", "privacy", "terms", "share", "embed", "direct", "tv", "wix", "wixstudio", "squarespace", "wordpress", "shopify", "godaddy", "weebly", "webflow", "carrd", "linktree", "linktr")
+FIT_STOP_WORDS = ("the", "and", "bar", "inn", "club", "farm", "restaurant", "grille", "grill", "lounge", "bistro", "cafe", "hotel", "wine", "winery", "vineyard", "country", "yacht", "art", "gallery", "museum", "event", "private", "inc", "llc", "little", "italy", "old", "new", "great", "big", "east", "west", "north", "south", "port", "washington", "virginia", "maryland", "delaware", "pennsylvania")
+GROUP_DOMAINS = ("aramark", "marriott", "hilton", "hyatt", "guestservices", "compass", "sodexo", "macsthospitality", "rwrestaurantgroup", "titanhosp", "clydescorp")
+ORG_STOP_WORDS = ("the", "a", "an", "and", "of", "at", "in", "by", "hotel", "collection")
+ORG_KINDS = ("bar", "grill", "bistro", "cafe", "restaurant", "kitchen", "tavern", "pub", "lounge", "house", "club", "wine", "brewing", "inn", "suites", "resort", "lodge", "manor", "estate")
+CHAIN_ORGS = ("intercontinental", "ihg", "hilton worldwide", "marriott international", "hyatt hotels", "wyndham", "accor", "choice hotels", "best western", "radisson", "aimbridge hospitality", "highgate hotels")
+LUXURY_WORDS = ("luxury", "five star", "5-star", "ritz-carlton", "four seasons", "rosewood", "st. regis", "waldorf", "fairmont", "pendry", "salamander", "mandarin")
+FINE_WORDS = ("fine dining", "michelin", "tasting menu", "french", "brasserie", "ristorante", "steakhouse", "chophouse")
+BAD_TITLES = ("housekeep", "security", "loss prevention", "accounting", "accountant", "finance", "payroll", "laundry", "steward", "engineer", "maintenance", "it ", "information technology", "purchasing", "procurement", "human resource", " hr ", "recruiter", "recruitment", "talent acquisition", "spa ", "spa manager", "spa director", "esthetician", "massage")
+DECISION_WORDS = ("owner", "founder", "president", "partner", "director", "manager", "general manager", "gm", "ceo", "coo", "events", "entertainment", "booking", "operations", "chef", "proprietor", "managing", "beverage")
+HARD_REJECT_MAIL = ("noreply@", "no-reply@", "webmaster@", "billing@", "dataremoval@", "privacy@", "careers@", "jobs@", "hr@", "mailer-daemon@", "postmaster@")
+FREE_MAIL = ("gmail.com", "yahoo.com", "outlook.com", "hotmail.com", "aol.com", "icloud.com")
+ROOM_NAMES = ("cottage", "apartment", "vacation rental", "retreat", "bedroom", "airbnb", "vrbo", "walk to", "screened porch", "historic house", "king room", "queen room", "deluxe room", "suite -", "one-bedroom", "ice cream", "gelato", "frozen yogurt", "toastique", "sweets", "clubhouse and pool", "clubhouse & pool", " pub", "irish pub", "liquor", "wine & spirits", "wine and spirits", "spirits", " cafe", "cafe ", "bakery", "pastry", "patisserie", "slice", "cupcake", "donut", "bagel", "smoothie", "juice bar", "acai", "poke bowl", "bubble tea", "boba")
+SWEET_CITIES = ("washington", "georgetown", "dupont", "alexandria", "mclean", "great falls", "bethesda", "chevy chase", "potomac", "annapolis", "easton", "st. michaels", "st michaels", "charlottesville", "middleburg", "leesburg", "wilmington", "greenville")

@@ -101,22 +101,29 @@ def confidence(known_cities: tuple[str, ...]) -> Column:
     return F.round(F.greatest(F.lit(0.0), F.least(F.lit(1.0), score)), 6)
 
 
-def prescore(category: Column, stars: Column, reviews: Column, price: Column, state: Column) -> Column:
-    """Of a search card; 40 or more is worth a look."""
-    tier = lookup(category, {"restaurant": 2, "winery": 1, "hotel": 2, "museum": 3, "other": 4}, 3)
+def prescore(category: Column, stars: Column, reviews: Column, price: Column, state: Column, city: Column, tiers: dict[str, int], cities: tuple[str, ...], raw: Column | None = None, skip: tuple[str, ...] = ()) -> Column:
+    """Of a search card; 40 or more is worth a look. price: number of signs."""
+    tier = lookup(category, tiers, 4)
     score = F.element_at(F.array(F.lit(30), F.lit(20), F.lit(10), F.lit(-60)), tier)
-    score = score + F.when(state.isin(*HOME_STATES), 20).otherwise(-10)
-    score = score + F.when(stars >= 4.5, 20).when(stars >= 4.2, 15).when(stars >= 4.0, 10).when(stars >= 3.5, 5).otherwise(0)
-    score = score + F.when(reviews >= 200, 5).when(reviews >= 50, 3).otherwise(0)
-    score = score + F.when(price >= 3, 15).when(price == 2, 10).when(price == 1, -5).otherwise(0)
+    score = score + F.when(state.isin("MD", "VA", "DC", "WV", "PA", "DE"), 10).otherwise(-50) + F.when(vocab.any_of(F.lower(city), cities), 10).otherwise(0)
+    score = score + F.when(stars >= 4.7, 20).when(stars >= 4.4, 15).when(stars >= 4.0, 10).when(stars >= 3.5, 5).otherwise(0)
+    score = score + F.when(reviews > 1000, 5).when(reviews > 500, 3).otherwise(0)
+    score = score + F.when(price >= 4, 15).when(price == 3, 10).when(price == 1, -5).otherwise(0)
+    if skip and raw is not None:
+        score = score - F.when(vocab.any_of(F.lower(raw), skip), 50).otherwise(0)
     return F.greatest(F.lit(0), F.least(F.lit(100), score))
 
 
 def actionability() -> Column:
-    """R8, K10."""
-    tier = lookup(F.lower("category"), {"private club": 40, "country_club": 35, "winery": 30, "hotel": 30, "restaurant": 20}, 10)
-    data = sum((F.when(F.col(c) != "", 5).otherwise(0) for c in ("website", "facebook", "instagram")), F.lit(0))
-    return (tier + 8 * F.col("upscale_score") + F.when(F.upper("state").isin(*HOME_STATES), 20).otherwise(0) + data).cast("double")
+    """Kind, quality, place, and what is on file already."""
+    cat = F.lower("category")
+    score = F.when(cat.isin("private_club", "yacht_club"), 40).when(cat == "country_club", 35).when(cat == "wine_bar", 20).when(cat.isin("hotel", "restaurant", "winery", "museum"), 15).otherwise(0)
+    score = score + 8 * F.floor("upscale_score") + F.when(vocab.any_of(F.lower("city"), vocab.SWEET_CITIES), 10).otherwise(0) + F.when(F.upper("state") == "DC", 10).otherwise(0)
+    for name, points in (("instagram", 3), ("website", 2)):
+        score = score + F.when(F.length(name) > 5, points).otherwise(0)
+    for name in ("state", "city"):
+        score = score + F.when(F.trim(name) != "", 1).otherwise(0)
+    return score.cast("double")
 
 
 def backfill_candidates(venues: DataFrame, n: int = 100) -> DataFrame:

@@ -49,8 +49,11 @@ r AS (SELECT p.venue_id, p._ord,
  WHERE status <> 'needs_review' AND venue_vote <> 'down' AND (distance_miles IS NULL OR distance_miles <= 150) AND NOT {likes("lower(name)", ("market", "theater"))}),
 s AS (SELECT *, greatest(0, least(100, category_pts + upscale_pts + zone_pts + distance_pts + contact_pts + vote_pts + taste_pts + location_pts + state_pts)) AS score FROM r)"""
 DOMAIN = "split_part(replace(replace(replace(lower(website), 'https://', ''), 'http://', ''), 'www.', ''), '/', 1)"
-TOKENS = f"list_distinct(list_filter(regexp_extract_all(lower(name), '[a-z0-9]+'), lambda w: length(w) >= 4 AND w NOT IN {names((*vocab.STOP_WORDS, *vocab.PLACE_WORDS))}))"
-FITS = f"(len({TOKENS}) = 0 OR len(list_filter({TOKENS}, lambda t: contains(regexp_replace({DOMAIN}, '[^a-z0-9]', '', 'g'), t[1:5]))) > 0)"
+BASE = f"split_part({DOMAIN}, '.', 1)"
+FLAT_NAME, FLAT_BASE = "regexp_replace(lower(name), '[^a-z0-9]', '', 'g')", f"regexp_replace({BASE}, '[^a-z0-9]', '', 'g')"
+FITS = f"""({DOMAIN} = '' OR length({BASE}) < 3 OR contains({FLAT_NAME}, {FLAT_BASE}) OR contains({FLAT_BASE}, {FLAT_NAME})
+ OR len(list_filter(regexp_extract_all(lower(name), '[a-z]{{3,}}'), lambda w: w NOT IN {names(vocab.FIT_STOP_WORDS)} AND contains({FLAT_BASE}, w))) > 0
+ OR len(list_filter(regexp_extract_all({BASE}, '[a-z]{{3,}}'), lambda w: w NOT IN ('com', 'org', 'net', 'www', 'the') AND contains({FLAT_NAME}, w))) > 0 OR {likes(FLAT_BASE, vocab.GROUP_DOMAINS)})"""
 BAD_CITY = f"(trim(city) = '' OR {likes('lower(trim(city))', vocab.CITY_GARBAGE)} OR length(trim(city)) > 30 OR regexp_matches(trim(city), '[0-9]{{3,}}') OR regexp_matches(trim(city), '[\"'']'))"
 FUNNEL = f"""few AS (SELECT * FROM c WHERE venue_id LIKE '%1' OR venue_id LIKE '%3'),
 d AS (SELECT *, {DOMAIN} AS domain FROM v),
@@ -142,14 +145,14 @@ ORACLE_SQL: dict[str, str] = {
     "recommendations": typed(PLAYED, RECOMMENDED) + "SELECT * EXCLUDE (_ord) FROM s",
     "recommendations_top": typed(PLAYED, RECOMMENDED) + "SELECT venue_id, score FROM s ORDER BY score DESC, _ord LIMIT 25",
     "taste_report": typed(PLAYED, RECOMMENDED) + "SELECT count_if(taste_pts >= 15) AS tier1, count_if(taste_pts BETWEEN 5 AND 14) AS tier2, count_if(taste_pts BETWEEN -9 AND 4) AS tier3, count_if(taste_pts <= -10) AS tier4, count_if(location_pts > 0) AS location_matches FROM s",
-    "actionability": typed() + """SELECT venue_id, CASE lower(category) WHEN 'private club' THEN 40 WHEN 'country_club' THEN 35 WHEN 'winery' THEN 30 WHEN 'hotel' THEN 30 WHEN 'restaurant' THEN 20 ELSE 10 END + 8 * upscale
- + CASE WHEN state IN ('DC', 'MD', 'VA') THEN 20 ELSE 0 END + 5 * ((website <> '')::int + (facebook <> '')::int + (instagram <> '')::int) AS score FROM v""",
+    "actionability": typed() + f"""SELECT venue_id, CASE WHEN lower(category) = 'country_club' THEN 35 WHEN lower(category) IN ('hotel', 'restaurant', 'winery', 'museum') THEN 15 ELSE 0 END + 8 * floor(upscale)
+ + CASE WHEN {likes("lower(city)", vocab.SWEET_CITIES)} THEN 10 ELSE 0 END + CASE WHEN state = 'DC' THEN 10 ELSE 0 END + 3 * (length(instagram) > 5)::int + 2 * (length(website) > 5)::int + (state <> '')::int + (city <> '')::int AS score FROM v""",
     "backfill_candidates": typed() + f"""SELECT venue_id, name FROM v WHERE status IN ('untouched', 'needs_review') AND website = '' AND state <> '' AND category <> '' AND NOT {BAD_CITY} ORDER BY upscale DESC, lower(name), _ord LIMIT 100""",
-    "candidate_prescore": """WITH t AS (SELECT p_partkey, p_size / 10 AS stars, floor(p_retailprice / 10) AS reviews, p_partkey % 5 AS price, p_partkey % 6 AS cat, p_partkey % 3 = 0 AS home FROM part)
-SELECT p_partkey, greatest(0, least(100, CASE cat WHEN 0 THEN 20 WHEN 1 THEN 30 WHEN 2 THEN 20 WHEN 4 THEN -60 ELSE 10 END + CASE WHEN home THEN 20 ELSE -10 END
- + CASE WHEN stars >= 4.5 THEN 20 WHEN stars >= 4.2 THEN 15 WHEN stars >= 4.0 THEN 10 WHEN stars >= 3.5 THEN 5 ELSE 0 END + CASE WHEN reviews >= 200 THEN 5 WHEN reviews >= 50 THEN 3 ELSE 0 END
- + CASE WHEN price >= 3 THEN 15 WHEN price = 2 THEN 10 WHEN price = 1 THEN -5 ELSE 0 END)) AS score,
- CASE price WHEN 4 THEN 5 WHEN 3 THEN 4 WHEN 2 THEN 3 WHEN 1 THEN 2 ELSE CASE WHEN stars >= 4.5 THEN 4 WHEN stars >= 4.0 THEN 3 ELSE 2 END END AS upscale FROM t""",
+    "candidate_prescore": """WITH t AS (SELECT p_partkey, p_size / 10 AS stars, floor(p_retailprice) AS reviews, p_partkey % 5 AS price, p_partkey % 6 AS cat, p_partkey % 3 <> 1 AS near, p_partkey % 7 = 0 AS sweet FROM part)
+SELECT p_partkey, greatest(0, least(100, CASE cat WHEN 0 THEN 20 WHEN 1 THEN 30 WHEN 2 THEN 20 WHEN 3 THEN 10 WHEN 4 THEN -60 ELSE 30 END + CASE WHEN near THEN 10 ELSE -50 END + CASE WHEN sweet THEN 10 ELSE 0 END
+ + CASE WHEN stars >= 4.7 THEN 20 WHEN stars >= 4.4 THEN 15 WHEN stars >= 4.0 THEN 10 WHEN stars >= 3.5 THEN 5 ELSE 0 END + CASE WHEN reviews > 1000 THEN 5 WHEN reviews > 500 THEN 3 ELSE 0 END
+ + CASE price WHEN 4 THEN 15 WHEN 3 THEN 10 WHEN 1 THEN -5 ELSE 0 END)) AS score,
+ greatest(CASE WHEN cat = 5 THEN 4 ELSE 0 END, CASE price WHEN 4 THEN 5 WHEN 3 THEN 4 WHEN 2 THEN 3 WHEN 1 THEN 2 ELSE CASE WHEN stars >= 4.7 THEN 4 WHEN stars >= 4.4 THEN 3 WHEN stars > 0 THEN 2 ELSE 3 END END) AS upscale FROM t""",
     "batch_funnel": typed(FUNNEL) + "SELECT venue_id, reason FROM w",
     "skip_reason_histogram": typed(FUNNEL) + "SELECT coalesce(reason, 'selected') AS reason, count(*) AS n FROM w GROUP BY 1",
     "batch_pool": typed(FUNNEL) + f"""SELECT venue_id, confidence, round(confidence * upscale, 6) AS composite, CASE state WHEN 'DC' THEN 0 WHEN 'VA' THEN 1 WHEN 'MD' THEN 2 WHEN 'DE' THEN 3 WHEN 'WV' THEN 4 WHEN 'PA' THEN 5 ELSE 9 END AS state_rank

@@ -157,11 +157,12 @@ def backfill_candidates(s, d):
 @query
 def candidate_prescore(s, d):
     """R5, R6 over parts as search cards: sizes as ratings, prices as reviews."""
-    p = table(s, d, "part").withColumns({"stars": F.col("p_size") / 10, "reviews": F.floor(F.col("p_retailprice") / 10), "price": F.col("p_partkey") % 5})
-    cat = F.element_at(F.array(*map(F.lit, ("restaurant", "winery", "hotel", "museum", "other", "spa"))), (F.col("p_partkey") % 6 + 1).cast("int"))
-    state = F.when(F.col("p_partkey") % 3 == 0, "MD").otherwise("NY")
+    p = table(s, d, "part").withColumns({"stars": F.col("p_size") / 10, "reviews": F.floor("p_retailprice"), "price": F.col("p_partkey") % 5})
+    cat = F.element_at(F.array(*map(F.lit, ("restaurant", "winery", "hotel", "museum", "other", "private_club"))), (F.col("p_partkey") % 6 + 1).cast("int"))
+    state, city = F.when(F.col("p_partkey") % 3 != 1, "MD").otherwise("NY"), F.when(F.col("p_partkey") % 7 == 0, "Easton").otherwise("Elkton")
     signs = F.repeat(F.lit("$"), F.col("price").cast("int"))
-    return p.select("p_partkey", scoring.prescore(cat, F.col("stars"), F.col("reviews"), F.col("price"), state).alias("score"), rules.price_level(signs, F.col("stars"), cat).alias("upscale"))
+    score = scoring.prescore(cat, F.col("stars"), F.col("reviews"), F.col("price"), state, city, {"winery": 1, "private_club": 1, "restaurant": 2, "hotel": 2, "museum": 3}, ("easton",))
+    return p.select("p_partkey", score.alias("score"), rules.price_level(signs, F.col("stars"), cat).alias("upscale"))
 
 
 @query
