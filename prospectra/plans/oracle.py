@@ -207,3 +207,33 @@ ORACLE_SQL["quality_issue_counts"] = f"SELECT issue, count(*) AS n FROM ({ORACLE
 ORACLE_SQL["step_summary"] = f"""WITH a AS ({ORACLE_SQL["step_audit"]}), s AS (SELECT complete, 'done' AS kind, unnest(string_split(done, ',')) AS step FROM a UNION ALL SELECT complete, 'failed', unnest(string_split(failed, ',')) FROM a
 UNION ALL SELECT complete, 'missing', unnest(string_split(missing, ',')) FROM a)
 SELECT step, count_if(kind = 'done') AS done, count_if(kind = 'failed') AS failed, count_if(kind = 'missing') AS missing FROM s WHERE step <> '' AND complete = (kind = 'done') GROUP BY 1"""
+
+T = "lower(title)"
+ORACLE_SQL |= {
+    "ranked_recommendations": typed(PLAYED, RECOMMENDED, f"""w AS (SELECT v.*, s.score FROM v JOIN s USING (venue_id)),
+y AS (SELECT *, lower(category) AS k, {likes("lower(name)", ("bistro", "steakhouse", "brasserie"))} AS fine, {likes("lower(name)", ("grand", "inn"))} AS lux, {likes("lower(name)", ("ridge", "estate"))} AS est, floor(upscale) AS up FROM w)""")
+    + f"""SELECT venue_id, CASE WHEN venue_vote = 'up' THEN 0 WHEN k = 'country_club' THEN 1 WHEN k = 'hotel' AND lux THEN 2 WHEN k = 'restaurant' AND fine THEN 3 WHEN k = 'winery' THEN 4 ELSE 9 END AS taste_rank, score FROM y
+ WHERE status NOT IN ('pipelined', 'contacted', 'needs_review') AND venue_vote <> 'down' AND NOT {likes("lower(name)", vocab.JUNK_NAMES)}
+ AND (venue_vote = 'up' OR k = 'country_club' OR (k = 'restaurant' AND up >= 4 AND fine) OR (k = 'hotel' AND (up >= 5 OR (up >= 4 AND lux))) OR (k = 'winery' AND up >= 4 AND est))""",
+    "contact_routes": typed() + f"""SELECT CASE WHEN {likes(T, vocab.BAD_TITLES)} THEN 'skip' WHEN contains(email, '@') THEN 'enrich' WHEN {likes(T, vocab.DECISION_WORDS)} THEN 'pending' ELSE 'none' END AS route,
+ CASE WHEN trim({T}) IN ('server', 'host', 'hostess', 'bartender', 'busser', 'cook', 'dishwasher') THEN 'SKIP' WHEN trim(title) = '' THEN 'LOG' ELSE 'ENRICH' END AS value, count(*) AS n FROM c GROUP BY 1, 2""",
+    "candidate_dispositions": typed("x AS (SELECT contact_id, lower(trim(email)) AS e, 'v' || (_ord % 5) || '.example.org' AS d FROM c WHERE _ord % 3 <> 0 AND email <> '')", "l AS (SELECT lower(email) AS e, min(verified) AS st FROM c WHERE _ord % 7 = 1 GROUP BY 1)",
+        "o AS (SELECT DISTINCT lower(email) AS e FROM c WHERE _ord % 3 = 0 AND verified <> 'deferred' AND email <> '')")
+    + f"""SELECT contact_id, CASE WHEN e IN (SELECT e FROM o) THEN 'known' WHEN e = 'ann.lee@v1.example.org' THEN 'owner' WHEN {" OR ".join(f"starts_with(e, '{p}')" for p in vocab.HARD_REJECT_MAIL)} THEN 'hard_reject' ELSE coalesce(st, 'unverified') END AS disposition,
+ ({" OR ".join(f"starts_with(e, '{p}')" for p in vocab.GENERIC_MAIL)}) AS generic,
+ split_part(e, '@', 2) <> '' AND split_part(e, '@', 2) NOT IN {names(vocab.FREE_MAIL)} AND split_part(e, '@', 2) <> d AND NOT contains(split_part(split_part(e, '@', 2), '.', 1), split_part(d, '.', 1)) AND NOT contains(split_part(d, '.', 1), split_part(split_part(e, '@', 2), '.', 1)) AS off_domain
+ FROM x LEFT JOIN l USING (e)""",
+    "resolved_ids": typed("h AS (SELECT *, regexp_replace(regexp_extract(lower(website), '^[a-z]+://([^/?#:]*)', 1), '^www\\.', '') AS host FROM v WHERE website <> '')")
+    + "SELECT a._ord, (SELECT b.venue_id FROM h b WHERE b.host = a.host ORDER BY b._ord LIMIT 1) AS venue_id FROM h a WHERE a._ord % 10 = 4",
+    "gig_distances": typed() + "SELECT g.gig_id, coalesce(g.distance_miles, v.distance_miles) AS distance_miles FROM g LEFT JOIN v USING (venue_id)",
+    "attached_titles": typed() + "SELECT contact_id, coalesce(nullif(title, ''), (SELECT min_by(p.title, p._ord) FROM c p WHERE p._ord % 2 = 1 AND p.title <> '' AND p.venue_id = c.venue_id AND lower(p.email) = lower(c.email))) AS full_title FROM c",
+    "venue_flags": typed("n AS (SELECT venue_id, count(*) AS n, count_if(verified = 'valid') AS ok, count_if(email = '') AS blank FROM c GROUP BY 1)")
+    + "SELECT venue_id, concat_ws('; ', CASE WHEN ok = 0 THEN 'none valid' END, CASE WHEN blank > 0 THEN 'blank mailbox' END, CASE WHEN n > 20 THEN 'many contacts' END) AS flags FROM n WHERE ok = 0 OR blank > 0 OR n > 20",
+    "report_totals": typed() + """SELECT count(DISTINCT venue_id) AS venues, count(*) AS contacts, count_if(verified = 'valid') AS valid,
+ (SELECT CAST(sum(u) AS bigint) FROM (SELECT max(CAST(floor(value) AS bigint)) AS u FROM events GROUP BY event_id % 40)) AS credits FROM c""",
+    "region_progress": typed("n AS (SELECT county AS region, city, bool_or(status = 'contacted') AS swept, count(*) AS n FROM v GROUP BY 1, 2)")
+    + "SELECT region, count_if(swept) AS swept, count(*) AS cities, CAST(sum(n) AS bigint) AS venues, CAST(floor(100.0 * count_if(swept) / count(*) + 0.5) AS bigint) AS percent FROM n GROUP BY ROLLUP (region)",
+    "channel_totals": typed() + "SELECT 'count_' || channel AS key, count(*) AS value FROM outreach WHERE channel <> '' GROUP BY 1",
+    "within_credits": """WITH e AS (SELECT user_id % 50 AS run_id, sum(floor(value)) OVER (PARTITION BY user_id % 50 ORDER BY event_id) - floor(value) AS used FROM events) SELECT run_id, count(*) AS n FROM e WHERE used < 300 GROUP BY 1""",
+    "log_sections": "SELECT conv_id, turn FROM conversations c WHERE turn > 0 AND turn <> 3 AND turn < coalesce((SELECT min(turn) FROM conversations d WHERE d.conv_id = c.conv_id AND turn = 3), 1000000000) AND EXISTS (SELECT 1 FROM conversations d WHERE d.conv_id = c.conv_id AND turn = 0)",
+}

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import rules, text
 from ..functions.coerce import number_or, number_or_null, round_half_up
-from ..operators import audit, crud, graph, scoring, selection
+from ..operators import audit, crud, graph, reports, scoring, screening, selection
 from ..operators import relational as rel
 from ..sources.projection import entity
 from ..streaming import events as streams
@@ -414,3 +414,86 @@ def ext_tumbling(s, d):
 def ext_session(s, d):
     e = table(s, d, "events").withColumn("ts", F.col("ts").cast("timestamp"))
     return streams.user_sessions(e, "2 hours").groupBy("user_id").agg(F.count("*").alias("n_sessions"), F.max("n").alias("longest"))
+
+
+SIGNALS = {"restaurant": ("bistro", "steakhouse", "brasserie"), "hotel": ("grand", "inn"), "wine_bar": ("wine",), "winery": ("ridge", "estate")}
+
+
+@query
+def ranked_recommendations(s, d):
+    """F12, F26, K9."""
+    recs = scoring.recommendations(venues(s, d), contacts(s, d), gigs(s, d)).select("venue_id", "score")
+    ranked = screening.ranked_recommendations(recs.join(venues(s, d), "venue_id"), SIGNALS)
+    return ranked.select("venue_id", "taste_rank", "score")
+
+
+@query
+def contact_routes(s, d):
+    """F13 to F16, X10."""
+    c = contacts(s, d)
+    route = screening.title_route("title", F.col("email").contains("@"))
+    return c.groupBy(route.alias("route"), screening.low_value("title").alias("value")).agg(F.count("*").alias("n"))
+
+
+@query
+def candidate_dispositions(s, d):
+    """Mailboxes of contacts as candidates, against a third of the contacts as those on file and a ledger."""
+    c = contacts(s, d)
+    found = c.where("_ord % 3 <> 0 and email <> ''").select("contact_id", "email", F.concat(F.lit("v"), F.expr("_ord % 5"), F.lit(".example.org")).alias("domain"))
+    ledger = c.where("_ord % 7 = 1").groupBy(F.lower("email").alias("email")).agg(F.min("verified").alias("status"))
+    out = screening.disposition(found, c.where("_ord % 3 = 0"), ledger, owners=("ann.lee@v1.example.org",))
+    return out.select("contact_id", "disposition", F.col("flags.generic").alias("generic"), F.col("flags.off_domain").alias("off_domain"))
+
+
+@query
+def resolved_ids(s, d):
+    """Every tenth venue is asked for by its website alone."""
+    asked = venues(s, d).where("_ord % 10 = 4 and website <> ''").select(F.concat(F.lit("?"), "venue_id").alias("venue_id"), "website", "_ord")
+    return screening.resolved_ids(asked, venues(s, d)).select("_ord", "venue_id")
+
+
+@query
+def gig_distances(s, d):
+    return screening.gig_distances(gigs(s, d), venues(s, d)).select("gig_id", "distance_miles")
+
+
+@query
+def attached_titles(s, d):
+    c = contacts(s, d)
+    return screening.attached_titles(c, c.where("_ord % 2 = 1").select("venue_id", "email", "title", "_ord")).select("contact_id", "full_title")
+
+
+@query
+def venue_flags(s, d):
+    return reports.venue_flags(contacts(s, d))
+
+
+@query
+def report_totals(s, d):
+    credits = table(s, d, "events").select((F.col("event_id") % 40).alias("run_id"), F.floor("value").alias("used"))
+    return reports.report_totals(contacts(s, d), credits)
+
+
+@query
+def region_progress(s, d):
+    v = venues(s, d).groupBy(F.col("county").alias("region"), "city").agg(F.bool_or(F.col("status") == "contacted").alias("swept"), F.count("*").alias("n_venues"))
+    return reports.region_progress(v)
+
+
+@query
+def channel_totals(s, d):
+    return reports.channel_totals(outreach(s, d))
+
+
+@query
+def within_credits(s, d):
+    """X3."""
+    e = table(s, d, "events").select((F.col("user_id") % 50).alias("run_id"), "event_id", F.floor("value").alias("cost"))
+    return screening.within_credits(e, "run_id", "event_id", "cost", 300).groupBy("run_id").agg(F.count("*").alias("n"))
+
+
+@query
+def log_sections(s, d):
+    """Lines between a first and a third turn."""
+    lines = table(s, d, "conversations").select("conv_id", "turn", F.concat(F.lit("turn "), "turn").alias("line"))
+    return reports.section(lines, "conv_id", "turn", "line", "^turn [0]$", "^turn 3$").select("conv_id", "turn")
