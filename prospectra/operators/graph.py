@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import emails, host, links, normalize_url, resolve, socials, url_class, url_score
+from ..sources.shared import cut
 
 
 def edges(pages: DataFrame) -> DataFrame:
@@ -22,12 +23,13 @@ def crawl(pages: DataFrame, seeds: DataFrame, depth: int = 3) -> DataFrame:
     Each level is one join of the last level with the links, less what is reached before. The reference order of a
     best-first budget couples all hosts and is not reproduced: every page within the depth is reached.
     """
-    links_ = edges(pages).where(host("src") == host("dst")).select("src", "dst").distinct()
-    reached = seeds.select(normalize_url("url", False).alias("url")).distinct().withColumn("depth", F.lit(0))
-    front = reached
+    links_ = cut(edges(pages).where(host("src") == host("dst")).select("src", "dst").distinct(), "links")
+    reached = front = cut(seeds.select(normalize_url("url", False).alias("url")).distinct().withColumn("depth", F.lit(0)), "front")
     for level in range(1, depth + 1):
         step = front.join(links_, front.url == links_.src).select(F.col("dst").alias("url")).distinct()
-        front = step.join(reached.select("url"), "url", "left_anti").withColumn("depth", F.lit(level))
+        front = cut(step.join(reached.select("url"), "url", "left_anti").withColumn("depth", F.lit(level)), "front")
+        if front.isEmpty():
+            break
         reached = reached.unionByName(front)
     return reached
 

@@ -171,7 +171,9 @@ def gig_overall(*ratings: str, on_insert: bool = True) -> Column:
 
 def word_counts(rows: DataFrame, words: Column, top: int = 30) -> DataFrame:
     """The most frequent words and in how many rows each occurs; ties by the word."""
-    counts = rows.select("_ord", F.explode(words).alias("word")).groupBy("word").agg(F.count("*").alias("n"), F.count_distinct("_ord").alias("n_rows"))
+    # Counts of a row's words combine first, so that the second exchange has a row a word and task.
+    once = rows.select("_ord", F.explode(words).alias("word")).groupBy("word", "_ord").agg(F.count("*").alias("c"))
+    counts = once.groupBy("word").agg(F.sum("c").alias("n"), F.count("*").alias("n_rows"))
     return counts.orderBy(F.desc("n"), "word").limit(top)
 
 

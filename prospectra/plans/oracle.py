@@ -237,3 +237,22 @@ y AS (SELECT *, lower(category) AS k, {likes("lower(name)", ("bistro", "steakhou
     "within_credits": """WITH e AS (SELECT user_id % 50 AS run_id, sum(floor(value)) OVER (PARTITION BY user_id % 50 ORDER BY event_id) - floor(value) AS used FROM events) SELECT run_id, count(*) AS n FROM e WHERE used < 300 GROUP BY 1""",
     "log_sections": "SELECT conv_id, turn FROM conversations c WHERE turn > 0 AND turn <> 3 AND turn < coalesce((SELECT min(turn) FROM conversations d WHERE d.conv_id = c.conv_id AND turn = 3), 1000000000) AND EXISTS (SELECT 1 FROM conversations d WHERE d.conv_id = c.conv_id AND turn = 0)",
 }
+
+#: Links of pages are relative to the host's root here, so their targets need no general resolution.
+LINKS = URL_PARTS + r""", l AS (SELECT plain AS src, unnest(regexp_extract_all(html, '(?i)<a\b[^>]*href=["'']([^"'']+)["'']', 1)) AS href, base FROM m JOIN n USING (page_id, url, html)),
+e AS (SELECT src, base || CASE rtrim(split_part(replace(href, '&amp;', '&'), '#', 1), '/') WHEN '' THEN '/' ELSE rtrim(split_part(replace(href, '&amp;', '&'), '#', 1), '/') END AS dst FROM l WHERE starts_with(href, '/'))"""
+ORACLE_SQL |= {
+    "emails_in_documents": f"""WITH e AS (SELECT DISTINCT doc_id, lower(unnest(regexp_extract_all(text, '(?i)[a-z0-9._%+-]+@[a-z0-9.-]+\\.[a-z]{{2,}}'))) AS email FROM documents),
+t AS (SELECT *, regexp_replace(email, '\\.+$', '') AS x FROM e)
+SELECT doc_id, email, NOT ({likes("email", vocab.JUNK_MAIL)} OR {" OR ".join(f"starts_with(x, '{p}')" for p in vocab.REJECTED_MAIL)} OR length(x) > 120) AS usable, ({" OR ".join(f"starts_with(email, '{p}')" for p in vocab.GENERIC_MAIL)}) AS generic FROM t""",
+    "website_fits": typed() + f"""SELECT venue_id, {FITS} AS fits, website = '' OR contains(website, 'facebook.com') AS blocked FROM v""",
+    "crawl_reachable": "WITH RECURSIVE " + LINKS + """, s AS (SELECT DISTINCT plain AS url FROM m WHERE page_id % 5 = 0),
+r AS (SELECT url, 0 AS depth FROM s UNION SELECT e.dst, r.depth + 1 FROM r JOIN e ON e.src = r.url WHERE r.depth < 3), f AS (SELECT url, min(depth) AS depth FROM r GROUP BY 1) SELECT depth, count(*) AS n FROM f GROUP BY 1""",
+}
+KEYWORD_RANK = "CASE " + " ".join(f"WHEN contains(replace(lower(dst), '_', '-'), '{w}') THEN {k}" for k, w in enumerate(vocab.PAGE_KEYWORDS)) + f" ELSE {len(vocab.PAGE_KEYWORDS)} + least(length(dst) // 40, 10) END"
+HOST = r"regexp_replace(regexp_extract(lower({}), '^[a-z]+://([^/?#:]*)', 1), '^www\.', '')"
+ORACLE_SQL |= {
+    "crawl_unvisited": "WITH " + LINKS + f" SELECT dst, count(DISTINCT src) AS n_sources, CASE WHEN regexp_matches(lower(dst), '\\.pdf$') THEN 'pdf' ELSE 'page' END AS kind, {KEYWORD_RANK} AS score FROM e WHERE dst NOT IN (SELECT plain FROM m) GROUP BY dst",
+    "host_coverage": "WITH " + LINKS + f""", p AS (SELECT {HOST.format("url")} AS host, count(*) AS n_pages FROM pages GROUP BY 1), k AS (SELECT {HOST.format("src")} AS host, count(*) AS n_links FROM e GROUP BY 1)
+SELECT host, n_pages, coalesce(n_links, 0) AS n_links, 0 AS n_fragments, 0 AS n_files FROM p LEFT JOIN k USING (host)""",
+}

@@ -289,7 +289,16 @@ def entity_provenance(s, d):
 
 @query
 def emails_in_documents(s, d):
-    return table(s, d, "documents").select("doc_id", F.explode(text.emails("text")).alias("email")).withColumn("generic", text.generic_email("email"))
+    """Every address in a text and whether it is usable."""
+    found = F.regexp_extract_all("text", F.lit(r"(?i)([A-Z0-9._%+\-]+@[A-Z0-9.\-]+\.[A-Z]{2,})"), 1)
+    rows = table(s, d, "documents").select("doc_id", F.explode(F.array_distinct(F.transform(found, F.lower))).alias("email"))
+    return rows.withColumns({"usable": text.clean_email("email").isNotNull(), "generic": text.generic_email("email")})
+
+
+@query
+def website_fits(s, d):
+    v = venues(s, d)
+    return v.select("venue_id", rules.website_fits("name", text.bare_domain("website")).alias("fits"), rules.blocked_domain("website").alias("blocked"))
 
 
 @query
