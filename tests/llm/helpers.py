@@ -18,7 +18,7 @@ def empty(spark):
 
 def texts(sf, table="documents"):
     t = pq.read_table(f"{sf}/{table}.parquet").to_pylist()
-    return [(r["doc_id"], r["text"] or "") for r in t]
+    return [(r.get("doc_id", r.get("item_id")), r["text"] or "") for r in t]
 
 
 def fold(text):
