@@ -69,22 +69,24 @@ def exact_groups(docs: DataFrame, keep: str = "largest", digest=digest_of) -> Da
     index = DigestIndex(spark, new_path(spark, "digests"))
     index.flush(keyed.select("digest", "id"))
     merged = index.compact()
-    members = index.level0().join(merged, "digest").select("digest", (F.col("id") * sign).alias("doc_id"), (F.col("first_id") * sign).alias("keep_id"), "members")
-    alone = members.where("members = 1").select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "digest")
+    first = (F.col("first_id") * sign).alias("keep_id")
+    alone = merged.where("members = 1").select(F.col("first_id") * sign, first, F.lit(1).cast("long"), F.lit(True), "digest").toDF("doc_id", "keep_id", "group_size", "kept", "digest")
 
-    # Hits: their texts against the kept text, of which every HITS_A_TASK members get a copy.
-    many = members.where("members > 1").distinct()
-    texts = many.join(keyed.select("digest", "doc_id", "text"), ["digest", "doc_id"])
+    # Hits: one join of texts with the digests that repeat. Both sides are sorted, so that a digest of many rows is split.
+    multi = merged.where("members > 1").select("digest", first, "members")
+    hits = materialize(keyed.join(multi.hint("merge"), "digest").select("digest", "doc_id", "keep_id", "members", "text"), "hits")
+    # Every HITS_A_TASK of them are verified against a copy of the kept text.
     parts = F.ceil(F.col("members") / HITS_A_TASK).cast("int")
-    leaders = texts.where("doc_id = keep_id").groupBy("digest").agg(F.max("text").alias("kept_text"), F.max(parts).alias("parts"))
+    leaders = hits.where("doc_id = keep_id").groupBy("digest").agg(F.max("text").alias("kept_text"), F.max(parts).alias("parts"))
     leaders = leaders.select("digest", "kept_text", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
-    hits = texts.withColumn("part", F.pmod(F.xxhash64("doc_id"), parts).cast("int"))
-    checked = materialize(hits.join(leaders, ["digest", "part"]).select("digest", "doc_id", "keep_id", (F.col("text") == F.col("kept_text")).alias("same"), F.when(F.col("text") != F.col("kept_text"), F.col("text")).alias("other")), "verified")
+    spread = hits.withColumn("part", F.pmod(F.xxhash64("doc_id"), parts).cast("int"))
+    same = F.col("text") == F.col("kept_text")
+    checked = materialize(spread.join(leaders, ["digest", "part"]).select("digest", "doc_id", "keep_id", "members", same.alias("same"), F.when(~same, F.col("text")).alias("other")), "verified")
 
-    sizes = checked.where("same").groupBy("digest").agg(F.count("*").alias("group_size"))
-    equal = checked.where("same").join(sizes, "digest").select("doc_id", "keep_id", "group_size", (F.col("doc_id") == F.col("keep_id")).alias("kept"), "digest")
-    # Same digest, other bytes: grouped by the bytes themselves.
+    # Same digest, other bytes (never seen with SHA-256): grouped by the bytes themselves.
     rest = checked.where("not same")
+    odd = rest.groupBy("digest").agg(F.count("*").alias("odd"))
+    equal = checked.where("same").join(odd, "digest", "left").select("doc_id", "keep_id", (F.col("members") - F.coalesce("odd", F.lit(0))).alias("group_size"), (F.col("doc_id") == F.col("keep_id")).alias("kept"), "digest")
     best = rest.groupBy("digest", "other").agg((F.min(F.col("doc_id") * sign) * sign).alias("keep_id"), F.count("*").alias("group_size"))
     apart = rest.drop("keep_id").join(best, ["digest", "other"]).select("doc_id", "keep_id", "group_size", (F.col("doc_id") == F.col("keep_id")).alias("kept"), "digest")
     return alone.unionByName(equal).unionByName(apart)
