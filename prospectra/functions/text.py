@@ -250,3 +250,55 @@ def header_key(c: Column | str) -> Column:
 def hms_seconds(c: Column | str) -> Column:
     part = lambda k: F.split_part(col(c), F.lit(":"), F.lit(k)).try_cast("int")
     return part(1) * 3600 + part(2) * 60 + part(3)
+
+
+def context_person(c: Column | str) -> Column:
+    """Name and title from the lines around a mailbox: the first two that are no address, number or heading."""
+    lines = F.transform(F.split(F.coalesce(col(c), F.lit("")), "\n"), F.trim)
+    odd = r"(?i)^[0-9(+]|^(CONTACT|MAIN PHONE|RECIPROCAL|CLUB MANAGEMENT|PLEASE)"
+    kept = F.filter(lines, lambda x: (x != "") & ~x.contains("@") & ~x.rlike(odd))
+    # Lines before a name are passed over if they are too short or long; the line after it is a title or there is none.
+    places = F.filter(F.sequence(F.lit(1), F.size(kept)), lambda i: F.length(F.get(kept, i - 1)).between(3, 49))
+    at = F.when(F.size(kept) > 0, F.try_element_at(places, F.lit(1)))
+    title = F.try_element_at(kept, at + 1)
+    return F.struct(F.coalesce(F.initcap(F.try_element_at(kept, at)), F.lit("")).alias("name"), F.coalesce(F.when(F.length(title).between(3, 79), F.initcap(title)), F.lit("")).alias("title"))
+
+
+QUERY_WORDS = ("luxury", "hotel", "fine", "dining", "restaurant", "french", "european", "historic", "bistro", "private", "club", "wine", "bar", "country", "winery", "yacht", "upscale", "italian", "boutique", "inn", "museum", "event", "space", "art", "gallery")
+
+
+def query_place(c: Column | str, states: tuple[str, ...] = ("DC", "MD", "VA", "PA", "DE", "WV")) -> Column:
+    """City and state of a search text: the words before the state that name no kind of venue."""
+    t = F.coalesce(col(c), F.lit(""))
+    any_state = "|".join(states)
+    state = F.regexp_extract(t, rf"\b({any_state})\b", 1)
+    before = F.regexp_replace(F.regexp_extract(t, rf"^(.*?)\b(?:{any_state})\b", 1), r"[\s,]+$", "")
+    words_ = F.filter(F.split(before, r"\s+"), lambda w: (w != "") & ~F.lower(w).isin(*QUERY_WORDS))
+    return F.struct(F.array_join(words_, " ").alias("city"), state.alias("state"))
+
+
+def notes_place(c: Column | str, compat: str = "fixed") -> Column:
+    """Capitalised words before a state in notes; `fixed` drops the words `in` and `at` before them, `ref` any leading characters of them."""
+    found = F.trim(F.regexp_extract(F.coalesce(col(c), F.lit("")), r"((?:in |at )?[A-Z][a-z]+(?:\s[A-Z][a-z]+)*,?\s*(?:VA|MD|DC|PA))", 1))
+    plain = F.regexp_replace(F.regexp_replace(found, "^[in ]+", ""), "^[at ]+", "") if compat == "ref" else F.regexp_replace(found, "^(in|at) ", "")
+    return F.nullif(plain, F.lit(""))
+
+
+def named_segments(c: Column | str, names: Column) -> Column:
+    """W-g: for each of the names, in their order, the part of a text from its first place to the next name's."""
+    t = col(c)
+    starts = F.transform(names, lambda n: F.instr(t, n))
+    end = lambda i: F.coalesce(F.array_min(F.filter(starts, lambda s: s > F.get(starts, i))), F.length(t) + 1)
+    return F.transform(names, lambda n, i: F.struct(n.alias("name"), F.when(F.get(starts, i) > 0, t.substr(F.get(starts, i), end(i) - F.get(starts, i))).alias("segment")))
+
+
+PAGE_ORDER = ("contact", "staff", "team", "wedding", "event", "banquet", "cater", "entertain", "music", "party", "book", "rental", "meeting", "corporate", "about", "press", "media")
+
+
+def subpage_rank(url: Column | str) -> Column:
+    """The place of the first keyword of a sub-page's address, or the number of keywords."""
+    out = None
+    for k, word in enumerate(PAGE_ORDER):
+        test = F.contains(F.lower(col(url)), F.lit(word))
+        out = F.when(test, k) if out is None else out.when(test, k)
+    return out.otherwise(len(PAGE_ORDER))

@@ -260,3 +260,38 @@ def gig_distances(gigs: DataFrame, venues: DataFrame) -> DataFrame:
     """A gig's distance from its venue where it has none."""
     known = venues.select("venue_id", F.col("distance_miles").alias("_d"))
     return gigs.join(known, "venue_id", "left").withColumn("distance_miles", F.coalesce("distance_miles", "_d")).drop("_d")
+
+
+def backfilled(candidates: DataFrame, pages: DataFrame) -> DataFrame:
+    """C10, trap 20: of the candidate addresses of each venue (venue_id, name, url, place), the first that fits by host or content among three, else the first.
+
+    `verified` tells the two apart.
+    """
+    ranked = candidates.withColumn("_rn", F.row_number().over(Window.partitionBy("venue_id").orderBy("place")))
+    seen = ranked.join(pages.select(F.col("url").alias("_u"), "html"), F.col("url") == F.col("_u"), "left")
+    base = F.regexp_replace(F.split_part(text.host("url"), F.lit("."), F.lit(1)), "[^a-z0-9]", "")
+    fits = F.exists(F.filter(text.words("name"), lambda w: F.length(w) >= 4), lambda w: F.contains(base, w)) | (F.col("html").isNotNull() & rules.content_matches("name", "html"))
+    good = (F.col("_rn") <= 3) & fits
+    best = seen.groupBy("venue_id").agg(F.min_by(F.struct("url", good.alias("verified")), F.struct((~good).alias("x"), "_rn")).alias("b"))
+    return best.select("venue_id", "b.url", "b.verified")
+
+
+def enrichment_names(contacts: DataFrame) -> DataFrame:
+    """The people whose mailbox is wanted, with first and last name apart."""
+    from .audit import pending_enrichment
+
+    parts = F.split(F.trim("name"), r"\s+", 2)
+    return pending_enrichment(contacts).select("contact_id", "venue_id", F.get(parts, F.lit(0)).alias("first"), F.coalesce(F.get(parts, F.lit(1)), F.lit("")).alias("last"))
+
+
+def promoted(statuses: DataFrame, checks: DataFrame) -> DataFrame:
+    """Venues in review become untouched where a later read shows the value that was written."""
+    good = checks.where("written = read_back").select("venue_id", F.lit(True).alias("_ok")).distinct()
+    rows = statuses.join(good, "venue_id", "left")
+    return rows.withColumn("status", F.when((F.col("status") == "needs_review") & F.col("_ok"), "untouched").otherwise(F.col("status"))).drop("_ok")
+
+
+def coverage(crawl: DataFrame, venues: DataFrame, at: str) -> DataFrame:
+    """Crawl counts by host with the venue they belong to."""
+    own = venues.where("website <> ''").select("venue_id", "name", text.host("website").alias("host"))
+    return crawl.join(own, "host").withColumn("collected_at", F.lit(at).cast("timestamp"))

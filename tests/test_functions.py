@@ -132,3 +132,23 @@ def test_matchers(spark):
     assert values(spark, rules.role_mailbox("x"), ["Info@a.example", "ann@a.example"]) == [True, False]
     assert values(spark, rules.title_relevant("x"), ["Events Manager", "Line Cook", None]) == [True, False, True]
     assert values(spark, rules.french("x"), ["Chez Paul", "Steak"]) == [True, False]
+
+
+def test_people_and_places(spark):
+    person = lambda t: tuple(values(spark, text.context_person("x"), [t])[0])
+    assert person("CONTACT US\n410 555 0100\nann lee\nevents manager\nann@v.example.org") == ("Ann Lee", "Events Manager")
+    assert person("A\n" + "x" * 60 + "\nBo Moss\nY\nlater") == ("Bo Moss", "")
+    assert person("ann@v.example.org") == ("", "") and person(None) == ("", "")
+    assert [tuple(r) for r in values(spark, text.query_place("x"), ["French restaurant Middleburg VA", "wine bar", "Luxury hotel St Michaels, MD now"])] == [("Middleburg", "VA"), ("", ""), ("St Michaels", "MD")]
+    assert values(spark, text.notes_place("x"), ["played in Easton, MD twice", "nothing"]) == ["Easton, MD", None]
+    assert values(spark, text.notes_place("x", "ref"), ["played in nowhere at Annapolis, MD"]) == ["Annapolis, MD"]
+    got = values(spark, text.named_segments("x", F.array(F.lit("Oak"), F.lit("Elm"), F.lit("Ash"))), ["1 Oak 4.5 Elm 3.0"])[0]
+    assert [tuple(s) for s in got] == [("Oak", "Oak 4.5 "), ("Elm", "Elm 3.0"), ("Ash", None)]
+    assert values(spark, text.subpage_rank("x"), ["https://a.example/Contact", "https://a.example/about", "https://a.example/zz"]) == [0, 14, 17]
+
+
+def test_more_rules(spark):
+    pair = "a string, b string"
+    assert values(spark, rules.category_of_id("a", "b"), [("MD-WINE-020", "X"), ("VA-REST-001", "Old Inn "), ("VA-ZZZZ-1", "X"), ("odd", "X")], pair) == ["winery", "hotel", "zzzz", None]
+    assert values(spark, rules.content_matches("a", "b"), [("Blue Ridge Winery", "<p>the blue ridge</p>"), ("Blue", "<b>red</b>")], pair) == [True, False]
+    assert values(spark, rules.title_mentions("a", "b"), [("Blue Inn", "Chef at Blue Inn"), ("Blue Inn", "Blue Harbor Inn, owner"), ("Blue (Inn", "x")], pair) == [True, True, False]
