@@ -74,14 +74,13 @@ def schedule(spark: SparkSession, classes: DataFrame, shards: int) -> DataFrame:
     return spark.createDataFrame(rows, "size long, upto array<long>")
 
 
-def numbered(df: DataFrame, by: list[str], order: list[Column], out: str) -> DataFrame:
-    """Adds `out`: 0, 1, 2, ... within each value of `by`, however many rows it has.
+def numbered(df: DataFrame, n_rows: int, by: list[str], order: list[Column], out: str) -> DataFrame:
+    """Adds `out` to the n_rows of df: 0, 1, 2, ... within each value of `by`, however many rows it has.
 
-    Each value is cut into blocks by hash, numbered inside, and shifted by the rows of the blocks before.
+    Each value is cut into blocks by hash, as many as all rows need, numbered inside, and shifted by the rows of the blocks before.
     """
-    counts = df.groupBy(*by).agg(F.count("*").alias("_all"))
-    blocked = df.join(counts, by).withColumn("_block", F.pmod(F.xxhash64(*order), F.ceil(F.col("_all") / BLOCK_ROWS)).cast("long")).drop("_all")
-    blocked = materialize(blocked, "blocks")
+    blocks = max(1, -(-n_rows // BLOCK_ROWS))
+    blocked = materialize(df.withColumn("_block", F.pmod(F.xxhash64(*order), F.lit(blocks)).cast("long")), "blocks")
     sizes = blocked.groupBy(*by, "_block").agg(F.count("*").alias("_n"))
     before = sizes.select(*by, "_block", (F.sum("_n").over(Window.partitionBy(*by).orderBy("_block")) - F.col("_n")).alias("_before"))
     inside = blocked.withColumn("_in", F.row_number().over(Window.partitionBy(*by, "_block").orderBy(*order)) - 1)
@@ -96,10 +95,10 @@ def shard_by_bytes(docs: DataFrame, shards: int = 40) -> DataFrame:
     groups = materialize(sized.groupBy("digest").agg(F.sum("row_size").alias("size")), "groups")
     classes = groups.groupBy("size").agg(F.count("*").alias("n_groups"))
     plan = schedule(sized.sparkSession, classes, shards)
-    placed = numbered(groups, ["size"], [F.col("digest")], "place").join(plan, "size")
+    placed = numbered(groups, groups.count(), ["size"], [F.col("digest")], "place").join(plan, "size")
     placed = placed.select("digest", F.size(F.filter("upto", lambda n: n <= F.col("place"))).alias("shard"))
     rows = sized.join(placed, "digest").select("doc_id", F.col("row_size").alias("size"), "text_crc32", "shard")
-    return numbered(rows, ["shard"], [F.col("doc_id"), F.col("text_crc32")], "slot")
+    return numbered(rows, sized.count(), ["shard"], [F.col("doc_id"), F.col("text_crc32")], "slot")
 
 
 def op8_sharding(docs: DataFrame) -> DataFrame:
