@@ -147,7 +147,9 @@ def line_classes(docs: DataFrame, shortest: int = SHORTEST) -> DataFrame:
     named = distinct.select("id", "id2", "first").join(tree.withColumnRenamed("node", "id"), "id", "left").join(degree, "id", "left")
     named = materialize(named.select("id", "id2", "first", "component", F.coalesce("links", F.lit(0).cast("long")).alias("links")), "classes")
     earliest = named.where("component is not null").groupBy("component").agg(F.min("first").alias("earliest"))
-    classes = named.join(earliest, "component", "left").select("id", "id2", "first", F.coalesce("earliest", "first").alias("earliest"), "links")
+    kept = ("id", "id2", "first")
+    lone = named.where("component is null").select(*kept, F.col("first").alias("earliest"), "links")
+    classes = named.where("component is not null").join(earliest, "component").select(*kept, "earliest", "links").unionByName(lone)
     found = rows.drop("halves").join(classes, ["id", "id2"])
     return found.select("doc_id", "line_no", F.col("earliest.doc_id").alias("first_doc"), F.col("earliest.line_no").alias("first_line"), (F.struct("doc_id", "line_no") != F.col("first")).alias("same"), "links")
 
