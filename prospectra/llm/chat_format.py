@@ -134,6 +134,3 @@ def op4_chat_format(conversations: DataFrame) -> DataFrame:
     said, loss = F.array_join("w.said", ""), F.array_join("w.loss", "")
     return whole.select("conv_id", F.col("n_turns").cast("long").alias("n_turns"), F.sha2(said.cast("binary"), 256).alias("turns_sha256"), F.length(loss).cast("long").alias("loss_chars"), F.sha2(loss.cast("binary"), 256).alias("loss_sha256"), F.col("formatted_chars").cast("long").alias("formatted_chars"))
 
-
-#: `formatted_chars` is fixed by the template and the windows, so the comparison goes without it.
-OP4_SQL = None
