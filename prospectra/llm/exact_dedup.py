@@ -83,12 +83,15 @@ def exact_groups(docs: DataFrame, keep: str = "largest", digest=digest_of) -> Da
     same = F.col("text") == F.col("kept_text")
     checked = materialize(spread.join(leaders, ["digest", "part"]).select("digest", "doc_id", "keep_id", "members", same.alias("same"), F.when(~same, F.col("text")).alias("other")), "verified")
 
-    # Same digest, other bytes (never seen with SHA-256): grouped by the bytes themselves.
+    kept = (F.col("doc_id") == F.col("keep_id")).alias("kept")
     rest = checked.where("not same")
+    if rest.isEmpty():  # always so with SHA-256
+        return alone.unionByName(checked.select("doc_id", "keep_id", F.col("members").alias("group_size"), kept, "digest"))
+    # Same digest, other bytes: grouped by the bytes themselves.
     odd = rest.groupBy("digest").agg(F.count("*").alias("odd"))
-    equal = checked.where("same").join(odd, "digest", "left").select("doc_id", "keep_id", (F.col("members") - F.coalesce("odd", F.lit(0))).alias("group_size"), (F.col("doc_id") == F.col("keep_id")).alias("kept"), "digest")
+    equal = checked.where("same").join(odd, "digest", "left").select("doc_id", "keep_id", (F.col("members") - F.coalesce("odd", F.lit(0))).alias("group_size"), kept, "digest")
     best = rest.groupBy("digest", "other").agg((F.min(F.col("doc_id") * sign) * sign).alias("keep_id"), F.count("*").alias("group_size"))
-    apart = rest.drop("keep_id").join(best, ["digest", "other"]).select("doc_id", "keep_id", "group_size", (F.col("doc_id") == F.col("keep_id")).alias("kept"), "digest")
+    apart = rest.drop("keep_id").join(best, ["digest", "other"]).select("doc_id", "keep_id", "group_size", kept, "digest")
     return alone.unionByName(equal).unionByName(apart)
 
 
