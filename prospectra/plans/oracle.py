@@ -26,7 +26,7 @@ def names(values) -> str:
 
 FLAGS = """f AS (SELECT venue_id, bool_or(channel IN ('contact_form', 'contact_form_skip')) AS contact_form_sent, bool_or(channel IN ('instagram', 'instagram_skip')) AS ig_dm_sent,
  bool_or(channel IN ('facebook', 'facebook_skip')) AS fb_msg_sent FROM outreach GROUP BY venue_id)"""
-COUNTS = """k AS (SELECT venue_id, count(*) AS n_contacts, count_if(verified IN ('valid', 'catch-all', 'unknown') AND email_sent = 'false') AS n_sendable, bool_or(verified = 'valid') AS has_valid FROM c GROUP BY venue_id)"""
+COUNTS = """k AS (SELECT venue_id, count(*) AS n_contacts, count(*) FILTER (WHERE verified IN ('valid', 'catch-all', 'unknown') AND email_sent = 'false') AS n_sendable, bool_or(verified = 'valid') AS has_valid FROM c GROUP BY venue_id)"""
 PLAYED = """p AS (SELECT * FROM v WHERE NOT EXISTS (SELECT 1 FROM g WHERE g.venue_id = v.venue_id)
  AND NOT EXISTS (SELECT 1 FROM g WHERE contains(lower(trim(v.name)), lower(trim(g.venue_name))) OR contains(lower(trim(g.venue_name)), lower(trim(v.name)))))"""
 ACTION = """a AS (SELECT p.*, coalesce(n_sendable, 0) AS n_sendable, length(instagram) > 5 AND NOT coalesce(ig_dm_sent, false) AS ig_pending, length(facebook) > 5 AND NOT coalesce(fb_msg_sent, false) AS fb_pending
@@ -116,14 +116,14 @@ def canonical() -> str:
 
 
 ORACLE_SQL: dict[str, str] = {
-    "breakdown_by_state": typed() + "SELECT CASE state WHEN '' THEN 'Unknown' ELSE state END AS state, count(*) AS total, count_if(status = 'contacted') AS contacted, count_if(status <> 'contacted') AS pending FROM v GROUP BY 1",
-    "breakdown_by_category": typed() + "SELECT CASE category WHEN '' THEN 'other' ELSE category END AS category, count(*) AS total, count_if(status = 'contacted') AS contacted, count_if(status <> 'contacted') AS pending FROM v GROUP BY 1",
+    "breakdown_by_state": typed() + "SELECT CASE state WHEN '' THEN 'Unknown' ELSE state END AS state, count(*) AS total, count(*) FILTER (WHERE status = 'contacted') AS contacted, count(*) FILTER (WHERE status <> 'contacted') AS pending FROM v GROUP BY 1",
+    "breakdown_by_category": typed() + "SELECT CASE category WHEN '' THEN 'other' ELSE category END AS category, count(*) AS total, count(*) FILTER (WHERE status = 'contacted') AS contacted, count(*) FILTER (WHERE status <> 'contacted') AS pending FROM v GROUP BY 1",
     "dashboard_stats": typed(FLAGS) + """SELECT *, emails_sent + ig_dms_sent + fb_msgs_sent AS total_outreach FROM
- (SELECT count(*) AS total_contacts, count_if(email_sent <> 'false') AS emails_sent, count_if(verified = 'valid' AND email_sent = 'false') AS pending_emails, count_if(verified = 'pending') AS pending_verify FROM c),
- (SELECT count(*) AS total_venues, count_if(ig_dm_sent) AS ig_dms_sent, count_if(fb_msg_sent) AS fb_msgs_sent FROM v LEFT JOIN f USING (venue_id))""",
+ (SELECT count(*) AS total_contacts, count(*) FILTER (WHERE email_sent <> 'false') AS emails_sent, count(*) FILTER (WHERE verified = 'valid' AND email_sent = 'false') AS pending_emails, count(*) FILTER (WHERE verified = 'pending') AS pending_verify FROM c),
+ (SELECT count(*) AS total_venues, count(*) FILTER (WHERE ig_dm_sent) AS ig_dms_sent, count(*) FILTER (WHERE fb_msg_sent) AS fb_msgs_sent FROM v LEFT JOIN f USING (venue_id))""",
     "outreach_by_channel": typed() + "SELECT CASE channel WHEN '' THEN 'unknown' ELSE channel END AS channel, count(*) AS n FROM outreach GROUP BY 1",
     "outreach_by_day": typed() + "SELECT strftime(sent_at, '%Y-%m-%d') AS day, count(*) AS n FROM outreach WHERE sent_at IS NOT NULL GROUP BY 1",
-    "outreach_week_to_date": typed() + """SELECT CASE channel WHEN 'instagram' THEN 'ig' WHEN 'facebook' THEN 'fb' ELSE 'email' END AS kind, count(*) AS weekly, count_if(sent_at >= timestamp '2024-01-24') AS daily
+    "outreach_week_to_date": typed() + """SELECT CASE channel WHEN 'instagram' THEN 'ig' WHEN 'facebook' THEN 'fb' ELSE 'email' END AS kind, count(*) AS weekly, count(*) FILTER (WHERE sent_at >= timestamp '2024-01-24') AS daily
  FROM outreach WHERE sent_at >= timestamp '2024-01-22' AND channel IN ('email', 'contact_form', 'instagram', 'facebook') GROUP BY 1""",
     "sent_flags": typed(FLAGS) + "SELECT * FROM f",
     "recent_outreach": typed() + "SELECT venue_id, channel, _ord FROM (SELECT * FROM outreach ORDER BY _ord DESC LIMIT 20) WHERE sent_at IS NOT NULL",
@@ -144,7 +144,7 @@ ORACLE_SQL: dict[str, str] = {
     "gig_category_scores": typed() + "SELECT lower(category) AS category, round(avg(overall), 6) AS cat_avg, count(*) AS cat_gigs FROM g GROUP BY 1",
     "recommendations": typed(PLAYED, RECOMMENDED) + "SELECT * EXCLUDE (_ord) FROM s",
     "recommendations_top": typed(PLAYED, RECOMMENDED) + "SELECT venue_id, score FROM s ORDER BY score DESC, _ord LIMIT 25",
-    "taste_report": typed(PLAYED, RECOMMENDED) + "SELECT count_if(taste_pts >= 15) AS tier1, count_if(taste_pts BETWEEN 5 AND 14) AS tier2, count_if(taste_pts BETWEEN -9 AND 4) AS tier3, count_if(taste_pts <= -10) AS tier4, count_if(location_pts > 0) AS location_matches FROM s",
+    "taste_report": typed(PLAYED, RECOMMENDED) + "SELECT count(*) FILTER (WHERE taste_pts >= 15) AS tier1, count(*) FILTER (WHERE taste_pts BETWEEN 5 AND 14) AS tier2, count(*) FILTER (WHERE taste_pts BETWEEN -9 AND 4) AS tier3, count(*) FILTER (WHERE taste_pts <= -10) AS tier4, count(*) FILTER (WHERE location_pts > 0) AS location_matches FROM s",
     "actionability": typed() + f"""SELECT venue_id, CASE WHEN lower(category) = 'country_club' THEN 35 WHEN lower(category) IN ('hotel', 'restaurant', 'winery', 'museum') THEN 15 ELSE 0 END + 8 * floor(upscale)
  + CASE WHEN {likes("lower(city)", vocab.SWEET_CITIES)} THEN 10 ELSE 0 END + CASE WHEN state = 'DC' THEN 10 ELSE 0 END + 3 * (length(instagram) > 5)::int + 2 * (length(website) > 5)::int + (state <> '')::int + (city <> '')::int AS score FROM v""",
     "backfill_candidates": typed() + f"""SELECT venue_id, name FROM v WHERE status IN ('untouched', 'needs_review') AND website = '' AND state <> '' AND category <> '' AND NOT {BAD_CITY} ORDER BY upscale DESC, lower(name), _ord LIMIT 100""",
@@ -163,7 +163,7 @@ SELECT p_partkey, greatest(0, least(100, CASE cat WHEN 0 THEN 20 WHEN 1 THEN 30
     "contact_duplicates": typed() + "SELECT contact_id, venue_id, first_ord FROM (SELECT *, min(_ord) OVER (PARTITION BY venue_id, lower(email)) AS first_ord FROM c) WHERE first_ord < _ord",
     "mailboxes_named_first": typed() + "SELECT lower(email) AS email, (list(contact_id ORDER BY (name = '')::int, _ord))[1] AS contact_id, count(*) AS n FROM c WHERE email <> '' GROUP BY 1",
     "renumber_duplicates": """WITH o AS (SELECT o_orderkey - CASE WHEN o_orderkey % 10 = 3 THEN 1 ELSE 0 END AS id, o_orderkey AS _ord FROM orders), r AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY _ord) AS nth FROM o)
-SELECT id, _ord, CASE WHEN nth = 1 THEN id ELSE (SELECT max(id) FROM o) + sum((nth > 1)::int) OVER (ORDER BY _ord) END AS new_id FROM r""",
+SELECT id, _ord, CAST(CASE WHEN nth = 1 THEN id ELSE (SELECT max(id) FROM o) + sum((nth > 1)::int) OVER (ORDER BY _ord) END AS bigint) AS new_id FROM r""",
     "keyword_profile": "WITH w AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) AS word FROM documents) SELECT word, count(*) AS n, count(DISTINCT doc_id) AS n_rows FROM w WHERE length(word) >= 4 GROUP BY 1 ORDER BY n DESC, word LIMIT 30",
     "url_normalized": "WITH " + URL_PARTS + r""" SELECT page_id, regexp_replace(regexp_extract(lower(url), '^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1), '^www\.', '') AS host,
  plain || CASE fragment WHEN '' THEN '' ELSE '#' || fragment END AS normal, plain, lower(regexp_extract(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1), '\.([^./]*)$', 1)) AS extension,
@@ -173,11 +173,11 @@ SELECT id, _ord, CASE WHEN nth = 1 THEN id ELSE (SELECT max(id) FROM o) + sum((n
     "step_audit": typed("""m AS (SELECT venue_id, list_filter(string_split(check_status, '|'), lambda x: NOT starts_with(x, 'CHECKED:')) AS parts FROM v WHERE status = 'pipelined')""", """t AS (SELECT venue_id, s.step, s.i, (SELECT split_part(p, ':', 2) FROM (SELECT unnest(parts) AS p) WHERE split_part(p, ':', 1) = s.step LIMIT 1) AS st
  FROM m, (VALUES ('website', 1), ('emails', 2), ('social', 3), ('form', 4), ('people', 5), ('location', 6)) s(step, i))""")
     + """SELECT venue_id, coalesce(string_agg(step, ',' ORDER BY i) FILTER (st IN ('DONE', 'SKIPPED')), '') AS done, coalesce(string_agg(step, ',' ORDER BY i) FILTER (st = 'FAILED'), '') AS failed,
- coalesce(string_agg(step, ',' ORDER BY i) FILTER (st IS NULL OR st NOT IN ('DONE', 'SKIPPED', 'FAILED')), '') AS missing, count_if(st IN ('DONE', 'SKIPPED')) = 6 AS complete FROM t GROUP BY 1""",
+ coalesce(string_agg(step, ',' ORDER BY i) FILTER (st IS NULL OR st NOT IN ('DONE', 'SKIPPED', 'FAILED')), '') AS missing, count(*) FILTER (WHERE st IN ('DONE', 'SKIPPED')) = 6 AS complete FROM t GROUP BY 1""",
     "pending_enrichment": typed() + "SELECT contact_id, venue_id FROM c WHERE name <> '' AND email IN ('', 'undefined')",
     "log_sessions": r"""WITH l AS (SELECT conv_id, turn, upper(role) || ': ' || regexp_replace(text, '\s+', ' ', 'g') AS line FROM conversations),
 h AS (SELECT *, regexp_extract(line, '^USER: (\S+)', 1) AS head, regexp_extract(line, '^ASSISTANT: (\S+)', 1) AS a, regexp_extract(line, '^SYSTEM: (\S+)', 1) AS b FROM l),
-s AS (SELECT *, count_if(head <> '') OVER (PARTITION BY conv_id ORDER BY turn) AS session FROM h)
+s AS (SELECT *, count(*) FILTER (WHERE head <> '') OVER (PARTITION BY conv_id ORDER BY turn) AS session FROM h)
 SELECT conv_id, session, max_by(head, turn) FILTER (head <> '') AS title, count(*) AS n_lines, min_by(a, turn) FILTER (a <> '') AS reply, min_by(b, turn) FILTER (b <> '') AS system FROM s WHERE session > 0 GROUP BY 1, 2""",
     "event_streaks": """WITH e AS (SELECT user_id, event_id, event_type, row_number() OVER (PARTITION BY user_id ORDER BY event_id) - row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id) AS k FROM events)
 SELECT user_id, min(event_id) AS from_ord, event_type AS value, count(*) AS length FROM e GROUP BY user_id, event_type, k HAVING count(*) >= 2""",
@@ -195,7 +195,7 @@ SELECT *, CASE WHEN run_used >= 200 THEN 'run_budget_reached' WHEN day_used >= 3
     "contact_rejects": typed() + f"""SELECT CASE WHEN email = '' THEN 'no mailbox' WHEN {" OR ".join(f"starts_with(lower(email), '{p}')" for p in (*vocab.REJECTED_MAIL, *vocab.GENERIC_MAIL))} THEN 'role mailbox' WHEN trim(name) = '' THEN 'no name' ELSE 'accepted' END AS reason, count(*) AS n FROM c GROUP BY 1""",
     "next_ids": typed("x AS (SELECT venue_id AS id FROM v UNION ALL SELECT contact_id FROM c)") + "SELECT regexp_extract(id, '^(.*?)[0-9]*$', 1) AS prefix, max(CAST(regexp_extract(id, '([0-9]+)$', 1) AS bigint)) AS top FROM x GROUP BY 1",
     "taste_query_plan": "SELECT k || ' in ' || n_name AS q FROM (VALUES ('winery'), ('hotel'), ('museum')) t(k), nation WHERE lower(k || ' in ' || n_name) NOT IN (SELECT 'winery in nation_' || r_regionkey FROM region)",
-    "ext_rollup_region": typed() + "SELECT county, state, count(*) AS n, count_if(status = 'contacted') AS contacted FROM v GROUP BY ROLLUP (county, state)",
+    "ext_rollup_region": typed() + "SELECT county, state, count(*) AS n, count(*) FILTER (WHERE status = 'contacted') AS contacted FROM v GROUP BY ROLLUP (county, state)",
     "ext_outreach_grouping_sets": typed() + "SELECT channel, strftime(sent_at, '%Y-%m-%d') AS day, count(*) AS n FROM outreach WHERE sent_at IS NOT NULL GROUP BY GROUPING SETS ((channel), (strftime(sent_at, '%Y-%m-%d')))",
     "ext_tumbling": "SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M') AS start, event_type, count(*) AS n, CAST(sum(CAST(value AS decimal(18,4))) AS double) AS total FROM events GROUP BY 1, 2",
     "ext_session": """WITH e AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) <= INTERVAL 2 HOUR THEN 0 ELSE 1 END AS opens FROM events), s AS (SELECT user_id, sum(opens) OVER (PARTITION BY user_id ORDER BY ts) AS k FROM e),
@@ -206,7 +206,7 @@ UNION ALL SELECT venue_id, 'website_directory' FROM x WHERE contains(website, 'f
 ORACLE_SQL["quality_issue_counts"] = f"SELECT issue, count(*) AS n FROM ({ORACLE_SQL['quality_issues']}) GROUP BY 1"
 ORACLE_SQL["step_summary"] = f"""WITH a AS ({ORACLE_SQL["step_audit"]}), s AS (SELECT complete, 'done' AS kind, unnest(string_split(done, ',')) AS step FROM a UNION ALL SELECT complete, 'failed', unnest(string_split(failed, ',')) FROM a
 UNION ALL SELECT complete, 'missing', unnest(string_split(missing, ',')) FROM a)
-SELECT step, count_if(kind = 'done') AS done, count_if(kind = 'failed') AS failed, count_if(kind = 'missing') AS missing FROM s WHERE step <> '' AND complete = (kind = 'done') GROUP BY 1"""
+SELECT step, count(*) FILTER (WHERE kind = 'done') AS done, count(*) FILTER (WHERE kind = 'failed') AS failed, count(*) FILTER (WHERE kind = 'missing') AS missing FROM s WHERE step <> '' AND complete = (kind = 'done') GROUP BY 1"""
 
 T = "lower(title)"
 ORACLE_SQL |= {
@@ -227,12 +227,12 @@ y AS (SELECT *, lower(category) AS k, {likes("lower(name)", ("bistro", "steakhou
     + "SELECT a._ord, (SELECT b.venue_id FROM h b WHERE b.host = a.host ORDER BY b._ord LIMIT 1) AS venue_id FROM h a WHERE a._ord % 10 = 4",
     "gig_distances": typed() + "SELECT g.gig_id, coalesce(g.distance_miles, v.distance_miles) AS distance_miles FROM g LEFT JOIN v USING (venue_id)",
     "attached_titles": typed() + "SELECT contact_id, coalesce(nullif(title, ''), (SELECT min_by(p.title, p._ord) FROM c p WHERE p._ord % 2 = 1 AND p.title <> '' AND p.venue_id = c.venue_id AND lower(p.email) = lower(c.email))) AS full_title FROM c",
-    "venue_flags": typed("n AS (SELECT venue_id, count(*) AS n, count_if(verified = 'valid') AS ok, count_if(email = '') AS blank FROM c GROUP BY 1)")
+    "venue_flags": typed("n AS (SELECT venue_id, count(*) AS n, count(*) FILTER (WHERE verified = 'valid') AS ok, count(*) FILTER (WHERE email = '') AS blank FROM c GROUP BY 1)")
     + "SELECT venue_id, concat_ws('; ', CASE WHEN ok = 0 THEN 'none valid' END, CASE WHEN blank > 0 THEN 'blank mailbox' END, CASE WHEN n > 20 THEN 'many contacts' END) AS flags FROM n WHERE ok = 0 OR blank > 0 OR n > 20",
-    "report_totals": typed() + """SELECT count(DISTINCT venue_id) AS venues, count(*) AS contacts, count_if(verified = 'valid') AS valid,
+    "report_totals": typed() + """SELECT count(DISTINCT venue_id) AS venues, count(*) AS contacts, count(*) FILTER (WHERE verified = 'valid') AS valid,
  (SELECT CAST(sum(u) AS bigint) FROM (SELECT max(CAST(floor(value) AS bigint)) AS u FROM events GROUP BY event_id % 40)) AS credits FROM c""",
     "region_progress": typed("n AS (SELECT county AS region, city, bool_or(status = 'contacted') AS swept, count(*) AS n FROM v GROUP BY 1, 2)")
-    + "SELECT region, count_if(swept) AS swept, count(*) AS cities, CAST(sum(n) AS bigint) AS venues, CAST(floor(100.0 * count_if(swept) / count(*) + 0.5) AS bigint) AS percent FROM n GROUP BY ROLLUP (region)",
+    + "SELECT region, count(*) FILTER (WHERE swept) AS swept, count(*) AS cities, CAST(sum(n) AS bigint) AS venues, CAST(floor(100.0 * count(*) FILTER (WHERE swept) / count(*) + 0.5) AS bigint) AS percent FROM n GROUP BY ROLLUP (region)",
     "channel_totals": typed() + "SELECT 'count_' || channel AS key, count(*) AS value FROM outreach WHERE channel <> '' GROUP BY 1",
     "within_credits": """WITH e AS (SELECT user_id % 50 AS run_id, sum(floor(value)) OVER (PARTITION BY user_id % 50 ORDER BY event_id) - floor(value) AS used FROM events) SELECT run_id, count(*) AS n FROM e WHERE used < 300 GROUP BY 1""",
     "log_sections": "SELECT conv_id, turn FROM conversations c WHERE turn > 0 AND turn <> 3 AND turn < coalesce((SELECT min(turn) FROM conversations d WHERE d.conv_id = c.conv_id AND turn = 3), 1000000000) AND EXISTS (SELECT 1 FROM conversations d WHERE d.conv_id = c.conv_id AND turn = 0)",
