@@ -169,6 +169,27 @@ def dedup_lines(docs: DataFrame, shortest: int = SHORTEST) -> DataFrame:
 
 
 def op6_line_dedup(docs: DataFrame) -> DataFrame:
-    """One row a document, those without lines too."""
+    """One row a document, those without lines too; dropped line numbers are joined by commas."""
     every = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
-    return every.join(dropped_lines(docs), "doc_id", "left").select("doc_id", *(F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("n_lines", "n_equal", "n_near", "n_links")), F.coalesce("dropped", F.array().cast("array<int>")).alias("dropped"))
+    rows = every.join(dropped_lines(docs), "doc_id", "left")
+    counts = (F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("n_lines", "n_equal", "n_near", "n_links"))
+    return rows.select("doc_id", *counts, F.coalesce(F.array_join("dropped", ","), F.lit("")).alias("dropped"))
+
+
+OP6_SQL = r"""
+WITH RECURSIVE d AS (SELECT doc_id, string_split(text, chr(10)) AS t FROM documents WHERE text IS NOT NULL),
+o AS (SELECT doc_id, i - 1 AS line_no, trim(regexp_replace(t[i], '[\t\r]', ' ', 'g'), ' ') AS line FROM (SELECT doc_id, t, unnest(range(1, len(t) + 1)) AS i FROM d)),
+k AS (SELECT * FROM o WHERE line <> ''),
+f AS (SELECT line, min({'d': doc_id, 'l': line_no}) AS first FROM k GROUP BY 1),
+u AS (SELECT line, first, row_number() OVER (ORDER BY first) AS id FROM f),
+v AS (SELECT id, i, substr(line, 1, i - 1) || substr(line, i + 1) AS cut FROM (SELECT id, line, unnest(range(1, length(line) + 1)) AS i FROM u WHERE length(line) >= 20)),
+s AS (SELECT x.id AS a, y.id AS b FROM v x JOIN v y ON x.i = y.i AND x.cut = y.cut AND x.id < y.id UNION SELECT least(v.id, u.id), greatest(v.id, u.id) FROM v JOIN u ON v.cut = u.line AND length(u.line) >= 20),
+e AS (SELECT a, b FROM s UNION ALL SELECT b, a FROM s),
+g AS (SELECT a AS id, count(*) AS links FROM e GROUP BY 1),
+r AS (SELECT id, id AS c FROM u UNION SELECT e.b, r.c FROM r JOIN e ON e.a = r.id WHERE r.c < e.b),
+m AS (SELECT id, min(c) AS c FROM r GROUP BY 1),
+n AS (SELECT k.doc_id, k.line_no, coalesce(links, 0) AS links, own.first = {'d': k.doc_id, 'l': k.line_no} AS is_first, best.first <> {'d': k.doc_id, 'l': k.line_no} AS gone
+ FROM k JOIN u own USING (line) JOIN m USING (id) JOIN u best ON best.id = m.c LEFT JOIN g ON g.id = own.id),
+q AS (SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone AND NOT is_first) AS n_equal, count(*) FILTER (WHERE gone AND is_first) AS n_near, CAST(sum(links) AS bigint) AS n_links, string_agg(CAST(line_no AS varchar), ',' ORDER BY line_no) FILTER (gone) AS dropped FROM n GROUP BY 1)
+SELECT doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_equal, 0) AS n_equal, coalesce(n_near, 0) AS n_near, coalesce(n_links, 0) AS n_links, coalesce(dropped, '') AS dropped FROM (SELECT DISTINCT doc_id FROM documents) LEFT JOIN q USING (doc_id)
+"""

@@ -28,4 +28,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_decontamination": over("documents", "benchmark", decontamination.op9_decontamination),
 }
 
-ORACLE_SQL: dict[str, str] = {"op5_exact_dedup": exact_dedup.OP5_SQL, "op10_minhash_near_dedup": hyperminhash.OP10_SQL}
+ORACLE_SQL: dict[str, str] = {"op5_exact_dedup": exact_dedup.OP5_SQL, "op6_line_dedup": line_dedup.OP6_SQL, "op10_minhash_near_dedup": hyperminhash.OP10_SQL}
