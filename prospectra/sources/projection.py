@@ -36,7 +36,7 @@ VENUES = {
     "status": pick("c_custkey", "untouched", "pipelined", "contacted", "needs_review", "closed", "pipelined", "untouched"),
     "distance_miles": "CASE WHEN c_custkey % 13 = 0 THEN NULL ELSE round(abs(c_acctbal) / 50, 1) END",
     "venue_vote": pick("c_custkey", "up", "down", "", "", "", "", "", "", "", ""),
-    "check_status": "concat('website:DONE|emails:', CASE c_custkey % 4 WHEN 0 THEN 'DONE:3 found' WHEN 1 THEN 'FAILED:x:y' WHEN 2 THEN 'apollo:3' ELSE 'SKIPPED' END, '|CHECKED:old', CASE WHEN c_custkey % 3 = 0 THEN '|social:DONE|form:DONE|people:DONE|location:DONE' ELSE '|social:DONE' END)",
+    "check_status": "concat('website:DONE|emails:', CASE c_custkey % 4 WHEN 0 THEN 'DONE:3 found' WHEN 1 THEN 'FAILED:x:y' WHEN 2 THEN 'vendor:3' ELSE 'SKIPPED' END, '|CHECKED:old', CASE WHEN c_custkey % 3 = 0 THEN '|social:DONE|form:DONE|people:DONE|location:DONE' ELSE '|social:DONE' END)",
     "_ord": "c_custkey",
 }
 CONTACTS = {
