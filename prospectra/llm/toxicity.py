@@ -162,6 +162,11 @@ def logistic(keys: np.ndarray, size: np.ndarray, y: np.ndarray, ratio: np.ndarra
     return out, float(bias)
 
 
+def chances(texts: list[str], w: np.ndarray, useful: np.ndarray, bias: float) -> np.ndarray:
+    row, key = features(texts, useful)
+    return 1 / (1 + np.exp(-np.clip(np.bincount(row, w[key], len(texts)) + bias, -40, 40)))
+
+
 def scores(docs: DataFrame, weights: np.ndarray, bias: float) -> DataFrame:
     """doc_id, score of each row of docs (doc_id, text). The model has a fixed size and goes with the tasks."""
     sent = docs.sparkSession.sparkContext.broadcast(weights)
@@ -171,9 +176,7 @@ def scores(docs: DataFrame, weights: np.ndarray, bias: float) -> DataFrame:
         useful = np.abs(w) > 1e-4
         for batch in batches:
             for part, texts in _texts(batch, 1):
-                row, key = features(texts, useful)
-                z = np.bincount(row, w[key], part.num_rows) + bias
-                yield pa.record_batch([part.column(0), pa.array(1 / (1 + np.exp(-np.clip(z, -40, 40))))], names=["doc_id", "score"])
+                yield pa.record_batch([part.column(0), pa.array(chances(texts, w, useful, bias))], names=["doc_id", "score"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, score double")
 
@@ -193,7 +196,15 @@ def op2_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """docs without those whose score reaches the threshold; all columns are kept."""
+    """docs without those whose score reaches the threshold; all columns are kept, and no row is moved."""
     weights, bias = fit(docs, training_labels(labels))
-    rejected = scores(docs, weights, bias).where(F.col("score") >= threshold).select("doc_id")
-    return docs.join(rejected, "doc_id", "left_anti")
+    sent, at = docs.sparkSession.sparkContext.broadcast(weights), docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        w = sent.value
+        useful = np.abs(w) > 1e-4
+        for batch in batches:
+            for part, texts in _texts(batch, at):
+                yield part.filter(pa.array(chances(texts, w, useful, bias) < threshold))
+
+    return docs.mapInArrow(run, docs.schema)
