@@ -180,20 +180,31 @@ def matches(words: Words, items: Items, share: float, least: int) -> list[tuple[
     return out
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, rare: float = RARE, share: float = SHARE, words: int = WORDS) -> DataFrame:
-    """doc_id, item_id, score, item_words, from_word, to_word of each passage of docs that copies or edits an item."""
-    texts = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), bare("text").alias("text")).select("doc_id", binary_text())
+def prepared(docs: DataFrame, benchmark: DataFrame, rare: float) -> Iterator[Items]:
+    """The test items in blocks, with their seeds among docs (doc_id, text)."""
+    texts = bared(docs)
     tests = benchmark.where("item_id is not null and text is not null").select(F.col("item_id").cast("long").alias("item_id"), bare("text").alias("text")).select("item_id", binary_text())
     n_docs, total = texts.count(), tests.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-total // (4 * BLOCK_WORDS)))
-    schema = "doc_id long, item_id long, score int, item_words int, from_word int, to_word int"
-    results = []
     for block in range(blocks):
         rows = tests.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).collect()  # bounded by BLOCK_WORDS
         items = Items([(r.item_id, bytes(r.text)) for r in rows])
-        if not len(items.key):
-            continue
-        items.only(seeds_of(items, document_counts(texts, items), n_docs, rare))
+        if len(items.key):
+            items.only(seeds_of(items, document_counts(texts, items), n_docs, rare))
+            yield items
+
+
+def bared(docs: DataFrame) -> DataFrame:
+    return docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), bare("text").alias("text")).select("doc_id", binary_text())
+
+
+SCHEMA = "doc_id long, item_id long, score int, item_words int, from_word int, to_word int"
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame, rare: float = RARE, share: float = SHARE, words: int = WORDS) -> DataFrame:
+    """doc_id, item_id, score, item_words, from_word, to_word of each passage of docs that copies or edits an item."""
+    results = []
+    for items in prepared(docs, benchmark, rare):
         sent = docs.sparkSession.sparkContext.broadcast(items)
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
@@ -205,18 +216,33 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, rare: float = RARE, shar
                     columns = [[ids[lo + r].as_py() for r, *_ in part], [items.ids[i] for _, i, *_ in part], [s for _, _, s, *_ in part], [len(items.words[i]) for _, i, *_ in part], [a for *_, a, _ in part], [b for *_, b in part]]
                     yield pa.record_batch([pa.array(c, pa.int64() if k < 2 else pa.int32()) for k, c in enumerate(columns)], names=["doc_id", "item_id", "score", "item_words", "from_word", "to_word"])
 
-        results.append(texts.mapInArrow(run, schema))
+        results.append(bared(docs).mapInArrow(run, SCHEMA))
     if not results:
-        return docs.sparkSession.createDataFrame([], schema)
+        return docs.sparkSession.createDataFrame([], SCHEMA)
     every = reduce(DataFrame.unionByName, results)
     # The best passage of a document and item; ties: the first.
     best = F.max(F.struct("score", (-F.col("from_word")).alias("x"), "item_words", "to_word")).alias("m")
     return every.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "m.score", "m.item_words", (-F.col("m.x")).alias("from_word"), "m.to_word")
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """docs without those that hold a passage of the benchmark; all columns are kept."""
-    return docs.join(contaminated(docs, benchmark).select("doc_id").distinct(), "doc_id", "left_anti")
+def decontaminate(docs: DataFrame, benchmark: DataFrame, rare: float = RARE, share: float = SHARE, words: int = WORDS) -> DataFrame:
+    """docs without those that hold a passage of the benchmark; all columns are kept, and no row is moved."""
+    out = docs
+    for items in prepared(docs, benchmark, rare):
+        sent = docs.sparkSession.sparkContext.broadcast(items)
+
+        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+            items = sent.value
+            for batch in batches:
+                text, rest = batch.column(batch.num_columns - 1), batch.select(batch.schema.names[:-1])
+                for lo, hi in slices(text):
+                    hit = {r for r, *_ in matches(Words(text.slice(lo, hi - lo)), items, share, words)}
+                    yield rest.slice(lo, hi - lo).filter(pa.array([k not in hit for k in range(hi - lo)]))
+
+        # The last column is the text to compare; rows without a doc_id stay whatever they hold.
+        text = F.when(F.col("doc_id").isNotNull(), bare("text"))
+        out = out.withColumn("_bare_text", F.coalesce(text.cast("binary"), F.lit(b""))).mapInArrow(run, docs.schema)
+    return out
 
 
 def op9_decontamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
