@@ -1,12 +1,12 @@
 """Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment of words.
 
-Words are compared without case and without punctuation at their ends. One scan
-counts in how many documents each n-gram of the test items occurs; an item's seeds
-are its n-grams found in at most `rare` of the documents (or FEW_DOCS), and always the KEEP
-rarest ones that occur at all. A second scan joins documents with items by seeds; each seed fixes a diagonal,
-and the words around it are aligned with the item (match 1, mismatch and gap -1).
+Words are compared without case and without punctuation at their ends. All n-grams
+of an item are its seeds, however many documents hold them. A scan joins documents
+with items by seeds; each seed fixes a diagonal, and the words around it are aligned
+with the item (match 1, mismatch and gap -1).
 A pair is reported if the score reaches `share` of the item's words or `words`.
-Before aligning, the words that the passage and the item share bound the score.
+Before aligning, two bounds decide: no run of words of a passage, or of an item, scores
+more than its words that the other has less those that the other lacks.
 
 Test items are read in blocks of BLOCK_WORDS words, so that what goes to every task
 is bounded; each block scans the documents. Documents are not shuffled, a document
@@ -30,9 +30,12 @@ from pyspark.sql import functions as F
 
 from .common import Words, binary_text, mix, slices
 
-WIDTH, KEEP = 3, 8
+WIDTH = 3
 BLOCK_WORDS = 400_000
-RARE, FEW_DOCS, SHARE, WORDS = 1e-3, 64, 0.4, 32
+SHARE, WORDS = 0.4, 32
+#: Seeds found, or words of passages, in one numpy pass.
+PASS = 1 << 21
+SCREEN_BITS = 24
 
 
 def bare(text: str) -> Column:
@@ -94,9 +97,15 @@ class Items:
                 width += [size] * len(at)
         self.item, self.place, self.width = np.array(item, np.int64), np.array(place, np.int64), np.array(width, np.int64)
         self.key = np.array(key, np.uint64)
+        self.size = np.array([len(w) for w in self.words], np.int64)
+        self.order = np.argsort(self.key, kind="stable")
+        self.screen = np.zeros(1 << SCREEN_BITS if len(words.hash) else 1, bool)
+        self.screen[belongs(words.doc, words.hash)] = True
 
-    def only(self, seeds: np.ndarray) -> None:
-        self.item, self.place, self.width, self.key = self.item[seeds], self.place[seeds], self.width[seeds], self.key[seeds]
+
+def belongs(item: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """Where the screen has whether an item holds a word; what shares a place by chance only loosens the bound."""
+    return (mix(word + (item.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - SCREEN_BITS)).astype(np.int64)
 
 
 def found(words: Words, keys: np.ndarray, widths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -115,82 +124,80 @@ def found(words: Words, keys: np.ndarray, widths: np.ndarray) -> tuple[np.ndarra
     return np.concatenate(spots), np.concatenate(hits)
 
 
-def document_counts(docs: DataFrame, items: Items) -> dict[int, int]:
-    """In how many documents each n-gram of the items occurs; summed by tasks, then by n-gram."""
-    keys, widths = np.unique(items.key), np.unique(items.width)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(len(keys), np.int64)
-        for batch in batches:
-            for lo, hi in slices(batch.column(1)):
-                words = Words(batch.column(1).slice(lo, hi - lo))
-                at, h = found(words, keys, widths)
-                once = np.unique(np.stack([words.doc[at].astype(np.uint64), h]), axis=1)
-                np.add.at(total, np.searchsorted(keys, once[1]), 1)
-        some = np.flatnonzero(total)
-        yield pa.record_batch([pa.array(keys[some].view(np.int64)), pa.array(total[some])], names=["key", "n"])
-
-    rows = docs.mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-    return {r.key & 0xFFFFFFFFFFFFFFFF: r.n for r in rows.toLocalIterator()}  # at most the n-grams of a block
+def best_runs(hit: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """The largest sum of a run in each segment of hit, where True counts 1 and False -1."""
+    size = np.diff(np.append(start, len(hit)))
+    total = np.cumsum(np.where(hit, 1, -1))
+    # Each segment lies lower than all before it, so that a running minimum begins anew.
+    drop = np.repeat(np.arange(len(start)) * (2 * int(size.max()) + 2) + np.append(0, total)[start], size)
+    before = np.append(0, total[:-1]) - drop
+    return np.maximum.reduceat(total - drop - np.minimum.accumulate(before), start)
 
 
-def seeds_of(items: Items, counts: dict[int, int], n_docs: int, rare: float) -> np.ndarray:
-    seen = np.array([counts.get(int(k), 0) for k in items.key], np.int64)
-    seed = seen <= max(rare * n_docs, FEW_DOCS)
-    # What no document has cannot be a seed; it comes last, so that the KEEP rarest are found somewhere.
-    order = np.lexsort((items.place, np.where(seen == 0, np.iinfo(np.int64).max, seen), items.item))
-    first = np.searchsorted(items.item[order], items.item[order], "left")
-    rank = np.empty(len(order), np.int64)
-    rank[order] = np.arange(len(order)) - first
-    return seed | (rank < KEEP)
+def pieces(size: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Ranges [from, to) of elements whose sizes add up to PASS or little more."""
+    total = np.cumsum(size)
+    cut = np.searchsorted(total, np.arange(PASS, (total[-1] if len(total) else 0) + PASS, PASS), "left") + 1
+    ends = np.unique(np.minimum(cut, len(size)))
+    yield from zip([0, *ends[:-1].tolist()], ends.tolist(), strict=False)
 
 
 def matches(words: Words, items: Items, share: float, least: int) -> list[tuple[int, int, int, int, int]]:
     """row, item, score, first and last word (within the row) of each pair that reaches the threshold."""
-    order = np.argsort(items.key, kind="stable")
-    keys = items.key[order]
+    keys = items.key[items.order]
     at, h = found(words, np.unique(keys), np.unique(items.width))
     if not len(at):
         return []
+    by_row = np.argsort(words.doc[at], kind="stable")
+    at, h = at[by_row], h[by_row]
     low, high = np.searchsorted(keys, h, "left"), np.searchsorted(keys, h, "right")
+    begin = np.flatnonzero(np.append(True, words.doc[at[1:]] != words.doc[at[:-1]]))
+    begin_of, out = np.searchsorted(words.doc, np.arange(words.n + 1)), []
+    for a, b in pieces(np.add.reduceat(high - low, begin)):
+        lo, hi = begin[a], begin[b] if b < len(begin) else len(at)
+        out += aligned(words, items, begin_of, at[lo:hi], low[lo:hi], high[lo:hi], share, least)
+    return out
+
+
+def aligned(words: Words, items: Items, begin_of: np.ndarray, at: np.ndarray, low: np.ndarray, high: np.ndarray, share: float, least: int) -> list[tuple[int, int, int, int, int]]:
+    """What `matches` finds by the seeds low to high (in order of the keys) at the words `at`, all seeds of some rows."""
     reps = high - low
     spot = np.repeat(at, reps)
-    which = order[np.repeat(low, reps) + np.arange(len(spot)) - np.repeat(np.cumsum(reps) - reps, reps)]
+    which = items.order[np.repeat(low, reps) + np.arange(len(spot)) - np.repeat(np.cumsum(reps) - reps, reps)]
     item, row, base = items.item[which], words.doc[spot], spot - items.place[which]
-    begin_of = np.searchsorted(words.doc, np.arange(words.n + 1))
-    out, sort = [], np.lexsort((base, item, row))
+    sort = np.lexsort((base, item, row))
     item, row, base = item[sort], row[sort], base[sort]
-    k = 0
-    while k < len(item):
-        size = len(items.words[item[k]])
-        slack = size // 4 + 2
-        m, stop = k, base[k] + size + slack
-        while m + 1 < len(item) and item[m + 1] == item[k] and row[m + 1] == row[k] and base[m + 1] - slack <= stop:
-            m += 1
-            stop = base[m] + size + slack
-        own = items.words[item[k]]
-        lo, hi = max(base[k] - slack, begin_of[row[k]]), min(stop, begin_of[row[k] + 1])
-        need = min(share * size, least)
-        part = words.hash[lo:hi]
-        if np.isin(own, part).sum() >= need:
-            score, first, last = align(own, part)
-            if score >= need:
-                out.append((int(row[k]), int(item[k]), score, int(lo + first - begin_of[row[k]]), int(lo + last - begin_of[row[k]])))
-        k = m + 1
+    size = items.size[item]
+    slack = size // 4 + 2
+    # Seeds whose passages overlap are one passage.
+    first = np.flatnonzero(np.append(True, (item[1:] != item[:-1]) | (row[1:] != row[:-1]) | (base[1:] - base[:-1] > (size + 2 * slack)[1:])))
+    last = np.append(first[1:], len(item)) - 1
+    item, row, size, slack = item[first], row[first], size[first], slack[first]
+    lo, hi = np.maximum(base[first] - slack, begin_of[row]), np.minimum(base[last] + size + slack, begin_of[row + 1])
+    need, out = np.minimum(share * size, least), []
+    for a, b in pieces(hi - lo):
+        length = (hi - lo)[a:b]
+        start = np.cumsum(length) - length
+        place = np.repeat(lo[a:b] - start, length) + np.arange(length.sum())
+        shared = items.screen[belongs(np.repeat(item[a:b], length), words.hash[place])]
+        for k in a + np.flatnonzero(best_runs(shared, start) >= need[a:b]):
+            own, part = items.words[item[k]], words.hash[lo[k] : hi[k]]
+            if best_runs(np.isin(own, part), np.zeros(1, np.int64))[0] >= need[k]:
+                score, x, y = align(own, part)
+                if score >= need[k]:
+                    out.append((int(row[k]), int(item[k]), score, int(lo[k] + x - begin_of[row[k]]), int(lo[k] + y - begin_of[row[k]])))
     return out
 
 
-def prepared(docs: DataFrame, benchmark: DataFrame, rare: float) -> Iterator[Items]:
-    """The test items in blocks, with their seeds among docs (doc_id, text)."""
-    texts = bared(docs)
+def prepared(benchmark: DataFrame) -> Iterator[Items]:
+    """The test items in blocks."""
     tests = benchmark.where("item_id is not null and text is not null").select(F.col("item_id").cast("long").alias("item_id"), bare("text").alias("text")).select("item_id", binary_text())
-    n_docs, total = texts.count(), tests.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    total = tests.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-total // (4 * BLOCK_WORDS)))
     for block in range(blocks):
         rows = tests.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).collect()  # bounded by BLOCK_WORDS
         items = Items([(r.item_id, bytes(r.text)) for r in rows])
         if len(items.key):
-            items.only(seeds_of(items, document_counts(texts, items), n_docs, rare))
             yield items
 
 
@@ -201,10 +208,10 @@ def bared(docs: DataFrame) -> DataFrame:
 SCHEMA = "doc_id long, item_id long, score int, item_words int, from_word int, to_word int"
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, rare: float = RARE, share: float = SHARE, words: int = WORDS) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, share: float = SHARE, words: int = WORDS) -> DataFrame:
     """doc_id, item_id, score, item_words, from_word, to_word of each passage of docs that copies or edits an item."""
     results = []
-    for items in prepared(docs, benchmark, rare):
+    for items in prepared(benchmark):
         sent = docs.sparkSession.sparkContext.broadcast(items)
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
@@ -225,10 +232,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, rare: float = RARE, shar
     return every.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "m.score", "m.item_words", (-F.col("m.x")).alias("from_word"), "m.to_word")
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, rare: float = RARE, share: float = SHARE, words: int = WORDS) -> DataFrame:
+def decontaminate(docs: DataFrame, benchmark: DataFrame, share: float = SHARE, words: int = WORDS) -> DataFrame:
     """docs without those that hold a passage of the benchmark; all columns are kept, and no row is moved."""
     out = docs
-    for items in prepared(docs, benchmark, rare):
+    for items in prepared(benchmark):
         sent = docs.sparkSession.sparkContext.broadcast(items)
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:

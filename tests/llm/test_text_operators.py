@@ -393,6 +393,38 @@ def test_contamination_awkward(spark):
     assert decontamination.op9_decontamination(empty(spark), bench).count() == 0
 
 
+def test_parts_and_edits_of_hot_items_are_found(spark):
+    rng = random.Random(9)
+    items = {k: [f"{k}q{j}" for j in range(50)] for k in "ab"}
+    edited = lambda w: ["changed" if j % 8 == 7 else x for j, x in enumerate(w)]
+    a, b = items["a"], items["b"]
+    # Heads of an item that is seldom whole, and parts without the head of one that mostly is.
+    kinds = [(a[:30], 1000), (a, 10), (edited(a[:30]), 50), (a[:15], 90), (b, 1000), (b[20:], 50), (edited(b[15:]), 50), (b[40:], 50), ([], 700)]
+    rows, kind_of = [], []
+    for w, n in kinds:
+        for _ in range(n):
+            filler = lambda: [f"z{rng.randrange(999)}" for _ in range(rng.randrange(9))]
+            kind_of.append(w)
+            rows.append((len(rows), " ".join([*filler(), *w, *filler()])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame([(k, " ".join(items[x])) for k, x in enumerate("ab")], "item_id long, text string")
+    score = {(tuple(w), x): align_want(items[x], w) for w, _ in kinds for x in "ab"}
+    want = {(i, k): s for i, w in enumerate(kind_of) for k, x in enumerate("ab") if (s := score[tuple(w), x]) >= 20}
+    got = {(r.doc_id, r.item_id): r.score for r in decontamination.op9_decontamination(docs, bench).collect()}
+    assert got == want
+    assert {r.doc_id for r in decontamination.decontaminate(docs, bench).collect()} == {i for i, _ in rows} - {i for i, _ in want}
+
+
+def test_bound_is_never_below_the_alignment():
+    rng = random.Random(10)
+    pairs = [[[rng.randrange(9) for _ in range(rng.randrange(1, 30))] for _ in range(2)] for _ in range(300)]
+    hit = np.concatenate([np.isin(b, a) for a, b in pairs])
+    start = np.cumsum([0, *(len(b) for _, b in pairs[:-1])])
+    for (a, b), bound in zip(pairs, decontamination.best_runs(hit, start), strict=True):
+        runs = [0] + [sum(1 if x in a else -1 for x in b[i:j]) for i in range(len(b)) for j in range(i + 1, len(b) + 1)]
+        assert max(bound, 0) == max(runs) >= align_want(a, b)
+
+
 def test_hot_item_is_found_everywhere(spark):
     rng = random.Random(8)
     item = [f"q{k}" for k in range(30)]
