@@ -10,7 +10,9 @@ deletion of one character, as hashed keys with the place of the deletion; lines
 meet by equal keys. Two lines are one replacement apart if they have a variant in
 common with the deletion at one place, and one insertion apart if one's deletion is
 the other itself, so a star in each such group keeps all classes whole without
-listing pairs. Links are verified by edit distance on the lines.
+listing pairs. Links are verified by edit distance on the lines. Lines a replacement
+apart share one group and no other, so the verified sizes of its groups, less itself,
+and its partners by insertion and deletion are the number of a line's links.
 
 A line can only have a partner if it shares its first or last half with it: an edit
 leaves one half as it is. Lines whose halves are unique emit nothing; the halves are
@@ -66,7 +68,11 @@ def half_keys(shortest: int):
 
 
 def linked(suspects: DataFrame, buckets: int) -> DataFrame:
-    """a, b: hashes of distinct lines with a variant in common, from suspects (id, line)."""
+    """a, b, place: hashes of distinct lines with a variant in common, from suspects (id, line).
+
+    With a place, a is the first line of those that are equal but for that place, and b another one; place -1 links a
+    line with one that has a character more.
+    """
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -104,7 +110,7 @@ def linked(suspects: DataFrame, buckets: int) -> DataFrame:
         first = np.searchsorted(key, key, "left")
         # In a group of one key, place -1 comes first: it is linked with every deletion that equals it.
         whole = (place[first] == -1) & (place != -1)
-        a, b = [ids[first][whole]], [ids[whole]]
+        a, b, at = [ids[first][whole]], [ids[whole]], [np.full(whole.sum(), -1, np.int32)]
         # Equal key and place: each is linked with the first of them.
         new = np.ones(len(key), bool)
         new[1:] = (key[1:] != key[:-1]) | (place[1:] != place[:-1])
@@ -112,20 +118,32 @@ def linked(suspects: DataFrame, buckets: int) -> DataFrame:
         rest = ~new
         a.append(ids[start][rest])
         b.append(ids[rest])
-        a, b = np.concatenate(a), np.concatenate(b)
-        pair = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)])[:, a != b], axis=1)
-        return pa.record_batch([pa.array(pair[0]), pa.array(pair[1])], names=["a", "b"])
+        at.append(place[rest])
+        a, b, at = np.concatenate(a), np.concatenate(b), np.concatenate(at).astype(np.int64)
+        # Groups are in order of ids, so that their first line is the smaller one.
+        pair = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b), at])[:, a != b], axis=1)
+        return pa.record_batch([pa.array(pair[0]), pa.array(pair[1]), pa.array(pair[2].astype(np.int32))], names=["a", "b", "place"])
 
     packed = suspects.select("id", "line").mapInArrow(emit, "bucket int, keys binary, places binary, ids binary")
     dealt = packed.repartition(buckets, "bucket").sortWithinPartitions("bucket")
-    return dealt.mapInArrow(meet, "a long, b long").distinct()
+    return dealt.mapInArrow(meet, "a long, b long, place int").distinct()
+
+
+def degrees(links: DataFrame) -> DataFrame:
+    """id, links: with how many lines each is linked, from verified links (a, b, place) of `linked`."""
+    stars = links.where("place >= 0")
+    others = stars.groupBy("a", "place").agg(F.count("*").alias("n"))
+    members = stars.select("a", "place", F.col("b").alias("id")).join(others, ["a", "place"]).select("id", "n")
+    single = links.where("place < 0").select(F.explode(F.array("a", "b")).alias("id"), F.lit(1).cast("long").alias("n"))
+    every = others.select(F.col("a").alias("id"), "n").unionByName(members).unionByName(single)
+    return every.groupBy("id").agg(F.sum("n").alias("links"))
 
 
 def line_classes(docs: DataFrame, shortest: int = SHORTEST) -> DataFrame:
     """doc_id, line_no, first_doc, first_line, same, links of every line that is not blank.
 
     `first_*` is the earliest line of its class, `same` whether an equal line comes first within all rows, `links` how
-    many distinct lines it has been linked with.
+    many distinct lines it is linked with.
     """
     spark = docs.sparkSession
     rows = lines_of(docs).select("doc_id", "line_no", F.xxhash64("line").alias("id"), F.xxhash64(F.lit(7), F.reverse("line")).alias("id2"), half_keys(shortest).alias("halves"))
@@ -140,10 +158,10 @@ def line_classes(docs: DataFrame, shortest: int = SHORTEST) -> DataFrame:
     suspects = materialize(texts.select("id", F.trim(F.regexp_replace("line", r"[\t\r]", " ")).alias("line")).where("line is not null").dropDuplicates(["id"]), "texts")
     pairs = linked(suspects, partitions(spark))
     side = lambda c: suspects.select(F.col("id").alias(c), F.col("line").alias(f"line_{c}"))
-    close = pairs.join(side("a"), "a").join(side("b"), "b").where(F.levenshtein("line_a", "line_b", 1) == 1).select("a", "b")
+    close = pairs.join(side("a"), "a").join(side("b"), "b").where(F.levenshtein("line_a", "line_b", 1) == 1).select("a", "b", "place")
     links = materialize(close, "links")
-    tree = components(links)
-    degree = links.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count("*").alias("links"))
+    tree = components(links.select("a", "b"))
+    degree = degrees(links)
     named = distinct.select("id", "id2", "first").join(tree.withColumnRenamed("node", "id"), "id", "left").join(degree, "id", "left")
     named = materialize(named.select("id", "id2", "first", "component", F.coalesce("links", F.lit(0).cast("long")).alias("links")), "classes")
     earliest = named.where("component is not null").groupBy("component").agg(F.min("first").alias("earliest"))

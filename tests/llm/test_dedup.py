@@ -154,6 +154,23 @@ def test_lines_match_brute_force(spark):
     assert all(cleaned[i].text == "\n".join(x for k, x in enumerate(t.split("\n")) if k not in want[i]) for i, t in rows)
 
 
+def test_links_of_lines_are_counted_whole(spark):
+    base, other = "the same template line 0 of page 1", "aaaaaaaaaaaaaaaaaaaaaaaa"
+    lines = [base.replace("0", c) for c in "0123456789"] + [base.replace("0", ""), base.replace("0", "55"), base.replace("1", "2"), base.replace("1", "3").replace("0", "7")]
+    lines += [other, other[1:], other[2:], "b" + other[1:], other[:-1] + "b", "c" + other[1:], "a line that has no partner at all"]
+    short = ["short 1", "short 2", "short 3"]
+    rows = [(k, x) for k, x in enumerate([*lines, *short])] + [(900, base + "\n" + other), (901, None)]
+    n = dict.fromkeys([*lines, *short], 0)
+    cuts = lambda x: {x[:k] + x[k + 1 :] for k in range(len(x))}
+    for x in lines:
+        for y in lines:
+            if x != y and (len(x) == len(y) and sum(c != d for c, d in zip(x, y, strict=True)) == 1 or x in cuts(y) or y in cuts(x)):
+                n[x] += 1
+    got = {r.doc_id: r.n_links for r in line_dedup.op6_line_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: sum(n[x] for x in (t or "").split("\n") if x) for i, t in rows}
+    assert n[base] == 11
+
+
 def test_lines_awkward(spark):
     got = {r.doc_id: r.dropped for r in line_dedup.op6_line_dedup(awkward(spark)).collect()}
     assert got[1] == "" and got[9] == "0" and len(got) == 11
