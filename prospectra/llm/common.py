@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -27,11 +28,13 @@ def fold_case(text: Column | str) -> Column:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that all executors and the driver see.
 
-    Read from `spark.checkpoint.dir`; where that is unset (tests on one
-    machine) a temporary folder is made once a session.
+    Read from `spark.checkpoint.dir`. Where that is unset a temporary folder is made once a session, on one machine
+    only: elsewhere it would be lost or unreadable, so that is an error.
     """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         found = f"file://{tempfile.mkdtemp(prefix='prospectra-')}"
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -45,14 +48,63 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """Cuts lineage: writes the rows to the shared folder and reads them again."""
     spark, path = df.sparkSession, new_path(df.sparkSession, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._shared_path = path
+    return out
+
+
+def release(*tables: DataFrame) -> None:
+    """Removes what `materialize` wrote for tables that no plan reads any more."""
+    for df in tables:
+        drop_path(df.sparkSession, df._shared_path)
+
+
+def _file_system(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
 
 
 def drop_path(spark: SparkSession, path: str) -> None:
     """Removes a table of the shared folder that no plan reads any more."""
-    jvm = spark._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+    store, where = _file_system(spark, path)
+    store.delete(where, True)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    store, where = _file_system(spark, path)
+    return store.exists(where)
+
+
+# ---------------------------------------------------------------- rows
+
+
+def marks(text: str = "text") -> dict[str, Column]:
+    """Two 64-bit hashes of a text, null as empty: with doc_id they tell rows apart whose doc_id repeats."""
+    plain = F.coalesce(F.col(text), F.lit(""))
+    return {"mark_a": F.xxhash64(plain), "mark_b": F.xxhash64(F.lit(7), plain)}
+
+
+def leave_one(docs: DataFrame, decided: DataFrame, group: str) -> DataFrame:
+    """docs (doc_id, text, ...) with one row of each group of decided (doc_id, mark_a, mark_b, kept, group).
+
+    Of a group's kept rows, which are several only if their doc_id repeats, the one with the smallest marks stays; rows
+    equal in doc_id and text to it count as one, any of which stays. Rows that are not decided on stay.
+    """
+    key = ["doc_id", "mark_a", "mark_b"]
+    kept, gone, twins = decided.where("kept"), decided.where("not kept").select(*key), None
+    several = kept.groupBy(group).agg(F.count("*").alias("n"), F.min(F.struct("mark_a", "mark_b")).alias("first")).where("n > 1")
+    if not several.isEmpty():
+        held = materialize(kept.join(several.select(group, "first"), group).select(*key, (F.struct("mark_a", "mark_b") == F.col("first")).alias("first")), "repeated-ids")
+        gone = gone.unionByName(held.where("not first").select(*key))
+        twins = held.where("first").groupBy(*key).agg(F.count("*").alias("n")).where("n > 1").select(*key)
+    named = {k: f"_{k}_" for k in key}
+    marked = docs.withColumns({"_doc_id_": F.col("doc_id").cast("long"), **{f"_{k}_": c for k, c in marks().items()}})
+    out = marked.join(gone.withColumnsRenamed(named), list(named.values()), "left_anti")
+    if twins is not None:
+        twins = twins.withColumnsRenamed(named)
+        one = out.join(twins, list(named.values()), "left_semi").dropDuplicates(list(named.values()))
+        out = out.join(twins, list(named.values()), "left_anti").unionByName(one)
+    return out.select(*docs.columns)
 
 
 def partitions(spark: SparkSession) -> int:

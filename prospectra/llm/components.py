@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, release
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -27,9 +27,11 @@ def components(edges: DataFrame) -> DataFrame:
         near = both(live).groupBy("a").agg(F.min(rank("b")).alias("near"))
         parents = materialize(near.select(F.col("a").alias("child"), F.least(F.col("near"), rank("a")).v.alias("parent")), "parents")
         up = lambda e, c, p=parents: e.join(p.withColumnRenamed("child", c), c).drop(c).withColumnRenamed("parent", c)
-        live = materialize(up(up(live, "a"), "b").where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges")
-        moved = nodes.join(parents.withColumnRenamed("child", "at"), "at", "left")
-        nodes = materialize(moved.select("node", F.coalesce("parent", "at").alias("at")), "nodes")
+        moved_edges = up(up(live, "a"), "b").where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        moved_nodes = nodes.join(parents.withColumnRenamed("child", "at"), "at", "left").select("node", F.coalesce("parent", "at").alias("at"))
+        done = (live, nodes, parents)
+        live, nodes = materialize(moved_edges.distinct(), "edges"), materialize(moved_nodes, "nodes")
+        release(*done)
         turn += 1
     least = nodes.groupBy("at").agg(F.min("node").alias("component"))
     return nodes.join(least, "at").select("node", "component")

@@ -17,12 +17,19 @@ each cluster's full sets are intersected, in tiles of at most TILE documents on
 side; a tile gives the links of a spanning forest, not all of its pairs.
 
 A pair at similarity 0.75 is missed by all bands with a probability of about
-(1 - 0.75 ** BAND) ** (BUCKETS // BAND), some 1e-6.
+(1 - 0.75 ** BAND) ** (BUCKETS // BAND), some 1e-6. A partner is missed by a closed document's
+cluster if two estimates are wrong by 0.2 together: with 256 registers their standard errors
+add up to 0.04, so that is five of them, some 1e-6 too. Sets much smaller than 256 fill a register
+each, and their estimates are nearly exact.
+
+Sets and sketches belong to nodes: a node is a class of equal sets, and has the text of one row.
 
 Defined cases: null, empty and blank texts have an empty set and are linked with
-nothing; fewer words than `width` are one shingle; rows that repeat a doc_id are
-united; rows without a doc_id are left out; an empty table gives no rows; other
-columns are ignored.
+nothing; fewer words than `width` are one shingle; rows that repeat a doc_id are documents
+of their own, each linked by its own text; rows equal in doc_id and text get the same
+result; rows without a doc_id are left out, and stay in `near_dedup`, which leaves one row
+of each component; very long texts are hashed in one piece; an empty table gives no rows;
+other columns are ignored.
 """
 
 from __future__ import annotations
@@ -35,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, binary_text, materialize, mix, shingles, slices
+from .common import Words, binary_text, leave_one, marks, materialize, mix, release, shingles, slices
 from .components import components
 
 INDEX_BITS, MANTISSA, BAND = 8, 10, 5
@@ -117,13 +124,18 @@ def estimate(a: np.ndarray, b: np.ndarray, n: np.ndarray, m: np.ndarray) -> tupl
     return np.clip((equal - chance * disjoint) / np.maximum(used, 1), 0, 1), used
 
 
+def rows_of(docs: DataFrame) -> DataFrame:
+    """doc_id, mark_a, mark_b, text as bytes."""
+    return docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), *(c.alias(k) for k, c in marks().items()), binary_text())
+
+
 def sketches(docs: DataFrame, width: int = 5) -> DataFrame:
-    """doc_id, n_shingles, digest (128 bits of the set), registers of docs (doc_id, text)."""
+    """doc_id, mark_a, mark_b, n_shingles, digest (128 bits of the set), registers of docs (doc_id, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi in slices(batch.column(1)):
-                text = batch.column(1).slice(lo, hi - lo)
+            for lo, hi in slices(batch.column(3)):
+                text = batch.column(3).slice(lo, hi - lo)
                 rows, keys = shingles(Words(text), width)
                 n = hi - lo
                 total = np.zeros((n, 2), np.uint64)
@@ -133,12 +145,11 @@ def sketches(docs: DataFrame, width: int = 5) -> DataFrame:
                     total[rows[first], 1] = np.add.reduceat(mix(keys ^ np.uint64(0xA5A5A5A5A5A5A5A5)), first)
                 registers = sketch(rows, keys, n)
                 yield pa.record_batch(
-                    [batch.column(0).slice(lo, n), pa.array(np.bincount(rows, minlength=n).astype(np.int64)), pa.array([x.tobytes() for x in total], pa.binary()), pa.array([x.tobytes() for x in registers], pa.binary())],
-                    names=["doc_id", "n_shingles", "digest", "registers"],
+                    [*(batch.column(k).slice(lo, n) for k in range(3)), pa.array(np.bincount(rows, minlength=n).astype(np.int64)), pa.array([x.tobytes() for x in total], pa.binary()), pa.array([x.tobytes() for x in registers], pa.binary())],
+                    names=["doc_id", "mark_a", "mark_b", "n_shingles", "digest", "registers"],
                 )
 
-    rows = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), binary_text())
-    return rows.mapInArrow(run, "doc_id long, n_shingles long, digest binary, registers binary")
+    return rows_of(docs).mapInArrow(run, "doc_id long, mark_a long, mark_b long, n_shingles long, digest binary, registers binary")
 
 
 def registers_of(column: pa.Array) -> np.ndarray:
@@ -146,17 +157,17 @@ def registers_of(column: pa.Array) -> np.ndarray:
 
 
 def bands(reps: DataFrame) -> DataFrame:
-    """key, doc_id: the band keys of reps (doc_id, registers)."""
+    """key, node: the band keys of reps (node, registers)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo in range(0, batch.num_rows, 4096):
                 part = batch.slice(lo, 4096)
                 keys = band_keys(registers_of(part.column(1)))
-                docs = np.broadcast_to(part.column(0).to_numpy()[:, None], keys.shape)
-                yield pa.record_batch([pa.array(keys[keys != 0].view(np.int64)), pa.array(docs[keys != 0])], names=["key", "doc_id"])
+                nodes = np.broadcast_to(part.column(0).to_numpy()[:, None], keys.shape)
+                yield pa.record_batch([pa.array(keys[keys != 0].view(np.int64)), pa.array(nodes[keys != 0])], names=["key", "node"])
 
-    return reps.select("doc_id", "registers").mapInArrow(run, "key long, doc_id long")
+    return reps.select("node", "registers").mapInArrow(run, "key long, node long")
 
 
 def forest(ids: np.ndarray, linked: np.ndarray) -> list[tuple[int, int]]:
@@ -177,7 +188,7 @@ def forest(ids: np.ndarray, linked: np.ndarray) -> list[tuple[int, int]]:
 
 
 def tiles(rows: DataFrame, load: str | None = None) -> DataFrame:
-    """Deals the rows (key, doc_id, ...) of each key into chunks and repeats them for each pair of chunks: x <= y, chunk.
+    """Deals the rows (key, node, ...) of each key into chunks and repeats them for each pair of chunks: x <= y, chunk.
 
     A key of s rows has ceil(s / TILE) chunks, or more if `load` adds up to more than TILE_LOAD a chunk; a row is repeated once a chunk.
     """
@@ -185,7 +196,7 @@ def tiles(rows: DataFrame, load: str | None = None) -> DataFrame:
     if load:
         chunks = F.greatest(chunks, F.ceil(F.sum(load) / TILE_LOAD))
     sizes = rows.groupBy("key").agg(chunks.cast("int").alias("chunks"))
-    dealt = rows.join(sizes, "key").withColumn("chunk", F.pmod(F.xxhash64("doc_id"), F.col("chunks")).cast("int"))
+    dealt = rows.join(sizes, "key").withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
     repeated = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     return repeated.withColumn("x", F.least("chunk", "other")).withColumn("y", F.greatest("chunk", "other")).drop("other", "chunks")
 
@@ -218,16 +229,16 @@ def by_tile(rows: DataFrame, compare, *columns: str) -> DataFrame:
 
 
 def led(rows: DataFrame, reps: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """One round over band groups (key, doc_id): weak links (a, b), and the rows that are not done.
+    """One round over band groups (key, node): weak links (a, b), and the rows that are not done.
 
-    The leader of a group is the document whose groups are largest in sum, then the smallest.
+    The leader of a group is the node whose groups are largest in sum, then the smallest.
     """
     sizes = rows.groupBy("key").agg(F.count("*").alias("n"))
-    company = rows.join(sizes, "key").groupBy("doc_id").agg(F.sum("n").alias("company"))
-    first = rows.join(company, "doc_id").groupBy("key").agg(F.max(F.struct("company", (-F.col("doc_id")).alias("d"))).alias("m")).select("key", (-F.col("m.d")).alias("lead"))
+    company = rows.join(sizes, "key").groupBy("node").agg(F.sum("n").alias("company"))
+    first = rows.join(company, "node").groupBy("key").agg(F.max(F.struct("company", (-F.col("node")).alias("d"))).alias("m")).select("key", (-F.col("m.d")).alias("lead"))
     seated = materialize(rows.join(first, "key"), "led")
-    half = lambda c: reps.select(F.col("doc_id").alias(c), F.col("n_shingles").alias(f"n_{c}"), F.col("registers").alias(f"r_{c}"))
-    pairs = seated.where("lead <> doc_id").select("lead", "doc_id").distinct().join(half("lead"), "lead").join(half("doc_id"), "doc_id")
+    half = lambda c: reps.select(F.col("node").alias(c), F.col("n_shingles").alias(f"n_{c}"), F.col("registers").alias(f"r_{c}"))
+    pairs = seated.where("lead <> node").select("lead", "node").distinct().join(half("lead"), "lead").join(half("node"), "node")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -235,17 +246,19 @@ def led(rows: DataFrame, reps: DataFrame) -> tuple[DataFrame, DataFrame]:
                 x = batch.slice(lo, 4096)
                 j, _ = estimate(registers_of(x.column(4)), registers_of(x.column(5)), x.column(2).to_numpy(), x.column(3).to_numpy())
                 some = pa.array(j >= LOOSE)
-                yield pa.record_batch([x.column(0).filter(some), x.column(1).filter(some), pa.array(j).filter(some)], names=["lead", "doc_id", "j"])
+                yield pa.record_batch([x.column(0).filter(some), x.column(1).filter(some), pa.array(j).filter(some)], names=["lead", "node", "j"])
 
-    near = materialize(pairs.select("lead", "doc_id", "n_lead", "n_doc_id", "r_lead", "r_doc_id").mapInArrow(run, "lead long, doc_id long, j double"), "near")
-    left = seated.where("lead <> doc_id").join(near.where(F.col("j") >= CLOSED).select("lead", "doc_id"), ["lead", "doc_id"], "left_anti").select("key", "doc_id")
+    near = materialize(pairs.select("lead", "node", "n_lead", "n_node", "r_lead", "r_node").mapInArrow(run, "lead long, node long, j double"), "near")
+    left = seated.where("lead <> node").join(near.where(F.col("j") >= CLOSED).select("lead", "node"), ["lead", "node"], "left_anti").select("key", "node")
     several = left.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    return near.select(F.col("lead").alias("a"), F.col("doc_id").alias("b")), materialize(left.join(several, "key"), "left")
+    following = materialize(left.join(several, "key"), "left")
+    release(seated)
+    return near.select(F.col("lead").alias("a"), F.col("node").alias("b")), following
 
 
 def by_sketch(percent: int):
     def compare(t: pa.Table) -> list[tuple[int, int]]:
-        ids, n = t.column("doc_id").to_numpy(), t.column("n_shingles").to_numpy()
+        ids, n = t.column("node").to_numpy(), t.column("n_shingles").to_numpy()
         regs = registers_of(t.column("registers"))
         linked = np.zeros((len(ids), len(ids)), bool)
         for i in range(len(ids)):
@@ -258,7 +271,8 @@ def by_sketch(percent: int):
 
 def by_set(width: int, percent: int):
     def compare(t: pa.Table) -> list[tuple[int, int]]:
-        ids, text = t.column("doc_id").to_numpy(), t.column("text").combine_chunks()
+        ids, first = np.unique(t.column("node").to_numpy(), return_index=True)  # rows equal in doc_id and text are one
+        text = t.column("text").combine_chunks().take(pa.array(first))
         rows, keys = [], []
         for lo, hi in slices(text):
             r, k = shingles(Words(text.slice(lo, hi - lo)), width)
@@ -286,13 +300,16 @@ def by_set(width: int, percent: int):
     return compare
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept of docs (doc_id, text)."""
+def _placed(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """doc_id, mark_a, mark_b, n_shingles, component_id of rows with shingles, and of those without.
+
+    The former have a number of their component too: `component_id` tells components apart only if doc_ids don't repeat.
+    """
     all_docs = materialize(sketches(docs, width), "sketches")
     some = all_docs.where("n_shingles > 0")
-    # Equal sets are one class.
-    best = some.groupBy("n_shingles", "digest").agg(F.min(F.struct("doc_id", "registers")).alias("m"))
-    reps = materialize(best.select(F.col("m.doc_id").alias("doc_id"), "n_shingles", "digest", F.col("m.registers").alias("registers")), "classes")
+    # Equal sets are one class, a node; its number only tells it from others.
+    best = some.groupBy("n_shingles", "digest").agg(F.min(F.struct("doc_id", "mark_a", "mark_b", "registers")).alias("m"))
+    reps = materialize(best.select(F.monotonically_increasing_id().alias("node"), "n_shingles", "digest", "m.*"), "classes")
     # Band groups of two or more.
     keyed = bands(reps)
     shared = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
@@ -301,29 +318,40 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75) -> DataF
     for _ in range(ROUNDS):
         if left.isEmpty():
             break
-        links, left = led(left, reps)
+        links, rest = led(left, reps)
+        release(left)
+        left = rest
         weak.append(links)
     if not left.isEmpty():
-        rest = tiles(left).join(reps.select("doc_id", "n_shingles", "registers"), "doc_id")
-        weak.append(by_tile(rest, by_sketch(percent), "doc_id", "n_shingles", "registers"))
+        rest = tiles(left).join(reps.select("node", "n_shingles", "registers"), "node")
+        weak.append(by_tile(rest, by_sketch(percent), "node", "n_shingles", "registers"))
     if weak:
-        cluster = components(reduce(DataFrame.unionByName, weak)).withColumnRenamed("component", "key").withColumnRenamed("node", "doc_id")
-        texts = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), binary_text())
-        sized = cluster.join(reps.select("doc_id", "n_shingles"), "doc_id")
-        full = texts.join(materialize(tiles(sized, "n_shingles"), "tiles").hint("merge"), "doc_id")  # both grow with the corpus: never broadcast
-        tree = components(by_tile(full, by_set(width, percent), "doc_id", "text")).withColumnRenamed("node", "doc_id")
-        reps = reps.join(tree, "doc_id", "left").withColumn("component_id", F.coalesce("component", "doc_id"))
+        cluster = components(reduce(DataFrame.unionByName, weak)).withColumnRenamed("component", "key")
+        # Both sides of the join with texts grow with the corpus: never broadcast.
+        dealt = materialize(tiles(cluster.join(reps.select("node", "n_shingles", "doc_id", "mark_a", "mark_b"), "node"), "n_shingles"), "tiles")
+        full = rows_of(docs).join(dealt.hint("merge"), ["doc_id", "mark_a", "mark_b"])
+        tree = materialize(components(by_tile(full, by_set(width, percent), "node", "text")).join(reps.select("node", "doc_id"), "node"), "tree")
+        release(dealt)
+        least = tree.groupBy("component").agg(F.min("doc_id").alias("least"))
+        held = reps.join(tree.join(least, "component").select("node", "component", "least"), "node", "left")
+        reps = held.withColumns({"component_id": F.coalesce("least", "doc_id"), "component": F.coalesce("component", "node")})
     else:
-        reps = reps.withColumn("component_id", F.col("doc_id"))
-    placed = some.select("doc_id", "n_shingles", "digest").join(reps.select("n_shingles", "digest", "component_id"), ["n_shingles", "digest"]).select("doc_id", "n_shingles", "component_id")
-    blank = all_docs.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    return placed.unionByName(blank).withColumn("kept", F.col("doc_id") == F.col("component_id"))
+        reps = reps.withColumns({"component_id": F.col("doc_id"), "component": F.col("node")})
+    placed = some.drop("registers").join(reps.select("n_shingles", "digest", "component_id", "component"), ["n_shingles", "digest"])
+    columns = ("doc_id", "mark_a", "mark_b", "n_shingles")
+    return placed.select(*columns, "component_id", "component"), all_docs.where("n_shingles = 0").select(*columns, F.col("doc_id").alias("component_id"))
+
+
+def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept of every row of docs (doc_id, text)."""
+    placed, blank = _placed(docs, width, percent)
+    return placed.drop("component").unionByName(blank).select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
 
 
 def near_dedup(docs: DataFrame, width: int = 5, percent: int = 75) -> DataFrame:
-    """docs with the smallest doc_id of each component only; all columns are kept."""
-    dropped = near_duplicates(docs, width, percent).where("not kept").select("doc_id")
-    return docs.join(dropped, "doc_id", "left_anti")
+    """docs with the smallest doc_id of each component only, and rows without words; all columns are kept."""
+    placed = _placed(docs, width, percent)[0].withColumn("kept", F.col("doc_id") == F.col("component_id"))
+    return leave_one(docs, materialize(placed, "placed"), "component")
 
 
 def op10_minhash_near_dedup(docs: DataFrame) -> DataFrame:

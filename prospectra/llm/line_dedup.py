@@ -19,8 +19,10 @@ leaves one half as it is. Lines whose halves are unique emit nothing; the halves
 counted first, for all lines. Variants travel packed, a row for each task and bucket.
 
 Defined cases: null texts have no lines; blank lines are no lines and stay; rows
-without a doc_id are left out, rows that repeat a doc_id are one document's lines
-with the same numbers; an empty table gives no rows; other columns are ignored.
+without a doc_id are left out, and keep their texts in `dedup_lines`; rows that repeat a
+doc_id with other texts are documents of their own, ordered by a hash of the text; rows equal
+in doc_id and text are one document, whose lines count as often as they stand; very long
+lines are hashed as a whole; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -32,10 +34,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, mix, partitions
+from .common import materialize, mix, partitions, release
 from .components import components
 
 SHORTEST = 20
+#: Variants of a bucket on average, and lines whose variants a task packs at once.
+BUCKET_VARIANTS, EMIT_LINES = 1 << 20, 8192
 _P = 0x100000001B3
 _P_INVERSE = np.uint64(pow(_P, -1, 1 << 64))
 
@@ -54,9 +58,9 @@ def variants(line: str) -> np.ndarray:
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
-    """doc_id, line_no, line of each line that is not blank."""
-    rows = docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    return rows.select("doc_id", "line_no", F.trim(F.regexp_replace("line", r"[\t\r]", " ")).alias("line")).where("line <> ''")
+    """doc_id, row (a hash of the text), line_no, line of each line that is not blank."""
+    rows = docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("row"), F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    return rows.select("doc_id", "row", "line_no", F.trim(F.regexp_replace("line", r"[\t\r]", " ")).alias("line")).where("line <> ''")
 
 
 def half_keys(shortest: int):
@@ -67,17 +71,22 @@ def half_keys(shortest: int):
     return F.when(n >= shortest, F.array_distinct(F.array(*cut(even), *cut(odd))))
 
 
-def linked(suspects: DataFrame, buckets: int) -> DataFrame:
+def linked(suspects: DataFrame) -> DataFrame:
     """a, b, place: hashes of distinct lines with a variant in common, from suspects (id, line).
 
+    Variants are dealt to buckets of BUCKET_VARIANTS on average, one of which is in a task's memory at a time.
+
     With a place, a is the first line of those that are equal but for that place, and b another one; place -1 links a
     line with one that has a character more.
     """
+    spark = suspects.sparkSession
+    total = suspects.agg(F.sum(F.length("line") + 1)).first()[0] or 0
+    buckets = max(4 * partitions(spark), -(-total // BUCKET_VARIANTS))
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo in range(0, batch.num_rows, 2048):
-                part = batch.slice(lo, 2048)
+            for lo in range(0, batch.num_rows, EMIT_LINES):
+                part = batch.slice(lo, EMIT_LINES)
                 ids, keys, place = part.column(0).to_numpy(), [], []
                 for line in part.column(1).to_pylist():
                     keys.append(variants(line))
@@ -125,7 +134,7 @@ def linked(suspects: DataFrame, buckets: int) -> DataFrame:
         return pa.record_batch([pa.array(pair[0]), pa.array(pair[1]), pa.array(pair[2].astype(np.int32))], names=["a", "b", "place"])
 
     packed = suspects.select("id", "line").mapInArrow(emit, "bucket int, keys binary, places binary, ids binary")
-    dealt = packed.repartition(buckets, "bucket").sortWithinPartitions("bucket")
+    dealt = packed.repartition(partitions(spark), "bucket").sortWithinPartitions("bucket")
     return dealt.mapInArrow(meet, "a long, b long, place int").distinct()
 
 
@@ -140,56 +149,59 @@ def degrees(links: DataFrame) -> DataFrame:
 
 
 def line_classes(docs: DataFrame, shortest: int = SHORTEST) -> DataFrame:
-    """doc_id, line_no, first_doc, first_line, same, links of every line that is not blank.
+    """doc_id, row, line_no, first_doc, first_line, gone, same, links of every line that is not blank.
 
-    `first_*` is the earliest line of its class, `same` whether an equal line comes first within all rows, `links` how
-    many distinct lines it is linked with.
+    `first_*` is the earliest line of its class, `gone` whether that is another one, `same` whether an equal line comes
+    first within all rows, `links` how many distinct lines it is linked with.
     """
-    spark = docs.sparkSession
-    rows = lines_of(docs).select("doc_id", "line_no", F.xxhash64("line").alias("id"), F.xxhash64(F.lit(7), F.reverse("line")).alias("id2"), half_keys(shortest).alias("halves"))
-    place = F.struct("doc_id", "line_no")
-    distinct = materialize(rows.groupBy("id", "id2").agg(F.min(place).alias("first"), F.first("halves").alias("halves"), F.count("*").alias("n")), "lines")
+    place = F.struct("doc_id", "row", "line_no")
+    rows = lines_of(docs).select(place.alias("place"), F.xxhash64("line").alias("id"), F.xxhash64(F.lit(7), F.reverse("line")).alias("id2"), half_keys(shortest).alias("halves"))
+    distinct = materialize(rows.groupBy("id", "id2").agg(F.min("place").alias("first"), F.first("halves").alias("halves")), "lines")
     halves = distinct.where("halves is not null").select("id", "first", F.explode("halves").alias("half"))
     shared = halves.groupBy("half").agg(F.count("*").alias("n")).where("n > 1").select("half")
-    wanted = materialize(halves.join(shared, "half").groupBy("id").agg(F.min("first").alias("first")).select("id", "first.doc_id", "first.line_no"), "suspects")
-    numbers = wanted.groupBy("doc_id").agg(F.collect_list(F.struct("line_no", "id")).alias("l"))
-    texts = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(numbers.hint("merge"), "doc_id")  # suspects grow with the corpus: never broadcast
+    wanted = materialize(halves.join(shared, "half").groupBy("id").agg(F.min("first").alias("first")).select("id", "first.*"), "suspects")
+    numbers = wanted.groupBy("doc_id", "row").agg(F.collect_list(F.struct("line_no", "id")).alias("l"))
+    texts = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("row"), "text")
+    texts = texts.join(numbers.hint("merge"), ["doc_id", "row"])  # suspects grow with the corpus: never broadcast
     texts = texts.select(F.split("text", "\n").alias("t"), "l").select(F.inline(F.transform("l", lambda x: F.struct(x.id.alias("id"), F.try_element_at("t", x.line_no + 1).alias("line")))))
     suspects = materialize(texts.select("id", F.trim(F.regexp_replace("line", r"[\t\r]", " ")).alias("line")).where("line is not null").dropDuplicates(["id"]), "texts")
-    pairs = linked(suspects, partitions(spark))
+    release(wanted)
+    pairs = linked(suspects)
     side = lambda c: suspects.select(F.col("id").alias(c), F.col("line").alias(f"line_{c}"))
     close = pairs.join(side("a"), "a").join(side("b"), "b").where(F.levenshtein("line_a", "line_b", 1) == 1).select("a", "b", "place")
     links = materialize(close, "links")
+    release(suspects)
     tree = components(links.select("a", "b"))
     degree = degrees(links)
     named = distinct.select("id", "id2", "first").join(tree.withColumnRenamed("node", "id"), "id", "left").join(degree, "id", "left")
     named = materialize(named.select("id", "id2", "first", "component", F.coalesce("links", F.lit(0).cast("long")).alias("links")), "classes")
+    release(distinct, links)
     earliest = named.where("component is not null").groupBy("component").agg(F.min("first").alias("earliest"))
     kept = ("id", "id2", "first")
     lone = named.where("component is null").select(*kept, F.col("first").alias("earliest"), "links")
     classes = named.where("component is not null").join(earliest, "component").select(*kept, "earliest", "links").unionByName(lone)
     found = rows.drop("halves").join(classes, ["id", "id2"])
-    return found.select("doc_id", "line_no", F.col("earliest.doc_id").alias("first_doc"), F.col("earliest.line_no").alias("first_line"), (F.struct("doc_id", "line_no") != F.col("first")).alias("same"), "links")
+    return found.select("place.*", F.col("earliest.doc_id").alias("first_doc"), F.col("earliest.line_no").alias("first_line"), (F.col("place") != F.col("earliest")).alias("gone"), (F.col("place") != F.col("first")).alias("same"), "links")
 
 
 def dropped_lines(docs: DataFrame, shortest: int = SHORTEST) -> DataFrame:
-    """doc_id, n_lines, dropped (sorted line numbers), n_equal, n_near, n_links of each document with lines."""
-    lines = line_classes(docs, shortest).withColumn("gone", (F.col("doc_id") != F.col("first_doc")) | (F.col("line_no") != F.col("first_line")))
-    return lines.groupBy("doc_id").agg(F.count("*").alias("n_lines"), F.sort_array(F.collect_set(F.when(F.col("gone"), F.col("line_no")))).alias("dropped"), F.count_if(F.col("gone") & F.col("same")).alias("n_equal"), F.count_if(F.col("gone") & ~F.col("same")).alias("n_near"), F.sum("links").alias("n_links"))
+    """doc_id, row, n_lines, dropped (sorted line numbers), n_equal, n_near, n_links of each document with lines."""
+    lines, gone, same = line_classes(docs, shortest), F.col("gone"), F.col("same")
+    return lines.groupBy("doc_id", "row").agg(F.count("*").alias("n_lines"), F.sort_array(F.collect_set(F.when(gone, F.col("line_no")))).alias("dropped"), F.count_if(gone & same).alias("n_equal"), F.count_if(gone & ~same).alias("n_near"), F.sum("links").alias("n_links"))
 
 
 def dedup_lines(docs: DataFrame, shortest: int = SHORTEST) -> DataFrame:
     """docs with the repeated lines taken out of their texts; all columns are kept."""
-    gone = dropped_lines(docs, shortest).where("size(dropped) > 0").select(F.col("doc_id").alias("_lines_doc"), F.col("dropped").alias("_lines_gone"))
+    gone = dropped_lines(docs, shortest).where("size(dropped) > 0").select(F.col("doc_id").alias("_lines_doc"), F.col("row").alias("_lines_row"), F.col("dropped").alias("_lines_gone"))
     kept = F.array_join(F.filter(F.split("text", "\n"), lambda _, i: ~F.array_contains("_lines_gone", i)), "\n")
-    joined = docs.join(gone, F.col("doc_id") == F.col("_lines_doc"), "left")
-    return joined.withColumn("text", F.when(F.col("_lines_gone").isNull(), F.col("text")).otherwise(kept)).drop("_lines_doc", "_lines_gone")
+    joined = docs.join(gone, (F.col("doc_id") == F.col("_lines_doc")) & (F.xxhash64("text") == F.col("_lines_row")), "left")
+    return joined.withColumn("text", F.when(F.col("_lines_gone").isNull(), F.col("text")).otherwise(kept)).select(*docs.columns)
 
 
 def op6_line_dedup(docs: DataFrame) -> DataFrame:
     """One row a document, those without lines too; dropped line numbers are joined by commas."""
-    every = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
-    rows = every.join(dropped_lines(docs), "doc_id", "left")
+    every = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("row")).distinct()
+    rows = every.join(dropped_lines(docs), ["doc_id", "row"], "left")
     counts = (F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("n_lines", "n_equal", "n_near", "n_links"))
     return rows.select("doc_id", *counts, F.coalesce(F.array_join("dropped", ","), F.lit("")).alias("dropped"))
 

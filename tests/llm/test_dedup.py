@@ -6,7 +6,7 @@ from collections import defaultdict
 from pyspark.sql import functions as F
 
 from prospectra.llm import exact_dedup, hyperminhash, line_dedup
-from prospectra.llm.common import table
+from prospectra.llm.common import new_path, table
 from prospectra.llm.components import components
 
 from ..conftest import SF
@@ -45,6 +45,59 @@ def test_hot_group_is_verified_in_parts(spark):
     assert got.where("keep_id = 2997").count() == 1000 and got.where("kept").count() == 2001
 
 
+def repeated_ids(seed=2):
+    """Rows whose doc_id repeats with equal, near and other texts."""
+    rng, rows = random.Random(seed), []
+    base = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(60)) for _ in range(12)]
+    for _ in range(160):
+        text = rng.choice(base).split()
+        for _ in range(rng.randrange(3)):
+            text[rng.randrange(60)] = f"x{rng.randrange(5)}"
+        rows.append((rng.randrange(40), rng.choice([str, str.upper, str.title])(" ".join(text))))
+    return [(3, "A"), (5, "A"), (5, "B"), (7, "B"), (9, "same text"), (5, "same text"), (5, "only here"), (6, "twin"), (6, "twin"), (6, "Twin"), (8, None), (8, ""), *rows]
+
+
+def test_exact_dedup_with_repeated_ids(spark):
+    rows = repeated_ids()
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    groups = defaultdict(list)
+    for i, t in rows:
+        groups[fold(t)].append(i)
+    got = exact_dedup.exact_groups(docs).select("doc_id", "keep_id", "group_size", "kept").collect()
+    assert sorted(map(tuple, got)) == sorted((i, max(g), len(g), i == max(g)) for g in groups.values() for i in g)
+    for keep, best in (("largest", max), ("smallest", min)):
+        left = exact_dedup.exact_dedup(docs, keep).collect()
+        assert sorted((fold(r.text), r.doc_id) for r in left) == sorted((k, best(g)) for k, g in groups.items())
+
+
+def test_index_has_levels_and_filters_and_reopens(spark):
+    path, batches = new_path(spark, "index"), [range(k * 700, k * 700 + 1000) for k in range(6)]
+    keyed = lambda ids: spark.createDataFrame([(str(i // 2).encode(), i) for i in ids], "digest binary, id long")
+    index = exact_dedup.DigestIndex(spark, path, memtable_rows=100, fanout=3)
+    assert index.probe(keyed([1])).count() == 0
+    want = defaultdict(list)
+    for k, ids in enumerate(batches):
+        if k == 4:
+            index = exact_dedup.DigestIndex(spark, path, memtable_rows=100, fanout=3)
+        index.flush(keyed(ids))
+        for i in ids:
+            want[str(i // 2).encode()].append(i)
+        assert {bytes(r.digest): (r.id, r.members) for r in index.read().collect()} == {d: (min(x), len(x)) for d, x in want.items()}
+    assert sorted(level for level, _ in index.runs) == [1, 1]
+    again = exact_dedup.DigestIndex(spark, path)
+    assert sorted(again.runs) == sorted(index.runs)
+    asked = keyed(range(4000, 6000))
+    got = {(bytes(r.digest), r.id): (r.first_id, r.members) for r in again.probe(asked).collect()}
+    assert got == {(d, i): (min(want[d]), len(want[d])) for i in range(4000, 6000) if (d := str(i // 2).encode()) in want}
+    # The filter alone stops nearly all others.
+    assert exact_dedup.let_through(asked, exact_dedup.filter_of(again.read())).count() <= len(got) + 20
+    # One sorted file a memtable.
+    index.flush(keyed(range(950)))
+    run = next(r for level, r in index.runs if level == 0)
+    files = spark.read.parquet(f"{path}/{run}/rows").groupBy(F.input_file_name().alias("f")).agg(F.count("*").alias("n"), F.collect_list("digest").alias("d")).collect()
+    assert len(files) >= 10 and all(r.n <= 100 and r.d == sorted(r.d) for r in files)
+
+
 def sets_of(rows):
     out = {}
     for i, t in rows:
@@ -98,6 +151,21 @@ def test_near_awkward(spark):
     assert hyperminhash.near_dedup(awkward(spark)).columns == awkward(spark).columns
 
 
+def test_near_duplicates_with_repeated_ids(spark):
+    rows = repeated_ids()
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    # Brute force over rows, numbered in order of doc_id, so that a component's first row has its smallest doc_id.
+    order = sorted(range(len(rows)), key=lambda k: rows[k][0])
+    want = near_want(sets_of([(n, rows[k][1]) for n, k in enumerate(order)]))
+    component = {n: rows[order[w[1]]][0] for n, w in want.items()}
+    got = hyperminhash.near_duplicates(docs).select("doc_id", "n_shingles", "component_id", "kept").collect()
+    assert sorted(map(tuple, got)) == sorted((rows[order[n]][0], w[0], component[n], rows[order[n]][0] == component[n]) for n, w in want.items())
+    left = hyperminhash.near_dedup(docs).collect()
+    of = {rows[order[n]]: w[1] for n, w in want.items() if w[0]}
+    assert sorted(of[tuple(r)] for r in left if r.text) == sorted({w[1] for w in want.values() if w[0]})
+    assert all(r.doc_id == component[of[tuple(r)]] for r in left if r.text) and sum(not r.text for r in left) == 2
+
+
 def test_components(spark):
     edges = [(k, k + 1) for k in range(40)] + [(100, k) for k in range(101, 160)] + [(7, 7), (200, 201), (201, 200)]
     got = dict(components(spark.createDataFrame(edges, "a long, b long")).collect())
@@ -171,6 +239,41 @@ def test_links_of_lines_are_counted_whole(spark):
     assert n[base] == 11
 
 
+def test_lines_with_repeated_ids(spark):
+    line = "the quick brown fox jumps over the dog number {}"
+    rows = [(3, "A"), (5, "A"), (5, "B"), (7, "B\nC")]
+    rows += [(10 + k % 5, line.format(chr(97 + k)) + f"\nonly in {k}") for k in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = line_dedup.op6_line_dedup(docs).collect()
+    assert len(got) == len(rows) and sum(r.n_links for r in got) == 20 * 19
+    left = line_dedup.dedup_lines(docs).collect()
+    kept = sorted(x for r in left for x in r.text.split("\n") if x)
+    assert [x for x in kept if x in ("A", "B", "C")] == ["A", "B", "C"]
+    assert sum(x.startswith("the quick") for x in kept) == 1 and sum(x.startswith("only in") for x in kept) == 20
+
+
+def sql_rows(sql, **tables):
+    import duckdb
+
+    with duckdb.connect() as db:
+        for name, rows in tables.items():
+            db.execute(f"CREATE TABLE {name} (doc_id bigint, text varchar)")
+            db.executemany(f"INSERT INTO {name} VALUES (?, ?)", rows)
+        found = db.sql(sql)
+        return sorted(tuple(r) for r in found.project(", ".join(sorted(found.columns))).fetchall())
+
+
+def test_lines_match_their_sql_on_neighbourhoods(spark):
+    rng = random.Random(11)
+    base = ["".join(rng.choice("abcdef ") for _ in range(30)).strip() + "." for _ in range(6)]
+    change = lambda x, k, c: rng.choice([x[:k] + c + x[k + 1 :], x[:k] + x[k + 1 :], x[:k] + c + x[k:], x])
+    rows = [(i, "\n".join(change(rng.choice(base), rng.randrange(30), rng.choice("xyz")) for _ in range(4))) for i in range(150)]
+    rows += [(200, None), (201, ""), (202, "short\nshort\nshorx")]
+    got = line_dedup.op6_line_dedup(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(map(tuple, got.select(*sorted(got.columns)).collect())) == sql_rows(line_dedup.OP6_SQL, documents=rows)
+    assert max(r.n_links for r in got.collect()) > 20
+
+
 def test_lines_awkward(spark):
     got = {r.doc_id: r.dropped for r in line_dedup.op6_line_dedup(awkward(spark)).collect()}
     assert got[1] == "" and got[9] == "0" and len(got) == 11
