@@ -4,23 +4,27 @@ Groups (documents of equal text) stay together. Sorted by size, largest
 first, each group goes to the least-loaded shard. Groups of one size are
 interchangeable, so the heap works on size classes (size, how many groups):
 one class row holds what its groups give to each shard, and a group finds its
-shard by its place in its class. The driver sees size classes only; documents
-and groups never leave the executors.
+shard by its place in its class. The classes stream through one task in order
+of size, which holds the shards' loads and nothing else; the driver sees none.
 
 The law is `bytes`: shard sizes are as near equal as the groups allow. A group
 larger than a fair share stays whole and has a shard of its own as far as the
 schedule allows.
 
 Defined cases: a null text has no bytes and is equal to the empty text; rows
-that repeat a doc_id are all placed; rows without a doc_id come first in the
-order of slots; an empty table gives no rows; other columns are ignored.
+that repeat a doc_id are all placed; rows without a doc_id are placed like others;
+a shard's slots follow hashes, not doc_ids; a very long text is a group of its size;
+an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import heapq
+from collections.abc import Iterator
+from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import materialize
@@ -57,30 +61,34 @@ def deal(load: list[int], size: int, count: int) -> list[int]:
     return given
 
 
-def schedule(spark: SparkSession, classes: DataFrame, shards: int) -> DataFrame:
+def schedule(classes: DataFrame, shards: int) -> DataFrame:
     """size, upto: array of running counts by shard, from (size, n_groups) in descending size.
 
-    Size classes are at most as many as there are distinct group sizes, which the longest text and
-    the largest group bound; they stream through the driver in order.
+    Size classes are as many as there are distinct group sizes, far fewer than groups.
     """
-    load, rows = [0] * shards, []
-    for size, count in classes.orderBy(F.desc("size")).toLocalIterator():
-        given, total, upto = deal(load, size, count), 0, []
-        for k, n in enumerate(given):
-            load[k] += size * n
-            total += n
-            upto.append(total)
-        rows.append((size, upto))
-    return spark.createDataFrame(rows, "size long, upto array<long>")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        load = [0] * shards
+        for batch in batches:
+            sizes, upto = batch.column(0).to_pylist(), []
+            for size, count in zip(sizes, batch.column(1).to_pylist(), strict=True):
+                given = deal(load, size, count)
+                load = [x + size * n for x, n in zip(load, given, strict=True)]
+                upto.append(list(accumulate(given)))
+            yield pa.record_batch([pa.array(sizes, pa.int64()), pa.array(upto, pa.list_(pa.int64()))], names=["size", "upto"])
+
+    ordered = classes.select("size", "n_groups").repartition(1).sortWithinPartitions(F.desc("size"))
+    return ordered.mapInArrow(run, "size long, upto array<long>")
 
 
 def numbered(df: DataFrame, n_rows: int, by: list[str], order: list[Column], out: str) -> DataFrame:
     """Adds `out` to the n_rows of df: 0, 1, 2, ... within each value of `by`, however many rows it has.
 
     Each value is cut into blocks by hash, as many as all rows need, numbered inside, and shifted by the rows of the blocks before.
+    Equal rows are dealt over blocks too: the hash takes in the place of a row in its task, which the written table fixes.
     """
     blocks = max(1, -(-n_rows // BLOCK_ROWS))
-    blocked = materialize(df.withColumn("_block", F.pmod(F.xxhash64(*order), F.lit(blocks)).cast("long")), "blocks")
+    blocked = materialize(df.withColumn("_block", F.pmod(F.xxhash64(*order, F.monotonically_increasing_id()), F.lit(blocks)).cast("long")), "blocks")
     sizes = blocked.groupBy(*by, "_block").agg(F.count("*").alias("_n"))
     before = sizes.select(*by, "_block", (F.sum("_n").over(Window.partitionBy(*by).orderBy("_block")) - F.col("_n")).alias("_before"))
     inside = blocked.withColumn("_in", F.row_number().over(Window.partitionBy(*by, "_block").orderBy(*order)) - 1)
@@ -94,7 +102,7 @@ def shard_by_bytes(docs: DataFrame, shards: int = 40) -> DataFrame:
     sized = materialize(sized, "sizes")
     groups = materialize(sized.groupBy("digest").agg(F.sum("row_size").alias("size")), "groups")
     classes = groups.groupBy("size").agg(F.count("*").alias("n_groups"))
-    plan = schedule(sized.sparkSession, classes, shards)
+    plan = materialize(schedule(classes, shards), "plan")
     placed = numbered(groups, groups.count(), ["size"], [F.col("digest")], "place").join(plan, "size")
     placed = placed.select("digest", F.size(F.filter("upto", lambda n: n <= F.col("place"))).alias("shard"))
     rows = sized.join(placed, "digest").select("doc_id", F.col("row_size").alias("size"), "text_crc32", "shard")

@@ -28,7 +28,7 @@ def test_stages_match_brute_force(spark):
     text = dict(texts(SF))
     # Toxicity: the threshold on the operator's own scores.
     weights, bias = toxicity.fit(table(spark, SF, "documents"), toxicity.training_labels(table(spark, SF, "labels")))
-    bad = {r.doc_id for r in toxicity.scores(table(spark, SF, "documents"), weights, bias).where(F.col("score") >= 0.5).collect()}
+    bad = {r.doc_id for r in toxicity.scores(table(spark, SF, "documents"), weights, bias).where(F.col("score") >= toxicity.THRESHOLD).collect()}
     assert set(kept["toxicity"]) == set(text) - bad
     best = {}
     for i in kept["toxicity"]:
@@ -55,11 +55,43 @@ def test_run_is_the_stages(spark):
     assert corpus_pipeline.run(spark, SF).select("doc_id").distinct().count() > 0
 
 
+def put(spark, folder, docs, **others):
+    docs.select("doc_id", "text", F.lit("en").alias("lang"), F.lit("s").alias("source"), F.length("text").cast("long").alias("n_chars")).write.parquet(f"{folder}/documents.parquet")
+    for name in ("labels", "benchmark"):
+        others.get(name, table(spark, SF, name)).write.parquet(f"{folder}/{name}.parquet")
+    return str(folder)
+
+
 def test_pipeline_on_awkward_rows(spark, tmp_path):
     from .helpers import awkward
 
-    awkward(spark).select("doc_id", "text", F.lit("en").alias("lang"), F.lit("s").alias("source"), F.length("text").cast("long").alias("n_chars")).write.parquet(str(tmp_path / "documents.parquet"))
-    table(spark, SF, "labels").write.parquet(str(tmp_path / "labels.parquet"))
-    table(spark, SF, "benchmark").write.parquet(str(tmp_path / "benchmark.parquet"))
-    got = {r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).collect()}
-    assert {3, 10, 11} <= got and 4 not in got
+    got = [r.doc_id for r in corpus_pipeline.run(spark, put(spark, tmp_path, awkward(spark))).collect()]
+    # Of null, empty and equal texts the largest doc_id stays; blank texts are linked with nothing; rows without a doc_id stay.
+    assert sorted(got, key=str) == sorted([2, 3, 5, 7, 9, 10, 11, None], key=str)
+
+
+def test_pipeline_loses_no_text_where_ids_repeat(spark, tmp_path):
+    from .helpers import fold
+    from .test_dedup import repeated_ids
+
+    rows = [(i, t, i % 2) for i, t in repeated_ids()]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n int")
+    none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    out = corpus_pipeline.run(spark, put(spark, tmp_path, docs, labels=none)).collect()
+    # Brute force over rows: the last of equal texts, then the first of near ones.
+    last = {}
+    for i, t, _ in rows:
+        last[fold(t)] = max(last.get(fold(t), -1), i)
+    left = sorted((i, t) for t, i in last.items())
+    near = near_want(sets_of([(n, t.decode()) for n, (_, t) in enumerate(left)]))
+    want = sorted(left[n][0] for n, w in near.items() if w[2])
+    assert sorted(r.doc_id for r in out) == want
+
+
+def test_pipeline_on_empty_tables(spark, tmp_path):
+    full = {name: table(spark, SF, name) for name in ("documents", "labels", "benchmark")}
+    for gone in ({"documents"}, {"labels"}, {"benchmark"}, set(full)):
+        tables = {k: df.limit(0 if k in gone else 40) for k, df in full.items()}
+        folder = put(spark, tmp_path / "-".join(sorted(gone)), **{"docs": tables["documents"], "labels": tables["labels"], "benchmark": tables["benchmark"]})
+        out = corpus_pipeline.run(spark, folder)
+        assert out.columns == ["doc_id", "ids", "decoded"] and (out.count() > 0) == ("documents" not in gone)

@@ -142,6 +142,62 @@ def test_toxicity_learns_and_scores(spark):
     assert len([i for i in kept if i % 4 == 0]) < 30 and len(kept) > 640
 
 
+def grams_want(text):
+    t = " " + "".join(c if ord(c) > 0xFFFF or c.isalnum() else " " for c in text.lower()) + " "
+    out = set()
+    for n in range(3, 7):
+        for i in range(len(t) - n + 1):
+            g = t[i : i + n]
+            if " " not in g[1:-1] and not (g[0] == " " and g[-1] == " "):
+                h = 0
+                for c in g:
+                    h = (h * 0x100000001B3 + ord(c)) % 2**64
+                out.add((h * 0x9E3779B97F4A7C15 % 2**64) >> (64 - toxicity.HASH_BITS))
+    return out
+
+
+def test_features_are_those_of_the_definition(monkeypatch):
+    rows = ["", "a", "ab", "one two", "İstanbul ÉTÉ naïve", "🙂🙂 x", "a.b,c  d", "x" * 50, *fuzz(60)]
+    for limit in (1 << 18, 40):
+        monkeypatch.setattr(toxicity, "PASS_CHARS", limit)
+        assert [set(k.tolist()) for k in toxicity.features(rows)] == [grams_want(r) for r in rows]
+        assert all(len(k) == len(set(k.tolist())) for k in toxicity.features(rows))
+
+
+def test_fit_and_scores_match_brute_force(spark):
+    rng, rows = random.Random(3), []
+    for i in range(60):
+        w = [rng.choice(["alpha", "beta", "gamma", "delta"]) for _ in range(6)] + (["rotten"] if i % 3 == 0 else [])
+        rows.append((i, " ".join(w), int(i % 3 == 0 or i == 7)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, label int")
+    weights, bias = toxicity.fit(docs, docs.select("doc_id", F.col("label").alias("toxic")), steps=200)
+    n, sets, y = 1 << toxicity.HASH_BITS, [grams_want(t) for _, t, _ in rows], np.array([c for *_, c in rows])
+    seen = np.zeros((2, n))
+    for keys, c in zip(sets, y, strict=True):
+        seen[c, list(keys)] += 1
+    ratio = np.log((seen[1] + 1) / (seen[1].sum() + n)) - np.log((seen[0] + 1) / (seen[0].sum() + n))
+    assert np.allclose(toxicity.log_ratios(seen[0], seen[1]), ratio)
+    used = sorted(set().union(*sets))
+    x = np.array([[ratio[k] if k in s else 0 for k in used] for s in sets])
+    w = weights[used] / ratio[used]
+    want = 1 / (1 + np.exp(-(x @ w + bias)))
+    got = {r.doc_id: r.score for r in toxicity.scores(docs, weights, bias).collect()}
+    assert np.allclose([got[i] for i, *_ in rows], want, atol=1e-5)
+    # The loss is convex: its gradient vanishes at the optimum alone.
+    slope = np.append((x.T @ (want - y) + w) / len(y), (want - y).mean())
+    assert np.abs(slope).max() < 1e-4 and not weights[np.setdiff1d(np.arange(n), used)].any()
+    fewer, _ = toxicity.fit(docs, docs.select("doc_id", F.col("label").alias("toxic")), least_docs=10, steps=5)
+    assert not fewer[(seen.sum(axis=0) < 10)].any() and fewer.any()
+
+
+def test_toxicity_with_repeated_ids(spark):
+    docs = spark.createDataFrame([(i % 7, f"good words {i}" if i % 7 else f"vile rotten {i}", 1) for i in range(70)] + [(None, "vile", 1)], "doc_id long, text string, label int")
+    labels = spark.createDataFrame([(i, int(i == 0)) for i in range(7)] + [(3, 0)], "doc_id long, toxic int")
+    assert toxicity.sampled(docs, labels, 100).count() == 7
+    got = toxicity.op2_toxicity(docs, labels).collect()
+    assert len(got) == 71 and {r.predicted for r in got if r.doc_id == 0} == {1} and {r.predicted for r in got if r.doc_id} == {0}
+
+
 def test_labels_of_held_out_rows_do_not_matter(spark):
     docs, labels = table(spark, SF, "documents"), table(spark, SF, "labels")
     turned = labels.withColumn("toxic", F.when(toxicity.fold() == 2, 1 - F.col("toxic")).otherwise(F.col("toxic")))
@@ -182,52 +238,140 @@ def test_lm_counts_and_scores(spark):
     assert sum(r.score for r in fresh) > sum(r.base_score for r in fresh)
 
 
-def test_predictive_probabilities_add_up(spark):
-    docs = spark.createDataFrame([(i, "a b c a b d e f g h a b") for i in range(5)] + [(9, "a c d")], "doc_id long, text string")
-    model = pitman_yor.train(docs)
-    words = ["a", "b", "c", "d", "e", "f", "g", "h"]
-    ask = spark.createDataFrame([(k, f"a {w}") for k, w in enumerate([*words, "zzz", ""])], "doc_id long, text string")
-    lone = spark.createDataFrame([(0, "a")], "doc_id long, text string")
-    got = {r.doc_id: r.score for r in model.scores(ask).collect()}
-    first = model.scores(lone).first().score
-    # P(a) P(w | a) P(end | w) for all words w: divide the ends out by asking for `x` and `a x`.
-    ends = {k: r for k, r in ((r.doc_id, r.score) for r in model.scores(spark.createDataFrame([(k, f"a {w} {w}") for k, w in enumerate(words)], "doc_id long, text string")).collect())}
-    assert all(x < 0 for x in got.values()) and first < 0 and all(ends[k] < got[k] for k in range(len(words)))
-
-
-def test_chance_is_a_distribution(spark):
-    docs = spark.createDataFrame([(i, "a b c a b d e f g h a b") for i in range(5)] + [(9, "a c d")], "doc_id long, text string")
-    model = pitman_yor.train(docs)
-    t, total = model.totals, np.zeros(3)
-    states = [pitman_yor.Dishes(r.blob, t) for r in model.state.select("blob").collect()]
+TWO = ["a b c a b d e f g h a b a b a b", "a c d c a b a a b b"]
+
+
+def lm_state(model):
+    """The model as plain dicts: customers and tables of each sample by (word, context), root tables by word."""
+    n, c, t, seats = len(model.totals.tables), {}, [{} for _ in model.totals.tables], [{} for _ in model.totals.tables]
+    for r in model.state.select("blob").collect():
+        b = pitman_yor.Bucket.read(bytes(r.blob))
+        assert (b.own.customers() == b.count[b.several]).all() and (b.own.size > 0).all() and len(b.kept) == 2 * n
+        for k in range(len(b.count)):
+            pair = (int(b.word[b.at[k]]), int(b.context[k]))
+            assert pair not in c
+            c[pair] = int(b.count[k])
+            for s in range(n):
+                t[s][pair] = int(b.kept[2 * s][k])
+        for s in range(n):
+            seats[s].update({int(w): int(x) for w, x in zip(b.word, b.kept[2 * s + 1], strict=True) if x})
+    return c, t, seats
+
+
+def test_model_matches_brute_force(spark):
+    model = pitman_yor.train(spark.createDataFrame(list(enumerate(TWO)), "doc_id long, text string"))
+    totals, (c, t, seats) = model.totals, lm_state(model)
     import pyarrow as pa
 
-    hashes = np.append(Words(pa.array([b"a b c d e f g h"], pa.binary())).hash, [pitman_yor.END, np.uint64(7)])
-    keys = {len(k.word) for k in states}
-    assert keys
-    head = t.head
-    for c in range(3):  # contexts of frequent words
-        context = np.full(len(hashes), c, np.uint32)
-        bucket = pitman_yor.bucket_of(hashes, context, head, len(model.keys))
-        by_key = {r.bucket: pitman_yor.Dishes(r.blob, t) for r in model.state.select("bucket", "blob").collect()}
-        for k in range(len(hashes)):
-            d = by_key.get(model.keys[bucket[k]], pitman_yor.Dishes(None, t))
-            total[c] += d.chance(hashes[k : k + 1], context[k : k + 1])[0][0]
-    assert np.allclose(total, 1, atol=0.02)
+    words = dict(zip("a b c d e f g h".split(), map(int, Words(pa.array([b"a b c d e f g h"], pa.binary())).hash), strict=True))
+    end, count = int(pitman_yor.END), Counter(w for x in TWO for w in [*x.split(), None])
+    assert totals.types == 9 and totals.tokens == sum(count.values()) == sum(c.values())
+    place = {int(h): k for k, h in enumerate(totals.head)}
+    begin = len(totals.head)
+    of = {None: end, **words}
+    pairs = Counter()
+    for x in TWO:
+        before = begin
+        for w in [*x.split(), None]:
+            pairs[of[w], before] += 1
+            before = place.get(of[w], -1)
+    assert pairs == Counter(c)
+
+    def chance(word, context):
+        """From customers and tables alone."""
+        total = 0
+        for s in range(len(t)):
+            root_c = {w: sum(x for (v, _), x in t[s].items() if v == w) for w in of.values()}
+            root_t = {w: seats[s].get(w, 0) for w in of.values()}
+            if word in root_t and not root_t[word]:  # a frequent word: its root tables are not in a bucket, so take its share as given
+                root = totals.head_root[s][place[word]]
+            else:
+                all_c, all_t = totals.root[s]
+                assert all_c == sum(root_c.values())
+                root = (max(root_c.get(word, 0) - totals.root_discount * root_t.get(word, 0), 0) + (pitman_yor.ROOT_STRENGTH + totals.root_discount * all_t) / (totals.types + 1)) / (pitman_yor.ROOT_STRENGTH + all_c)
+            size = sum(x for (_, v), x in c.items() if v == context)
+            tables = sum(x for (_, v), x in t[s].items() if v == context)
+            total += (max(c.get((word, context), 0) - totals.discount * t[s].get((word, context), 0), 0) + (pitman_yor.STRENGTH + totals.discount * tables) * root) / (pitman_yor.STRENGTH + size)
+        return total / len(t)
+
+    for context in {v for _, v in c} | {begin + 7}:
+        assert abs(sum(chance(w, context) for w in [*of.values(), 12345]) - 1) < 1e-9
+    asked = ["", "a", "b", "a b", "h h h", "zzz", "a zzz a", *TWO]
+    got = {r.doc_id: r.score for r in model.scores(spark.createDataFrame(list(enumerate(asked)), "doc_id long, text string")).collect()}
+    for i, x in enumerate(asked):
+        want, before = 0, begin
+        for w in [*x.split(), None]:
+            if w == "zzz":
+                code = int(Words(pa.array([b"zzz"], pa.binary())).hash[0])
+            else:
+                code = of[w]
+            want += math.log10(chance(code, before))
+            before = place.get(code, begin + 1 + (code >> 20) % pitman_yor.CLASSES)
+        assert abs(got[i] - want) < 1e-9
+
+
+def test_lm_scores_do_not_depend_on_partitions(spark):
+    docs = table(spark, SF, "documents").limit(150)
+    docs = spark.createDataFrame(docs.select("doc_id", "text").collect(), "doc_id long, text string")
+    found, before = [], spark.conf.get("spark.sql.shuffle.partitions")
+    for n in (2, 6):
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+        found.append({r.doc_id: r.score for r in pitman_yor.op3_lm_scoring(docs.repartition(n)).collect()})
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert all(abs(x - found[1][i]) < 1e-9 * abs(x) for i, x in found[0].items())
+
+
+def partitions_of(n):
+    """All ways for n customers to sit, as sorted table sizes, with how many ways there are."""
+    ways = Counter({(1,): 1})
+    for _ in range(n - 1):
+        more = Counter()
+        for sizes, k in ways.items():
+            more[tuple(sorted([*sizes, 1]))] += k
+            for j in range(len(sizes)):
+                more[tuple(sorted([*sizes[:j], sizes[j] + 1, *sizes[j + 1 :]]))] += k
+        ways = more
+    return ways
+
+
+def test_sweeps_keep_the_exact_distribution():
+    strength, d, p, n = 1.5, 0.4, 0.3, 20000
+    key = pitman_yor.keyed(np.arange(n, dtype=np.uint64), 5)
+    weight = {}
+    for sizes, k in partitions_of(5).items():
+        w = 1.0
+        for j, x in enumerate(sizes):
+            w *= (strength + d * j) * p * math.prod(i - d for i in range(1, x))
+        weight[sizes] = k * w
+    seats = pitman_yor.Seating(np.ones(n), np.full(n, 5))
+    for turn in range(12):
+        seats.sweep(strength + d * seats.count, np.full(n, p), d, key, turn)
+    ends = np.cumsum(seats.count)
+    got = Counter(tuple(sorted(seats.size[a:b].tolist())) for a, b in zip(ends - seats.count, ends, strict=True))
+    for sizes, w in weight.items():
+        assert abs(got[sizes] / n - w / sum(weight.values())) < 0.015
 
 
 def test_seating():
     rng = np.random.default_rng(0)
     c = np.array([1, 2, 5, 1000, 50000])
-    t = pitman_yor.reseat(c, np.full(5, 0.01), np.full(5, 50.0), 0.5, rng)
-    assert (t >= 1).all() and (t <= c).all() and t[0] == 1 and t[4] > t[3] > 1
-    assert (pitman_yor.reseat(c, np.zeros(5), np.full(5, 50.0), 0.5, rng) == 1).all()
+    key = pitman_yor.keyed(np.arange(5, dtype=np.uint64), 1)
+    s = pitman_yor.Seating.first(c, np.full(5, 0.5), 0.5, key)
+    assert (s.count >= 1).all() and (s.count <= c).all() and (s.customers() == c).all() and s.count[4] > 1 and (s.size > 0).all()
+    assert (pitman_yor.Seating.first(c, np.zeros(5), 0.5, key).count == 1).all()
     # The mean number of tables of n customers, against sitting down one by one.
-    one = [1] * 4000
-    for i in range(1, 60):
-        one = [k + (rng.random() < 2.0 * 0.3 / (2.0 * 0.3 + i - 0.5 * k)) for k in one]
-    many = pitman_yor.reseat(np.full(4000, 60), np.full(4000, 0.3), np.full(4000, 2.0), 0.5, rng)
-    assert abs(np.mean(one) - many.mean()) < 0.15
+    for size in (20, 300):
+        one = [1] * 4000
+        for i in range(1, size):
+            one = [k + (rng.random() < 0.6 / (0.6 + i - 0.5 * k)) for k in one]
+        many = pitman_yor.Seating.first(np.full(4000, size), np.full(4000, 0.6), 0.5, pitman_yor.keyed(np.arange(4000, dtype=np.uint64), 2))
+        assert abs(np.mean(one) - many.count.mean()) < 0.15
+    want = np.array([1, 5, 4, 1500, 50003])
+    after = s.adapt(want, np.full(5, 0.5), 0.5, key, 0)
+    assert (after.customers() == want).all() and (after.size > 0).all()
+    none = pitman_yor.Seating(np.zeros(0), np.zeros(0))
+    none.sweep(np.zeros(0), np.zeros(0), 0.5, np.zeros(0, np.uint64), 0)
+    assert len(none.customers()) == 0
 
 
 def test_lm_awkward(spark):
@@ -273,16 +417,67 @@ def test_chat_awkward(spark):
     assert chat_format.windows(none).count() == 0
 
 
-def test_chat_windows_keep_the_budget(spark):
-    rows = [(2, 0, "system", "be very kind"), *((2, k, ["user", "assistant"][k % 2], "w " * (k % 37)) for k in range(1, 200))]
+def windows_want(turns, budget, history, turn_tokens, span):
+    """(block, window, repeated turns, new turns) of one conversation, from the definition: turns are (role, text) in order."""
+    cost = [max(1, turn_tokens + len((x or "").split())) for _, x in turns]
+    at = [sum(cost[:k]) for k in range(len(turns))]
+    fixed, out, k = (cost[0] if turns[0][0] == "system" else 0), [], 0
+    while k < len(turns):
+        block, past = at[k] // (span * budget), 0
+        room = min(history, budget - fixed - cost[k])
+        while k - past > 0 and at[k] - at[k - past - 1] <= room:
+            past += 1
+        held = (fixed if k else 0) + at[k] - at[k - past]
+        again = list(range(k - past, k))
+        if k and fixed and 0 not in again:
+            again = [0, *again]
+        stop, end = k + 1, at[k] + budget - held
+        while stop < len(turns) and at[stop] // (span * budget) == block and at[stop] + cost[stop] <= end:
+            stop += 1
+        number = out[-1][1] + 1 if out and out[-1][0] == block else 0
+        out.append((block, number, [turns[j] for j in again], [turns[j] for j in range(k, stop)], sum(cost[j] for j in [*again, *range(k, stop)])))
+        k = stop
+    return out
+
+
+def test_chat_windows_match_brute_force(spark):
+    rng, talks = random.Random(12), {}
+    for c in range(40):
+        n, big = rng.choice([1, 2, 5, 30, 120]), rng.choice([3, 12, 24, 40])
+        turns = [(["user", "assistant"][k % 2], f"{c} {k} " + "w## \\ " * rng.randrange(big)) for k in range(n)]
+        talks[c] = [("system", "be very kind"), *turns] if c % 2 else turns
+    talks[90] = [("user", "a " * 15), ("assistant", "b " * 16), ("assistant", "c " * 16), ("user", "d " * 90)]  # turns of 19, 20, 20 tokens
+    rows = [(c, k, *t, "w", 1) for c, turns in talks.items() for k, t in enumerate(turns)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, window string, segment int")
+    esc = lambda x: x.replace("\\", "\\\\").replace("</turn>", "<\\/turn>").replace("##", "#\\#")
+    for budget, history, span in ((24, 20, 1), (40, 10, 2), (120, 30, 16), (64, 0, 4)):
+        got = {}
+        for w in chat_format.windows(df, budget=budget, history=history, turn_tokens=4, span=span).collect():
+            got.setdefault(w.conv_id, []).append((w.block, w.window, w.formatted, [(m.start, m.length) for m in w.mask], w["first"]))
+        for c, turns in talks.items():
+            want = []
+            for block, window, again, new, tokens in windows_want(turns, budget, history, 4, span):
+                assert tokens <= budget or len(new) == 1 and len(again) <= 1
+                text, mask, first = "", [], 0
+                for k, (role, x) in enumerate([*again, *new]):
+                    first = len(text) if k == len(again) else first
+                    text += f"### {role}: "
+                    if k >= len(again) and role == "assistant":
+                        mask.append((len(text), len(esc(x))))
+                    text += esc(x) + "</turn>\n"
+                want.append((block, window, text, mask, first))
+            assert sorted(got[c]) == want, (c, budget)
+
+
+def test_chat_parts_of_hot_conversations(spark):
+    """Rows without conv_id or turn, equal rows and one long conversation."""
+    rows = [(None, None, "user", "x y z")] * 300 + [(5, k, ["user", "assistant"][k % 2], f"t {k}") for k in range(2000)] + [(6, 1, "assistant", "w " * 5000)]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
-    out = chat_format.windows(df, budget=120, history=30, turn_tokens=4).orderBy("segment", "window").collect()
-    assert len(out) > 20
-    for w in out:
-        turns = w.formatted.split("</turn>\n")[:-1]
-        assert sum(4 + len(t.split(": ", 1)[1].split()) for t in turns) <= 120
-        assert turns[0].startswith("### system: ") and sum(t.startswith("### system: ") for t in turns) == 1
-        assert all(m.start >= w["first"] or w.window == 0 for m in w.mask)
+    out = chat_format.placed(df, 4, chat_format.word_tokens)
+    got = sorted(r["at"] for r in out.where("conv_id is null").collect())
+    assert got == [7 * k for k in range(300)]
+    assert {r.conv_id: tuple(r)[1:5] for r in chat_format.op4_chat_format(df).collect()} == chat_want(rows)
+    assert chat_format.windows(df, budget=100, history=50, span=2).where("conv_id = 5").count() > 100
 
 
 # ---------------------------------------------------------------- 8
