@@ -18,6 +18,18 @@ def host(url: Column | str) -> Column:
     return F.regexp_replace(found, r"^www\.", "")
 
 
+def with_scheme(url: Column | str) -> Column:
+    """An address as people write it, with https if it has no scheme."""
+    u = F.trim(col(url))
+    return F.when(F.contains(u, F.lit("://")), u).otherwise(F.concat(F.lit("https://"), u))
+
+
+def site_host(url: Column | str) -> Column:
+    """The host of a website on file, which may lack a scheme; empty if there is none."""
+    u = col(url)
+    return F.when(F.trim(u) == "", "").otherwise(host(with_scheme(u)))
+
+
 def bare_domain(url: Column | str) -> Column:
     """Scheme and every `www.` removed, up to the first slash."""
     plain = F.lower(col(url))

@@ -58,6 +58,13 @@ FINE_WORDS = ("fine dining", "michelin", "tasting menu", "french", "brasserie",
 BAD_TITLES = ("housekeep", "security", "loss prevention", "accounting", "accountant", "finance", "payroll", "laundry", "steward", "engineer", "maintenance", "it ", "information technology", "purchasing", "procurement", "human resource", " hr ", "recruiter", "recruitment", "talent acquisition", "spa ", "spa manager", "spa director", "esthetician", "massage")
 DECISION_WORDS = ("owner", "founder", "president", "partner", "director", "manager", "general manager", "gm", "ceo", "coo", "events", "entertainment", "booking", "operations", "chef", "proprietor", "managing", "beverage")
 HARD_REJECT_MAIL = ("noreply@", "no-reply@", "webmaster@", "billing@", "dataremoval@", "privacy@", "careers@", "jobs@", "hr@", "mailer-daemon@", "postmaster@")
+ROLE_LOCALS = ("info", "manager", "admin", "office", "contact", "sales", "events", "event", "privateevents", "private-events", "hello", "support", "reservations", "booking", "bookings", "frontdesk", "catering", "groups", "weddings", "meetings", "eat", "dine", "host", "general", "mail")
+ROLE_NAMES = ("manager", "admin", "owner", "chef", "host", "staff", "catering", "events", "private events", "general", "front desk", "reception")
+LOW_TITLES = ("server", "waiter", "waitress", "hostess", "host", "busser", "bartender", "dishwasher", "line cook", "prep cook", "barback")
+JUNK_WEBSITES = ("facebook.com", "instagram.com", "yelp.com", "tripadvisor.com", "google.com", "wikipedia.org", "twitter.com", "youtube.com", "linkedin.com", "zoominfo.com", "wix.com", "squarespace.com", "fandom.com", "res-menu.net")
+SLUG_STOP_WORDS = ("the", "and", "bar", "inn", "club")
+REPORT_FREE_MAIL = ("gmail.com", "yahoo.com", "outlook.com", "hotmail.com", "aol.com")
+SAFE_CATEGORIES = ("hotel", "country_club", "private_club", "yacht_club", "wine_bar", "winery")
 FREE_MAIL = ("gmail.com", "yahoo.com", "outlook.com", "hotmail.com", "aol.com", "icloud.com")
 ROOM_NAMES = ("cottage", "apartment", "vacation rental", "retreat", "bedroom", "airbnb", "vrbo", "walk to", "screened porch", "historic house", "king room", "queen room", "deluxe room", "suite -", "one-bedroom", "ice cream", "gelato", "frozen yogurt", "toastique", "sweets", "clubhouse and pool", "clubhouse & pool", " pub", "irish pub", "liquor", "wine & spirits", "wine and spirits", "spirits", " cafe", "cafe ", "bakery", "pastry", "patisserie", "slice", "cupcake", "donut", "bagel", "smoothie", "juice bar", "acai", "poke bowl", "bubble tea", "boba")
 SWEET_CITIES = ("washington", "georgetown", "dupont", "alexandria", "mclean", "great falls", "bethesda", "chevy chase", "potomac", "annapolis", "easton", "st. michaels", "st michaels", "charlottesville", "middleburg", "leesburg", "wilmington", "greenville")

@@ -54,7 +54,7 @@ def other_domain_mailboxes(pages: DataFrame, vendor_domain: str, site_domain: st
 
 def swept_mailboxes(pages: DataFrame, sites: DataFrame, paths: tuple[str, ...]) -> DataFrame:
     """Mailboxes of the fetched pages of each site that are a fixed path or have a keyword in their address."""
-    own = sites.select("venue_id", text.host("website").alias("_h"))
+    own = sites.select("venue_id", text.site_host("website").alias("_h"))
     chosen = pages.where(text.path("url").isin(*paths) | (text.url_score("url") < len(vocab.PAGE_KEYWORDS)))
     rows = chosen.join(own, text.host("url") == F.col("_h")).select("venue_id", "url", F.explode(text.emails("html")).alias("email"))
     return rows.groupBy("venue_id", "email").agg(F.min("url").alias("first_url"), F.count_distinct("url").alias("n_sources"))

@@ -5,16 +5,70 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import vocab
+from ..functions.coerce import number_or, text
 from ..functions.rules import role_mailbox
-from ..functions.text import bare_domain, extension, step_map
+from ..functions.text import col, step_map
 
 
 def insert_absent(table: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows of new whose keys are not in the table; of equal new rows the first by _ord."""
+    """Rows of new whose keys are not in the table; of equal new rows the first by _ord."""
     first = new.withColumn("_rn", F.row_number().over(Window.partitionBy(*keys).orderBy("_ord"))).where("_rn = 1").drop("_rn")
     return first.join(table.select(*keys).distinct(), keys, "left_anti")
 
 
+def _site(c: str) -> Column:
+    """The domain that W1 compares: less scheme, one leading `www.` and path."""
+    return F.lower(F.split_part(F.regexp_replace(F.regexp_replace(F.coalesce(F.col(c), F.lit("")), "^https?://", ""), r"^www\.", ""), F.lit("/"), F.lit(1)))
+
+
+def numbered_ids(table: DataFrame, new: DataFrame, id_: str, prefix: Column, order: str) -> DataFrame:
+    """new with ids of a prefix and the next numbers after the highest that the table has for it, three digits at least; ids given stay."""
+    top = table.select(F.regexp_extract(id_, r"^(.*-)([0-9]+)[^-]*$", 1).alias("_p"), F.regexp_extract(id_, r"^(.*-)([0-9]+)[^-]*$", 2).try_cast("long").alias("_n")).where("_p <> ''").groupBy("_p").agg(F.max("_n").alias("_top"))
+    rows = new.withColumn("_prefix", prefix).withColumn("_blank", F.coalesce(F.col(id_), F.lit("")) == "")
+    rank = F.count_if("_blank").over(Window.partitionBy("_prefix").orderBy(order).rowsBetween(Window.unboundedPreceding, 0))
+    rows = rows.withColumn("_rank", rank).join(top, F.col("_prefix") == F.col("_p"), "left")
+    number = (F.coalesce("_top", F.lit(0)) + F.col("_rank")).cast("string")
+    padded = F.when(F.length(number) >= 3, number).otherwise(F.lpad(number, 3, "0"))
+    return rows.withColumn(id_, F.when(F.col("_blank"), F.concat("_prefix", padded)).otherwise(F.col(id_))).drop("_prefix", "_blank", "_rank", "_p", "_top")
+
+
+def insert_venues(venues: DataFrame, new: DataFrame) -> DataFrame:
+    """Rows of new, in order of _ord, that are no duplicates of venues on file or of earlier rows, with ids and defaults.
+
+    A duplicate has the same name (lower-cased, trimmed) and the same city, or the same domain. Rows of a name are
+    folded in order over the cities and domains that the name has, so that a row that is not inserted makes no other a duplicate.
+    """
+    name, city = F.lower(F.trim(F.coalesce("name", F.lit("")))), F.lower(F.trim(F.coalesce("city", F.lit(""))))
+    keyed = new.withColumns({"_name": name, "_city": city, "_domain": _site("website")})
+    known = venues.withColumn("_name", name).join(keyed.select("_name").distinct(), "_name", "left_semi").groupBy("_name").agg(F.collect_set(city).alias("_cities"), F.collect_set(_site("website")).alias("_domains"))
+    groups = keyed.groupBy("_name").agg(F.sort_array(F.collect_list(F.struct("_ord", "_city", "_domain"))).alias("_rows")).join(known, "_name", "left")
+    none = F.array().cast("array<string>")
+    begin = F.struct(F.coalesce("_cities", none).alias("cities"), F.coalesce("_domains", none).alias("domains"), F.array().cast("array<bigint>").alias("kept"))
+
+    def step(a: Column, x: Column) -> Column:
+        twice = F.array_contains(a.cities, x["_city"]) | ((x["_domain"] != "") & F.array_contains(a.domains, x["_domain"]))
+        add = lambda held, value: F.when(twice, held).otherwise(F.array_append(held, value))
+        return F.struct(add(a.cities, x["_city"]).alias("cities"), add(a.domains, x["_domain"]).alias("domains"), add(a.kept, x["_ord"].cast("long")).alias("kept"))
+
+    kept = groups.select(F.explode(F.aggregate("_rows", begin, step, lambda a: a.kept)).alias("_ord"))
+    rows = new.join(kept, "_ord", "left_semi")
+    state, category = text("state", "XX"), text("category", "OTHER")
+    prefix = F.concat(F.upper(state), F.lit("-"), F.substring(F.upper(category), 1, 4), F.lit("-"))
+    typed = {"state": F.upper(F.coalesce("state", F.lit(""))), "zone_priority": text("zone_priority", "default"), "status": text("status", "untouched"), "upscale_score": number_or("upscale_score", 3)}
+    return numbered_ids(venues, rows, "venue_id", prefix, "_ord").withColumns({k: c for k, c in typed.items() if k in new.columns})
+
+
+def insert_contacts(contacts: DataFrame, new: DataFrame) -> DataFrame:
+    """Rows of new (with is_generic) that pass F20 and whose mailbox the venue does not have yet, with ids and defaults; a role's mailbox gets a name from it."""
+    passed = new.where(contact_reject("name", "email", "is_generic").isNull())
+    label = F.initcap(F.regexp_replace(F.split_part("email", F.lit("@"), F.lit(1)), "[._-]+", " "))
+    named = passed.withColumn("name", F.when(F.trim("name") == "", F.coalesce(F.nullif(F.trim(label), F.lit("")), F.lit("Venue Contact"))).otherwise(F.col("name")))
+    mail = lambda d: d.withColumn("_mail", F.lower(F.coalesce("email", F.lit(""))))
+    fresh = insert_absent(mail(contacts), mail(named), ["venue_id", "_mail"]).drop("_mail", "is_generic")
+    return numbered_ids(contacts, fresh, "contact_id", F.lit("C-"), "_ord").withColumns({"verified": text("verified", "valid"), "email_sent": F.lit("false")})
+
+
 def merge(table: DataFrame, updates: DataFrame, key: str) -> DataFrame:
     """Updates replace rows of the same key, others are added; the last update of a key wins."""
     last = updates.withColumn("_rn", F.row_number().over(Window.partitionBy(key).orderBy(F.desc("_ord")))).where("_rn = 1").drop("_rn")
@@ -24,17 +78,18 @@ def merge(table: DataFrame, updates: DataFrame, key: str) -> DataFrame:
 def fold_changes(table: DataFrame, changes: DataFrame, key: str, fields: list[str]) -> DataFrame:
     """The latest value of each field of each key in a log (key, field, value, _ord); unknown fields are ignored.
 
-    A change to status `contacted` also stamps `contacted_at`, any other status clears it.
+    A change to status `contacted` also stamps `contacted_at`, one to `untouched` clears it; other statuses leave it.
     """
     latest = lambda f: F.max_by("value", F.when(F.col("field") == f, F.col("_ord")))
     seen = lambda f: F.bool_or(F.col("field") == f)
-    folded = changes.where(F.col("field").isin(*fields)).groupBy(key).agg(*(latest(f).alias(f"_new_{f}") for f in fields), *(seen(f).alias(f"_set_{f}") for f in fields), F.max_by("at", F.when(F.col("field") == "status", F.col("_ord"))).alias("_at"))
+    folded = changes.where(F.col("field").isin(*fields)).groupBy(key).agg(*(latest(f).alias(f"_new_{f}") for f in fields), *(seen(f).alias(f"_set_{f}") for f in fields), F.max_by(F.struct("value", "at"), F.when((F.col("field") == "status") & F.col("value").isin("contacted", "untouched"), F.col("_ord"))).alias("_new_at"))
     out = table.join(folded, key, "left")
     for f in fields:
         out = out.withColumn(f, F.when(F.col(f"_set_{f}"), F.col(f"_new_{f}")).otherwise(F.col(f)))
     if "status" in fields:
-        out = out.withColumn("contacted_at", F.when(F.col("_set_status") & (F.col("status") == "contacted"), F.col("_at")))
-    return out.drop(*[c for c in out.columns if c.startswith(("_new_", "_set_"))], "_at")
+        before = F.col("contacted_at") if "contacted_at" in table.columns else F.lit(None)
+        out = out.withColumn("contacted_at", F.when(F.col("_new_at").isNull(), before).when(F.col("_new_at.value") == "contacted", F.col("_new_at.at")))
+    return out.drop(*[c for c in out.columns if c.startswith(("_new_", "_set_"))])
 
 
 def cascade_delete(venues: DataFrame, contacts: DataFrame, gone: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -59,16 +114,42 @@ def next_ids(table: DataFrame, id_: str) -> DataFrame:
 
 
 def website_reject(url: Column | str) -> Column:
-    """why a website is not accepted, or null."""
-    u = F.col(url) if isinstance(url, str) else url
-    return F.when(u.contains("|"), "several").when(extension(u).isin("png", "jpg", "gif", "svg", "css", "js", "ico"), "asset").when(bare_domain(u).isin("facebook.com", "instagram.com", "google.com"), "junk domain")
-
-
-def contact_reject(name: Column | str, email: Column | str, allow_role: bool = False) -> Column:
-    """why a contact is not accepted, or null."""
-    n = F.lower(F.trim(F.col(name) if isinstance(name, str) else name))
-    role = F.lit(False) if allow_role else role_mailbox(email)
-    return F.when(F.col(email) == "", "no mailbox").when(role, "role mailbox").when(n == "", "no name").when(n.isin("info", "events", "manager", "general manager", "sales", "owner"), "role as name")
+    """why a website is not accepted, or null; an empty one is."""
+    u = col(url)
+    return F.when(u.rlike(r"(?i)\.(ico|png|jpg|jpeg|gif|svg|css|js)(\?|$)"), "asset").when(F.contains(u, F.lit("|")), "several").when(vocab.any_of(F.lower(u), vocab.JUNK_WEBSITES), "junk domain")
+
+
+def contact_reject(name: Column | str, email: Column | str, is_generic: Column | str | None = None) -> Column:
+    """why a contact is not accepted, or null; a role's mailbox must be marked as generic, and then needs no person's name."""
+    n, marked = F.trim(F.coalesce(col(name), F.lit(""))), F.coalesce(col(is_generic), F.lit(False)) if is_generic is not None else F.lit(False)
+    local = F.lower(F.split_part(F.coalesce(col(email), F.lit("")), F.lit("@"), F.lit(1)))
+    return F.when(~marked & local.isin(*vocab.ROLE_LOCALS), "role mailbox").when(~marked & (n == ""), "no name").when(~marked & F.lower(n).isin(*vocab.ROLE_NAMES), "role as name")
+
+
+def repaired(venues: DataFrame, issues: DataFrame) -> DataFrame:
+    """The safe part of the issues of C12 applied: sure categories, and directory pages as websites taken out for review."""
+    sure = issues.where("confidence = 'high'")
+    kinds = sure.where((F.col("issue") == "category") & F.col("suggested").isin(*vocab.SAFE_CATEGORIES)).select("venue_id", F.col("suggested").alias("_kind"))
+    pages = sure.where("issue = 'website_directory'").select("venue_id", F.lit(True).alias("_page"))
+    out = venues.join(kinds, "venue_id", "left").join(pages, "venue_id", "left")
+    changed = {"category": F.coalesce("_kind", "category"), "website": F.when(F.col("_page"), "").otherwise(F.col("website")), "status": F.when(F.col("_page"), "needs_review").otherwise(F.col("status"))}
+    return out.withColumns(changed).drop("_kind", "_page")
+
+
+def rated(gigs: DataFrame, changes: DataFrame) -> DataFrame:
+    """Gigs with the values that changes (gig_id and any of their columns) give; empty and zero ones leave what is there, and overall is the mean of what results."""
+    from .relational import gig_overall
+
+    given = [c for c in changes.columns if c != "gig_id" and c in gigs.columns]
+    new = changes.select("gig_id", *(F.col(c).alias(f"_new_{c}") for c in given))
+    kinds, out = dict(gigs.dtypes), gigs.join(new, "gig_id", "left")
+    for c in given:
+        value = F.nullif(F.col(f"_new_{c}"), F.lit("") if kinds[c] == "string" else F.lit(0))
+        out = out.withColumn(c, F.coalesce(value.cast(kinds[c]), c))
+    mean = gig_overall("rating_tips", "rating_rebooked", "rating_audience", "rating_venue_quality", on_insert=False)
+    touched = changes.select(F.col("gig_id").alias("_g")).distinct()
+    out = out.join(touched, F.col("gig_id") == F.col("_g"), "left")
+    return out.withColumn("overall", F.when(F.col("_g").isNotNull(), mean).otherwise(F.col("overall"))).drop("_g", *(f"_new_{c}" for c in given))
 
 
 def saved_step(check_status: Column | str, step: Column, status: Column) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import emails, host, links, normalize_url, resolve, socials, url_class, url_score
@@ -17,17 +17,24 @@ def edges(pages: DataFrame) -> DataFrame:
     return found.select(normalize_url("url", False).alias("src"), normalize_url("target", False).alias("dst"), F.regexp_extract("target", r"#(.+)$", 1).alias("fragment")).where("dst is not null")
 
 
-def crawl(pages: DataFrame, seeds: DataFrame, depth: int = 3) -> DataFrame:
+def crawl(pages: DataFrame, seeds: DataFrame, depth: int = 3, max_pages: int | None = None) -> DataFrame:
     """G2 by depth: url and the least depth at which links from the seeds reach it, within the seed's host.
 
-    Each level is one join of the last level with the links, less what is reached before. The reference order of a
-    best-first budget couples all hosts and is not reproduced: every page within the depth is reached.
+    Each level is one join of the last level with the links, less what is reached before. With `max_pages` a host has a
+    budget: of a level the best by (score, length, address) enter while there is room. That is best-first within a
+    level; an order over all levels would make every step wait for the one before.
     """
     links_ = cut(edges(pages).where(host("src") == host("dst")).select("src", "dst").distinct(), "links")
     reached = front = cut(seeds.select(normalize_url("url", False).alias("url")).distinct().withColumn("depth", F.lit(0)), "front")
     for level in range(1, depth + 1):
         step = front.join(links_, front.url == links_.src).select(F.col("dst").alias("url")).distinct()
-        front = cut(step.join(reached.select("url"), "url", "left_anti").withColumn("depth", F.lit(level)), "front")
+        step = step.join(reached.select("url"), "url", "left_anti").withColumn("depth", F.lit(level))
+        if max_pages is not None:
+            used = reached.groupBy(host("url").alias("_h")).agg(F.count("*").alias("_used"))
+            best = F.row_number().over(Window.partitionBy("_h").orderBy(url_score("url"), F.length("url"), "url"))
+            step = step.withColumn("_h", host("url")).join(used, "_h", "left").withColumn("_rn", best)
+            step = step.where(F.col("_rn") <= max_pages - F.coalesce("_used", F.lit(0))).drop("_h", "_used", "_rn")
+        front = cut(step, "front")
         if front.isEmpty():
             break
         reached = reached.unionByName(front)
@@ -40,11 +47,12 @@ def unvisited(pages: DataFrame) -> DataFrame:
     return edges(pages).groupBy("dst").agg(F.count_distinct("src").alias("n_sources")).join(have, "dst", "left_anti").withColumns({"kind": url_class("dst"), "score": url_score("dst")})
 
 
-def provenance(pages: DataFrame) -> DataFrame:
-    """Mailboxes and profiles with the number of pages they stand on."""
+def provenance(pages: DataFrame, listed: int = 20) -> DataFrame:
+    """Mailboxes and profiles with the number of pages they stand on, and the first `listed` of these in order."""
     one = lambda kind, c: pages.select("url", F.lit(kind).alias("kind"), F.explode(c("html")).alias("entity"))
     rows = reduce(DataFrame.unionByName, [one("email", emails), one("social", socials)])
-    return rows.groupBy("kind", "entity").agg(F.count_distinct("url").alias("n_sources"), F.min("url").alias("first_url"))
+    once = rows.distinct().withColumn("_rn", F.row_number().over(Window.partitionBy("kind", "entity").orderBy("url")))
+    return once.groupBy("kind", "entity").agg(F.count("*").alias("n_sources"), F.min("url").alias("first_url"), F.array_sort(F.collect_list(F.when(F.col("_rn") <= listed, F.col("url")))).alias("sources"))
 
 
 def host_coverage(pages: DataFrame) -> DataFrame:

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.coerce import number_or, round_half_up, sent_state, text, upper_median
+from ..functions.coerce import number_or, round_half_up, sent_state, text
+from ..sources.shared import cut
 
 SENDABLE = ("valid", "catch-all", "unknown")
 
@@ -104,16 +105,30 @@ def anti_by_id(venues: DataFrame, gigs: DataFrame) -> DataFrame:
 
 
 def contained_names(own: DataFrame, other: DataFrame) -> DataFrame:
-    """The names of `own` (name) that hold, or are held in, a name of `other` (name): distinct, not empty.
+    """The names of `own` (name) that hold, or are held in, a name of `other` (name): distinct, not empty."""
+    x, y = own.select(F.col("name").alias("x")), other.select(F.col("name").alias("y"))
+    holds = _held(y, "y", x, "x").select(F.col("x").alias("name"))
+    return holds.unionByName(_held(x, "x", y, "y").select(F.col("x").alias("name"))).distinct()
+
 
-    A name held in another starts with characters that the other has somewhere, so its first three are an equi-join key
-    against all runs of up to three of the other; a match is verified. No side is compared with all of the other.
+def _held(short: DataFrame, s: str, long: DataFrame, t: str) -> DataFrame:
+    """Pairs (s, t) of distinct names where s occurs in t.
+
+    Every run of three characters of s must occur in t, so that the rarest of them is the key; names of one or two
+    characters are their own key. Matches by key are verified.
     """
-    runs = lambda c: F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(1), F.length(c)), lambda i: F.array(*(F.col(c).substr(i, F.lit(n)) for n in (1, 2, 3))))))
-    x, y = own.select(F.col("name").alias("x")), other.select(F.col("name").alias("y"))
-    holds = x.select("x", F.explode(runs("x")).alias("k")).join(y.select("y", F.substring("y", 1, 3).alias("k")), "k").where(F.contains("x", "y"))
-    held = y.select("y", F.explode(runs("y")).alias("k")).join(x.select("x", F.substring("x", 1, 3).alias("k")), "k").where(F.contains("y", "x"))
-    return holds.select(F.col("x").alias("name")).unionByName(held.select(F.col("x").alias("name"))).distinct()
+    grams = lambda c, n: F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(c) - n + 1), lambda i: F.col(c).substr(i, F.lit(n))))
+    runs = long.where(F.length(t) >= 3).select(t, F.explode(grams(t, 3)).alias("k"))
+    often = runs.groupBy("k").agg(F.count("*").alias("often"))
+    asked = short.where(F.length(s) >= 3).select(s, F.explode(grams(s, 3)).alias("k")).join(often, "k", "left")
+    # A run that no long name has leaves nothing to find, and is the rarest.
+    rarest = asked.groupBy(s).agg(F.min_by("k", F.struct(F.coalesce("often", F.lit(0)).alias("n"), "k")).alias("k"))
+    found = rarest.join(runs, "k").where(F.contains(t, F.col(s)))
+    both = found.select(s, t)
+    for n in (1, 2):
+        tiny = short.where(F.length(s) == n).select(s, F.col(s).alias("k"))
+        both = both.unionByName(tiny.join(long.where(F.length(t) >= n).select(t, F.explode(grams(t, n)).alias("k")), "k").select(s, t))
+    return both
 
 
 def anti_by_name(venues: DataFrame, gigs: DataFrame) -> DataFrame:
@@ -144,7 +159,8 @@ def action_needed(venues: DataFrame, contacts: DataFrame, outreach: DataFrame, g
 
 def gig_profile(gigs: DataFrame) -> DataFrame:
     """Mean, upper median distance, half range (15 at least), mean quality in one row."""
-    d = upper_median(F.collect_list("distance_miles"))
+    # The upper median is the lower one of the negated values; counts of values are what is held, not rows.
+    d = -F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY -distance_miles)")
     half = F.when(F.count("distance_miles") > 1, (F.max("distance_miles") - F.min("distance_miles")) / 2).otherwise(30.0)
     return gigs.agg(F.count("*").alias("n_gigs"), F.avg("overall").alias("avg_overall"), F.coalesce(d, F.lit(50.0)).alias("median_distance"), F.greatest(half, F.lit(15.0)).alias("spread"), F.avg(number_or("rating_venue_quality", 3)).alias("avg_upscale"))
 
@@ -214,6 +230,25 @@ def renumbered(rows: DataFrame, key: str, order: str) -> DataFrame:
     nth = F.row_number().over(Window.partitionBy(key).orderBy(order))
     marked = rows.withColumn("_nth", nth)
     top = rows.agg(F.max(key).alias("_top"))
-    fresh = marked.where("_nth > 1").withColumn("_run", F.row_number().over(Window.orderBy(order, key, "_nth")))
-    fixed = fresh.join(F.broadcast(top)).withColumn(f"new_{key}", F.col("_top") + F.col("_run"))  # one row
-    return marked.where("_nth = 1").withColumn(f"new_{key}", F.col(key)).drop("_nth").unionByName(fixed.drop("_nth", "_run", "_top"))
+    # Ranges of the order are numbered apart and shifted by the rows of the ranges before, one row a range.
+    fresh = cut(marked.where("_nth > 1").repartitionByRange(order, key, "_nth").withColumn("_part", F.spark_partition_id()), "repeated")
+    sizes = fresh.groupBy("_part").agg(F.count("*").alias("_n"))
+    before = sizes.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_before"))
+    inside = F.row_number().over(Window.partitionBy("_part").orderBy(order, key, "_nth"))
+    fixed = fresh.withColumn("_in", inside).join(before, "_part").join(F.broadcast(top)).withColumn(f"new_{key}", F.col("_top") + F.col("_before") + F.col("_in"))  # one row
+    return marked.where("_nth = 1").withColumn(f"new_{key}", F.col(key)).drop("_nth").unionByName(fixed.drop("_nth", "_part", "_in", "_before", "_top"))
+
+
+def word_index(rows: DataFrame, words: Column, top: int = 30, listed: int = 20) -> DataFrame:
+    """A12 in full: the most frequent words with the first `listed` rows that hold each, in order."""
+    best = word_counts(rows, words, top)
+    holders = rows.select("_ord", F.explode(F.array_distinct(words)).alias("word")).join(F.broadcast(best), "word")  # top rows
+    nth = F.row_number().over(Window.partitionBy("word").orderBy("_ord"))
+    first = holders.withColumn("_rn", nth).where(F.col("_rn") <= listed)
+    return first.groupBy("word", "n", "n_rows").agg(F.sort_array(F.collect_list("_ord")).alias("rows"))
+
+
+def top_map(rows: DataFrame, by: Column, top: int = 10) -> DataFrame:
+    """The most frequent values as one map from value to count; ties by the value."""
+    best = rows.groupBy(by.alias("k")).agg(F.count("*").alias("n")).where("k is not null").orderBy(F.desc("n"), "k").limit(top)
+    return best.agg(F.map_from_entries(F.transform(F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("o"), "k", "n"))), lambda x: F.struct(x.k, x.n))).alias("counts"))

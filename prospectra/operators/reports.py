@@ -23,11 +23,18 @@ def log_flags(line: Column | str) -> Column:
     return F.filter(F.array(one(t.rlike(r"\[WARN\]"), "warning"), one(t.rlike(r"\[LOOKUP\] Found: \S*(facebook|yelp|tripadvisor)"), "bad lookup"), one(t.rlike(r"No website"), "no site")), lambda x: x.isNotNull())
 
 
-def venue_flags(contacts: DataFrame) -> DataFrame:
-    """Of each venue's parsed contacts, what a reader should look at, joined in a fixed order."""
-    counts = contacts.groupBy("venue_id").agg(F.count("*").alias("n"), F.count_if(F.col("verified") == "valid").alias("n_valid"), F.count_if(F.col("email") == "").alias("n_blank"))
-    flags = F.array(F.when(F.col("n_valid") == 0, "none valid"), F.when(F.col("n_blank") > 0, "blank mailbox"), F.when(F.col("n") > 20, "many contacts"))
-    return counts.select("venue_id", F.array_join(F.filter(flags, lambda x: x.isNotNull()), "; ").alias("flags")).where("flags <> ''")
+def venue_flags(venues: DataFrame, contacts: DataFrame) -> DataFrame:
+    """Of each venue what a reader should look at, joined in order: no contacts, none verified, mailboxes of other domains."""
+    site = F.when(F.contains("website", F.lit("//")), F.lower(F.replace(F.split_part(F.split_part("website", F.lit("//"), F.lit(2)), F.lit("/"), F.lit(1)), F.lit("www."), F.lit("")))).otherwise("")
+    less = lambda c: F.regexp_replace(c, r"\.[^.]*$", "")
+    rows = contacts.join(venues.select("venue_id", site.alias("_site")), "venue_id")
+    own = F.when(F.contains("email", F.lit("@")), F.lower(F.split_part("email", F.lit("@"), F.lit(2)))).otherwise("")
+    off = (F.col("_site") != "") & (own != "") & (own != F.col("_site")) & (less(own) != less(F.col("_site"))) & ~own.isin(*vocab.REPORT_FREE_MAIL)
+    odd = F.sort_array(F.collect_list(F.when(off, F.struct("_ord", F.concat(F.lit("Off-domain email: "), "email", F.lit(" (venue: "), "_site", F.lit(")")).alias("x")))))
+    found = rows.groupBy("venue_id").agg(F.array_sort(F.collect_set("verified")).alias("statuses"), odd.alias("odd"))
+    none = F.when(~F.array_contains("statuses", "valid"), F.array(F.concat(F.lit("No verified emails — only "), F.array_join("statuses", ", ")))).otherwise(F.array().cast("array<string>"))
+    flags = F.when(F.col("statuses").isNull(), "No contacts found").otherwise(F.array_join(F.concat(none, F.col("odd.x")), "; "))
+    return venues.select("venue_id").join(found, "venue_id", "left").select("venue_id", flags.alias("flags")).where("flags <> ''")
 
 
 def report_totals(contacts: DataFrame, credits: DataFrame) -> DataFrame:

@@ -27,10 +27,9 @@ def people_filter(name: Column | str, title: Column | str, current: Column, skip
     return current & ~vocab.any_of(t, skip) & vocab.any_of(t, keep) & (F.size(parts) >= 2) & (F.length(F.element_at(parts, -1)) > 2) & ~n.contains("***")
 
 
-def low_value(title: Column | str, listed: tuple[str, ...] = ("server", "host", "hostess", "bartender", "busser", "cook", "dishwasher")) -> Column:
-    """F16: titles that are exactly one of a list."""
-    t = F.lower(F.trim(F.coalesce(col(title), F.lit(""))))
-    return F.when(t.isin(*listed), "SKIP").when(t == "", "LOG").otherwise("ENRICH")
+def low_value(title: Column | str, has_email: Column, listed: tuple[str, ...] = vocab.LOW_TITLES) -> Column:
+    """F16: titles that are exactly one of a list are skipped, others enriched if there is a mailbox, else logged."""
+    return F.when(F.lower(F.coalesce(col(title), F.lit(""))).isin(*listed), "SKIP").when(has_email, "ENRICH").otherwise("LOG")
 
 
 def near_state(location: Column | str, state: Column | str) -> Column:
@@ -45,10 +44,15 @@ def near_state(location: Column | str, state: Column | str) -> Column:
 
 
 def social_evidence(value: Column | str, name: Column | str, site: Column | str, force: Column | bool = False) -> Column:
-    """a profile is accepted if its slug shares a word with the name or the site's domain, or if forced."""
-    slug = F.lower(F.regexp_extract(F.regexp_replace(col(value), "/+$", ""), "([^/]*)$", 1))
+    """a full address whose slug holds a word of the name or the site's domain, or holds or is held in the name; or any if forced."""
+    flat = lambda c: F.regexp_replace(F.lower(F.coalesce(c, F.lit(""))), "[^a-z0-9]", "")
+    v, n = F.coalesce(col(value), F.lit("")), F.coalesce(col(name), F.lit(""))
+    slug = flat(F.regexp_extract(F.regexp_replace(v, "/+$", ""), "([^/]*)$", 1))
     base = F.split_part(text.bare_domain(site), F.lit("."), F.lit(1))
-    return F.lit(force) | rules.handle_matches(name, slug) | ((base != "") & (F.contains(slug, base) | F.contains(base, slug)))
+    own = F.filter(F.split(F.regexp_replace(F.lower(n), "[^a-z0-9 ]", ""), " "), lambda w: (F.length(w) > 2) & ~w.isin(*vocab.SLUG_STOP_WORDS))
+    whole = (flat(n) != "") & (slug != "") & (F.contains(flat(n), slug) | F.contains(slug, flat(n)))
+    fits = F.exists(own, lambda w: F.contains(slug, w)) | ((base != "") & F.contains(slug, base)) | whole
+    return (F.startswith(v, F.lit("http")) | F.startswith(v, F.lit("//"))) & (F.lit(force) | fits)
 
 
 def social_reject(value: Column | str, kind: str) -> Column:
@@ -178,9 +182,9 @@ def without_fallback(venues: DataFrame, saved: DataFrame) -> DataFrame:
 
 def resolved_ids(requests: DataFrame, venues: DataFrame) -> DataFrame:
     """Unknown ids by the first venue of the same host."""
-    by_host = venues.where("website <> ''").groupBy(text.host("website").alias("_h")).agg(F.min_by("venue_id", "_ord").alias("_id"))
+    by_host = venues.where("website <> ''").groupBy(text.site_host("website").alias("_h")).agg(F.min_by("venue_id", "_ord").alias("_id"))
     known = venues.select(F.col("venue_id").alias("_v"))
-    rows = requests.join(known, F.col("venue_id") == F.col("_v"), "left").join(by_host, text.host("website") == F.col("_h"), "left")
+    rows = requests.join(known, F.col("venue_id") == F.col("_v"), "left").join(by_host, text.site_host("website") == F.col("_h"), "left")
     return rows.withColumn("venue_id", F.coalesce("_v", "_id", "venue_id")).drop("_v", "_h", "_id")
 
 
@@ -192,7 +196,7 @@ def recovered(requests: DataFrame, matches: DataFrame) -> DataFrame:
 def location_pages(pages: DataFrame, venues: DataFrame) -> DataFrame:
     """Of each venue's site, the page of its city: four address patterns in order, else the first page with the city's slug."""
     slug = F.regexp_replace(F.lower(F.trim("city")), r"[^a-z]+", "-")
-    sites = venues.where("website <> '' and city <> ''").select("venue_id", text.host("website").alias("_h"), slug.alias("_s"))
+    sites = venues.where("website <> '' and city <> ''").select("venue_id", text.site_host("website").alias("_h"), slug.alias("_s"))
     found = pages.withColumn("_p", F.lower(text.path("url"))).join(sites, text.host("url") == F.col("_h")).where(F.contains("_p", "_s"))
     tail = lambda lead: F.regexp_replace("_p", "/+$", "") == F.concat(F.lit(lead), F.col("_s"))
     rank = F.when(tail("/locations/"), 1).when(tail("/location/"), 2).when(tail("/"), 3).when(tail("/restaurants/"), 4).otherwise(5)
@@ -293,5 +297,21 @@ def promoted(statuses: DataFrame, checks: DataFrame) -> DataFrame:
 
 def coverage(crawl: DataFrame, venues: DataFrame, at: str) -> DataFrame:
     """Crawl counts by host with the venue they belong to."""
-    own = venues.where("website <> ''").select("venue_id", "name", text.host("website").alias("host"))
+    own = venues.where("website <> ''").select("venue_id", "name", text.site_host("website").alias("host"))
     return crawl.join(own, "host").withColumn("collected_at", F.lit(at).cast("timestamp"))
+
+
+def reverified(venues: DataFrame, contacts: DataFrame, answers: DataFrame) -> DataFrame:
+    """Unknown mailboxes of pipelined venues with their new status (answers: contact_id, status), up to the first deferral of each venue."""
+    asked = contacts.where("verified = 'unknown' and email <> ''").join(venues.where("status = 'pipelined'").select("venue_id"), "venue_id", "left_semi")
+    rows = asked.join(answers.select("contact_id", F.col("status").alias("answer")), "contact_id", "left").withColumn("answer", F.coalesce("answer", F.lit("deferred")))
+    w = Window.partitionBy("venue_id").orderBy("_ord").rowsBetween(Window.unboundedPreceding, 0)
+    return rows.withColumn("_stop", F.bool_or(F.col("answer") == "deferred").over(w)).where("not _stop").drop("_stop")
+
+
+def evidence(website: Column | str, people: Column | str, profiles: Column | str, mailboxes: Column | str, form: Column | str) -> Column:
+    """What a check found, as one text."""
+    count = lambda c: F.coalesce(col(c), F.lit(0)).cast("string")
+    web = F.when(F.coalesce(col(website), F.lit("")).isin("", "None"), "web:none").otherwise("web:ok")
+    said = F.when(F.coalesce(col(form), F.lit("")) == "", "form:no").otherwise("form:yes")
+    return F.concat_ws("|", web, F.concat(F.lit("apollo:"), count(people)), F.concat(F.lit("li:"), count(profiles)), F.concat(F.lit("emails:"), count(mailboxes)), said)

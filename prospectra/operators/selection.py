@@ -20,17 +20,19 @@ JUNK_SITES = ("facebook.com", "instagram.com", "yelp.com")
 STATE_RANK = {"DC": 0, "VA": 1, "MD": 2, "DE": 3, "WV": 4, "PA": 5}
 
 
-def funnel(venues: DataFrame, gigs: DataFrame, contacts: DataFrame) -> DataFrame:
+def funnel(venues: DataFrame, gigs: DataFrame, contacts: DataFrame, reported: DataFrame | None = None) -> DataFrame:
     """every venue with the first rule that rejects it (`reason`), or null. Each venue is counted once.
 
     Membership in other tables comes by left joins on distinct keys; a site's first claimant is taken before the later rules, so
-    a venue that they reject has claimed its site all the same.
+    a venue that they reject has claimed its site all the same. `reported` lists venue_ids of earlier reports (J6).
     """
     own = lambda t, c, name: t.select(F.col(c).alias(f"_{name}")).distinct().withColumn(name, F.lit(True))
     domain = bare_domain("website")
     rows = venues.withColumn("domain", domain)
     rows = rows.join(own(gigs.select(F.lower(F.trim("venue_name")).alias("g")), "g", "in_gigs"), F.lower(F.trim("name")) == F.col("_in_gigs"), "left")
     rows = rows.join(own(contacts, "venue_id", "in_contacts"), F.col("venue_id") == F.col("_in_contacts"), "left")
+    told = reported if reported is not None else venues.select("venue_id").limit(0)
+    rows = rows.join(own(told, "venue_id", "in_reports"), F.col("venue_id") == F.col("_in_reports"), "left")
     done = own(venues.where("status in ('pipelined', 'contacted')").select(domain.alias("d")).where("length(d) > 3"), "d", "in_pipeline")
     rows = rows.join(done, F.col("domain") == F.col("_in_pipeline"), "left")
     has = lambda c: F.coalesce(F.col(c), F.lit(False))
@@ -39,6 +41,7 @@ def funnel(venues: DataFrame, gigs: DataFrame, contacts: DataFrame) -> DataFrame
         [
             (F.col("status") != "untouched", "status"),
             (has("in_gigs"), "past_gig"),
+            (has("in_reports"), "in_report"),
             (has("in_contacts"), "has_contacts"),
             (F.col("website") == "", "no_site"),
             (vocab.any_of("domain", JUNK_SITES) | F.col("domain").rlike(r"\.(edu|gov|mil)$"), "junk_site"),
@@ -47,7 +50,9 @@ def funnel(venues: DataFrame, gigs: DataFrame, contacts: DataFrame) -> DataFrame
         "",
     )
     rows = rows.withColumn("early", early).withColumn("site", F.split_part(F.col("domain"), F.lit("."), F.lit(1)))
-    claim = F.row_number().over(Window.partitionBy("site", F.col("early") == "").orderBy("_ord"))
+    # Venues that are out already claim nothing, so they need no common task.
+    claimant = F.when(F.col("early") == "", F.concat(F.lit("s"), "site")).otherwise(F.concat(F.lit("v"), "venue_id"))
+    claim = F.row_number().over(Window.partitionBy(claimant).orderBy("_ord"))
     leak = F.exists(F.filter(F.split(name, r"\s+"), lambda w: (F.length(w) > 3) & ~w.isin("club", "farm")), lambda w: F.contains(city, w))
     late = vocab.first_match(
         [
@@ -111,10 +116,11 @@ def batch(pool: DataFrame, n: int = 20) -> DataFrame:
     q = quotas(n)
     limit = F.coalesce(F.create_map(*[F.lit(x) for kv in q.items() for x in kv])[F.col("bucket")], F.lit(0))
     core = F.col("state").isin("DC", "VA", "MD")
-    ranked = pool.withColumn("bucket", bucket).withColumn("rank", F.row_number().over(Window.partitionBy("bucket").orderBy(*order())))
-    # Beyond n of a bucket and of the home states nothing can be chosen.
-    ranked = ranked.withColumn("home_rank", F.row_number().over(Window.partitionBy(core).orderBy(*order())))
-    few = ranked.where((F.col("rank") <= n) | (F.col("home_rank") <= 2 * n))
+    # Beyond n of a bucket and 2 n of the home states nothing can be chosen: two top-n, each of which combines before it shuffles.
+    rank = F.row_number().over(Window.partitionBy("bucket").orderBy(*order()))
+    pool = pool.withColumn("bucket", bucket)
+    best = pool.withColumn("rank", rank).where(F.col("rank") <= n).drop("rank")
+    few = best.unionByName(pool.where(core).orderBy(*order()).limit(2 * n)).dropDuplicates(["venue_id"]).withColumn("rank", rank)
     everywhere = Window.orderBy(*order())
     few = few.withColumn("picked", F.col("bucket").isNotNull() & (F.col("rank") <= limit))
     few = few.withColumn("have", F.count_if("picked").over(Window.partitionBy(F.lit(1))))

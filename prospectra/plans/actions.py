@@ -1,6 +1,6 @@
 """The service's actions by name: each takes tables and parameters and returns a DataFrame.
 
-Reads return rows; writes return the new snapshot of the table that they change.
+Reads return rows; writes return the new snapshot of the table that they change. Those with several results return them by name.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text
-from ..operators import audit, crud, scoring
+from ..operators import audit, crud, scoring, screening
 from ..operators import relational as rel
 
 Tables = dict[str, DataFrame]
@@ -33,7 +33,7 @@ def venue_detail(t: Tables, venue_id: str = "", **_: Any) -> DataFrame:
 
 def find_by_domain(t: Tables, domain: str = "", **_: Any) -> DataFrame:
     """The first venue whose host is the argument."""
-    return t["venues"].where(text.host("website") == domain.lower().removeprefix("www.")).orderBy("_ord").limit(1)
+    return t["venues"].where(text.site_host("website") == domain.lower().removeprefix("www.")).orderBy("_ord").limit(1)
 
 
 def find_by_name(t: Tables, name: str = "", **_: Any) -> DataFrame:
@@ -78,15 +78,60 @@ def delete(table: str, key: str) -> Callable[..., DataFrame]:
     return lambda t, **p: t[table].where(F.col(key) != p[key])
 
 
-def delete_venue(t: Tables, venue_id: str = "", **_: Any) -> DataFrame:
-    return crud.cascade_delete(t["venues"], t["contacts"], t["venues"].where(F.col("venue_id") == venue_id))[0]
+def delete_venue(t: Tables, venue_id: str = "", **_: Any) -> Tables:
+    """Both tables that change."""
+    venues_, contacts = crud.cascade_delete(t["venues"], t["contacts"], t["venues"].where(F.col("venue_id") == venue_id))
+    return {"venues": venues_, "contacts": contacts}
+
+
+def update_venue(t: Tables, venue_id: str = "", field: str = "", value: str = "", force: bool = False, **p: Any) -> DataFrame:
+    """W3 with F18 and F19: a website or profile that is not accepted is an error that says why."""
+    key = field.lower().replace("_", "").replace(" ", "")
+    one = t["venues"].where(F.col("venue_id") == venue_id)
+    if value and key == "website":
+        why = one.limit(1).select(crud.website_reject(F.lit(value))).first()
+        if why and why[0]:
+            raise ValueError(f"website not accepted: {why[0]}")
+    if value and key in ("facebook", "instagram"):
+        fits = one.limit(1).select(screening.social_evidence(F.lit(value), "name", "website", force)).first()
+        if fits and not fits[0]:
+            raise ValueError(f"{key} not accepted: no full address, or it fits neither name nor domain")
+    return change("venues", "venue_id", VENUE_FIELDS)(t, field=field, value=value, venue_id=venue_id, **p)
+
+
+def stats(t: Tables, **_: Any) -> DataFrame:
+    """A3: the total, and counts by channel and by day."""
+    total = t["outreach"].agg(F.count("*").alias("n")).select(F.lit("total").alias("kind"), F.lit("").alias("key"), "n")
+    part = lambda d, kind, key: d.select(F.lit(kind).alias("kind"), F.col(key).alias("key"), "n")
+    return total.unionByName(part(rel.by_channel(t["outreach"]), "channel", "channel")).unionByName(part(rel.by_day(t["outreach"]), "day", "day"))
+
+
+def audit_pipeline(t: Tables, **_: Any) -> Tables:
+    """L1, A10, L2: the audit of each venue, its summary, and contacts whose mailbox is pending."""
+    found = audit.step_audit(t["venues"])
+    return {"venues": found, "summary": audit.step_summary(found), "pending": audit.pending_enrichment(t["contacts"])}
+
+
+def update_gig(t: Tables, rows: DataFrame | None = None, **_: Any) -> DataFrame:
+    return crud.rated(t["gigs"], rows)
 
 
 def add(table: str, keys: list[str]) -> Callable[..., DataFrame]:
-    """Rows of `rows` that are not there yet."""
+    """Rows of `rows` that are not there yet."""
     return lambda t, rows=None, **_: t[table].unionByName(crud.insert_absent(t[table], rows, keys), allowMissingColumns=True)
 
 
+def add_venue(t: Tables, rows: DataFrame | None = None, **_: Any) -> DataFrame:
+    """W1."""
+    return t["venues"].unionByName(crud.insert_venues(t["venues"], rows), allowMissingColumns=True)
+
+
+def add_contact(t: Tables, rows: DataFrame | None = None, **_: Any) -> DataFrame:
+    """W2."""
+    marked = rows if "is_generic" in rows.columns else rows.withColumn("is_generic", F.lit(False))
+    return t["contacts"].unionByName(crud.insert_contacts(t["contacts"], marked), allowMissingColumns=True)
+
+
 def append(table: str) -> Callable[..., DataFrame]:
     return lambda t, rows=None, **_: t[table].unionByName(rows, allowMissingColumns=True)
 
@@ -128,22 +173,24 @@ def contact_upsert(t: Tables, rows: DataFrame | None = None, **_: Any) -> DataFr
     return crud.merge(key(t["contacts"]), key(rows), "_k").drop("_k")
 
 
-ACTIONS: dict[str, Callable[..., DataFrame]] = {
+VENUE_FIELDS = ("name", "category", "website", "city", "state", "facebook", "instagram", "status", "check_status")
+
+ACTIONS: dict[str, Callable[..., DataFrame | Tables]] = {
     "dashboard": dashboard,
     "venues": venues,
     "venue_detail": venue_detail,
-    "update_venue": change("venues", "venue_id", ("name", "category", "website", "city", "state", "facebook", "instagram", "status", "check_status")),
+    "update_venue": update_venue,
     "update_contact": change("contacts", "contact_id", ("name", "title", "email", "verified", "email_sent")),
     "update_contact_email": contact_upsert,
     "log_outreach": append("outreach"),
-    "add_venue": add("venues", ["name", "city"]),
-    "add_contact": add("contacts", ["venue_id", "email"]),
+    "add_venue": add_venue,
+    "add_contact": add_contact,
     "templates": templates,
     "config": listing("config"),
-    "stats": lambda t, **_: rel.by_channel(t["outreach"]),
+    "stats": stats,
     "calc_distances": lambda t, **_: crud.filled_distances(t["venues"], t["distances"]),
     "add_gig": add("gigs", ["gig_id"]),
-    "update_gig": change("gigs", "gig_id", ("venue_name", "category", "notes")),
+    "update_gig": update_gig,
     "delete_gig": delete("gigs", "gig_id"),
     "get_gigs": listing("gigs"),
     "get_recommendations": lambda t, **_: scoring.recommendations(t["venues"], t["contacts"], t["gigs"]).orderBy(F.desc("score"), "_ord"),
@@ -163,12 +210,12 @@ ACTIONS: dict[str, Callable[..., DataFrame]] = {
     "find_by_domain": find_by_domain,
     "save_check": save_check,
     "save_step": save_step,
-    "audit_pipeline": lambda t, **_: audit.step_audit(t["venues"]),
+    "audit_pipeline": audit_pipeline,
     "fix_venue_ids": lambda t, **_: rel.renumbered(t["venues"].withColumn("number", F.regexp_extract("venue_id", "([0-9]+)$", 1).try_cast("long")), "number", "_ord"),
 }
 
 
-def run(action: str, tables: Tables, **parameters: Any) -> DataFrame:
+def run(action: str, tables: Tables, **parameters: Any) -> DataFrame | Tables:
     """The action's result; an unknown one is an error that names those there are."""
     if action not in ACTIONS:
         raise ValueError(f"unknown action {action!r}; there are {', '.join(ACTIONS)}")

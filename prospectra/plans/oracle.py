@@ -55,10 +55,10 @@ FITS = f"""({DOMAIN} = '' OR length({BASE}) < 3 OR contains({FLAT_NAME}, {FLAT_B
  OR len(list_filter(regexp_extract_all(lower(name), '[a-z]{{3,}}'), lambda w: w NOT IN {names(vocab.FIT_STOP_WORDS)} AND contains({FLAT_BASE}, w))) > 0
  OR len(list_filter(regexp_extract_all({BASE}, '[a-z]{{3,}}'), lambda w: w NOT IN ('com', 'org', 'net', 'www', 'the') AND contains({FLAT_NAME}, w))) > 0 OR {likes(FLAT_BASE, vocab.GROUP_DOMAINS)})"""
 BAD_CITY = f"(trim(city) = '' OR {likes('lower(trim(city))', vocab.CITY_GARBAGE)} OR length(trim(city)) > 30 OR regexp_matches(trim(city), '[0-9]{{3,}}') OR regexp_matches(trim(city), '[\"'']'))"
-FUNNEL = f"""few AS (SELECT * FROM c WHERE venue_id LIKE '%1' OR venue_id LIKE '%3'),
+FUNNEL = f"""few AS (SELECT * FROM c WHERE verified = 'do_not_mail' AND email_sent = 'skipped'),
 d AS (SELECT *, {DOMAIN} AS domain FROM v),
 e AS (SELECT *, CASE WHEN status <> 'untouched' THEN 'status' WHEN EXISTS (SELECT 1 FROM g WHERE lower(trim(g.venue_name)) = lower(trim(d.name))) THEN 'past_gig'
- WHEN venue_id IN (SELECT venue_id FROM few) THEN 'has_contacts' WHEN website = '' THEN 'no_site'
+ WHEN venue_id IN (SELECT venue_id FROM outreach WHERE sent_at IS NULL AND channel = 'contact_form') THEN 'in_report' WHEN venue_id IN (SELECT venue_id FROM few) THEN 'has_contacts' WHEN website = '' THEN 'no_site'
  WHEN {likes("domain", ("facebook.com", "instagram.com", "yelp.com"))} OR regexp_matches(domain, '\\.(edu|gov|mil)$') THEN 'junk_site'
  WHEN length(domain) > 3 AND domain IN (SELECT domain FROM d WHERE status IN ('pipelined', 'contacted')) THEN 'already_reported' ELSE '' END AS early FROM d),
 h AS (SELECT *, row_number() OVER (PARTITION BY split_part(domain, '.', 1), early = '' ORDER BY _ord) AS claim FROM e),
@@ -181,18 +181,29 @@ s AS (SELECT *, count(*) FILTER (WHERE head <> '') OVER (PARTITION BY conv_id OR
 SELECT conv_id, session, max_by(head, turn) FILTER (head <> '') AS title, count(*) AS n_lines, min_by(a, turn) FILTER (a <> '') AS reply, min_by(b, turn) FILTER (b <> '') AS system FROM s WHERE session > 0 GROUP BY 1, 2""",
     "event_streaks": """WITH e AS (SELECT user_id, event_id, event_type, row_number() OVER (PARTITION BY user_id ORDER BY event_id) - row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id) AS k FROM events)
 SELECT user_id, min(event_id) AS from_ord, event_type AS value, count(*) AS length FROM e GROUP BY user_id, event_type, k HAVING count(*) >= 2""",
-    "ledger_cache_hits": "WITH " + REQUESTS + """, l AS (SELECT email, max_by(CASE outcome WHEN 'timeout' THEN 'unknown' ELSE outcome END, seq) AS st, max(ts) AS seen FROM q WHERE seq < 2000 GROUP BY 1),
-j AS (SELECT seq, st, coalesce(date_diff('microsecond', seen, ts) / 86400000000.0 <= CASE st WHEN 'unknown' THEN 3 ELSE 10 END AND NOT (st = 'unknown' AND retry_unknown), false) AS hit FROM q LEFT JOIN l USING (email) WHERE seq >= 2000)
+    "ledger_cache_hits": "WITH " + REQUESTS + """, l AS (SELECT email, max_by(CASE outcome WHEN 'timeout' THEN 'unknown' ELSE outcome END, seq) AS st, max(ts) AS seen FROM q WHERE ts < timestamp '2024-01-24 13:00:00' GROUP BY 1),
+j AS (SELECT seq, st, coalesce(date_diff('microsecond', seen, ts) / 86400000000.0 <= CASE st WHEN 'unknown' THEN 3 ELSE 10 END AND NOT (st = 'unknown' AND retry_unknown), false) AS hit FROM q LEFT JOIN l USING (email) WHERE ts >= timestamp '2024-01-24 13:00:00')
 SELECT seq, hit, CASE WHEN hit THEN st END AS status FROM j""",
     "ledger_budget": "WITH " + REQUESTS + """, r AS (SELECT strftime(ts, '%Y-%m-%d') AS day, run_id, count(*) AS run_used FROM q GROUP BY 1, 2), t AS (SELECT *, CAST(sum(run_used) OVER (PARTITION BY day) AS bigint) AS day_used FROM r)
 SELECT *, CASE WHEN run_used >= 200 THEN 'run_budget_reached' WHEN day_used >= 320 THEN 'day_budget_reached' ELSE 'ok' END AS reason FROM t""",
-    "snapshot_merge": typed("""x AS (SELECT contact_id, venue_id, email, _ord FROM c)""", """y AS (SELECT CASE WHEN _ord % 2 = 0 THEN contact_id ELSE 'N-' || (_ord % 50) END AS contact_id, venue_id, 'new@site.example.org' AS email, _ord FROM x WHERE _ord % 7 = 0)""",
+    "snapshot_merge": typed("""x AS (SELECT contact_id, venue_id, email, _ord FROM c)""", """y AS (SELECT CASE WHEN _ord % 2 = 0 THEN contact_id ELSE 'N-' || (_ord % 50) END AS contact_id, venue_id, 'new@site.example.org' AS email, _ord FROM c WHERE verified = 'unknown')""",
         "z AS (SELECT * FROM y QUALIFY row_number() OVER (PARTITION BY contact_id ORDER BY _ord DESC) = 1)") + "SELECT * FROM x WHERE contact_id NOT IN (SELECT contact_id FROM z) UNION ALL SELECT * FROM z",
-    "insert_absent": typed() + "SELECT venue_id, name, city FROM (SELECT * FROM v WHERE _ord % 3 = 0 QUALIFY row_number() OVER (PARTITION BY name, city ORDER BY _ord) = 1) n WHERE NOT EXISTS (SELECT 1 FROM v WHERE v._ord % 2 = 0 AND v.name = n.name AND v.city = n.city)",
+    "insert_absent": typed().replace("WITH ", "WITH RECURSIVE ", 1).rstrip() + """,
+o AS (SELECT lower(trim(name)) AS n, lower(trim(city)) AS t, lower(split_part(regexp_replace(regexp_replace(website, '^https?://', ''), '^www\\.', ''), '/', 1)) AS d, upper(state) || '-' || substr(upper(category), 1, 4) || '-' || _ord AS id, * FROM v),
+x AS (SELECT *, row_number() OVER (PARTITION BY n ORDER BY _ord) AS k FROM o WHERE status = 'untouched'),
+r AS (SELECT n, 0 AS k, coalesce((SELECT list(t) FROM o WHERE o.n = y.n AND status <> 'untouched'), []) AS ts, coalesce((SELECT list(d) FROM o WHERE o.n = y.n AND status <> 'untouched'), []) AS ds, CAST(NULL AS bigint) AS kept FROM (SELECT DISTINCT n FROM x) y
+ UNION ALL SELECT x.n, x.k, CASE WHEN list_contains(ts, x.t) OR (x.d <> '' AND list_contains(ds, x.d)) THEN ts ELSE list_append(ts, x.t) END, CASE WHEN list_contains(ts, x.t) OR (x.d <> '' AND list_contains(ds, x.d)) THEN ds ELSE list_append(ds, x.d) END,
+  CASE WHEN list_contains(ts, x.t) OR (x.d <> '' AND list_contains(ds, x.d)) THEN NULL ELSE x._ord END FROM r JOIN x ON x.n = r.n AND x.k = r.k + 1),
+i AS (SELECT x.*, coalesce(nullif(upper(state), ''), 'XX') || '-' || substr(coalesce(nullif(upper(category), ''), 'OTHER'), 1, 4) || '-' AS p FROM x WHERE _ord IN (SELECT kept FROM r)),
+h AS (SELECT regexp_extract(id, '^(.*-)[0-9]+$', 1) AS p, max(CAST(regexp_extract(id, '([0-9]+)$', 1) AS bigint)) AS top FROM o WHERE status <> 'untouched' GROUP BY 1),
+j AS (SELECT i.*, CAST(coalesce(top, 0) + row_number() OVER (PARTITION BY i.p ORDER BY _ord) AS varchar) AS num FROM i LEFT JOIN h ON h.p = i.p)
+SELECT p || CASE WHEN length(num) >= 3 THEN num ELSE lpad(num, 3, '0') END AS venue_id, upper(name) AS name, city, upper(state) AS state, zone_priority, _ord FROM j""",
     "cascade_delete": typed("x AS (SELECT venue_id FROM v WHERE status = 'closed')") + "SELECT (SELECT count(*) FROM v WHERE venue_id NOT IN (SELECT venue_id FROM x)) AS n_venues, count(*) AS n_contacts, CAST(sum(_ord) AS bigint) AS ord_sum FROM c WHERE venue_id NOT IN (SELECT venue_id FROM x)",
     "change_log_fold": typed("""l AS (SELECT 'V-' || user_id AS venue_id, CASE event_id % 3 WHEN 0 THEN 'status' WHEN 1 THEN 'city' ELSE 'nonsense' END AS field, CASE event_id % 2 WHEN 0 THEN 'contacted' ELSE 'pipelined' END AS value, event_id AS o FROM events)""",
-        "m AS (SELECT venue_id, max_by(value, o) FILTER (field = 'status') AS s, max_by(value, o) FILTER (field = 'city') AS t FROM l GROUP BY 1)") + "SELECT venue_id, coalesce(s, status) AS status, coalesce(t, city) AS city, coalesce(s = 'contacted', false) AS stamped FROM v LEFT JOIN m USING (venue_id)",
-    "contact_rejects": typed() + f"""SELECT CASE WHEN email = '' THEN 'no mailbox' WHEN {" OR ".join(f"starts_with(lower(email), '{p}')" for p in (*vocab.REJECTED_MAIL, *vocab.GENERIC_MAIL))} THEN 'role mailbox' WHEN trim(name) = '' THEN 'no name' ELSE 'accepted' END AS reason, count(*) AS n FROM c GROUP BY 1""",
+        "m AS (SELECT venue_id, max_by(value, o) FILTER (field = 'status') AS s, max_by(value, o) FILTER (field = 'city') AS t, bool_or(field = 'status' AND value = 'contacted') AS mark FROM l GROUP BY 1)") + "SELECT venue_id, coalesce(s, status) AS status, coalesce(t, city) AS city, coalesce(mark, false) AS stamped FROM v LEFT JOIN m USING (venue_id)",
+    "contact_rejects": typed() + """SELECT email_sent = 'skipped' AS marked, CASE WHEN email_sent = 'skipped' THEN 'accepted'
+ WHEN lower(split_part(email, '@', 1)) IN ('info', 'manager', 'admin', 'office', 'contact', 'sales', 'events', 'event', 'privateevents', 'private-events', 'hello', 'support', 'reservations', 'booking', 'bookings', 'frontdesk', 'catering', 'groups', 'weddings', 'meetings', 'eat', 'dine', 'host', 'general', 'mail') THEN 'role mailbox'
+ WHEN trim(name) = '' THEN 'no name' WHEN lower(trim(name)) IN ('manager', 'admin', 'owner', 'chef', 'host', 'staff', 'catering', 'events', 'private events', 'general', 'front desk', 'reception') THEN 'role as name' ELSE 'accepted' END AS reason, count(*) AS n FROM c GROUP BY 1, 2""",
     "next_ids": typed("x AS (SELECT venue_id AS id FROM v UNION ALL SELECT contact_id FROM c)") + "SELECT regexp_extract(id, '^(.*?)[0-9]*$', 1) AS prefix, max(CAST(regexp_extract(id, '([0-9]+)$', 1) AS bigint)) AS top FROM x GROUP BY 1",
     "taste_query_plan": "SELECT k || ' in ' || n_name AS q FROM (VALUES ('winery'), ('hotel'), ('museum')) t(k), nation WHERE lower(k || ' in ' || n_name) NOT IN (SELECT 'winery in nation_' || r_regionkey FROM region)",
     "ext_rollup_region": typed() + "SELECT county, state, count(*) AS n, count(*) FILTER (WHERE status = 'contacted') AS contacted FROM v GROUP BY ROLLUP (county, state)",
@@ -201,8 +212,20 @@ SELECT *, CASE WHEN run_used >= 200 THEN 'run_budget_reached' WHEN day_used >= 3
     "ext_session": """WITH e AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) <= INTERVAL 2 HOUR THEN 0 ELSE 1 END AS opens FROM events), s AS (SELECT user_id, sum(opens) OVER (PARTITION BY user_id ORDER BY ts) AS k FROM e),
 t AS (SELECT user_id, k, count(*) AS n FROM s GROUP BY 1, 2) SELECT user_id, count(*) AS n_sessions, max(n) AS longest FROM t GROUP BY 1""",
 }
-ORACLE_SQL["quality_issues"] = typed(f"x AS (SELECT *, {canonical()} AS canon FROM v)") + f"""SELECT venue_id, 'category' AS issue FROM x WHERE canon <> 'other' AND canon <> lower(category)
-UNION ALL SELECT venue_id, 'website_directory' FROM x WHERE contains(website, 'facebook.com')"""
+#: C4 over names and hosts of the projection, whose only parent or directory sites are facebook pages.
+SCORED = f"""t AS (SELECT *, regexp_replace(split_part(regexp_replace(lower(website), '^https?://', ''), '/', 1), 'www\\.', '', 'g') AS h, regexp_extract_all(lower(name), '[a-z0-9]+') AS w FROM v),
+t2 AS (SELECT *, regexp_replace(h, '[^a-z0-9]', '', 'g') AS dom, regexp_replace(h || regexp_extract(website, '^(?:https?://)?[^/]*(.*)$', 1), '[^a-z0-9]', '', 'g') AS hay,
+ list_filter(list_distinct(w), lambda x: length(x) >= 4 AND x NOT IN {names(dict.fromkeys((*vocab.STOP_WORDS, *vocab.PLACE_WORDS)))}) AS toks FROM t),
+t3 AS (SELECT *, list_filter(toks, lambda x: contains(dom, x)) AS ind, len(list_filter(toks, lambda x: contains(hay, x))) AS hit,
+ array_to_string(list_transform(list_filter(w, lambda x: x NOT IN {names(vocab.SMALL_WORDS)}), lambda x: x[1]), '') AS acr, array_to_string(list_filter(w, lambda x: list_contains(toks, x)), '') AS joined FROM t2),
+t4 AS (SELECT *, 5 * len(ind) + 2 * greatest(0, hit - len(ind)) + CASE WHEN length(joined) >= 7 AND contains(hay, substr(joined, 1, 8)) THEN 7 ELSE 0 END
+ + CASE WHEN length(acr) >= 3 AND split_part(h, '.', 1) IN (acr, acr || 'club', acr || 'cc') THEN 8 ELSE 0 END + CASE WHEN len(list_filter(w, lambda x: x IN {names(vocab.TYPE_WORDS)} AND contains(hay, x))) > 0 THEN 2 ELSE 0 END AS raw,
+ coalesce(list_max(list_transform(ind, lambda x: length(x))), 0) AS longest FROM t3),
+t5 AS (SELECT *, CASE WHEN name = '' OR website = '' OR contains(website, 'facebook.com') THEN -100 WHEN longest >= 7 THEN greatest(raw, 7) WHEN longest >= 5 THEN greatest(raw, 6) ELSE raw END AS score FROM t4)"""
+ORACLE_SQL["website_match"] = typed(SCORED) + f"SELECT venue_id, score, {FITS} AS fits, website = '' OR contains(website, 'facebook.com') AS blocked FROM t5"
+ORACLE_SQL["quality_issues"] = typed(SCORED, f"x AS (SELECT *, {canonical()} AS canon, replace(lower(coalesce(nullif(category, ''), 'other')), ' ', '_') AS cur FROM t5)") + f"""SELECT venue_id, 'category' AS issue, cur AS current, canon AS suggested, 'high' AS confidence FROM x
+ WHERE canon <> 'other' AND canon <> cur AND (cur IN ('restaurant', 'rest', 'other', 'recreation') OR canon IN ('hotel', 'country_club', 'private_club', 'yacht_club', 'wine_bar', 'winery'))
+UNION ALL SELECT venue_id, 'website_directory', website, '', 'high' FROM x WHERE contains(website, 'facebook.com') UNION ALL SELECT venue_id, 'website_mismatch', website, 'recheck', 'review' FROM x WHERE website <> '' AND score BETWEEN -99 AND 5"""
 ORACLE_SQL["quality_issue_counts"] = f"SELECT issue, count(*) AS n FROM ({ORACLE_SQL['quality_issues']}) GROUP BY 1"
 ORACLE_SQL["step_summary"] = f"""WITH a AS ({ORACLE_SQL["step_audit"]}), s AS (SELECT complete, 'done' AS kind, unnest(string_split(done, ',')) AS step FROM a UNION ALL SELECT complete, 'failed', unnest(string_split(failed, ',')) FROM a
 UNION ALL SELECT complete, 'missing', unnest(string_split(missing, ',')) FROM a)
@@ -216,19 +239,21 @@ y AS (SELECT *, lower(category) AS k, {likes("lower(name)", ("bistro", "steakhou
  WHERE status NOT IN ('pipelined', 'contacted', 'needs_review') AND venue_vote <> 'down' AND NOT {likes("lower(name)", vocab.JUNK_NAMES)}
  AND (venue_vote = 'up' OR k = 'country_club' OR (k = 'restaurant' AND up >= 4 AND fine) OR (k = 'hotel' AND (up >= 5 OR (up >= 4 AND lux))) OR (k = 'winery' AND up >= 4 AND est))""",
     "contact_routes": typed() + f"""SELECT CASE WHEN {likes(T, vocab.BAD_TITLES)} THEN 'skip' WHEN contains(email, '@') THEN 'enrich' WHEN {likes(T, vocab.DECISION_WORDS)} THEN 'pending' ELSE 'none' END AS route,
- CASE WHEN trim({T}) IN ('server', 'host', 'hostess', 'bartender', 'busser', 'cook', 'dishwasher') THEN 'SKIP' WHEN trim(title) = '' THEN 'LOG' ELSE 'ENRICH' END AS value, count(*) AS n FROM c GROUP BY 1, 2""",
-    "candidate_dispositions": typed("x AS (SELECT contact_id, lower(trim(email)) AS e, 'v' || (_ord % 5) || '.example.org' AS d FROM c WHERE _ord % 3 <> 0 AND email <> '')", "l AS (SELECT lower(email) AS e, min(verified) AS st FROM c WHERE _ord % 7 = 1 GROUP BY 1)",
-        "o AS (SELECT DISTINCT lower(email) AS e FROM c WHERE _ord % 3 = 0 AND verified <> 'deferred' AND email <> '')")
+ CASE WHEN {T} IN ('server', 'waiter', 'waitress', 'hostess', 'host', 'busser', 'bartender', 'dishwasher', 'line cook', 'prep cook', 'barback') THEN 'SKIP' WHEN contains(email, '@') THEN 'ENRICH' ELSE 'LOG' END AS value, count(*) AS n FROM c GROUP BY 1, 2""",
+    "candidate_dispositions": typed("x AS (SELECT contact_id, lower(trim(email)) AS e, 'v' || (_ord % 5) || '.example.org' AS d FROM c WHERE email_sent = 'false' AND email <> '')", "l AS (SELECT lower(email) AS e, min(verified) AS st FROM c WHERE verified <> 'pending' GROUP BY 1)",
+        "o AS (SELECT DISTINCT lower(email) AS e FROM c WHERE email_sent <> 'false' AND verified = 'valid' AND email <> '')")
     + f"""SELECT contact_id, CASE WHEN e IN (SELECT e FROM o) THEN 'known' WHEN e = 'ann.lee@v1.example.org' THEN 'owner' WHEN {" OR ".join(f"starts_with(e, '{p}')" for p in vocab.HARD_REJECT_MAIL)} THEN 'hard_reject' ELSE coalesce(st, 'unverified') END AS disposition,
  ({" OR ".join(f"starts_with(e, '{p}')" for p in vocab.GENERIC_MAIL)}) AS generic,
  split_part(e, '@', 2) <> '' AND split_part(e, '@', 2) NOT IN {names(vocab.FREE_MAIL)} AND split_part(e, '@', 2) <> d AND NOT contains(split_part(split_part(e, '@', 2), '.', 1), split_part(d, '.', 1)) AND NOT contains(split_part(d, '.', 1), split_part(split_part(e, '@', 2), '.', 1)) AS off_domain
  FROM x LEFT JOIN l USING (e)""",
-    "resolved_ids": typed("h AS (SELECT *, regexp_replace(regexp_extract(lower(website), '^[a-z]+://([^/?#:]*)', 1), '^www\\.', '') AS host FROM v WHERE website <> '')")
-    + "SELECT a._ord, (SELECT b.venue_id FROM h b WHERE b.host = a.host ORDER BY b._ord LIMIT 1) AS venue_id FROM h a WHERE a._ord % 10 = 4",
+    "resolved_ids": typed("h AS (SELECT *, regexp_replace(split_part(regexp_replace(lower(website), '^https?://', ''), '/', 1), '^www\\.', '') AS host FROM v WHERE website <> '')")
+    + "SELECT a._ord, (SELECT b.venue_id FROM h b WHERE b.host = a.host ORDER BY b._ord LIMIT 1) AS venue_id FROM h a",
     "gig_distances": typed() + "SELECT g.gig_id, coalesce(g.distance_miles, v.distance_miles) AS distance_miles FROM g LEFT JOIN v USING (venue_id)",
-    "attached_titles": typed() + "SELECT contact_id, coalesce(nullif(title, ''), (SELECT min_by(p.title, p._ord) FROM c p WHERE p._ord % 2 = 1 AND p.title <> '' AND p.venue_id = c.venue_id AND lower(p.email) = lower(c.email))) AS full_title FROM c",
-    "venue_flags": typed("n AS (SELECT venue_id, count(*) AS n, count(*) FILTER (WHERE verified = 'valid') AS ok, count(*) FILTER (WHERE email = '') AS blank FROM c GROUP BY 1)")
-    + "SELECT venue_id, concat_ws('; ', CASE WHEN ok = 0 THEN 'none valid' END, CASE WHEN blank > 0 THEN 'blank mailbox' END, CASE WHEN n > 20 THEN 'many contacts' END) AS flags FROM n WHERE ok = 0 OR blank > 0 OR n > 20",
+    "attached_titles": typed() + "SELECT contact_id, coalesce(nullif(title, ''), (SELECT min_by(p.title, p._ord) FROM c p WHERE p.verified = 'valid' AND p.title <> '' AND p.venue_id = c.venue_id AND lower(p.email) = lower(c.email))) AS full_title FROM c",
+    "venue_flags": typed("x AS (SELECT venue_id, CASE WHEN contains(website, '//') THEN lower(replace(split_part(split_part(website, '//', 2), '/', 1), 'www.', '')) ELSE '' END AS s FROM v)", "y AS (SELECT c.*, s, CASE WHEN contains(email, '@') THEN lower(split_part(email, '@', 2)) ELSE '' END AS d FROM c JOIN x USING (venue_id))",
+        """z AS (SELECT venue_id, CASE WHEN NOT bool_or(verified = 'valid') THEN 'No verified emails — only ' || string_agg(DISTINCT verified, ', ' ORDER BY verified) END AS none,
+ string_agg('Off-domain email: ' || email || ' (venue: ' || s || ')', '; ' ORDER BY _ord) FILTER (s <> '' AND d <> '' AND d <> s AND regexp_replace(d, '\\.[^.]*$', '') <> regexp_replace(s, '\\.[^.]*$', '') AND d NOT IN ('gmail.com', 'yahoo.com', 'outlook.com', 'hotmail.com', 'aol.com')) AS odd FROM y GROUP BY 1)""")
+    + "SELECT venue_id, CASE WHEN z.venue_id IS NULL THEN 'No contacts found' ELSE concat_ws('; ', none, odd) END AS flags FROM x LEFT JOIN z USING (venue_id) WHERE z.venue_id IS NULL OR none IS NOT NULL OR odd IS NOT NULL",
     "report_totals": typed() + """SELECT count(DISTINCT venue_id) AS venues, count(*) AS contacts, count(*) FILTER (WHERE verified = 'valid') AS valid,
  (SELECT CAST(sum(u) AS bigint) FROM (SELECT max(CAST(floor(value) AS bigint)) AS u FROM events GROUP BY event_id % 40)) AS credits FROM c""",
     "region_progress": typed("n AS (SELECT county AS region, city, bool_or(status = 'contacted') AS swept, count(*) AS n FROM v GROUP BY 1, 2)")
@@ -246,7 +271,7 @@ ORACLE_SQL |= {
 t AS (SELECT *, regexp_replace(email, '\\.+$', '') AS x FROM e)
 SELECT doc_id, email, NOT ({likes("email", vocab.JUNK_MAIL)} OR {" OR ".join(f"starts_with(x, '{p}')" for p in vocab.REJECTED_MAIL)} OR length(x) > 120) AS usable, ({" OR ".join(f"starts_with(email, '{p}')" for p in vocab.GENERIC_MAIL)}) AS generic FROM t""",
     "website_fits": typed() + f"""SELECT venue_id, {FITS} AS fits, website = '' OR contains(website, 'facebook.com') AS blocked FROM v""",
-    "crawl_reachable": "WITH RECURSIVE " + LINKS + """, s AS (SELECT DISTINCT plain AS url FROM m WHERE page_id % 5 = 0),
+    "crawl_reachable": "WITH RECURSIVE " + LINKS + """, s AS (SELECT DISTINCT plain AS url FROM m WHERE url LIKE 'https:%' AND url NOT LIKE '%?%'),
 r AS (SELECT url, 0 AS depth FROM s UNION SELECT e.dst, r.depth + 1 FROM r JOIN e ON e.src = r.url WHERE r.depth < 3), f AS (SELECT url, min(depth) AS depth FROM r GROUP BY 1) SELECT depth, count(*) AS n FROM f GROUP BY 1""",
 }
 KEYWORD_RANK = "CASE " + " ".join(f"WHEN contains(replace(lower(dst), '_', '-'), '{w}') THEN {k}" for k, w in enumerate(vocab.PAGE_KEYWORDS)) + f" ELSE {len(vocab.PAGE_KEYWORDS)} + least(length(dst) // 40, 10) END"
@@ -256,3 +281,45 @@ ORACLE_SQL |= {
     "host_coverage": "WITH " + LINKS + f""", p AS (SELECT {HOST.format("url")} AS host, count(*) AS n_pages FROM pages GROUP BY 1), k AS (SELECT {HOST.format("src")} AS host, count(*) AS n_links FROM e GROUP BY 1)
 SELECT host, n_pages, coalesce(n_links, 0) AS n_links, 0 AS n_fragments, 0 AS n_files FROM p LEFT JOIN k USING (host)""",
 }
+
+
+def legacy() -> str:
+    """C2 for the kinds that the projection has, written out in its order."""
+    rules = [
+        (likes(N, ("country club", "golf club")), "country_club"),
+        (likes(N, ("yacht club", " yacht ")), "yacht_club"),
+        (f"regexp_matches({N}, '\\bwine\\s*bar\\b')", "wine_bar"),
+        (likes(N, (" hotel ", " inn ", " resort ", " lodge ")), "hotel"),
+        (likes(C, ("hotel", "inn", "resort", "lodge")), "hotel"),
+        (likes(C, ("winery", "vineyard")), "winery"),
+        (likes(C, ("country club", "golf club")), "country_club"),
+        (likes(C, ("wine bar",)), "wine_bar"),
+        (likes(C, ("restaurant", "fine dining", "steakhouse", "brasserie", "bistro")), "restaurant"),
+        (likes(C, ("art gallery",)), "art_gallery"),
+        (likes(C, ("museum", "gallery")), "museum"),
+        (likes(C, ("event", "banquet", "wedding", "party", "catering")), "event"),
+        (likes(C, ("private club", "social club")), "private_club"),
+        (likes(C, ("spa",)) + " AND NOT " + likes(C, ("spanish",)), "spa"),
+        (likes(C, ("swim", "pool", "tennis", "golf", "gym")), "recreation"),
+        (f"regexp_matches({N}, '\\bgaller(y|ies)\\b')", "art_gallery"),
+        (f"regexp_matches({N}, '\\bmuseum\\b')", "museum"),
+        (f"regexp_matches({N}, '\\b(brewery|breweries|brewing)\\b')", "brewery"),
+        (f"regexp_matches({N}, '\\b(winery|wineries|vineyard)\\b')", "winery"),
+        (f"regexp_matches({N}, '\\b(theater|theatre|cinema)\\b')", "theater"),
+        (likes(f"replace({N}, 'falls church', ' ')", (" church ", " cathedral ")), "church"),
+        (f"regexp_matches({N}, '\\blibrar(y|ies)\\b')", "library"),
+        (f"regexp_matches({N}, '\\bspa\\b') AND NOT contains({N}, 'spanish')", "spa"),
+    ]
+    return "CASE " + " ".join(f"WHEN {test} THEN '{label}'" for test, label in rules) + " ELSE 'other' END"
+
+
+ORACLE_SQL["category_disagreement"] = typed() + f"SELECT {canonical()} AS a, {legacy()} AS b, count(*) AS n FROM v GROUP BY 1, 2"
+BY = "composite DESC, upscale DESC, state_rank, lower(name), _ord"
+ORACLE_SQL["batch_selected"] = typed(f"b AS ({ORACLE_SQL['batch_pool']})", "q AS (SELECT b.*, name, state, upscale, _ord, regexp_replace(lower(trim(category)), '[ -]', '_', 'g') AS k FROM b JOIN v USING (venue_id))",
+    f"""p AS (SELECT *, CASE WHEN k = 'restaurant' AND {likes("lower(name)", vocab.FRENCH_NAMES)} THEN 'french' WHEN k IN ('country_club', 'private_club') THEN 'clubs' WHEN k = 'hotel' THEN 'hotels' WHEN k IN ('winery', 'wine_bar') THEN 'wine' WHEN k IN ('art_gallery', 'museum', 'event_venue') THEN 'wild' END AS bucket FROM q)""",
+    f"o AS (SELECT *, row_number() OVER (ORDER BY {BY}) AS pos, row_number() OVER (PARTITION BY bucket ORDER BY {BY}) AS rk FROM p)",
+    "k2 AS (SELECT *, coalesce(rk <= CASE bucket WHEN 'french' THEN 6 WHEN 'clubs' THEN 4 WHEN 'hotels' THEN 4 WHEN 'wine' THEN 3 WHEN 'wild' THEN 3 END, false) AS picked FROM o)",
+    "t AS (SELECT *, picked OR row_number() OVER (PARTITION BY picked ORDER BY pos) <= 20 - (SELECT count(*) FROM k2 WHERE picked) AS used FROM k2)",
+    "e2 AS (SELECT *, state IN ('DC', 'VA', 'MD') AS core, row_number() OVER (PARTITION BY used AND state NOT IN ('DC', 'VA', 'MD') ORDER BY pos) AS edge FROM t)",
+    "f2 AS (SELECT *, used AND (core OR edge <= 2) AS kept FROM e2)", "h2 AS (SELECT *, row_number() OVER (PARTITION BY NOT used AND core ORDER BY pos) AS fill FROM f2)") + """SELECT venue_id, name, state, bucket, confidence < 0.8 AS suspicious, row_number() OVER (ORDER BY pos) AS place FROM h2
+ WHERE kept OR (NOT used AND core AND fill <= 20 - (SELECT count(*) FROM f2 WHERE kept) AND EXISTS (SELECT 1 FROM f2 WHERE used AND NOT kept))"""

@@ -167,29 +167,30 @@ def candidate_prescore(s, d):
 
 @query
 def batch_funnel(s, d):
-    return selection.funnel(venues(s, d), gigs(s, d), contacts_added(s, d)).select("venue_id", "reason")
+    return funnel(s, d).select("venue_id", "reason")
 
 
-def contacts_added(s: SparkSession, d: str) -> DataFrame:
-    """Contacts of some venues only, so that batches have something left."""
-    return contacts(s, d).where("venue_id like '%1' or venue_id like '%3'")
+def funnel(s: SparkSession, d: str) -> DataFrame:
+    """Contacts that must not be mailed and were skipped stand for those on file, undated form entries for earlier reports."""
+    reported = outreach(s, d).where("sent_at is null and channel = 'contact_form'").select("venue_id")
+    return selection.funnel(venues(s, d), gigs(s, d), contacts(s, d).where("verified = 'do_not_mail' and email_sent = 'skipped'"), reported)
 
 
 @query
 def skip_reason_histogram(s, d):
-    return selection.skip_counts(selection.funnel(venues(s, d), gigs(s, d), contacts_added(s, d)))
+    return selection.skip_counts(funnel(s, d))
 
 
 @query
 def batch_pool(s, d):
-    pool = selection.scored_pool(selection.funnel(venues(s, d), gigs(s, d), contacts_added(s, d)))
+    pool = selection.scored_pool(funnel(s, d))
     return pool.select("venue_id", "confidence", "composite", "state_rank")
 
 
 @query
 def batch_selected(s, d):
-    """K5 to K8; tested against a sequential version."""
-    return selection.batch(selection.scored_pool(selection.funnel(venues(s, d), gigs(s, d), contacts_added(s, d))), 20)
+    """K4 to K8, W-h."""
+    return selection.batch(selection.scored_pool(funnel(s, d)), 20).drop("composite", "confidence")
 
 
 @query
@@ -213,7 +214,7 @@ def website_match(s, d):
 
 @query
 def quality_issues(s, d):
-    return audit.quality_issues(venues(s, d)).select("venue_id", "issue")
+    return audit.quality_issues(venues(s, d))
 
 
 @query
@@ -274,7 +275,7 @@ def host_coverage(s, d):
 @query
 def crawl_reachable(s, d):
     p = table(s, d, "pages")
-    return graph.crawl(p, p.where("page_id % 5 = 0").select("url")).groupBy("depth").agg(F.count("*").alias("n"))
+    return graph.crawl(p, p.where("url like 'https:%' and url not like '%?%'").select("url")).groupBy("depth").agg(F.count("*").alias("n"))
 
 
 @query
@@ -284,7 +285,9 @@ def crawl_unvisited(s, d):
 
 @query
 def entity_provenance(s, d):
-    return graph.provenance(table(s, d, "pages"))
+    """A15, G3 over the venues' pages."""
+    found = graph.provenance(entity(s, d, "sites"))
+    return found.withColumn("sources", F.array_join("sources", " "))
 
 
 @query
@@ -340,8 +343,8 @@ def requests(s: SparkSession, d: str) -> DataFrame:
 @query
 def ledger_cache_hits(s, d):
     r = requests(s, d)
-    early = r.where("seq < 2000").select("email", F.when(F.col("outcome") == "timeout", "unknown").otherwise(F.col("outcome")).alias("status"), "ts", "seq")
-    hits = audit.cache_lookup(r.where("seq >= 2000"), audit.latest_results(early), days=10, unknown_days=3)
+    early = r.where(f"ts < timestamp '{AS_OF}'").select("email", F.when(F.col("outcome") == "timeout", "unknown").otherwise(F.col("outcome")).alias("status"), "ts", "seq")
+    hits = audit.cache_lookup(r.where(f"ts >= timestamp '{AS_OF}'"), audit.latest_results(early), days=10, unknown_days=3)
     return hits.select("seq", "hit", F.when(F.col("hit"), F.col("cached_status")).alias("status"))
 
 
@@ -360,14 +363,17 @@ def ledger_decisions(s, d):
 @query
 def snapshot_merge(s, d):
     c = contacts(s, d).select("contact_id", "venue_id", "email", "_ord")
-    news = c.where("_ord % 7 = 0").withColumns({"contact_id": F.when(F.col("_ord") % 2 == 0, F.col("contact_id")).otherwise(F.concat(F.lit("N-"), (F.col("_ord") % 50).cast("string"))), "email": F.lit("new@site.example.org")})
+    news = contacts(s, d).where("verified = 'unknown'").select(*c.columns).withColumns({"contact_id": F.when(F.col("_ord") % 2 == 0, F.col("contact_id")).otherwise(F.concat(F.lit("N-"), (F.col("_ord") % 50).cast("string"))), "email": F.lit("new@site.example.org")})
     return crud.merge(c, news, "contact_id")
 
 
 @query
 def insert_absent(s, d):
-    v = venues(s, d).select("venue_id", "name", "city", "_ord")
-    return crud.insert_absent(v.where("_ord % 2 = 0"), v.where("_ord % 3 = 0"), ["name", "city"]).select("venue_id", "name", "city")
+    """Untouched venues, their ids taken away, as new rows beside the others."""
+    v = venues(s, d)
+    new = v.where("status = 'untouched'").withColumn("venue_id", F.lit("")).withColumn("name", F.upper("name"))
+    old = v.where("status <> 'untouched'").withColumn("venue_id", F.concat(F.upper("state"), F.lit("-"), F.substring(F.upper("category"), 1, 4), F.lit("-"), "_ord"))
+    return crud.insert_venues(old, new).select("venue_id", "name", "city", "state", "zone_priority", "_ord")
 
 
 @query
@@ -384,7 +390,9 @@ def change_log_fold(s, d):
 
 @query
 def contact_rejects(s, d):
-    return contacts(s, d).groupBy(F.coalesce(crud.contact_reject("name", "email"), F.lit("accepted")).alias("reason")).agg(F.count("*").alias("n"))
+    marked = F.col("email_sent") == "skipped"
+    reason = F.coalesce(crud.contact_reject("name", "email", marked), F.lit("accepted"))
+    return contacts(s, d).groupBy(marked.alias("marked"), reason.alias("reason")).agg(F.count("*").alias("n"))
 
 
 @query
@@ -441,23 +449,23 @@ def contact_routes(s, d):
     """F13 to F16, X10."""
     c = contacts(s, d)
     route = screening.title_route("title", F.col("email").contains("@"))
-    return c.groupBy(route.alias("route"), screening.low_value("title").alias("value")).agg(F.count("*").alias("n"))
+    return c.groupBy(route.alias("route"), screening.low_value("title", F.contains("email", F.lit("@"))).alias("value")).agg(F.count("*").alias("n"))
 
 
 @query
 def candidate_dispositions(s, d):
-    """Mailboxes of contacts as candidates, against a third of the contacts as those on file and a ledger."""
+    """Mailboxes not yet written to as candidates, against the other contacts as those on file and a ledger."""
     c = contacts(s, d)
-    found = c.where("_ord % 3 <> 0 and email <> ''").select("contact_id", "email", F.concat(F.lit("v"), F.expr("_ord % 5"), F.lit(".example.org")).alias("domain"))
-    ledger = c.where("_ord % 7 = 1").groupBy(F.lower("email").alias("email")).agg(F.min("verified").alias("status"))
-    out = screening.disposition(found, c.where("_ord % 3 = 0"), ledger, owners=("ann.lee@v1.example.org",))
+    found = c.where("email_sent = 'false' and email <> ''").select("contact_id", "email", F.concat(F.lit("v"), F.expr("_ord % 5"), F.lit(".example.org")).alias("domain"))
+    ledger = c.where("verified <> 'pending'").groupBy(F.lower("email").alias("email")).agg(F.min("verified").alias("status"))
+    out = screening.disposition(found, c.where("email_sent <> 'false' and verified = 'valid'"), ledger, owners=("ann.lee@v1.example.org",))
     return out.select("contact_id", "disposition", F.col("flags.generic").alias("generic"), F.col("flags.off_domain").alias("off_domain"))
 
 
 @query
 def resolved_ids(s, d):
-    """Every tenth venue is asked for by its website alone."""
-    asked = venues(s, d).where("_ord % 10 = 4 and website <> ''").select(F.concat(F.lit("?"), "venue_id").alias("venue_id"), "website", "_ord")
+    """Every venue is asked for by its website alone."""
+    asked = venues(s, d).where("website <> ''").select(F.concat(F.lit("?"), "venue_id").alias("venue_id"), "website", "_ord")
     return screening.resolved_ids(asked, venues(s, d)).select("_ord", "venue_id")
 
 
@@ -469,12 +477,12 @@ def gig_distances(s, d):
 @query
 def attached_titles(s, d):
     c = contacts(s, d)
-    return screening.attached_titles(c, c.where("_ord % 2 = 1").select("venue_id", "email", "title", "_ord")).select("contact_id", "full_title")
+    return screening.attached_titles(c, c.where("verified = 'valid'").select("venue_id", "email", "title", "_ord")).select("contact_id", "full_title")
 
 
 @query
 def venue_flags(s, d):
-    return reports.venue_flags(contacts(s, d))
+    return reports.venue_flags(venues(s, d), contacts(s, d))
 
 
 @query

@@ -18,14 +18,14 @@ def pick(key: str, *values: str) -> str:
 NAME = f"""concat({pick("c_custkey", "La Ferme", "Blue Ridge", "Harbor", "Old Town", "Chez Paris", "Cedar Grove", "Falls Church", "Stone Tower", "Army Navy", "Riverside", "Grand", "Spanish Gate")}, ' ',
  {pick("c_custkey", "Bistro", "Winery", "Country Club", "Hotel", "Museum", "Wine Bar", "Yacht Club", "Gallery", "Spa", "Library", "Brewery", "Tavern", "Theater", "Steakhouse", "Church", "Inn", "Market")})"""
 RAW_CATEGORY = pick("c_custkey", "restaurant", "Winery", "country_club", "hotel", "museum", "wine bar", "event venue", "spa", "", "Spanish restaurant", "art gallery", "private club", "Gym")
-CITY = pick("c_custkey", "Annapolis", "Baltimore", "Reston", "", "best prices in DC", "Easton", "McLean", "Gaithersburg 20878", "Leesburg", "Alexandria", "Bethesda")
+CITY = pick("(c_nationkey + c_custkey % 2)", "Annapolis", "Baltimore", "Reston", "", "best prices in DC", "Easton", "McLean", "Gaithersburg 20878", "Leesburg", "Alexandria", "Bethesda")
 STATE = pick("c_nationkey", "DC", "MD", "VA", "PA", "DE", "WV", "")
 
 VENUES = {
     "venue_id": "concat('V-', cast(c_custkey AS varchar(20)))",
     "name": NAME,
     "category": RAW_CATEGORY,
-    "website": f"CASE WHEN c_custkey % 9 = 0 THEN '' WHEN c_custkey % 9 = 1 THEN concat('https://www.facebook.com/v', cast(c_custkey AS varchar(20))) ELSE concat('https://www.', lower(replace({NAME}, ' ', '')), cast(c_custkey % 40 AS varchar(20)), '.example.org/', CASE WHEN c_custkey % 4 = 0 THEN 'a/b/c' ELSE '' END) END",
+    "website": f"CASE WHEN c_custkey % 9 = 0 THEN '' WHEN c_custkey % 9 = 1 THEN concat('https://www.facebook.com/v', cast(c_custkey AS varchar(20))) ELSE concat(CASE WHEN c_custkey % 5 = 2 THEN 'www.' ELSE 'https://www.' END, lower(replace({NAME}, ' ', '')), cast(c_custkey % 40 AS varchar(20)), '.example.org/', CASE WHEN c_custkey % 4 = 0 THEN 'a/b/c' ELSE '' END) END",
     "city": CITY,
     "county": "r_name",
     "state": STATE,
@@ -69,11 +69,27 @@ GIGS = {
     "distance_miles": "CASE WHEN o_custkey % 8 = 0 THEN NULL ELSE cast(o_custkey % 120 AS double) + 0.5 END",
     "_ord": "o_orderkey",
 }
+#: Fetched pages of the venues' sites: one a customer.
+SLUG = f"concat(lower(replace({NAME}, ' ', '')), cast(c_custkey % 40 AS varchar(20)))"
+MAILS = """CASE c_custkey % 6 WHEN 0 THEN 'Write <b>Ann.Lee@H</b>, ann.lee@H.' WHEN 1 THEN 'bo [at] H and cy (at) H' WHEN 2 THEN 'di at mail dot org; noreply@H' WHEN 3 THEN 'info@H sales@H x@example.com logo@2x.png'
+ WHEN 4 THEN '<a data-cfemail="3d5e5b7d4b58534858135845505a">x</a>' ELSE '' END"""
+SOCIALS = """CASE c_custkey % 7 WHEN 0 THEN '<a href="https://www.facebook.com/TheSlug/">f</a>' WHEN 1 THEN '"https:\\/\\/instagram.com\\/the_slug\\/"' WHEN 2 THEN '<a href="//m.facebook.com/sharer">s</a> https://www.facebook.com/12345'
+ WHEN 3 THEN 'https://www.facebook.com/profile.php?id=77&amp;x=1' WHEN 4 THEN 'https://www.instagram.com/p/ https://instagram.com/Slug.two' WHEN 5 THEN 'https%3A%2F%2Ffacebook.com%2Fcoded' ELSE '' END"""
+PATH = pick("c_custkey", "/Events/?utm_source=a&id=3#Form", "", "/contact-us/", "/menu.PDF?x=1", "/wp-content/logo.png", "/locations/reston-va/", "/private_events/index.html", "/book-a-table?ref=x", "/" + "z" * 90)
+FORM = "CASE WHEN c_custkey % 4 = 1 THEN '<form action=\"/send\"><p>x</p><textarea></textarea></form>' WHEN c_custkey % 4 = 2 THEN '<form class=\"contact\">' ELSE '' END"
+SITES = {
+    "page_id": "c_custkey",
+    "venue_id": "concat('V-', cast(c_custkey AS varchar(20)))",
+    "url": f"concat(CASE WHEN c_custkey % 3 = 0 THEN 'https://www.' WHEN c_custkey % 3 = 1 THEN 'HTTP://' ELSE 'https://' END, {SLUG}, '.example.org', {PATH})",
+    "html": f"""concat('<title>', {NAME}, ' | ', {CITY}, '</title><h1>', {NAME}, '</h1><a href="/events#cta">Events</a><a href="contact.html?x=1&amp;utm_campaign=z">c</a><a href="?p=2">n</a><a href="tel:1">t</a><a href="https://other',
+ cast(c_custkey % 7 AS varchar(20)), '.example.net/p">o</a>', replace({MAILS}, 'H', concat({SLUG}, '.example.org')), ' ', {SOCIALS}, ' ', {FORM})""",
+}
 FROM = {
     "venues": ("customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey", VENUES),
     "contacts": ("orders", CONTACTS),
     "outreach": ("events", OUTREACH),
-    "gigs": ("orders WHERE o_orderkey % 50 = 7", GIGS),
+    "sites": ("customer", SITES),
+    "gigs": ("orders WHERE o_totalprice > 490000", GIGS),
 }
 
 
@@ -89,7 +105,7 @@ def entity(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         nations = read("nation").join(read("region"), F.col("n_regionkey") == F.col("r_regionkey"))
         base = read("customer").join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
     elif name == "gigs":
-        base = read("orders").where("o_orderkey % 50 = 7")
+        base = read("orders").where("o_totalprice > 490000")
     else:
-        base = read({"contacts": "orders", "outreach": "events"}[name])
+        base = read({"contacts": "orders", "outreach": "events", "sites": "customer"}[name])
     return base.selectExpr(*(f"{e} AS {c}" for c, e in FROM[name][1].items()))

@@ -2,19 +2,26 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def cut(df: DataFrame, name: str) -> DataFrame:
-    """Cuts lineage: writes the rows under `spark.checkpoint.dir` and reads them again. Where that is unset, a local folder is taken."""
-    spark = df.sparkSession
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A new path under `spark.checkpoint.dir`. Where that is unset, a local folder is taken, on one machine only."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         folder = f"file://{tempfile.mkdtemp(prefix='prospectra-')}"
         spark.conf.set("spark.checkpoint.dir", folder)
-    path = f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def cut(df: DataFrame, name: str) -> DataFrame:
+    """Cuts lineage: writes the rows to the shared folder and reads them again."""
+    path = new_folder(df.sparkSession, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

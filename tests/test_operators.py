@@ -55,7 +55,17 @@ def test_ledger_goldens():
     assert d.decide(DAY, "a@v.example", "r", "valid")[3] == "cached"
     assert d.decide(DAY, "a@v.example", "r", "valid", retry=True)[3] == "charged"
     assert d.decide(200 * DAY, "a@v.example", "r", "invalid")[3] == "charged"
-    assert d.decide(0, None, "r", "valid")[3] == "bad_input"
+    assert d.decide(0, None, "r", "valid") == ("deferred", False, False, "invalid_email_input")
+    assert audit.Decider(1, 1, key=False).decide(0, "a@v.example", "r", "valid")[3] == "no_api_key"
+    d = audit.Decider(9, 9, reserve=100)
+    assert d.decide(0, "a@v.example", "r", "valid", known_balance=True)[3] == "credit_check_failed"
+    assert d.decide(0, "a@v.example", "r", "valid", balance=100, known_balance=True)[3] == "reserve_reached"
+    assert d.decide(0, "a@v.example", "r", "open", balance=101, known_balance=True)[3] == "reserved"
+    assert d.decide(1, "a@v.example", "r", "valid")[3] == "already_inflight"
+    assert d.decide(302, "a@v.example", "r", "valid")[3] == "charged"
+    d = audit.Decider(1, 9)
+    d.decide(0, "a@v.example", "r", "open")
+    assert d.decide(0, "b@v.example", "r", "valid")[3] == "run_budget_reached"
 
 
 def ledger_rows():
@@ -101,7 +111,7 @@ def test_fold_and_merge(spark):
     table = spark.createDataFrame([("a", "untouched", "X"), ("b", "pipelined", "Y")], "venue_id string, status string, city string")
     log = spark.createDataFrame([("a", "status", "contacted", 1, "t1"), ("a", "nonsense", "z", 2, "t2"), ("b", "status", "contacted", 3, "t3"), ("b", "status", "closed", 4, "t4"), ("b", "city", None, 5, "t5")], "venue_id string, field string, value string, _ord long, at string")
     got = {r.venue_id: tuple(r)[1:] for r in crud.fold_changes(table, log, "venue_id", ["status", "city"]).collect()}
-    assert got == {"a": ("contacted", "X", "t1"), "b": ("closed", None, None)}
+    assert got == {"a": ("contacted", "X", "t1"), "b": ("closed", None, "t3")}
     rows = spark.createDataFrame([("a", 1, 1), ("b", 2, 2)], "k string, v int, _ord long")
     new = spark.createDataFrame([("b", 3, 3), ("b", 4, 4), ("c", 5, 5)], "k string, v int, _ord long")
     assert {tuple(r)[:2] for r in crud.merge(rows, new, "k").collect()} == {("a", 1), ("b", 4), ("c", 5)}
@@ -113,10 +123,10 @@ def test_fold_and_merge(spark):
 
 
 def test_rejects(spark):
-    df = spark.createDataFrame([("", "a@b.example"), ("Ann", "info@b.example"), ("Sales", "a@b.example"), ("Ann", "ann@b.example"), ("Ann", "")], "name string, email string")
-    assert [r[0] for r in df.select(crud.contact_reject("name", "email")).collect()] == ["no name", "role mailbox", "role as name", None, "no mailbox"]
-    urls = spark.createDataFrame([("https://a.example/x.png",), ("https://a|b",), ("https://www.google.com/x",), ("https://a.example/",)], "u string")
-    assert [r[0] for r in urls.select(crud.website_reject("u")).collect()] == ["asset", "several", "junk domain", None]
+    df = spark.createDataFrame([("", "a@b.example", False), ("Ann", "Info@b.example", False), ("Front Desk ", "a@b.example", False), ("Ann", "ann@b.example", False), ("Ann", "", None), ("", "info@b.example", True), ("Owner", "owner@b.example", True)], "name string, email string, g boolean")
+    assert [r[0] for r in df.select(crud.contact_reject("name", "email", "g")).collect()] == ["no name", "role mailbox", "role as name", None, None, None, None]
+    urls = spark.createDataFrame([("https://a.example/x.PNG?v=1",), ("https://a|b",), ("https://sites.google.com/x",), ("https://a.example/",), ("a.fandom.com",)], "u string")
+    assert [r[0] for r in urls.select(crud.website_reject("u")).collect()] == ["asset", "several", "junk domain", None, "junk domain"]
 
 
 def test_gig_overall(spark):

@@ -6,11 +6,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_module
-from prospectra.plans.oracle import ORACLE_SQL
-from prospectra.plans.queries import QUERIES
+from prospectra.plans import catalog, oracle, queries
 
 from .conftest import SF
 
+QUERIES, ORACLE_SQL = {**queries.QUERIES, **catalog.QUERIES}, {**oracle.ORACLE_SQL, **catalog.ORACLE_SQL}
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "pages", "conversations")
 
 

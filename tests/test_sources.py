@@ -108,14 +108,14 @@ def tables(spark):
 def test_every_action_runs(spark, tables):
     contact = tables["contacts"].limit(1)
     parameters = {
-        "update_venue": {"venue_id": "V-1", "field": "Facebook", "value": "x"},
+        "update_venue": {"venue_id": "V-1", "field": "Facebook", "value": "https://www.facebook.com/blueridge"},
         "update_contact": {"contact_id": "C-1", "field": "title", "value": "Owner"},
         "update_contact_email": {"rows": contact},
         "log_outreach": {"rows": tables["outreach"].limit(1)},
         "add_venue": {"rows": tables["venues"].limit(3)},
         "add_contact": {"rows": contact},
         "add_gig": {"rows": tables["gigs"].limit(1)},
-        "update_gig": {"gig_id": "g-7", "field": "venue_name", "value": "New"},
+        "update_gig": {"rows": tables["gigs"].limit(1).select("gig_id", F.lit(9).alias("rating_tips"))},
         "delete_gig": {"gig_id": "g-7"},
         "delete_contact": {"contact_id": "C-1"},
         "delete_venue": {"venue_id": "V-1"},
@@ -128,12 +128,15 @@ def test_every_action_runs(spark, tables):
     }
     counts = {}
     for name in actions.ACTIONS:
-        if name in ("update_gig",):
-            continue  # the projection has no notes column
-        counts[name] = actions.run(name, tables, **parameters.get(name, {})).count()
+        out = actions.run(name, tables, **parameters.get(name, {}))
+        counts[name] = out.count() if not isinstance(out, dict) else {k: v.count() for k, v in out.items()}
     n = tables["venues"].count()
     assert counts["venues"] == counts["update_venue"] == counts["add_venue"] == counts["save_step"] == counts["fix_venue_ids"] == n
-    assert counts["delete_venue"] == n - 1 and counts["dashboard"] == 1 and counts["load_discovery"] == 0
+    assert counts["delete_venue"]["venues"] == n - 1 and counts["delete_venue"]["contacts"] < counts["add_contact"]
+    assert set(counts["audit_pipeline"]) == {"venues", "summary", "pending"} and counts["dashboard"] == 1
+    stats = {(r.kind, r.key): r.n for r in actions.run("stats", tables).collect()}
+    assert stats["total", ""] == tables["outreach"].count() == sum(v for (k, _), v in stats.items() if k == "channel")
+    assert counts["update_gig"] == tables["gigs"].count() and counts["dashboard"] == 1 and counts["load_discovery"] == 0
     assert actions.run("get_skip_words", tables).first().value == "a,b"
     assert actions.run("templates", tables).first().subject == "s2"
     changed = actions.run("save_step", tables, venue_id="V-1", step="emails", status="DONE").where("venue_id = 'V-1'").first().check_status
@@ -148,3 +151,39 @@ def test_names_are_found(spark, tables):
     first = tables["venues"].orderBy("_ord").first()
     assert actions.find_by_name(tables, name=first.name.upper()).first()._ord == first._ord
     assert actions.find_by_name(tables, name=" ".join(reversed(first.name.split()))).first() is not None
+
+
+def test_inserts_follow_the_rules(spark):
+    """Duplicates by name with city or domain, ids, defaults; a row that is not inserted makes no other a duplicate."""
+    from prospectra.operators import crud
+
+    schema = "venue_id string, name string, category string, website string, city string, state string, zone_priority string, status string, upscale_score double, _ord long"
+    old = spark.createDataFrame([("MD-WINE-020", "La Ferme", "winery", "https://www.laferme.example/x", "Easton", "MD", "green", "untouched", 4.0, 1), ("MD-WINE-7", "Oak", "winery", "", "", "MD", "green", "untouched", 4.0, 2)], schema)
+    new = [("", "la ferme ", "Winery", "", "EASTON", "md"), ("", "La Ferme", "Winery", "laferme.example", "Reston", "md"), ("", "La Ferme", "Winery", "https://b.example", "Reston", "md"), ("", "La Ferme", "Winery", "b.example/menu", "Bowie", "md"), ("", "Oak", "", "", "", ""), ("", "Elm", "", "", "", ""), ("X-1", "Elm", "", "", "Bowie", "")]
+    rows = spark.createDataFrame([(*r, "", "", None, k) for k, r in enumerate(new)], schema)
+    got = {r._ord: (r.venue_id, r.state, r.zone_priority, r.status, r.upscale_score) for r in crud.insert_venues(old, rows).collect()}
+    assert got == {2: ("MD-WINE-021", "MD", "default", "untouched", 3.0), 5: ("XX-OTHE-001", "", "default", "untouched", 3.0), 6: ("X-1", "", "default", "untouched", 3.0)}
+
+
+def test_updates_are_validated(spark, tables):
+    for field, value in (("website", "https://www.yelp.com/biz/x"), ("website", "https://a.example/x.png"), ("Website", "a|b"), ("facebook", "blueridge"), ("instagram", "https://instagram.com/zzzz")):
+        with pytest.raises(ValueError, match="not accepted"):
+            actions.run("update_venue", tables, venue_id="V-1", field=field, value=value)
+    out = actions.run("update_venue", tables, venue_id="V-1", field="instagram", value="https://instagram.com/zzzz", force=True)
+    assert out.where("venue_id = 'V-1'").first().instagram == "https://instagram.com/zzzz"
+
+
+def test_sites_without_a_scheme(spark):
+    from prospectra.functions import rules, text
+
+    rows = spark.createDataFrame([("Salamander Resort", "salamanderresort.example"), ("Salamander Resort", "https://www.salamanderresort.example/x"), ("X", "yelp.com/biz"), ("X", "")], "n string, u string")
+    got = rows.select(rules.website_score("n", "u").alias("s"), rules.blocked_domain("u").alias("b"), text.site_host("u").alias("h")).collect()
+    assert got[0].s == got[1].s > 6 and [r.b for r in got] == [False, False, True, True] and [r.h for r in got] == ["salamanderresort.example", "salamanderresort.example", "yelp.com", ""]
+
+
+def test_crawl_budget(spark):
+    from prospectra.operators import graph
+
+    pages = spark.createDataFrame([("https://s.example/", "".join(f'<a href="/{p}">x</a>' for p in ("zz", "events", "contact", "private-events")))], "url string, html string")
+    got = {r.url for r in graph.crawl(pages, pages.select("url"), max_pages=3).collect()}
+    assert got == {"https://s.example/", "https://s.example/private-events", "https://s.example/events"}
