@@ -14,8 +14,10 @@ is a task's unit, and copies of an item in many documents cost each of them alon
 
 Defined cases: null and empty texts and items match nothing; an item with fewer
 words than the n-gram is one seed as a whole; repeated items are reported each;
-an empty table gives no rows; rows without doc_id or item_id are left out; other
-columns are ignored.
+an empty table gives no rows; rows without doc_id or item_id are left out, and stay in
+`decontaminate`; rows that repeat a doc_id are one document in `contaminated`, which has its
+best passage, and each its own in `decontaminate`; a very long text is compared as a whole;
+other columns are ignored.
 """
 
 from __future__ import annotations

@@ -103,7 +103,7 @@ def shard_by_bytes(docs: DataFrame, shards: int = 40) -> DataFrame:
     groups = materialize(sized.groupBy("digest").agg(F.sum("row_size").alias("size")), "groups")
     classes = groups.groupBy("size").agg(F.count("*").alias("n_groups"))
     plan = materialize(schedule(classes, shards), "plan")
-    placed = numbered(groups, groups.count(), ["size"], [F.col("digest")], "place").join(plan, "size")
+    placed = numbered(groups, groups.count(), ["size"], [F.col("digest")], "place").join(plan.hint("merge"), "size")  # classes grow with the corpus: never broadcast
     placed = placed.select("digest", F.size(F.filter("upto", lambda n: n <= F.col("place"))).alias("shard"))
     rows = sized.join(placed, "digest").select("doc_id", F.col("row_size").alias("size"), "text_crc32", "shard")
     return numbered(rows, sized.count(), ["shard"], [F.col("doc_id"), F.col("text_crc32")], "slot")

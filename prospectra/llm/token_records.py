@@ -22,8 +22,8 @@ bounded memory.
 
 Defined cases: a null text is empty and has the end id alone; rows without a doc_id
 are left out; rows that repeat a doc_id are written each, in order of their text's
-checksum; an empty table gives no files; other columns are ignored; a damaged
-record raises ValueError.
+checksum; a very long text is one record; an empty table gives no files; other columns
+are ignored; a damaged record raises ValueError.
 """
 
 from __future__ import annotations

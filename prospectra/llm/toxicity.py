@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, pack, release, unpack
+from .common import add_up, in_parts, materialize, pack, release, unpack
 
 HASH_BITS, FEW, MANY = 18, 3, 6
 FIT_ROWS = 20_000
@@ -142,15 +142,15 @@ def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.n
 
 
 def summed(table: DataFrame, add: Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray], None], width: int) -> np.ndarray:
-    """What `add` makes of all blocks in an array of `width` numbers: one array a task, added up in order of the tasks."""
+    """What `add` makes of all blocks, in an array of `width` numbers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(width)
         for toxic, size, keys in blocks(batches):
             add(total, toxic, size, keys)
-        yield pa.record_batch([pa.array([pack(total)], pa.binary())], names=["blob"])
+        yield in_parts(total)
 
-    return np.sum([unpack(bytes(r.blob))[0] for r in table.mapInArrow(run, "blob binary").collect()] or [np.zeros(width)], axis=0)  # PARTS rows
+    return add_up(table.mapInArrow(run, "part int, blob binary"), width)
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_rows: int = FIT_ROWS, least_ratio: float = 0.0, least_docs: int = 1, strength: float = 1.0, steps: int = 25) -> tuple[np.ndarray, float]:

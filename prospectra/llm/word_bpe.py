@@ -17,7 +17,8 @@ blank, as the file names no decoder.
 
 Defined cases: a null text is empty, with no ids and an empty decoded text; ids
 out of the vocabulary raise an error; an empty table gives no rows; other columns
-are ignored; repeated rows are encoded each.
+are ignored; repeated rows are encoded each, and rows without a doc_id too; a very long
+text is encoded as a whole, word by word.
 """
 
 from __future__ import annotations
