@@ -2,6 +2,10 @@
 
 Toxic documents go, then exact copies, near copies and documents with benchmark passages; what is
 left is encoded. A stage works on all that its predecessor kept and sees nothing else of the corpus.
+
+Defined cases, of every stage: a null text is empty; rows without a doc_id are never dropped by a copy or a passage, and
+are scored and encoded like others; rows that repeat a doc_id are told apart by their texts, so that no text is lost;
+very long texts are taken whole; a stage of an empty table gives an empty one; other columns are kept up to the last stage.
 """
 
 from __future__ import annotations
@@ -19,27 +23,27 @@ from prospectra.llm.word_bpe import default_vocabulary, encoded
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 2, fitted on the labelled documents among docs."""
+    """Operator 2, fitted on the labelled documents among docs: those that it predicts toxic go. Without labels of both classes nothing tells documents apart, and all stay unless all labels say toxic."""
     return drop_toxic(docs, table(spark, sf_dir, "labels"))
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 5: of equal texts the largest doc_id stays."""
+    """Operator 5: of equal texts the row with the largest doc_id stays, one row even if that doc_id repeats."""
     return exact_dedup(docs)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 10: of each component the smallest doc_id stays."""
+    """Operator 10: of each component one row with the smallest doc_id stays; texts without words are in none and stay."""
     return near_dedup(docs)
 
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 9: documents with a passage of a test item go."""
+    """Operator 9: rows with a passage of a test item go; without items all stay."""
     return decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 7: doc_id, ids and decoded text."""
+    """Operator 7: doc_id, ids and decoded text of every row that is left."""
     return encoded(docs, default_vocabulary())
 
 
