@@ -178,17 +178,17 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = FIT_ROWS, least_rati
 
     def loss(w: np.ndarray) -> tuple[float, np.ndarray]:
         """Penalised mean log loss and its gradient by weights, the bias last."""
-        sent = session.broadcast(np.append(w[:-1] * ratio, w[-1]))
+        sent = session.broadcast(np.append(w[:-1] * ratio, w[-1]).astype(np.float32))
 
         def add(total: np.ndarray, toxic: np.ndarray, size: np.ndarray, keys: np.ndarray) -> None:
-            x = sent.value
+            x = sent.value.astype(np.float64)
             z = sums(x[keys], size) + x[-1]
             error = 1 / (1 + np.exp(-np.clip(z, -700, 700))) - toxic
             total[:n] += np.bincount(keys, np.repeat(error, size), n)
             total[n:] += (error.sum(), np.sum(np.logaddexp(0, z) - toxic * z))
 
         total = summed(table, add, n + 2) / all_rows
-        sent.unpersist()
+        sent.destroy()  # else the driver keeps one of each step
         penalty = strength / all_rows
         return total[n + 1] + penalty / 2 * np.sum(w[:-1] ** 2), np.append(total[:n] * ratio + penalty * w[:-1], total[n])
 
