@@ -187,9 +187,10 @@ def gig_overall(*ratings: str, on_insert: bool = True) -> Column:
 
 def word_counts(rows: DataFrame, words: Column, top: int = 30) -> DataFrame:
     """The most frequent words and in how many rows each occurs; ties by the word."""
-    # Counts of a row's words combine first, so that the second exchange has a row a word and task.
-    once = rows.select("_ord", F.explode(words).alias("word")).groupBy("word", "_ord").agg(F.count("*").alias("c"))
-    counts = once.groupBy("word").agg(F.sum("c").alias("n"), F.count("*").alias("n_rows"))
+    # Every word counts once for itself, and every distinct word of a row once for the row: one exchange, of a row a word and task.
+    one = lambda n, row: lambda w: F.struct(w.alias("word"), F.lit(n).alias("n"), F.lit(row).alias("row"))
+    marked = F.concat(F.transform(words, one(1, 0)), F.transform(F.array_distinct(words), one(0, 1)))
+    counts = rows.select(F.inline(marked)).groupBy("word").agg(F.sum("n").alias("n"), F.sum("row").alias("n_rows"))
     return counts.orderBy(F.desc("n"), "word").limit(top)
 
 
