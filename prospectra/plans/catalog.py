@@ -15,9 +15,9 @@ from ..operators import audit, collect, crud, graph, reports, screening
 from ..operators import relational as rel
 from ..sources import files
 from ..sources.projection import entity, sql
-from ..sources.shared import cut
+from ..sources.shared import new_folder
 from .oracle import likes, names, typed
-from .queries import Query, contacts, gigs, outreach, table, venues
+from .queries import Query, contacts, gigs, table, venues
 
 QUERIES: dict[str, Query] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -85,10 +85,10 @@ def site_coverage(s, d):
 
 
 @compared(sql("sites").rstrip() + ",\n" + NORMAL + "," + TARGETS + rf""", x AS (SELECT page_id, 'https://other' || (page_id % 7) || '.example.net/p' AS first FROM sites)
-SELECT page_id, first AS external, 'https://www.facebook.com/' AS blank FROM x""")
+SELECT page_id, first AS external FROM x""")
 def site_externals(s, d):
     """The first link to another host."""
-    return sites(s, d).select("page_id", files.first_external("html", "url").alias("external"), F.lit("https://www.facebook.com/").alias("blank"))
+    return sites(s, d).select("page_id", files.first_external("html", "url").alias("external"))
 
 
 @compared(sql("sites") + """SELECT page_id, split_part(regexp_extract(html, '<h1>([^<]*)</h1>', 1), '|', 1) AS name, CASE WHEN page_id % 7 = 0 THEN 'https://www.facebook.com/TheSlug/' WHEN page_id % 7 = 1 THEN 'https://www.instagram.com/the_slug/'
@@ -121,14 +121,11 @@ SELECT kind, entity, count(*) AS n_sources, min(url) AS first_url, string_agg(ur
 
 @compared(typed() + r"""SELECT contact_id, regexp_replace(lower(name), '[^a-z0-9]', '', 'g') AS flat, array_to_string(list_transform(string_split(trim(regexp_replace(split_part(email, '@', 1), '[-_.]+', ' ', 'g')), ' '), lambda w: upper(w[1]) || lower(w[2:])), ' ') AS shown,
  replace(replace(lower(title), '_', ''), ' ', '') AS key, replace(replace(title || ' & <b>', '&', '&amp;'), '<', '&lt;').replace('>', '&gt;') AS escaped,
- array_to_string(list_distinct([replace(lower(name), ' ', ''), replace(lower(name), ' ', '-'), replace(lower(name), ' ', '.')]), ' ') = array_to_string(list_distinct([replace(lower(name), ' ', ''), replace(lower(name), ' ', '-'), replace(lower(name), ' ', '.')]), ' ') AS sluggy,
- replace(lower(name), ' ', '-') AS slug, CASE WHEN name = '' THEN '' ELSE split_part(name, ' ', 1) END AS first, CASE WHEN name = '' THEN '' ELSE split_part(name, ' ', 2) END AS last FROM c""")
+ array_to_string(list_distinct([replace(lower(name), ' ', ''), replace(lower(name), ' ', '-'), replace(lower(name), ' ', '.')]), ' ') AS slugs, CASE WHEN name = '' THEN '' ELSE split_part(name, ' ', 1) END AS first, CASE WHEN name = '' THEN '' ELSE split_part(name, ' ', 2) END AS last FROM c""")
 def contact_names(s, d):
     """T19, T20, T25, T27, T30, X25's name parts."""
     parts = F.split(F.trim("name"), r"\s+", 2)
-    slugs = text.slugs("name")
-    slug = F.when(F.size(slugs) > 1, F.get(slugs, F.lit(1))).otherwise(F.coalesce(F.get(slugs, F.lit(0)), F.lit("")))
-    return contacts(s, d).select("contact_id", text.plain_name("name").alias("flat"), text.display_name("email").alias("shown"), text.header_key("title").alias("key"), text.escape_html(F.concat("title", F.lit(" & <b>"))).alias("escaped"), F.lit(True).alias("sluggy"), slug.alias("slug"), F.get(parts, F.lit(0)).alias("first"), F.coalesce(F.get(parts, F.lit(1)), F.lit("")).alias("last"))
+    return contacts(s, d).select("contact_id", text.plain_name("name").alias("flat"), text.display_name("email").alias("shown"), text.header_key("title").alias("key"), text.escape_html(F.concat("title", F.lit(" & <b>"))).alias("escaped"), F.array_join(text.slugs("name"), " ").alias("slugs"), F.get(parts, F.lit(0)).alias("first"), F.coalesce(F.get(parts, F.lit(1)), F.lit("")).alias("last"))
 
 
 @compared(typed() + r"""SELECT venue_id, CASE WHEN state = '' THEN '' ELSE city END AS city, state, CASE WHEN state = '' THEN '' ELSE trim(regexp_replace(city, '\s+', ' ', 'g')) END AS asked, state AS asked_state,
@@ -543,8 +540,6 @@ def category_histogram(s, d):
 @compared(typed() + "SELECT DISTINCT lower(trim(name)) AS item FROM v WHERE name <> ''")
 def list_round_trip(s, d):
     """Names written as lines and read back, distinct and without case."""
-    from ..sources.shared import new_folder
-
     path = new_folder(s, "lines")
     venues(s, d).select(F.concat(F.lit("  "), F.upper("name")).alias("value")).write.text(path)
     return files.read_list(s, path)
@@ -553,8 +548,6 @@ def list_round_trip(s, d):
 @compared(typed() + "SELECT venue_id, name, city, upscale AS upscale_score FROM v")
 def json_round_trip(s, d):
     """Rows written as JSON lines in two appends and read back with a schema."""
-    from ..sources.shared import new_folder
-
     path, v = new_folder(s, "json"), venues(s, d).select("venue_id", "name", "city", "upscale_score", "status")
     files.write_rows(v.where("status = 'untouched'").drop("status"), path)
     files.write_rows(v.where("status <> 'untouched'").drop("status"), path, append=True)
@@ -564,8 +557,6 @@ def json_round_trip(s, d):
 @compared("SELECT venue_id, issue, current, suggested, confidence FROM ({QUALITY})")
 def issue_report(s, d):
     """The issue report as CSV, read back."""
-    from ..sources.shared import new_folder
-
     path = new_folder(s, "issues")
     files.write_issues(audit.quality_issues(venues(s, d)), path)
     back = s.read.option("header", True).schema("venue_id string, issue string, current string, suggested string, confidence string").csv(path)
