@@ -121,7 +121,7 @@ SELECT kind, entity, count(*) AS n_sources, min(url) AS first_url, string_agg(ur
 
 @compared(typed() + r"""SELECT contact_id, regexp_replace(lower(name), '[^a-z0-9]', '', 'g') AS flat, array_to_string(list_transform(string_split(trim(regexp_replace(split_part(email, '@', 1), '[-_.]+', ' ', 'g')), ' '), lambda w: upper(w[1]) || lower(w[2:])), ' ') AS shown,
  replace(replace(lower(title), '_', ''), ' ', '') AS key, replace(replace(title || ' & <b>', '&', '&amp;'), '<', '&lt;').replace('>', '&gt;') AS escaped,
- array_to_string(list_distinct([replace(lower(name), ' ', ''), replace(lower(name), ' ', '-'), replace(lower(name), ' ', '.')]), ' ') AS slugs, CASE WHEN name = '' THEN '' ELSE split_part(name, ' ', 1) END AS first, CASE WHEN name = '' THEN '' ELSE split_part(name, ' ', 2) END AS last FROM c""")
+ CASE WHEN contains(name, ' ') THEN replace(lower(name), ' ', '') || ' ' || replace(lower(name), ' ', '-') || ' ' || replace(lower(name), ' ', '.') ELSE lower(name) END AS slugs, CASE WHEN name = '' THEN '' ELSE split_part(name, ' ', 1) END AS first, CASE WHEN name = '' THEN '' ELSE split_part(name, ' ', 2) END AS last FROM c""")
 def contact_names(s, d):
     """T19, T20, T25, T27, T30, X25's name parts."""
     parts = F.split(F.trim("name"), r"\s+", 2)
