@@ -449,7 +449,7 @@ def profile_precedence(s, d):
 
 
 @compared("SELECT event_id FROM events WHERE ts >= timestamp '2024-01-24 12:55:00' AND event_type = 'click'")
-def open_reservations(s, d):
+def live_reservations(s, d):
     """L4: reservations not older than 300 seconds."""
     e = table(s, d, "events").where("event_type = 'click'").select("event_id", F.col("ts").cast("timestamp").alias("reserved_at"))
     return collect.live_reservations(e, "2024-01-24 13:00:00", 300).select("event_id")
