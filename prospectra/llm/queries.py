@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat_format, decontamination, exact_dedup, hyperminhash, line_dedup, mixing, periodic_runs, pitman_yor, sharding, token_records, toxicity, word_bpe
+from . import chat_format, cross_tokens, decontamination, exact_dedup, hyperminhash, line_dedup, mixing, periodic_runs, pitman_yor, sharding, token_records, toxicity, word_bpe
 from .common import table
 
 
@@ -26,6 +26,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_bpe_codec": over("documents", word_bpe.op7_bpe_codec),
     "op8_sharding": over("documents", sharding.op8_sharding),
     "op9_decontamination": over("documents", "benchmark", decontamination.op9_decontamination),
+    "op11_cross_tokens": over("documents", cross_tokens.op11_cross_tokens),
     "op12_source_mixing": over("documents", mixing.op12_source_mixing),
     "op13_periodic_runs": over("documents", periodic_runs.op13_periodic_runs),
 }
