@@ -1,10 +1,7 @@
-"""Audits, log sessions and the verification ledger."""
+"""Audits, log sessions, cache lookups and usage counts."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -85,76 +82,9 @@ def latest_results(results: DataFrame) -> DataFrame:
     return results.groupBy(F.lower("email").alias("email")).agg(F.max_by("status", F.struct("ts", "seq")).alias("status"), F.max("ts").alias("verified_at"))
 
 
-def budget_view(usage: DataFrame, per_run: int, per_day: int, balance: float | None = None, reserve: float | None = None) -> DataFrame:
-    """Charges of each run and day against the limits, and which binds; with a reserve, a balance at or below it, or unknown, binds before all."""
+def budget_view(usage: DataFrame, per_run: int, per_day: int) -> DataFrame:
+    """Charges of each run and day against the limits, and which binds; `ledger.budgets` is the view at a time, with reservations and balance."""
     runs = usage.groupBy("day", "run_id").agg(F.count("*").alias("run_used"))
     w = Window.partitionBy("day")
     seen = runs.withColumn("day_used", F.sum("run_used").over(w))
-    return seen.withColumn("reason", F.when(F.col("run_used") >= per_run, "run_budget_reached").when(F.col("day_used") >= per_day, "day_budget_reached").otherwise("ok") if reserve is None or (balance is not None and balance > reserve) else F.lit("credit_check_failed" if balance is None else "reserve_reached"))
-
-
-class Decider:
-    """The ordered decision on each request of one ledger; state is the cache, the counts and open reservations."""
-
-    def __init__(self, per_run: int, per_day: int, days: int = 180, unknown_days: int = 30, enabled: bool = True, key: bool = True, reserve: float = 0):
-        self.per_run, self.per_day, self.days, self.unknown_days, self.enabled, self.key, self.reserve = per_run, per_day, days, unknown_days, enabled, key, reserve
-        self.inflight: dict[str, float] = {}
-        self.cache: dict[str, tuple[str, float]] = {}
-        self.runs: dict[str, int] = {}
-        self.day: dict[str, int] = {}
-
-    def decide(self, ts: float, email: str | None, run: str, outcome: str, retry: bool = False, balance: float | None = None, known_balance: bool = False) -> tuple[str, bool, bool, str]:
-        """status, cached, charged, reason. A charge comes before the call, so failures count too.
-
-        Input, cache, switch, key, run cap, day cap, reservation, balance, charge: in this order. The balance is asked
-        for if `known_balance`; without an answer nothing is spent. An outcome `open` leaves a reservation of 300 seconds.
-        """
-        email, date = (email or "").strip().lower(), str(int(ts // 86400))
-        if "@" not in email:
-            return "deferred", False, False, "invalid_email_input"
-        known = self.cache.get(email)
-        if known and ts - known[1] <= 86400 * (self.unknown_days if known[0] == "unknown" else self.days) and not (known[0] == "unknown" and retry):
-            return known[0], True, False, "cached"
-        if not self.enabled:
-            return "deferred", False, False, "disabled"
-        if not self.key:
-            return "deferred", False, False, "no_api_key"
-        self.inflight = {e: t for e, t in self.inflight.items() if ts - t <= 300}
-        held = len(self.inflight)
-        if self.runs.get(run, 0) + held >= self.per_run:
-            return "deferred", False, False, "run_budget_reached"
-        if self.day.get(date, 0) + held >= self.per_day:
-            return "deferred", False, False, "day_budget_reached"
-        if email in self.inflight:
-            return "deferred", False, False, "already_inflight"
-        if known_balance and (balance is None or balance <= self.reserve):
-            return "deferred", False, False, "credit_check_failed" if balance is None else "reserve_reached"
-        if outcome == "open":
-            self.inflight[email] = ts
-            return "deferred", False, False, "reserved"
-        self.runs[run], self.day[date] = self.runs.get(run, 0) + 1, self.day.get(date, 0) + 1
-        failed = outcome in ("timeout", "error")
-        self.cache[email] = ("unknown" if failed else outcome, ts)
-        return ("deferred", False, True, "call_failed") if failed else (outcome, False, True, "charged")
-
-
-def ledger_decisions(requests: DataFrame, per_run: int, per_day: int, by: str = "account") -> DataFrame:
-    """Sequential decisions by account over requests (account, seq, ts, email, run_id, outcome), in order of seq.
-
-    Caps make every decision depend on all before it in its ledger (account), so a ledger is folded in order; ledgers are
-    independent and spread over tasks. Rows stream; what a task holds of a ledger is its cache of mailboxes and its counts.
-    """
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        account, decider = object(), None
-        for rows in batches:
-            out = []
-            for r in rows.itertuples(index=False):
-                if r.account != account:
-                    account, decider = r.account, Decider(per_run, per_day)
-                out.append((r.account, r.seq, *decider.decide(r.ts.timestamp(), r.email, r.run_id, r.outcome, bool(r.retry_unknown))))
-            yield pd.DataFrame(out, columns=["account", "seq", "status", "cached", "charged", "reason"])
-
-    retry = F.coalesce("retry_unknown", F.lit(False)) if "retry_unknown" in requests.columns else F.lit(False)
-    ordered = requests.select(F.col(by).cast("string").alias("account"), "seq", "ts", "email", "run_id", "outcome", retry.alias("retry_unknown")).repartition("account").sortWithinPartitions("account", "seq")
-    return ordered.mapInPandas(run, "account string, seq long, status string, cached boolean, charged boolean, reason string")
+    return seen.withColumn("reason", F.when(F.col("run_used") >= per_run, "run_budget_reached").when(F.col("day_used") >= per_day, "day_budget_reached").otherwise("ok"))

@@ -115,6 +115,25 @@ def canonical() -> str:
     return "CASE " + " ".join(f"WHEN {test} THEN '{label}'" for test, label in rules) + " ELSE 'other' END"
 
 
+#: The ledgers folded a request at a time: what is known of a mailbox, counts by run and by day, open reservations.
+LEDGER = """q AS (SELECT CAST(user_id AS varchar) AS account, event_id AS seq, ts, epoch_us(ts) / 1000000.0 AS now, CAST(floor(epoch_us(ts) / 86400000000) AS bigint) AS today,
+  CASE WHEN event_id % 29 = 0 THEN 'nobody' ELSE 'u' || (event_id % 7) || '@example.org' END AS email, 'run' || (day(ts) // 5) AS run_id, ['valid', 'invalid', 'timeout', 'catch-all', 'open'][event_id % 5 + 1] AS outcome,
+  event_id % 9 = 0 AS again, event_id % 31 <> 0 AS enabled, event_id % 37 <> 0 AS has_key, CASE WHEN event_id % 13 <> 0 THEN floor(value * 20) END AS balance, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS k FROM events),
+f AS (SELECT account, CAST(0 AS bigint) AS k, CAST(NULL AS bigint) AS seq, CAST(NULL AS timestamp) AS ts, '' AS email, '' AS run_id, '' AS reason, '' AS status,
+  CAST(map {} AS map(varchar, struct(s varchar, t double))) AS cache, CAST(map {} AS map(varchar, bigint)) AS runs, CAST(map {} AS map(bigint, bigint)) AS days, CAST([] AS struct(e varchar, t double, r varchar)[]) AS held FROM (SELECT DISTINCT account FROM q)
+ UNION ALL SELECT account, k, seq, ts, email, run_id, reason, CASE WHEN reason = 'cached' THEN known.s WHEN reason = 'charged' THEN outcome ELSE 'deferred' END,
+  CASE WHEN reason IN ('charged', 'call_failed') THEN map_concat(cache, map {email: {'s': CASE WHEN outcome = 'timeout' THEN 'unknown' ELSE outcome END, 't': now}}) ELSE cache END,
+  CASE WHEN reason IN ('charged', 'call_failed') THEN map_concat(runs, map {run_id: used + 1}) ELSE runs END,
+  CASE WHEN reason IN ('charged', 'call_failed') THEN map_concat(days, map {today: spent + 1}) ELSE days END,
+  CASE WHEN reason = 'reserved' THEN list_append(held, {'e': email, 't': now, 'r': run_id}) ELSE held END
+ FROM (SELECT *, CASE WHEN NOT contains(email, '@') THEN 'invalid_email_input'
+   WHEN known IS NOT NULL AND now - known.t <= CASE known.s WHEN 'unknown' THEN 3 ELSE 10 END * 86400 AND NOT (known.s = 'unknown' AND again) THEN 'cached'
+   WHEN NOT enabled THEN 'disabled' WHEN NOT has_key THEN 'no_api_key' WHEN used + len(list_filter(held, lambda h: h.r = run_id)) >= 3 THEN 'run_budget_reached' WHEN spent + len(held) >= 2 THEN 'day_budget_reached'
+   WHEN len(list_filter(held, lambda h: h.e = email)) > 0 THEN 'already_inflight' WHEN balance IS NULL THEN 'credit_check_failed' WHEN balance <= 100 THEN 'reserve_reached'
+   WHEN outcome = 'open' THEN 'reserved' WHEN outcome = 'timeout' THEN 'call_failed' ELSE 'charged' END AS reason
+  FROM (SELECT q.*, f.cache, f.runs, f.days, list_filter(f.held, lambda h: q.now - h.t <= 86400) AS held, map_extract(f.cache, q.email)[1] AS known, coalesce(map_extract(f.runs, q.run_id)[1], 0) AS used, coalesce(map_extract(f.days, q.today)[1], 0) AS spent
+   FROM f JOIN q ON q.account = f.account AND q.k = f.k + 1)))"""
+
 ORACLE_SQL: dict[str, str] = {
     "breakdown_by_state": typed() + "SELECT CASE state WHEN '' THEN 'Unknown' ELSE state END AS state, count(*) AS total, count(*) FILTER (WHERE status = 'contacted') AS contacted, count(*) FILTER (WHERE status <> 'contacted') AS pending FROM v GROUP BY 1",
     "breakdown_by_category": typed() + "SELECT CASE category WHEN '' THEN 'other' ELSE category END AS category, count(*) AS total, count(*) FILTER (WHERE status = 'contacted') AS contacted, count(*) FILTER (WHERE status <> 'contacted') AS pending FROM v GROUP BY 1",
@@ -186,6 +205,13 @@ j AS (SELECT seq, st, coalesce(date_diff('microsecond', seen, ts) / 86400000000.
 SELECT seq, hit, CASE WHEN hit THEN st END AS status FROM j""",
     "ledger_budget": "WITH " + REQUESTS + """, r AS (SELECT strftime(ts, '%Y-%m-%d') AS day, run_id, count(*) AS run_used FROM q GROUP BY 1, 2), t AS (SELECT *, CAST(sum(run_used) OVER (PARTITION BY day) AS bigint) AS day_used FROM r)
 SELECT *, CASE WHEN run_used >= 200 THEN 'run_budget_reached' WHEN day_used >= 320 THEN 'day_budget_reached' ELSE 'ok' END AS reason FROM t""",
+    "ledger_decisions": "WITH RECURSIVE " + LEDGER + " SELECT account, seq, status, reason = 'cached' AS cached, reason IN ('charged', 'call_failed') AS charged, reason FROM f WHERE k > 0",
+    "ledger_budgets": "WITH RECURSIVE " + LEDGER + """, w AS (SELECT *, reason IN ('charged', 'call_failed') AS charged FROM f WHERE k > 0 AND ts <= timestamp '2024-01-24 13:00:00'),
+h AS (SELECT *, reason = 'reserved' AND ts >= timestamp '2024-01-23 13:00:00' AND NOT EXISTS (SELECT 1 FROM w x WHERE x.account = w.account AND x.email = w.email AND x.seq > w.seq AND (x.charged OR x.reason = 'reserved')) AS open FROM w),
+r AS (SELECT account, run_id, count(*) FILTER (charged) AS run_used, count(*) FILTER (open) AS run_reserved, count(*) FILTER (charged AND ts >= timestamp '2024-01-24') AS today FROM h GROUP BY 1, 2),
+t AS (SELECT account, sum(today) AS day_used, sum(run_reserved) AS day_reserved FROM r GROUP BY 1)
+SELECT account, run_id, run_used, run_reserved, CAST(day_used AS bigint) AS day_used, CAST(day_reserved AS bigint) AS day_reserved, CASE WHEN CAST(account AS bigint) % 4 = 3 THEN 'credit_check_failed' WHEN CAST(account AS bigint) % 4 = 1 THEN 'reserve_reached'
+ WHEN run_used + run_reserved >= 3 THEN 'run_budget_reached' WHEN day_used + day_reserved >= 2 THEN 'day_budget_reached' ELSE 'ok' END AS reason FROM r JOIN t USING (account)""",
     "snapshot_merge": typed("""x AS (SELECT contact_id, venue_id, email, _ord FROM c)""", """y AS (SELECT CASE WHEN _ord % 2 = 0 THEN contact_id ELSE 'N-' || (_ord % 50) END AS contact_id, venue_id, 'new@site.example.org' AS email, _ord FROM c WHERE verified = 'unknown')""",
         "z AS (SELECT * FROM y QUALIFY row_number() OVER (PARTITION BY contact_id ORDER BY _ord DESC) = 1)") + "SELECT * FROM x WHERE contact_id NOT IN (SELECT contact_id FROM z) UNION ALL SELECT * FROM z",
     "insert_absent": typed().replace("WITH ", "WITH RECURSIVE ", 1).rstrip() + """,

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import rules, text
 from ..functions.coerce import number_or, number_or_null, round_half_up
-from ..operators import audit, crud, graph, reports, scoring, screening, selection
+from ..operators import audit, crud, graph, ledger, reports, scoring, screening, selection
 from ..operators import relational as rel
 from ..sources.projection import entity
 from ..streaming import events as streams
@@ -354,10 +354,31 @@ def ledger_budget(s, d):
     return audit.budget_view(r, 200, 320)
 
 
+#: Rules of the ledgers that the queries keep: short lives and a long hold, so that every step decides something.
+LEDGER_RULES = ledger.Rules(per_run=3, per_day=2, days=10, unknown_days=3, hold=86400, reserve=100)
+
+
+def ledger_requests(s: SparkSession, d: str) -> DataFrame:
+    """Every event as a request to its user's ledger."""
+    e = table(s, d, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    k = F.col("event_id")
+    email = F.when(k % 29 == 0, "nobody").otherwise(F.concat(F.lit("U"), (k % 7).cast("string"), F.lit("@Example.org ")))
+    outcome = F.element_at(F.array(*map(F.lit, ("valid", "invalid", "timeout", "catch-all", "open"))), (k % 5 + 1).cast("int"))
+    return e.select(F.col("user_id").cast("string").alias("account"), k.alias("seq"), "ts", email.alias("email"), F.concat(F.lit("run"), F.floor(F.dayofmonth("ts") / 5).cast("string")).alias("run_id"), outcome.alias("outcome"), (k % 9 == 0).alias("retry_unknown"), (k % 31 != 0).alias("enabled"), (k % 37 != 0).alias("has_key"), F.when(k % 13 != 0, F.floor(F.col("value") * 20)).alias("balance"))
+
+
 @query
 def ledger_decisions(s, d):
-    """Sequential by account; tested against goldens."""
-    return audit.ledger_decisions(requests(s, d), 5, 20)
+    """All nine steps, sequential by account."""
+    return ledger.decisions(ledger_requests(s, d), LEDGER_RULES).select("account", "seq", "status", "cached", "charged", "reason")
+
+
+@query
+def ledger_budgets(s, d):
+    """What each run has used and reserved at a time, and what would stop it; accounts of odd number ask with a low or unknown balance."""
+    account = F.col("account").cast("long")
+    balance = F.when(account % 4 == 1, 50.0).when(account % 4 != 3, 500.0)
+    return ledger.budgets(ledger.decisions(ledger_requests(s, d), LEDGER_RULES), LEDGER_RULES, F.lit(AS_OF).cast("timestamp"), balance)
 
 
 @query

@@ -1,15 +1,9 @@
-"""Structured Streaming forms of the outreach log and of the ledger's caps."""
+"""Structured Streaming forms of the outreach log."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-
-from ..operators.audit import Decider
 
 EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 
@@ -36,32 +30,6 @@ def first_seen(events: DataFrame, late: str = "2 hours") -> DataFrame:
     return events.withWatermark("ts", late).dropDuplicatesWithinWatermark(["event_id"])
 
 
-def capped(requests: DataFrame, per_run: int, per_day: int) -> DataFrame:
-    """L5 as a stream: decisions by account with the cache and counts as state; requests of a batch are taken in order of seq.
-
-    State holds the mailboxes of the last `days` days and the runs' counts of an account.
-    """
-
-    def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        d = Decider(per_run, per_day)
-        if state.exists:
-            emails, status, at, runs, n_runs, days, n_days = state.get
-            d.cache = {e: (s, t) for e, s, t in zip(emails, status, at, strict=True)}
-            d.runs, d.day = dict(zip(runs, n_runs, strict=True)), dict(zip(days, n_days, strict=True))
-        rows = pd.concat(list(batches)).sort_values("seq")
-        retry = rows.retry_unknown if "retry_unknown" in rows else [False] * len(rows)
-        out = [(key[0], r.seq, *d.decide(r.ts.timestamp(), r.email, r.run_id, r.outcome, bool(again))) for r, again in zip(rows.itertuples(index=False), retry, strict=True)]
-        # What no later decision can ask for goes: results past their life, counts of days gone by.
-        last = max(r.ts.timestamp() for r in rows.itertuples(index=False))
-        d.cache = {e: v for e, v in d.cache.items() if last - v[1] <= 86400 * d.days}
-        d.day = {k: n for k, n in d.day.items() if int(k) >= int(last // 86400) - 1}
-        state.update((list(d.cache), [v[0] for v in d.cache.values()], [v[1] for v in d.cache.values()], list(d.runs), list(d.runs.values()), list(d.day), list(d.day.values())))
-        yield pd.DataFrame(out, columns=["account", "seq", "status", "cached", "charged", "reason"])
-
-    kept = "emails array<string>, status array<string>, at array<double>, runs array<string>, n_runs array<int>, days array<string>, n_days array<int>"
-    return requests.groupBy("account").applyInPandasWithState(run, "account string, seq long, status string, cached boolean, charged boolean, reason string", kept, "append", GroupStateTimeout.NoTimeout)
-
-
 def drained(df: DataFrame, name: str) -> DataFrame:
     """Runs a stream over all that is there and returns its rows, for tests and small checks."""
     q = df.writeStream.format("memory").queryName(name).outputMode("append").trigger(availableNow=True).start()

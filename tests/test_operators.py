@@ -1,10 +1,9 @@
 import random
-from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
-from prospectra.operators import audit, crud, graph, selection
+from prospectra.operators import crud, graph, selection
 from prospectra.operators import relational as rel
 from prospectra.streaming import events
 
@@ -32,68 +31,6 @@ def test_crawl(spark):
     assert {r.entity for r in graph.provenance(pages).collect()} == {"person@venue.example", "ann@site.example.org", "hidden@site.example.org", "https://www.instagram.com/the.site/", "https://www.facebook.com/TheSite/"}
 
 
-# ---------------------------------------------------------------- ledger goldens
-
-DAY = 86400.0
-
-
-def test_ledger_goldens():
-    d = audit.Decider(10, 10)
-    assert d.decide(0, "Ann@v.example", "r", "valid") == ("valid", False, True, "charged")
-    assert d.decide(1, "ann@V.example ", "r", "valid") == ("valid", True, False, "cached")
-    d = audit.Decider(2, 10)
-    assert [d.decide(0, f"{x}@v.example", "r", "valid")[3] for x in "abc"] == ["charged", "charged", "run_budget_reached"]
-    d = audit.Decider(10, 2)
-    assert [d.decide(0, f"{x}@v.example", x, "valid")[3] for x in "abc"] == ["charged", "charged", "day_budget_reached"]
-    assert d.decide(DAY, "c@v.example", "c", "valid")[3] == "charged"
-    d = audit.Decider(1, 10)
-    assert d.decide(0, "a@v.example", "r", "timeout") == ("deferred", False, True, "call_failed")
-    assert d.decide(0, "b@v.example", "r", "valid")[3] == "run_budget_reached"
-    assert audit.Decider(1, 1, enabled=False).decide(0, "a@v.example", "r", "valid") == ("deferred", False, False, "disabled")
-    d = audit.Decider(9, 9)
-    d.decide(0, "a@v.example", "r", "timeout")
-    assert d.decide(DAY, "a@v.example", "r", "valid")[3] == "cached"
-    assert d.decide(DAY, "a@v.example", "r", "valid", retry=True)[3] == "charged"
-    assert d.decide(200 * DAY, "a@v.example", "r", "invalid")[3] == "charged"
-    assert d.decide(0, None, "r", "valid") == ("deferred", False, False, "invalid_email_input")
-    assert audit.Decider(1, 1, key=False).decide(0, "a@v.example", "r", "valid")[3] == "no_api_key"
-    d = audit.Decider(9, 9, reserve=100)
-    assert d.decide(0, "a@v.example", "r", "valid", known_balance=True)[3] == "credit_check_failed"
-    assert d.decide(0, "a@v.example", "r", "valid", balance=100, known_balance=True)[3] == "reserve_reached"
-    assert d.decide(0, "a@v.example", "r", "open", balance=101, known_balance=True)[3] == "reserved"
-    assert d.decide(1, "a@v.example", "r", "valid")[3] == "already_inflight"
-    assert d.decide(302, "a@v.example", "r", "valid")[3] == "charged"
-    d = audit.Decider(1, 9)
-    d.decide(0, "a@v.example", "r", "open")
-    assert d.decide(0, "b@v.example", "r", "valid")[3] == "run_budget_reached"
-
-
-def ledger_rows():
-    rng, start = random.Random(1), datetime(2024, 1, 1)
-    return [(str(k % 3), k, start + timedelta(hours=k), f"u{rng.randrange(30)}@v.example", f"r{k // 20}", rng.choice(["valid", "timeout", "invalid"])) for k in range(300)]
-
-
-LEDGER = "account string, seq long, ts timestamp, email string, run_id string, outcome string"
-
-
-def sequential(rows):
-    out, deciders = set(), {}
-    for a, seq, ts, email, run, outcome in rows:
-        out.add((a, seq, *deciders.setdefault(a, audit.Decider(3, 6)).decide((ts - datetime(1970, 1, 1)).total_seconds(), email, run, outcome)))
-    return out
-
-
-def test_ledger_batch_and_stream_agree(spark, tmp_path):
-    rows = ledger_rows()
-    df = spark.createDataFrame(rows, LEDGER)
-    assert {tuple(r) for r in audit.ledger_decisions(df, 3, 6).collect()} == sequential(rows)
-    for part in range(3):
-        spark.createDataFrame(rows[part * 100 : part * 100 + 100], LEDGER).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
-    stream = spark.readStream.schema(LEDGER).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
-    got = {tuple(r) for r in events.drained(events.capped(stream, 3, 6), "ledger").collect()}
-    assert len(got) == 300
-
-
 def test_streams_equal_batches(spark):
     batch = spark.read.parquet(f"{SF}/events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
     # Windows still open when a stream ends are not written.
