@@ -28,6 +28,7 @@ import json
 import os
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -40,8 +41,8 @@ from .word_bpe import byte_symbols
 
 #: Bytes of text in a unit, and in a slice of it whose new chunks are encoded together.
 UNIT_BYTES, SLICE_BYTES = 8 << 20, 1 << 20
-#: Bytes of chunks that a worker keeps.
-MEMORY_BYTES = 2 << 20
+#: Chunks that a worker keeps from one unit to the next.
+MEMORY = 200_000
 BLANK = "▁"
 
 
@@ -100,18 +101,35 @@ def spread(first: np.ndarray, count: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1] if len(ends) else 0) + np.repeat(first - (ends - count), count)
 
 
+def ids_as_text(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The decimal ids below size, each followed by `,`, then each by `|`, then each by `;`, and how long they are."""
+    texts = np.array([f"{i}{mark}" for mark in ",|;" for i in range(size)], "S")
+    return texts, np.char.str_len(texts)
+
+
+def texts_of(texts: np.ndarray) -> np.ndarray:
+    """Fixed-width texts run together as bytes."""
+    return np.frombuffer(texts.tobytes().translate(None, b"\0"), np.uint8)
+
+
+def flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all lists, and how many each has."""
+    return np.array(list(chain.from_iterable(lists)), np.int64), np.array(list(map(len, lists)), np.int64)
+
+
 class Aligner:
-    """Chunks of texts, aligned: sizes and links by chunk number, groups as text."""
+    """Chunks of texts, aligned: numbers of tokens, groups and links by chunk, links' pairs, and groups as text."""
 
     def __init__(self, a_path: str, b_path: str):
         self.a, self.b = ByteVocabulary(a_path), PieceVocabulary(b_path)
         self.a_size, self.b_size = (np.array([len(x) for x in v.bytes]) for v in (self.a, self.b))
+        self.texts, self.text_size = ids_as_text(max(len(self.a.bytes), len(self.b.bytes)))
         self.clear()
 
     def clear(self) -> None:
-        #: The number of a chunk and its groups; without tokens if its bytes differ.
-        self.known: dict[str, tuple[int, bytes] | None] = {}
-        self.held, self.n = 0, 0
+        #: The number of a chunk; -1 if its bytes differ from its tokens'.
+        self.known: dict[str, int] = {}
+        self.n = 0
         self.rows: list[tuple[np.ndarray, ...]] = []
 
     @staticmethod
@@ -122,66 +140,78 @@ class Aligner:
         # A last blank alone stays with what is before it, as no chunk may be empty.
         return [c[1:] for c in re.split(r"(?s)(?<=\S)(?= .)", " " + text)]
 
+    def _same(self, a: np.ndarray, b: np.ndarray, whole: bytes) -> bool:
+        return all(b"".join(map(v.bytes.__getitem__, ids.tolist())) == whole for v, ids in ((self.a, a), (self.b, b)))
+
     def learn(self, chunks: list[str]) -> None:
         if not chunks:
             return
         spaced = [" " + c for c in chunks]
         a, b = self.a.encode(spaced), self.b.encode(chunks)
-        whole = [s.encode() for s in spaced]
-        good = [b"".join(map(self.a.bytes.__getitem__, x)) == w and b"".join(map(self.b.bytes.__getitem__, y)) == w for x, y, w in zip(a, b, whole, strict=True)]
-        for c, ok in zip(chunks, good, strict=True):
-            if not ok:
-                self.known[c] = None
-        chunks, a, b = ([x for x, ok in zip(xs, good, strict=True) if ok] for xs in (chunks, a, b))
-        self.held += sum(map(len, whole))
-        if not chunks:
-            return
-        n_a, n_b = np.array([len(x) for x in a]), np.array([len(x) for x in b])
-        a_ids, b_ids = np.array([i for x in a for i in x]), np.array([i for x in b for i in x])
+        (a_ids, n_a), (b_ids, n_b) = flat(a), flat(b)
+        if not self._same(a_ids, b_ids, "".join(spaced).encode()) or (np.add.reduceat(self.a_size[a_ids], np.cumsum(n_a) - n_a) != np.add.reduceat(self.b_size[b_ids], np.cumsum(n_b) - n_b)).any():
+            good = [self._same(np.array(x), np.array(y), w.encode()) for x, y, w in zip(a, b, spaced, strict=True)]
+            self.known.update((c, -1) for c, ok in zip(chunks, good, strict=True) if not ok)
+            chunks, a, b = ([x for x, ok in zip(xs, good, strict=True) if ok] for xs in (chunks, a, b))
+            if not chunks:
+                return
+            (a_ids, n_a), (b_ids, n_b) = flat(a), flat(b)
         a_ends, b_ends = np.cumsum(self.a_size[a_ids]), np.cumsum(self.b_size[b_ids])
         first, last = overlaps(a_ends, b_ends)
         links = last - first + 1
-        pairs = np.repeat(a_ids, links).astype(np.uint64) << np.uint64(32) | b_ids[spread(first, links)].astype(np.uint64)
+        pairs = a_ids.repeat(links).astype(np.uint64) << np.uint64(32) | b_ids[spread(first, links)].astype(np.uint64)
+        # Groups end with the A tokens after which no B token spans the gap.
         ends = b_ends[last] == a_ends
-        a_cut = np.flatnonzero(ends) + 1
-        b_cut = last[ends] + 1
+        a_cut, b_cut = np.flatnonzero(ends) + 1, last[ends] + 1
         at = np.cumsum(n_a)
         n_groups = np.diff(np.searchsorted(a_cut, at, "right"), prepend=0)
         n_links = np.diff(np.append(0, np.cumsum(links))[at], prepend=0)
-        a_text, b_text = list(map(str, a_ids.tolist())), list(map(str, b_ids.tolist()))
-        groups, x, y = [], 0, 0
-        for to_a, to_b in zip(a_cut.tolist(), b_cut.tolist(), strict=True):
-            groups.append(",".join(a_text[x:to_a]) + "|" + ",".join(b_text[y:to_b]))
-            x, y = to_a, to_b
-        k = 0
-        for i, (c, g) in enumerate(zip(chunks, n_groups.tolist(), strict=True)):
-            self.known[c] = self.n + i, ";".join(groups[k : k + g]).encode()
-            k += g
+        # Each group's A ids, the last with a bar, then its B ids, the last with a semicolon.
+        size = len(self.a_size) if len(self.a_size) > len(self.b_size) else len(self.b_size)
+        marks = []
+        for ids, cut, last_mark in ((a_ids, a_cut, 1), (b_ids, b_cut, 2)):
+            mark = np.zeros(len(ids), np.int64)
+            mark[cut - 1] = last_mark * size
+            marks.append(ids + mark)
+        a_in, b_in = np.diff(a_cut, prepend=0), np.diff(b_cut, prepend=0)
+        order = np.empty(len(a_ids) + len(b_ids), np.int64)
+        order[np.arange(len(a_ids)) + (b_cut - b_in).repeat(a_in)] = marks[0]
+        order[np.arange(len(b_ids)) + a_cut.repeat(b_in)] = marks[1]
+        text = texts_of(self.texts[order])
+        upto = np.cumsum(self.text_size[order])[at + np.cumsum(n_b) - 1]
+        self.known.update(zip(chunks, range(self.n, self.n + len(chunks)), strict=True))
         self.n += len(chunks)
-        self.rows.append((n_a, n_b, n_groups, n_links, pairs))
+        self.rows.append((n_a, n_b, n_groups, n_links, np.diff(upto, prepend=0), pairs, text))
 
     def align(self, texts: list[str]) -> list[tuple[np.ndarray, str]]:
         """The chunk numbers and the digest of the groups of each text."""
         cuts = [self.cut(t) if t else [] for t in texts]
-        self.learn(list(dict.fromkeys(c for cut in cuts for c in cut if c not in self.known)))
-        out = []
-        for text, cut in zip(texts, cuts, strict=True):
-            found = [self.known[c] for c in cut]
-            if None in found:
-                if text not in self.known:
-                    self.learn([text])
-                found = [self.known[text]]
-            if not found or None in found:
-                out.append((np.zeros(0, np.int64), ""))
-            else:
-                out.append((np.array([k for k, _ in found]), hashlib.sha256(b";".join([g for _, g in found])).hexdigest()))
+        self.learn(list(set().union(*cuts).difference(self.known)))
+        numbers = np.array([self.known[c] for c in chain.from_iterable(cuts)], np.int64)
+        ends = np.cumsum([len(c) for c in cuts])
+        found = [numbers[e - len(c) : e] for c, e in zip(cuts, ends, strict=True)]
+        if len(numbers) and numbers.min() < 0:
+            for k, text in enumerate(texts):
+                if len(found[k]) and found[k].min() < 0:
+                    if text not in self.known:
+                        self.learn([text])
+                    found[k] = np.array([self.known[text]] if self.known[text] >= 0 else [], np.int64)
+        *_, width, _, text = self.tables()
+        all_ = np.concatenate([np.zeros(0, np.int64), *found])
+        said = text[spread((np.cumsum(width) - width)[all_], width[all_])].tobytes()
+        upto = np.append(0, np.cumsum(width[all_]))
+        out, k = [], 0
+        for x in found:
+            digest = hashlib.sha256(said[upto[k] : upto[k + len(x)] - 1]).hexdigest() if len(x) else ""
+            out.append((x, digest))
+            k += len(x)
         return out
 
     def tables(self) -> tuple[np.ndarray, ...]:
-        """n_a, n_b, n_groups, n_links by chunk number, and all links' pairs."""
+        """n_a, n_b, n_groups, n_links and the size of the groups' text by chunk number, and all chunks' pairs and texts."""
         if len(self.rows) > 1:
             self.rows = [tuple(map(np.concatenate, zip(*self.rows, strict=True)))]
-        return self.rows[0] if self.rows else (np.zeros(0, np.int64),) * 4 + (np.zeros(0, np.uint64),)
+        return self.rows[0] if self.rows else (np.zeros(0, np.int64),) * 5 + (np.zeros(0, np.uint64), np.zeros(0, np.uint8))
 
 
 _LOADED: dict[tuple[str, str, int], Aligner] = {}
@@ -204,26 +234,28 @@ def unit_of(number: int, aligner: Aligner, ids: list[int | None], found: list[tu
 
     `inside` packs the chunks of each document and the pairs of each chunk's links.
     """
-    *sizes, pairs = aligner.tables()
+    *sizes, _, pairs, _ = aligner.tables()
+    n_links = sizes[3]
     n_chunks = np.array([len(x) for x, _ in found])
-    flat = np.concatenate([x for x, _ in found])
-    used, chunk = np.unique(flat, return_inverse=True)
+    ends = np.cumsum(n_chunks)
+    all_ = np.concatenate([x for x, _ in found])
+    # The chunks that the unit has, numbered anew.
+    has = np.zeros(aligner.n, bool)
+    has[all_] = True
+    used = np.flatnonzero(has)
+    chunk = (np.cumsum(has) - 1)[all_]
     totals = []
     for size in sizes:
-        upto = np.append(0, np.cumsum(size[flat]))
-        ends = np.cumsum(n_chunks)
+        upto = np.append(0, np.cumsum(size[all_]))
         totals.append(upto[ends] - upto[ends - n_chunks])
-    n_links = sizes[3]
-    begin = np.append(0, np.cumsum(n_links))[used]
-    distinct, pair = np.unique(pairs[spread(begin, n_links[used])], return_inverse=True)
-    # The distinct chunks of each document, their links, and of these the distinct pairs.
-    doc = np.repeat(np.arange(len(ids)), n_chunks)
-    once = np.unique(doc.astype(np.int64) * max(1, len(used)) + chunk)
-    of_doc, of_chunk = once // max(1, len(used)), once % max(1, len(used))
     width = n_links[used]
-    starts = np.cumsum(width) - width
-    held = np.unique(np.repeat(of_doc, width[of_chunk]) * max(1, len(distinct)) + pair[spread(starts[of_chunk], width[of_chunk])])
-    n = np.bincount(held % max(1, len(distinct)), minlength=len(distinct))
+    distinct, pair = np.unique(pairs[spread((np.cumsum(n_links) - n_links)[used], width)], return_inverse=True)
+    # How many documents hold each pair: those of a document's chunks, each once.
+    starts, n = np.cumsum(width) - width, np.zeros(len(distinct), np.int64)
+    for x, e in zip(n_chunks.tolist(), ends.tolist(), strict=True):
+        mine = chunk[e - x : e]
+        held = np.sort(pair[spread(starts[mine], width[mine])])
+        n[held[np.append(held[1:] != held[:-1], True)] if len(held) else held] += 1
     columns = [ids, *totals, [d for _, d in found]]
     docs = pa.StructArray.from_arrays([pa.array(c, kind) for c, (_, kind) in zip(columns, DOCS, strict=True)], [k for k, _ in DOCS])
     values = [np.arange(len(distinct)), distinct >> np.uint64(32), distinct & np.uint64(0xFFFFFFFF), n]
@@ -252,7 +284,7 @@ def units(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
             out = unit_of(number, aligner, ids, found)
             ids.clear()
             found.clear()
-            if aligner.held > MEMORY_BYTES:
+            if aligner.n > MEMORY:
                 aligner.clear()
             return out
 
