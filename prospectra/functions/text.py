@@ -156,6 +156,13 @@ def links(html: Column | str) -> Column:
     return F.regexp_extract_all(col(html), F.lit(r"(?i)<a\b[^>]*href=[\"']([^\"']+)[\"']"), 1)
 
 
+def anchors(html: Column | str) -> Column:
+    """T11 with what stands in the anchors: array of (href, text), in order, with repeats; tags in a text are dropped and white space is one blank."""
+    found = r"(?is)<a\b[^>]*href=[\"']([^\"']+)[\"'][^>]*>(.*?)</a\s*>"
+    plain = lambda t: F.trim(F.regexp_replace(F.regexp_replace(t, r"<[^>]*>", " "), r"\s+", " "))
+    return F.zip_with(F.regexp_extract_all(col(html), F.lit(found), 1), F.regexp_extract_all(col(html), F.lit(found), 2), lambda h, t: F.struct(h.alias("href"), plain(t).alias("text")))
+
+
 def social_variants(c: Column | str) -> Column:
     """The text, without script escapes, and percent-decoded at most twice."""
     raw = unescape_html(F.coalesce(col(c), F.lit("")))

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import heapq
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import emails, host, links, normalize_url, resolve, socials, url_class, url_score
+from ..functions.text import anchors, emails, host, links, normalize_url, resolve, socials, url_class, url_score
 from ..sources.shared import cut
 
 
@@ -41,6 +43,75 @@ def crawl(pages: DataFrame, seeds: DataFrame, depth: int = 3, max_pages: int | N
     return reached
 
 
+def ranked_links(pages: DataFrame, most: int) -> DataFrame:
+    """src, key, score, length, pos: of each page its best `most` links to pages of its own host, by (score, length, pos).
+
+    `key` is the address without fragment; of several links to one the best counts. Score and length are those of the link
+    as it stands, with its fragment and its anchor's text.
+    """
+    found = pages.select(normalize_url("url", False).alias("src"), "url", F.posexplode(anchors("html")).alias("pos", "a")).withColumn("child", normalize_url(resolve("a.href", "url")))
+    found = found.select("src", "pos", normalize_url("child", False).alias("key"), url_score("child", "a.text").alias("score"), F.length("child").alias("length"))
+    found = found.where((host("key") == host("src")) & (host("key") != "") & (url_class("key") == "page"))
+    best = found.groupBy("src", "key").agg(F.min(F.struct("score", "length", "pos")).alias("o")).select("src", "key", "o.*")
+    place = F.row_number().over(Window.partitionBy("src").orderBy("score", "length", "pos"))
+    return best.withColumn("_rn", place).where(F.col("_rn") <= most).drop("_rn")
+
+
+def frontier(pages: DataFrame, seeds: DataFrame, max_pages: int = 25, max_depth: int = 2) -> DataFrame:
+    """G2, best first: site, step, url, depth, score, ok of each attempt of a crawl of each host among seeds.
+
+    pages (url, html) is what can be fetched; seeds (url, depth, score, ord) are what a host's crawl starts with, in order of
+    ord. The frontier is ordered by (score, depth, length), then by when an address was found. An address is tried once; one
+    that is not among pages is an attempt that fails. A crawl ends with `max_pages` pages fetched or max(4 * max_pages,
+    max_pages + 20) attempts; pages deeper than `max_depth` are not entered.
+
+    A host is one crawl, whose steps depend on each other; hosts are spread over tasks. What a host's task gets is bounded
+    whatever its size: of a page's links (and of the seeds) only the best ones up to the limit of attempts can ever be tried,
+    since all better ones of that page are tried before, and only pages within the depth are expanded. So the links of a
+    host are those of at most limit ** depth pages, joined level by level.
+
+    Pages that share an address count as the first by url; seeds without a host, null links and rows of null html give nothing.
+    """
+    most = max(4 * max_pages, max_pages + 20)
+    own = pages.where("url is not null").withColumn("key", normalize_url("url", False)).where("key is not null")
+    own = own.groupBy("key").agg(F.min(F.struct("url", "html")).alias("p")).select("key", "p.*")
+    there = cut(own.select("key"), "there")
+    links_ = cut(ranked_links(own.select("url", "html"), most), "links")
+    starts = seeds.withColumns({"key": normalize_url("url", False), "length": F.length(normalize_url("url"))}).withColumn("site", host("key")).where((F.col("site") != "") & (url_class("key") == "page"))
+    best = starts.groupBy("site", "key").agg(F.min(F.struct("score", "depth", "length", "ord")).alias("o")).select("site", "key", "o.*")
+    place = F.row_number().over(Window.partitionBy("site").orderBy("score", "depth", "length", "ord"))
+    queue = cut(best.withColumn("_rn", place).where(F.col("_rn") <= most).drop("_rn").join(there.withColumn("ok", F.lit(True)), "key", "left").na.fill(False, ["ok"]), "queue")
+    level = opened = cut(queue.where(F.col("depth") < max_depth).select("key").distinct(), "opened")
+    for _ in range(max_depth - 1):
+        level = cut(level.join(links_, level.key == links_.src).select(links_.key).distinct().join(opened, "key", "left_anti"), "level")
+        opened = opened.unionByName(level)
+    known = links_.join(opened.withColumnRenamed("key", "src"), "src", "left_semi").join(there.withColumn("ok", F.lit(True)), "key", "left").na.fill(False, ["ok"]).withColumn("site", host("src"))
+
+    def crawl_host(key: tuple, starts: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
+        heap, n, seen, steps, fetched = [], 0, set(), [], 0
+        children: dict[str, list[tuple]] = {}
+        for r in found.sort_values("pos")[["src", "score", "length", "key", "ok"]].itertuples(index=False):
+            children.setdefault(r.src, []).append(tuple(r)[1:])
+        for r in starts.sort_values("ord")[["score", "depth", "length", "key", "ok"]].itertuples(index=False):
+            heapq.heappush(heap, (r.score, r.depth, r.length, n, r.key, r.ok))
+            n += 1
+        while heap and fetched < max_pages and len(steps) < most:
+            score, depth, _, _, url, ok = heapq.heappop(heap)
+            if url in seen:
+                continue
+            seen.add(url)
+            steps.append((key[0], len(steps), url, depth, score, ok))
+            fetched += ok
+            if ok and depth < max_depth:
+                for score, length, child, has in children.get(url, ()):
+                    if child not in seen:
+                        heapq.heappush(heap, (score, depth + 1, length, n, child, has))
+                        n += 1
+        return pd.DataFrame(steps, columns=["site", "step", "url", "depth", "score", "ok"])
+
+    return queue.withColumnRenamed("site", "at").groupBy("at").cogroup(known.groupBy("site")).applyInPandas(crawl_host, "site string, step int, url string, depth int, score int, ok boolean")
+
+
 def unvisited(pages: DataFrame) -> DataFrame:
     """Linked pages that were never fetched, best keyword first."""
     have = pages.select(normalize_url("url", False).alias("dst")).distinct()

@@ -19,16 +19,24 @@ from ..sources.shared import new_folder
 from .oracle import likes, names, typed
 from .queries import Query, contacts, gigs, table, venues
 
-QUERIES: dict[str, Query] = {}
-ORACLE_SQL: dict[str, str] = {}
 
+class Compared:
+    """Queries with the SQL that each must equal."""
 
-def compared(oracle: str) -> Callable[[Query], Query]:
-    def add(f: Query) -> Query:
-        QUERIES[f.__name__], ORACLE_SQL[f.__name__] = f, oracle
-        return f
+    def __init__(self):
+        self.queries: dict[str, Query] = {}
+        self.oracle_sql: dict[str, str] = {}
 
-    return add
+    def compared(self, oracle: str) -> Callable[[Query], Query]:
+        def add(f: Query) -> Query:
+            self.queries[f.__name__], self.oracle_sql[f.__name__] = f, oracle
+            return f
+
+        return add
+
+
+BOOK = Compared()
+QUERIES, ORACLE_SQL, compared = BOOK.queries, BOOK.oracle_sql, BOOK.compared
 
 
 def sites(s: SparkSession, d: str) -> DataFrame:

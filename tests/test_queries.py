@@ -6,11 +6,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_module
-from prospectra.plans import catalog, oracle, queries
+from prospectra.plans import catalog, oracle, queries, webs
 
 from .conftest import SF
 
-QUERIES, ORACLE_SQL = {**queries.QUERIES, **catalog.QUERIES}, {**oracle.ORACLE_SQL, **catalog.ORACLE_SQL}
+QUERIES, ORACLE_SQL = {**queries.QUERIES, **catalog.QUERIES, **webs.QUERIES}, {**oracle.ORACLE_SQL, **catalog.ORACLE_SQL, **webs.ORACLE_SQL}
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "pages", "conversations")
 
 
