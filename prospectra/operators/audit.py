@@ -9,6 +9,7 @@ from ..functions import vocab
 from ..functions.coerce import text
 from ..functions.rules import blocked_domain, canonical_category, website_score
 from ..functions.text import step_map
+from .ranges import running
 
 STEPS = ("website", "emails", "social", "form", "people", "location")
 DONE, FAILED = ("DONE", "SKIPPED"), ("FAILED",)
@@ -59,6 +60,26 @@ def sessions(lines: DataFrame, by: str, order: str, text: str, header: str, attr
     return rows.groupBy(by, "session").agg(F.max_by("_head", F.when(F.col("_head") != "", F.col(order))).alias("title"), F.count("*").alias("n_lines"), *(first(p).alias(a) for a, p in attributes.items()))
 
 
+def log_sessions(lines: DataFrame, by: list[str], order: list[str], text: str, header: str, first: dict[str, str], last: dict[str, str] | None = None) -> DataFrame:
+    """W-b to W-d over logs of any size: `by`, session, title, n_lines, the first value of each attribute of `first` and the last of `last`.
+
+    Headers open sessions, as in `sessions`; the grammar is a parameter. A log is cut into ranges of its lines, in each of
+    which headers are counted alone; the session that is open where a range begins is the number of headers in all ranges
+    before. Sessions are then folded by partial aggregation, so neither a log nor a session has to fit a task.
+
+    Lines before the first header, and null lines, are in no session; a log without a header has none; values are not
+    empty; lines of equal order are taken by their text.
+    """
+    rows = lines.where(F.col(text).isNotNull()).withColumn("_head", F.regexp_extract(text, header, 1)).withColumn("_opens", (F.col("_head") != "").cast("long"))
+    placed = running(rows, by, [*order, text], {"session": "_opens"}, "log").where("session > 0")
+    at = F.struct(*order, text)
+    value = lambda p: F.regexp_extract(text, p, 1)
+    held = lambda p: F.when(value(p) != "", at)
+    firsts = [F.min_by(value(p), held(p)).alias(a) for a, p in first.items()]
+    lasts = [F.max_by(value(p), held(p)).alias(a) for a, p in (last or {}).items()]
+    return placed.groupBy(*by, "session").agg(F.max("_head").alias("title"), F.count("*").alias("n_lines"), *firsts, *lasts)
+
+
 def streaks(rows: DataFrame, by: str, order: str, value: Column) -> DataFrame:
     """W-e, X26: runs of equal values in order, as gaps and islands."""
     w = Window.partitionBy(by).orderBy(order)

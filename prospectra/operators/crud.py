@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -9,11 +12,13 @@ from ..functions import vocab
 from ..functions.coerce import number_or, text
 from ..functions.rules import role_mailbox
 from ..functions.text import col, step_map
+from ..sources.shared import cut
+from .ranges import running
 
 
 def insert_absent(table: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of new whose keys are not in the table; of equal new rows the first by _ord."""
-    first = new.withColumn("_rn", F.row_number().over(Window.partitionBy(*keys).orderBy("_ord"))).where("_rn = 1").drop("_rn")
+    first = new.groupBy(*keys).agg(F.min_by(F.struct(*new.columns), "_ord").alias("_row")).select("_row.*")
     return first.join(table.select(*keys).distinct(), keys, "left_anti")
 
 
@@ -26,32 +31,66 @@ def numbered_ids(table: DataFrame, new: DataFrame, id_: str, prefix: Column, ord
     """new with ids of a prefix and the next numbers after the highest that the table has for it, three digits at least; ids given stay."""
     top = table.select(F.regexp_extract(id_, r"^(.*-)([0-9]+)[^-]*$", 1).alias("_p"), F.regexp_extract(id_, r"^(.*-)([0-9]+)[^-]*$", 2).try_cast("long").alias("_n")).where("_p <> ''").groupBy("_p").agg(F.max("_n").alias("_top"))
     rows = new.withColumn("_prefix", prefix).withColumn("_blank", F.coalesce(F.col(id_), F.lit("")) == "")
-    rank = F.count_if("_blank").over(Window.partitionBy("_prefix").orderBy(order).rowsBetween(Window.unboundedPreceding, 0))
-    rows = rows.withColumn("_rank", rank).join(top, F.col("_prefix") == F.col("_p"), "left")
+    rows = running(rows.withColumn("_one", F.col("_blank").cast("long")), ["_prefix"], [order], {"_rank": "_one"}, "ids").drop("_one").join(top, F.col("_prefix") == F.col("_p"), "left")
     number = (F.coalesce("_top", F.lit(0)) + F.col("_rank")).cast("string")
     padded = F.when(F.length(number) >= 3, number).otherwise(F.lpad(number, 3, "0"))
     return rows.withColumn(id_, F.when(F.col("_blank"), F.concat("_prefix", padded)).otherwise(F.col(id_))).drop("_prefix", "_blank", "_rank", "_p", "_top")
 
 
+#: Rounds of `first_of_each` before what is left is folded in order.
+ROUNDS = 6
+
+
+def first_of_each(rows: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+    """_name, _city, _domain, _ord of the rows that stay when rows are taken in order of _ord and one goes if a row that stayed has its name and its city, or its name and its domain (if it has one).
+
+    Of rows equal in all three only the first can stay. In a round, rows that are first in both of their groups stay, and
+    rows that share a group with one of them go; groups are aggregated and joined, so one of any size is spread over tasks.
+    Chains that are longer than the rounds are folded in order of a name, of which a task holds the cities and domains.
+    """
+    city, domain = ["_name", "_city"], ["_name", "_domain"]
+    open_ = cut(rows.groupBy("_name", "_city", "_domain").agg(F.min("_ord").alias("_ord")), "open")
+    stayed = None
+    for _ in range(rounds):
+        if open_.isEmpty():
+            break
+        heads = [open_.groupBy(*city).agg(F.min("_ord").alias("_first_city")), open_.where("_domain <> ''").groupBy(*domain).agg(F.min("_ord").alias("_first_domain"))]
+        marked = open_.join(heads[0], city).join(heads[1], domain, "left")
+        marked = cut(marked.withColumn("_stays", (F.col("_ord") == F.col("_first_city")) & (F.col("_ord") == F.coalesce("_first_domain", "_ord"))).drop("_first_city", "_first_domain"), "marked")
+        new = marked.where("_stays").drop("_stays")
+        stayed = new if stayed is None else stayed.unionByName(new)
+        left = marked.where("not _stays").drop("_stays").join(new.select(*city), city, "left_anti")
+        open_ = cut(left.join(new.where("_domain <> ''").select(*domain), domain, "left_anti"), "open")
+
+    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        name, cities, domains = None, set(), set()
+        for batch in batches:
+            keep = []
+            for n, c, d in zip(batch["_name"], batch["_city"], batch["_domain"], strict=True):
+                if n != name:
+                    name, cities, domains = n, set(), set()
+                keep.append(c not in cities and (not d or d not in domains))
+                if keep[-1]:
+                    cities.add(c)
+                    domains.add(d)
+            yield batch[keep]
+
+    rest = open_.repartition("_name").sortWithinPartitions("_name", "_ord").mapInPandas(fold, open_.schema)
+    return rest if stayed is None else stayed.unionByName(rest)
+
+
 def insert_venues(venues: DataFrame, new: DataFrame) -> DataFrame:
     """Rows of new, in order of _ord, that are no duplicates of venues on file or of earlier rows, with ids and defaults.
 
-    A duplicate has the same name (lower-cased, trimmed) and the same city, or the same domain. Rows of a name are
-    folded in order over the cities and domains that the name has, so that a row that is not inserted makes no other a duplicate.
+    A duplicate has the same name (lower-cased, trimmed) and the same city, or the same domain; a row that is not inserted
+    makes no other a duplicate.
     """
     name, city = F.lower(F.trim(F.coalesce("name", F.lit("")))), F.lower(F.trim(F.coalesce("city", F.lit(""))))
-    keyed = new.withColumns({"_name": name, "_city": city, "_domain": _site("website")})
-    known = venues.withColumn("_name", name).join(keyed.select("_name").distinct(), "_name", "left_semi").groupBy("_name").agg(F.collect_set(city).alias("_cities"), F.collect_set(_site("website")).alias("_domains"))
-    groups = keyed.groupBy("_name").agg(F.sort_array(F.collect_list(F.struct("_ord", "_city", "_domain"))).alias("_rows")).join(known, "_name", "left")
-    none = F.array().cast("array<string>")
-    begin = F.struct(F.coalesce("_cities", none).alias("cities"), F.coalesce("_domains", none).alias("domains"), F.array().cast("array<bigint>").alias("kept"))
-
-    def step(a: Column, x: Column) -> Column:
-        twice = F.array_contains(a.cities, x["_city"]) | ((x["_domain"] != "") & F.array_contains(a.domains, x["_domain"]))
-        add = lambda held, value: F.when(twice, held).otherwise(F.array_append(held, value))
-        return F.struct(add(a.cities, x["_city"]).alias("cities"), add(a.domains, x["_domain"]).alias("domains"), add(a.kept, x["_ord"].cast("long")).alias("kept"))
-
-    kept = groups.select(F.explode(F.aggregate("_rows", begin, step, lambda a: a.kept)).alias("_ord"))
+    keys = lambda d: d.select(name.alias("_name"), city.alias("_city"), _site("website").alias("_domain"), F.col("_ord").cast("long").alias("_ord") if "_ord" in d.columns else F.lit(0))
+    known, asked = keys(venues), keys(new)
+    fresh = asked.join(known.select("_name", "_city").distinct(), ["_name", "_city"], "left_anti")
+    fresh = fresh.join(known.where("_domain <> ''").select("_name", "_domain").distinct(), ["_name", "_domain"], "left_anti")
+    kept = first_of_each(fresh).select("_ord")
     rows = new.join(kept, "_ord", "left_semi")
     state, category = text("state", "XX"), text("category", "OTHER")
     prefix = F.concat(F.upper(state), F.lit("-"), F.substring(F.upper(category), 1, 4), F.lit("-"))

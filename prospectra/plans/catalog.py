@@ -587,3 +587,17 @@ def _filled() -> None:
 
 
 _filled()
+
+
+# ---------------------------------------------------------------- one log
+
+
+@compared(r"""WITH l AS (SELECT conv_id, turn, role || ': ' || regexp_replace(text, '\s+', ' ', 'g') AS line FROM conversations),
+h AS (SELECT *, regexp_extract(line, '^user: (\S+)', 1) AS head, regexp_extract(line, '^assistant: (\S+)', 1) AS a, regexp_extract(line, '(\S+)$', 1) AS z, row_number() OVER (ORDER BY conv_id, turn, line) AS k FROM l WHERE line IS NOT NULL),
+s AS (SELECT *, count(*) FILTER (WHERE head <> '') OVER (ORDER BY k) AS session FROM h)
+SELECT session, max(head) AS title, count(*) AS n_lines, min_by(a, k) FILTER (a <> '') AS reply, max_by(z, k) FILTER (z <> '') AS last_word FROM s WHERE session > 0 GROUP BY 1""")
+def one_log_sessions(s, d):
+    """W-b to W-d: the turns of all conversations as one log, whose sessions run over the ranges that tasks scan."""
+    lines = table(s, d, "conversations").select(F.lit("log").alias("log"), "conv_id", "turn", F.concat("role", F.lit(": "), F.regexp_replace("text", r"\s+", " ")).alias("line"))
+    found = audit.log_sessions(lines, ["log"], ["conv_id", "turn"], "line", r"^user: (\S+)", {"reply": r"^assistant: (\S+)"}, {"last_word": r"(\S+)$"})
+    return found.drop("log")

@@ -36,6 +36,15 @@ def read_list(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select(F.lower(F.trim("value")).alias("item")).where("item <> ''").distinct()
 
 
+def log_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines of logs with what orders them: file, offset of the split that read the line, row within the split, line.
+
+    A log of any size is read in splits by many tasks; rows of a split are numbered as they are read.
+    """
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("offset"), F.col("value").alias("line"))
+    return lines.withColumn("row", F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1))
+
+
 def sitemap_urls(xml: Column | str) -> Column:
     """The addresses of a sitemap; the tags are found by pattern, so broken files give what they have."""
     return F.transform(F.regexp_extract_all(col(xml), F.lit(r"(?is)<loc>\s*(.*?)\s*</loc>"), 1), lambda u: text.unescape_html(F.trim(u)))
