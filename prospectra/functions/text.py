@@ -273,7 +273,7 @@ def hms_seconds(c: Column | str) -> Column:
 
 def context_person(c: Column | str) -> Column:
     """Name and title from the lines around a mailbox: the first two that are no address, number or heading."""
-    lines = F.transform(F.split(F.coalesce(col(c), F.lit("")), "\n"), F.trim)
+    lines = F.transform(F.split(F.coalesce(col(c), F.lit("")), "\n"), lambda x: F.trim(x))
     odd = r"(?i)^[0-9(+]|^(CONTACT|MAIN PHONE|RECIPROCAL|CLUB MANAGEMENT|PLEASE)"
     kept = F.filter(lines, lambda x: (x != "") & ~x.contains("@") & ~x.rlike(odd))
     # Lines before a name are passed over if they are too short or long; the line after it is a title or there is none.
