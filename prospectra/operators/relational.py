@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -104,13 +107,63 @@ def anti_by_id(venues: DataFrame, gigs: DataFrame) -> DataFrame:
     return venues.join(gigs.select("venue_id").distinct(), "venue_id", "left_anti")
 
 
-def contained_names(own: DataFrame, other: DataFrame) -> DataFrame:
-    """The names of `own` (name) that hold, or are held in, a name of `other` (name): distinct, not empty."""
+#: Bytes of distinct names that one side may have to be sent to every task.
+NAMES_BYTES = 4 << 20
+
+
+def contained_names(own: DataFrame, other: DataFrame, most: int = NAMES_BYTES) -> DataFrame:
+    """The names of `own` (name) that hold, or are held in, a name of `other` (name): distinct, not empty.
+
+    While the names of one side have at most `most` bytes (added up first), they go to every task, and the other side
+    is read once against an automaton of all of them; else names are joined by their rarest three letters.
+    """
+    sized = lambda t: t.agg(F.sum(F.octet_length("name")).alias("n")).first().n or 0
+    if sized(other) <= most:
+        return _hits(own, [r.name for r in other.where("name <> ''").collect()], "own")  # at most NAMES_BYTES
+    if sized(own) <= most:
+        return _hits(other, [r.name for r in own.where("name <> ''").collect()], "few")  # at most NAMES_BYTES
     x, y = own.select(F.col("name").alias("x")), other.select(F.col("name").alias("y"))
     holds = _held(y, "y", x, "x").select(F.col("x").alias("name"))
     return holds.unionByName(_held(x, "x", y, "y").select(F.col("x").alias("name"))).distinct()
 
 
+def _automaton(names: list[str]):
+    import ahocorasick
+
+    found = ahocorasick.Automaton()
+    for k, name in enumerate(names):
+        found.add_word(name, k)
+    found.make_automaton()
+    return found
+
+
+def _hits(rows: DataFrame, few: list[str], wanted: str) -> DataFrame:
+    """name: of rows (name) those that hold or are held in one of few (`own`), or the names of few that do so (`few`).
+
+    One automaton of few reads every row; one of a batch of rows reads few, for rows that are held in them.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        patterns = _automaton(few) if few else None
+        for batch in batches:
+            names, hit, seen = list(dict.fromkeys(batch["name"])), set(), set()
+            if patterns is not None and names:
+                for k, name in enumerate(names):
+                    inside = {v for _, v in patterns.iter(name)}
+                    if inside:
+                        hit.add(k)
+                        seen |= inside
+                reverse = _automaton(names)
+                for v, name in enumerate(few):
+                    inside = {k for _, k in reverse.iter(name)}
+                    if inside:
+                        seen.add(v)
+                        hit |= inside
+            yield pd.DataFrame({"name": [names[k] for k in sorted(hit)] if wanted == "own" else [few[v] for v in sorted(seen)]}, dtype=object)
+
+    return rows.select("name").where("name <> ''").mapInPandas(run, "name string").distinct()
+
+
 def _held(short: DataFrame, s: str, long: DataFrame, t: str) -> DataFrame:
     """Pairs (s, t) of distinct names where s occurs in t.
 

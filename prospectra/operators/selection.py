@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import vocab
 from ..functions.rules import city_malformed, french, website_fits
 from ..functions.text import bare_domain
+from ..sources.shared import cut
 from .scoring import confidence
 
 TARGET_STATES = ("DC", "MD", "VA", "PA", "DE", "WV")
@@ -88,7 +89,6 @@ def scored_pool(cascade: DataFrame) -> DataFrame:
 
 
 
-
 def order() -> list[Column]:
     """K4, with the row order last."""
     return [F.desc("composite"), F.desc("upscale_score"), F.col("state_rank").asc(), F.lower("name").asc(), F.col("_ord").asc()]
@@ -118,7 +118,7 @@ def batch(pool: DataFrame, n: int = 20) -> DataFrame:
     core = F.col("state").isin("DC", "VA", "MD")
     # Beyond n of a bucket and 2 n of the home states nothing can be chosen: two top-n, each of which combines before it shuffles.
     rank = F.row_number().over(Window.partitionBy("bucket").orderBy(*order()))
-    pool = pool.withColumn("bucket", bucket)
+    pool = cut(pool.withColumn("bucket", bucket), "pool")  # read twice: the cascade before it runs once
     best = pool.withColumn("rank", rank).where(F.col("rank") <= n).drop("rank")
     few = best.unionByName(pool.where(core).orderBy(*order()).limit(2 * n)).dropDuplicates(["venue_id"]).withColumn("rank", rank)
     everywhere = Window.orderBy(*order())

@@ -115,3 +115,18 @@ def test_traps(spark):
     venues = spark.createDataFrame([("1", ""), ("2", "Blue Inn"), ("3", "Inn"), ("4", "Oak")], "venue_id string, name string")
     gigs = spark.createDataFrame([("9", "The Blue Inn")], "venue_id string, venue_name string")
     assert {r.venue_id for r in rel.anti_by_name(venues, gigs).collect()} == {"4"}
+
+
+@pytest.mark.parametrize("most", [1 << 20, 150, 0])
+def test_contained_names_by_every_way(spark, most):
+    """Automaton of the others, automaton of the own names, or the rarest three letters: the same names."""
+    rng = random.Random(5)
+    word = lambda n: "".join(rng.choice("ab é") for _ in range(rng.randrange(n)))
+    own, other = {word(9) for _ in range(60 if most == 150 else 300)} - {""}, {word(14) for _ in range(300)} - {""}
+    if most == 150:
+        own = set(sorted(own)[:20])
+    want = {x for x in own if any(x in y or y in x for y in other)}
+    df = lambda names: spark.createDataFrame([(x,) for x in sorted(names)], "name string")
+    got = [r.name for r in rel.contained_names(df(own), df(other), most).collect()]
+    assert len(got) == len(set(got)) and set(got) == want and want != own
+    assert rel.contained_names(df(own), df([]), most).collect() == [] == rel.contained_names(df([]), df(other), most).collect()
