@@ -121,7 +121,7 @@ def test_traps(spark):
 def test_contained_names_by_every_way(spark, most):
     """Automaton of the others, automaton of the own names, or the rarest three letters: the same names."""
     rng = random.Random(5)
-    word = lambda n: "".join(rng.choice("abcdefg é") for _ in range(rng.randrange(n)))
+    word = lambda n: "".join(rng.choice("abcdefg é") for _ in range(rng.randrange(3, n)))
     own, other = {word(9) for _ in range(60 if most == 150 else 300)} - {""}, {word(14) for _ in range(300)} - {""}
     if most == 150:
         own = set(sorted(own)[:20])
