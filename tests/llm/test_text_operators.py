@@ -610,6 +610,61 @@ def test_parts_and_edits_of_hot_items_are_found(spark):
     assert {r.doc_id for r in decontamination.decontaminate(docs, bench).collect()} == {i for i, _ in rows} - {i for i, _ in want}
 
 
+def everywhere(rows, items, share=0.4, most=32):
+    """Every item against every text, whole."""
+    out = {}
+    for i, t in rows:
+        for k, item in items:
+            need = max(min(share * len(item), most), min(len(item), 3))
+            if len(set(t) & set(item)) and (s := align_want(item, t)) >= need:
+                out[i, k] = s
+    return out
+
+
+def worn(rng, item):
+    """An item with a third to a half of it changed, put in or left out."""
+    rate, out = rng.uniform(0.15, 0.6), []
+    for x in item:
+        kind = rng.random()
+        if kind < rate:
+            out += rng.choice([["changed"], [], [x, "extra"], ["extra", "more", x]])
+        else:
+            out.append(x)
+    return out
+
+
+def test_worn_copies_are_all_found(spark, monkeypatch):
+    """Also those without three words in a row as they were, beside common words and a phrase that many items and texts share."""
+    rng = random.Random(12)
+    phrase = [f"p{k}" for k in range(5)]
+    items = [(k, phrase + [rng.choice([f"i{k}w{j}", f"common{rng.randrange(12)}"]) for j in range(n)]) for k, n in enumerate([3, 7, 12, 25, 30, 45, 90, 115] * 2)]
+    every_second = [w for j, x in enumerate(items[4][1][:30]) for w in ([x, "in"] if j % 2 else [x])]
+    every_third = ["out" if j % 3 == 2 else x for j, x in enumerate(items[7][1])]
+    texts_ = [every_second, every_third, *(worn(rng, rng.choice(items)[1]) for _ in range(150)), *(phrase[: rng.randrange(6)] for _ in range(60))]
+    pad = lambda: [rng.choice([f"z{rng.randrange(99)}", f"common{rng.randrange(12)}"]) for _ in range(rng.randrange(25))]
+    rows = [(i, [*pad(), *t, *pad()]) for i, t in enumerate(texts_)]
+    want = everywhere(rows, items)
+    assert (0, 4) in want and (1, 7) in want and len(want) > 100
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in rows], "doc_id long, text string")
+    bench = spark.createDataFrame([(k, " ".join(t)) for k, t in items], "item_id long, text string")
+    clean = {i for i, _ in rows} - {i for i, _ in want}
+    for words in (decontamination.BLOCK_WORDS, 200):  # one block, and several
+        monkeypatch.setattr(decontamination, "BLOCK_WORDS", words)
+        assert {(r.doc_id, r.item_id): r.score for r in decontamination.contaminated(docs, bench).collect()} == want
+        left = decontamination.decontaminate(docs.unionByName(docs.limit(3)), bench)
+        assert left.columns == docs.columns and {r.doc_id for r in left.collect()} == clean
+
+
+def test_seeds_leave_out_what_is_common():
+    item = [b"a b c d e f g h i j"]
+    items = decontamination.Items([(1, item[0])], 0.4, 32)
+    assert items.need[0] == 4 and len(items.distinct) == 9
+    counts = np.zeros(9)
+    counts[np.searchsorted(items.distinct, items.key[:3])] = [5, 9, 7]
+    items.keep_rare(counts)
+    assert len(items.distinct) == 7 and set(items.key[[1, 2]]).isdisjoint(items.distinct)
+
+
 def test_bound_is_never_below_the_alignment():
     rng = random.Random(10)
     pairs = [[[rng.randrange(9) for _ in range(rng.randrange(1, 30))] for _ in range(2)] for _ in range(300)]
