@@ -16,6 +16,7 @@ from ..operators import relational as rel
 from ..sources import files
 from ..sources.projection import entity, sql
 from ..sources.shared import new_folder
+from ..sources.tables import BucketTable
 from .oracle import likes, names, typed
 from .queries import Query, contacts, gigs, table, venues
 
@@ -601,3 +602,30 @@ def one_log_sessions(s, d):
     lines = table(s, d, "conversations").select(F.lit("log").alias("log"), "conv_id", "turn", F.concat("role", F.lit(": "), F.regexp_replace("text", r"\s+", " ")).alias("line"))
     found = audit.log_sessions(lines, ["log"], ["conv_id", "turn"], "line", r"^user: (\S+)", {"reply": r"^assistant: (\S+)"}, {"last_word": r"(\S+)$"})
     return found.drop("log")
+
+
+# ---------------------------------------------------------------- bucketed tables
+
+
+@compared(typed("""x AS (SELECT contact_id, venue_id, email, _ord FROM c)""", """y AS (SELECT CASE WHEN _ord % 2 = 0 THEN contact_id ELSE 'N-' || (_ord % 50) END AS contact_id, venue_id, 'new@site.example.org' AS email, _ord FROM c WHERE verified = 'unknown')""",
+    "z AS (SELECT * FROM y QUALIFY row_number() OVER (PARTITION BY contact_id ORDER BY _ord DESC) = 1)") + "SELECT * FROM x WHERE contact_id NOT IN (SELECT contact_id FROM z) UNION ALL SELECT * FROM z")
+def bucketed_merge(s, d):
+    """Contacts in buckets by id; a merge writes the buckets again that its ids are in, and the same batch again writes nothing."""
+    rows = contacts(s, d).select("contact_id", "venue_id", "email", "_ord")
+    news = contacts(s, d).where("verified = 'unknown'").select(F.when(F.col("_ord") % 2 == 0, F.col("contact_id")).otherwise(F.concat(F.lit("N-"), (F.col("_ord") % 50).cast("string"))).alias("contact_id"), "venue_id", F.lit("new@site.example.org").alias("email"), "_ord")
+    table_ = BucketTable.create(rows, new_folder(s, "contacts"), ["contact_id"], 16)
+    for _ in range(2):
+        table_.change(news, lambda old, new: crud.merge(old, new, "contact_id"), ("news", 0))
+    return table_.read()
+
+
+@compared(typed() + "SELECT contact_id, email, verified AS step FROM c")
+def candidate_log(s, d):
+    """The log of candidates, appended batch by batch; a batch that comes again adds nothing."""
+    rows = contacts(s, d).select("contact_id", "email", F.col("verified").alias("step"))
+    log = BucketTable.create(rows.limit(0), new_folder(s, "log"), ["contact_id"], 8)
+    halves = [rows.where("step in ('valid', 'pending')"), rows.where("step not in ('valid', 'pending')")]
+    for batch, part in enumerate(halves):
+        log.append(part, ("candidates", batch))
+        log.append(part, ("candidates", batch))
+    return log.read()

@@ -25,3 +25,9 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     path = new_folder(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def file_system(spark: SparkSession, path: str):
+    """The store that holds a path, and the path in it."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
