@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text, vocab
 from ..operators import graph
+from ..sources import sitemaps
 from ..sources.projection import pick
 from .catalog import Compared
 from .queries import table
@@ -75,3 +76,40 @@ walk AS (SELECT s, CAST(0 AS bigint) AS tries, CAST(0 AS bigint) AS got, CAST([]
 def crawl_frontier(s, d):
     """Each host's crawl of at most 8 pages and 32 attempts, best first."""
     return graph.frontier(web(s, d), starts(s, d), max_pages=8)
+
+
+# ---------------------------------------------------------------- sitemaps
+
+ORIGIN = "concat('https://', CASE WHEN s % 2 = 0 THEN 'www.' ELSE '' END, 's', cast(s AS varchar(20)), '.example.org')"
+DEEP = f"concat({ORIGIN}, CASE WHEN p % 2 = 1 THEN '/a/b/c-' ELSE '/x/y/contact-' END, cast(p AS varchar(20)))"
+
+
+def sitemap_files(s: SparkSession, d: str) -> DataFrame:
+    """url, xml: an index with three parts, a file with prefixes, a broken file, or none, by host; and another file that robots name."""
+    parts = table(s, d, "lineitem").select(F.col("l_suppkey").alias("s"), F.col("l_partkey").alias("p")).distinct()
+    parts = parts.withColumns({"a": F.expr(address("p")), "deep": F.expr(DEEP), "o": F.expr(ORIGIN)})
+    entry = lambda tag, u: F.concat(F.lit(f"<{tag}url>\n <{tag}loc> "), u, F.lit(f" </{tag}loc></{tag}url>"))
+    body = lambda rows, entry, by=("s", "o"): rows.groupBy(*by).agg(F.array_join(F.sort_array(F.collect_list(entry)), "").alias("b"))
+    file = lambda rows, name, head, tail: rows.select(F.concat("o", F.lit(name) if isinstance(name, str) else name).alias("url"), F.concat(F.lit(head), "b", F.lit(tail)).alias("xml"))
+    index = parts.where("s % 4 = 0").select("s", "o").distinct().withColumn("b", F.array_join(F.transform(F.array(*map(F.lit, "012")), lambda j: F.concat(F.lit("<sitemap><loc>"), F.col("o"), F.lit("/maps/"), j, F.lit(".xml</loc></sitemap>"))), ""))
+    third = body(parts.where("s % 4 = 0").withColumn("j", (F.col("p") % 3).cast("string")), entry("", F.col("a")), ("s", "o", "j"))
+    return (
+        file(index, "/sitemap.xml", '<?xml version="1.0"?><sitemapindex xmlns="http://www.sitemaps.org/schemas/sitemap/0.9">', "</sitemapindex>")
+        .unionByName(file(third, F.concat(F.lit("/maps/"), "j", F.lit(".xml")), "<urlset>", "</urlset>"))
+        .unionByName(file(body(parts.where("s % 4 = 1 and p % 5 < 3"), F.concat(entry("sm:", F.col("a")), entry("sm:", F.col("deep")))), "/sitemap.xml", '<sm:urlset xmlns:sm="http://x">', "</sm:urlset>"))
+        .unionByName(file(body(parts.where("s % 4 = 2 and p % 5 < 3"), entry("", F.col("a"))), "/sitemap.xml", "<urlset>", "<url><loc>"))
+        .unionByName(file(body(parts.where("p % 2 = 0"), entry("", F.concat("a", F.lit("#top")))), "/extra.xml", "<urlset>", "</urlset>"))
+    )
+
+
+@BOOK.compared(f"""WITH parts AS (SELECT DISTINCT l_suppkey AS s, l_partkey AS p FROM lineitem),
+k AS (SELECT unnest(['contact', 'contact-us', 'get-in-touch', 'inquiry', 'enquiry', 'events', 'private-events', 'special-events', 'book-an-event', 'book-event', 'private-dining', 'group-dining', 'groups', 'catering', 'weddings', 'meetings', 'corporate-events', 'banquets', 'team', 'staff', 'leadership', 'about', 'press']) AS path),
+u AS (SELECT s, {address('p')} AS url FROM parts WHERE s % 4 = 0 OR (s % 4 IN (1, 2) AND p % 5 < 3) UNION SELECT s, {DEEP} FROM parts WHERE s % 4 = 1 AND p % 5 < 3 AND p % 2 = 0
+ UNION SELECT s, {address('p')} || '#top' FROM parts WHERE p % 2 = 0 AND s % 3 <> 0 UNION SELECT s, {ORIGIN} || '/' || path FROM (SELECT DISTINCT s FROM parts), k)
+SELECT 's' || s || '.example.org' AS site, url, CASE WHEN url LIKE '%.pdf' OR url LIKE '%.pdf#top' THEN 'pdf' ELSE 'page' END AS kind, {rank('url')} AS score FROM u""")
+def site_seeds(s, d):
+    """Seeds from known paths, indexes, files with prefixes, broken files, and files that robots name."""
+    hosts = table(s, d, "lineitem").select(F.col("l_suppkey").alias("s")).distinct()
+    ask = hosts.select(F.expr(f"concat({ORIGIN}, '/welcome')").alias("url"))
+    robots = hosts.where("s % 3 <> 0").select(F.expr(f"concat({ORIGIN}, '/robots.txt')").alias("url"), F.concat(F.lit("User-agent: *\nSitemap: https://other.example.org/extra.xml\n  SITEMAP:"), F.expr(ORIGIN), F.lit("/extra.xml\n")).alias("body"))
+    return sitemaps.discover_seeds(ask, robots, sitemap_files(s, d), limit=100_000).drop("place")
