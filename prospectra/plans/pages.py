@@ -8,8 +8,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import text
 from ..operators import structured
-from ..sources import markup
+from ..sources import markup, pdf
 from ..sources.projection import pick
 from .catalog import Compared
 from .queries import table
@@ -88,3 +89,16 @@ def directory_venues(s: SparkSession, d: str) -> DataFrame:
     """Name, address, city, website and profiles of a directory's pages, each by its chain of places."""
     html = F.concat(*[F.expr(x) for x in (HEAD, STREET, SITE, SOCIAL)])
     return markup.directory_rows(table(s, d, "supplier").select(F.col("s_suppkey").alias("page_id"), html.alias("html")), "page_id", "list.example")
+
+
+# ---------------------------------------------------------------- documents
+
+SHEET = r"""concat('%PDF-1.4\n1 0 obj << /Type /Catalog /Pages 2 0 R >> endobj\n2 0 obj << /Type /Pages /Kids [3 0 R] >> endobj\n3 0 obj << /Type /Page /Contents 4 0 R >> endobj\n4 0 obj << >>\nstream\nBT 72 600 Td (Balance ',
+ cast(cast(s_acctbal AS decimal(12, 2)) AS string), ') Tj 0 100 Td (', s_name, ') Tj 200 0 Td (No. ', cast(s_suppkey AS string), ' \\(', cast(s_nationkey AS string), '\\)) Tj -200 -50 Td [(ma) 10 (il) -400 (info@s', cast(s_suppkey AS string), '.example.org)] TJ ET\nendstream\nendobj\n%%EOF')"""
+
+
+@BOOK.compared("""SELECT s_suppkey AS page_id, s_name || ' No. ' || s_suppkey || ' (' || s_nationkey || ')' || chr(10) || 'mail info@s' || s_suppkey || '.example.org' || chr(10) || 'Balance ' || CAST(CAST(s_acctbal AS decimal(12, 2)) AS varchar) AS shown, 'info@s' || s_suppkey || '.example.org' AS email FROM supplier""")
+def document_texts(s, d):
+    """One sheet a supplier, whose lines are written in another order than they are read; and the mailboxes in it."""
+    sheets = table(s, d, "supplier").select(F.col("s_suppkey").cast("string").alias("path"), F.expr(SHEET).cast("binary").alias("content"))
+    return pdf.pdf_texts(sheets).select(F.col("path").cast("long").alias("page_id"), F.col("text").alias("shown"), F.array_join(text.emails("text"), " ").alias("email"))

@@ -2,11 +2,6 @@
 
 from __future__ import annotations
 
-import re
-import zlib
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -72,26 +67,6 @@ def site_seeds(spark_pages: DataFrame, sitemaps: DataFrame, depth: int = 3) -> D
     return out.select(text.normalize_url("url").alias("url")).where("url is not null").distinct().withColumn("score", text.url_score("url"))
 
 
-def pdf_texts(files: DataFrame) -> DataFrame:
-    """The text of documents (path, content): strings of their streams, inflated where need be, else the bytes as Latin-1."""
-
-    def one(data: bytes) -> str:
-        parts = []
-        for m in re.finditer(rb"stream\r?\n(.*?)\r?\nendstream", data, re.S):
-            try:
-                parts.append(zlib.decompress(m[1]))
-            except zlib.error:
-                parts.append(m[1])
-        shown = b" ".join(re.findall(rb"\(((?:[^()\\]|\\.)*)\)\s*(?:Tj|'|\")", b"\n".join(parts)))
-        return (shown or data).decode("latin-1")
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in batches:
-            yield pd.DataFrame({"path": rows.path, "text": [one(bytes(c or b"")) for c in rows.content]})
-
-    return files.select("path", "content").mapInPandas(run, "path string, text string")
-
-
 def cards(lines: DataFrame) -> DataFrame:
     """S15, S16, W-g: search cards (name, text) with rating, reviews, price and state."""
     r = text.rating("text")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from prospectra.operators import reports, screening
 from prospectra.plans import actions
 from prospectra.plans.queries import contacts, gigs, outreach, venues
-from prospectra.sources import files
+from prospectra.sources import files, pdf
 
 from .conftest import SF
 
@@ -39,9 +39,9 @@ def test_sitemaps(spark):
 def test_documents_and_cards(spark):
     import zlib
 
-    pdf = b"%PDF\nstream\n" + zlib.compress(b"BT (mail ann@v.example.org) Tj ET") + b"\nendstream"
-    rows = spark.createDataFrame([("a", bytearray(pdf)), ("b", bytearray(b"raw bob@v.example.org")), ("c", None)], "path string, content binary")
-    assert {r.path: r.text for r in files.pdf_texts(rows).collect()} == {"a": "mail ann@v.example.org", "b": "raw bob@v.example.org", "c": ""}
+    raw = b"%PDF\nstream\n" + zlib.compress(b"BT (mail ann@v.example.org) Tj ET") + b"\nendstream"
+    rows = spark.createDataFrame([("a", bytearray(raw)), ("b", bytearray(b"raw bob@v.example.org")), ("c", None)], "path string, content binary")
+    assert {r.path: r.text for r in pdf.pdf_texts(rows).collect()} == {"a": "mail ann@v.example.org", "b": "raw bob@v.example.org", "c": ""}
     card = files.cards(spark.createDataFrame([("Oak", "4.6 (2,001) $$ 1 Main St, Easton, MD")], "name string, text string")).first()
     assert (card.rating, card.reviews, card.price, card.place.city, card.place.state) == (4.6, 2001, 2, "Easton", "MD")
     assert one(spark, files.attributes("x"), (["Fireplace ", "fireplace", "ok", "Photos of it", "x" * 50],), "x array<string>") == ["fireplace"]
