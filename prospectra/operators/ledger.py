@@ -1,7 +1,7 @@
 """The ledger of paid mailbox checks: cache, caps, reservations, balance.
 
-A request is decided by nine steps in order: input, cache, switch, key, the run's cap, the day's cap, a reservation of
-the same mailbox, balance, charge. The charge comes before the call, so failed calls count. Decisions of one ledger
+A request is decided by ten steps in order: the venue's cap, if there is one, input, cache, switch, key, the run's cap, the
+day's cap, a reservation of the same mailbox, balance, charge. The charge comes before the call, so failed calls count. Decisions of one ledger
 (account) depend on all before them; ledgers are independent. `Decider` is the fold's step; `decisions` folds a batch,
 `prospectra.streaming.ledger` a stream, with the same steps over keyed state.
 
@@ -36,8 +36,10 @@ class Rules:
     hold: float = 300
     reserve: float = 500
     fail_closed: bool = True
-    #: A run's count lapses so many days after its last charge.
+    #: A run's count, and a venue's, lapses so many days after its last charge.
     run_days: float = 180
+    #: Charges for one venue within a run (L9); none if there is no cap.
+    per_venue: int | None = None
 
 
 def date_of(ts: float) -> str:
@@ -45,22 +47,30 @@ def date_of(ts: float) -> str:
 
 
 class Decider:
-    """The step of the fold. State: `cache` mailbox to (status, time), `runs` run to (count, time), `day` day to count, `inflight` mailbox to (time, run).
+    """The step of the fold. State: `cache` mailbox to (status, time), `runs` run to (count, time), `day` day to count, `inflight` mailbox to (time, run), `venues` run and venue to (count, time).
 
     The state's maps may be dictionaries or anything else with `get` and item assignment, but `inflight` is a dictionary.
     """
 
-    def __init__(self, rules: Rules, cache: MutableMapping | None = None, runs: MutableMapping | None = None, day: MutableMapping | None = None, inflight: dict | None = None):
+    def __init__(self, rules: Rules, cache: MutableMapping | None = None, runs: MutableMapping | None = None, day: MutableMapping | None = None, inflight: dict | None = None, venues: MutableMapping | None = None):
         self.rules = rules
-        self.cache, self.runs, self.day, self.inflight = ({} if m is None else m for m in (cache, runs, day, inflight))
-        self.charges = 0
+        self.cache, self.runs, self.day, self.inflight, self.venues = ({} if m is None else m for m in (cache, runs, day, inflight, venues))
 
     def live(self, status: str, age: float) -> bool:
         return age <= DAY * (self.rules.unknown_days if status == "unknown" else self.rules.days)
 
-    def decide(self, ts: float, email: str | None, run: str | None, outcome: str | None, retry: bool = False, balance: float | None = None, known_balance: bool = False, enabled: bool = True, key: bool = True) -> tuple[str, bool, bool, str]:
+    def used(self, counts: MutableMapping, key: str, ts: float) -> int:
+        n, last = counts.get(key) or (0, ts)
+        return n if ts - last <= DAY * self.rules.run_days else 0
+
+    def decide(self, ts: float, email: str | None, run: str | None, outcome: str | None, retry: bool = False, balance: float | None = None, known_balance: bool = False, enabled: bool = True, key: bool = True, venue: str | None = None) -> tuple[str, bool, bool, str]:
         """status, cached, charged, reason. The balance counts if `known_balance`. An outcome `open` leaves a reservation."""
         rules, email, run = self.rules, (email or "").strip().lower(), run or ""
+        at_venue, charged_there = f"{run}\t{venue}", 0
+        if rules.per_venue is not None and venue is not None:
+            charged_there = self.used(self.venues, at_venue, ts)
+            if charged_there >= rules.per_venue:
+                return "deferred", False, False, "venue_cap_reached"
         if "@" not in email:
             return "deferred", False, False, "invalid_email_input"
         known = self.cache.get(email)
@@ -73,8 +83,7 @@ class Decider:
         held = [e for e, (t, _) in self.inflight.items() if ts - t > rules.hold]
         for e in held:
             del self.inflight[e]
-        used, last = self.runs.get(run) or (0, ts)
-        used = used if ts - last <= DAY * rules.run_days else 0
+        used = self.used(self.runs, run, ts)
         if used + sum(r == run for _, r in self.inflight.values()) >= rules.per_run:
             return "deferred", False, False, "run_budget_reached"
         spent = self.day.get(date_of(ts)) or 0
@@ -90,6 +99,8 @@ class Decider:
             self.inflight[email] = (ts, run)
             return "deferred", False, False, "reserved"
         self.runs[run], self.day[date_of(ts)] = (used + 1, ts), spent + 1
+        if rules.per_venue is not None and venue is not None:
+            self.venues[at_venue] = (charged_there + 1, ts)
         failed = outcome in ("timeout", "error")
         self.cache[email] = ("unknown" if failed or not outcome else outcome, ts)
         return ("deferred", False, True, "call_failed") if failed else (outcome or "unknown", False, True, "charged")
@@ -98,27 +109,29 @@ class Decider:
         """Drops what no decision from ts on can ask for; for states that are dictionaries."""
         self.cache = {e: v for e, v in self.cache.items() if self.live(v[0], ts - v[1])}
         self.runs = {r: v for r, v in self.runs.items() if ts - v[1] <= DAY * self.rules.run_days}
+        self.venues = {k: v for k, v in self.venues.items() if ts - v[1] <= DAY * self.rules.run_days}
         self.day = {d: n for d, n in self.day.items() if int(d) >= int(ts // DAY)}
 
 
 #: Columns of `requests`; `at` is the time in seconds.
-REQUEST = ["account", "seq", "ts", "email", "run_id", "outcome", "retry_unknown", "enabled", "has_key", "balance", "asked", "at"]
+REQUEST = ["account", "seq", "ts", "email", "run_id", "outcome", "retry_unknown", "enabled", "has_key", "balance", "asked", "at", "venue_id"]
 DECISION = "account string, seq long, ts timestamp, email string, run_id string, status string, cached boolean, charged boolean, reason string"
 
 
 def requests(rows: DataFrame) -> DataFrame:
-    """Requests (account, seq, ts, email, run_id, outcome, and if they are there retry_unknown, enabled, has_key, balance) with all columns of REQUEST."""
+    """Requests (account, seq, ts, email, run_id, outcome, and if they are there retry_unknown, enabled, has_key, balance, venue_id) with all columns of REQUEST."""
     has = set(rows.columns)
     flag = lambda c, default: F.coalesce(F.col(c), F.lit(default)) if c in has else F.lit(default)
     balance = F.col("balance").cast("double") if "balance" in has else F.lit(None).cast("double")
-    return rows.select(F.col("account").cast("string").alias("account"), F.col("seq").cast("long").alias("seq"), "ts", F.lower(F.trim(F.coalesce("email", F.lit("")))).alias("email"), F.coalesce("run_id", F.lit("")).alias("run_id"), "outcome", flag("retry_unknown", False).alias("retry_unknown"), flag("enabled", True).alias("enabled"), flag("has_key", True).alias("has_key"), balance.alias("balance"), F.lit("balance" in has).alias("asked"), (F.unix_micros("ts") / 1_000_000).alias("at"))
+    return rows.select(F.col("account").cast("string").alias("account"), F.col("seq").cast("long").alias("seq"), "ts", F.lower(F.trim(F.coalesce("email", F.lit("")))).alias("email"), F.coalesce("run_id", F.lit("")).alias("run_id"), "outcome", flag("retry_unknown", False).alias("retry_unknown"), flag("enabled", True).alias("enabled"), flag("has_key", True).alias("has_key"), balance.alias("balance"), F.lit("balance" in has).alias("asked"), (F.unix_micros("ts") / 1_000_000).alias("at"), (F.col("venue_id").cast("string") if "venue_id" in has else F.lit(None).cast("string")).alias("venue_id"))
 
 
 def decided(decider: Decider, rows: pd.DataFrame) -> pd.DataFrame:
     """Rows of one ledger (columns of REQUEST), in order, as rows of DECISION."""
     balance = rows["balance"].astype(object).where(rows["balance"].notna(), None)
     outcome = rows["outcome"].astype(object).where(rows["outcome"].notna(), None)
-    columns = (rows["at"], rows["email"], rows["run_id"], outcome, rows["retry_unknown"], balance, rows["asked"], rows["enabled"], rows["has_key"])
+    venue = rows["venue_id"].astype(object).where(rows["venue_id"].notna(), None)
+    columns = (rows["at"], rows["email"], rows["run_id"], outcome, rows["retry_unknown"], balance, rows["asked"], rows["enabled"], rows["has_key"], venue)
     found = [decider.decide(*x) for x in zip(*(c.tolist() for c in columns), strict=True)]
     out = rows[["account", "seq", "ts", "email", "run_id"]].reset_index(drop=True)
     return pd.concat([out, pd.DataFrame(found, columns=["status", "cached", "charged", "reason"])], axis=1)

@@ -118,20 +118,20 @@ def canonical() -> str:
 #: The ledgers folded a request at a time: what is known of a mailbox, counts by run and by day, open reservations.
 LEDGER = """q AS (SELECT CAST(user_id AS varchar) AS account, event_id AS seq, ts, epoch_us(ts) / 1000000.0 AS now, CAST(floor(epoch_us(ts) / 86400000000) AS bigint) AS today,
   CASE WHEN event_id % 29 = 0 THEN 'nobody' ELSE 'u' || (event_id % 7) || '@example.org' END AS email, 'run' || (day(ts) // 5) AS run_id, ['valid', 'invalid', 'timeout', 'catch-all', 'open'][event_id % 5 + 1] AS outcome,
-  event_id % 9 = 0 AS again, event_id % 31 <> 0 AS enabled, event_id % 37 <> 0 AS has_key, CASE WHEN event_id % 13 <> 0 THEN floor(value * 20) END AS balance, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS k FROM events),
+  event_id % 9 = 0 AS again, event_id % 31 <> 0 AS enabled, event_id % 37 <> 0 AS has_key, CASE WHEN event_id % 13 <> 0 THEN floor(value * 20) END AS balance, event_id % 2 AS venue, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS k FROM events),
 f AS (SELECT account, CAST(0 AS bigint) AS k, CAST(NULL AS bigint) AS seq, CAST(NULL AS timestamp) AS ts, '' AS email, '' AS run_id, '' AS reason, '' AS status,
-  CAST(map {} AS map(varchar, struct(s varchar, t double))) AS cache, CAST(map {} AS map(varchar, bigint)) AS runs, CAST(map {} AS map(bigint, bigint)) AS days, CAST([] AS struct(e varchar, t double, r varchar)[]) AS held FROM (SELECT DISTINCT account FROM q)
+  CAST(map {} AS map(varchar, struct(s varchar, t double))) AS cache, CAST(map {} AS map(varchar, bigint)) AS runs, CAST(map {} AS map(varchar, bigint)) AS venues, CAST(map {} AS map(bigint, bigint)) AS days, CAST([] AS struct(e varchar, t double, r varchar)[]) AS held FROM (SELECT DISTINCT account FROM q)
  UNION ALL SELECT account, k, seq, ts, email, run_id, reason, CASE WHEN reason = 'cached' THEN known.s WHEN reason = 'charged' THEN outcome ELSE 'deferred' END,
   CASE WHEN reason IN ('charged', 'call_failed') THEN map_concat(cache, map {email: {'s': CASE WHEN outcome = 'timeout' THEN 'unknown' ELSE outcome END, 't': now}}) ELSE cache END,
-  CASE WHEN reason IN ('charged', 'call_failed') THEN map_concat(runs, map {run_id: used + 1}) ELSE runs END,
+  CASE WHEN reason IN ('charged', 'call_failed') THEN map_concat(runs, map {run_id: used + 1}) ELSE runs END, CASE WHEN reason IN ('charged', 'call_failed') THEN map_concat(venues, map {run_id || venue: there + 1}) ELSE venues END,
   CASE WHEN reason IN ('charged', 'call_failed') THEN map_concat(days, map {today: spent + 1}) ELSE days END,
   CASE WHEN reason = 'reserved' THEN list_append(held, {'e': email, 't': now, 'r': run_id}) ELSE held END
- FROM (SELECT *, CASE WHEN NOT contains(email, '@') THEN 'invalid_email_input'
+ FROM (SELECT *, CASE WHEN there >= 2 THEN 'venue_cap_reached' WHEN NOT contains(email, '@') THEN 'invalid_email_input'
    WHEN known IS NOT NULL AND now - known.t <= CASE known.s WHEN 'unknown' THEN 3 ELSE 10 END * 86400 AND NOT (known.s = 'unknown' AND again) THEN 'cached'
    WHEN NOT enabled THEN 'disabled' WHEN NOT has_key THEN 'no_api_key' WHEN used + len(list_filter(held, lambda h: h.r = run_id)) >= 3 THEN 'run_budget_reached' WHEN spent + len(held) >= 2 THEN 'day_budget_reached'
    WHEN len(list_filter(held, lambda h: h.e = email)) > 0 THEN 'already_inflight' WHEN balance IS NULL THEN 'credit_check_failed' WHEN balance <= 100 THEN 'reserve_reached'
    WHEN outcome = 'open' THEN 'reserved' WHEN outcome = 'timeout' THEN 'call_failed' ELSE 'charged' END AS reason
-  FROM (SELECT q.*, f.cache, f.runs, f.days, list_filter(f.held, lambda h: q.now - h.t <= 86400) AS held, map_extract(f.cache, q.email)[1] AS known, coalesce(map_extract(f.runs, q.run_id)[1], 0) AS used, coalesce(map_extract(f.days, q.today)[1], 0) AS spent
+  FROM (SELECT q.*, f.cache, f.runs, f.venues, f.days, coalesce(map_extract(f.venues, q.run_id || q.venue)[1], 0) AS there, list_filter(f.held, lambda h: q.now - h.t <= 86400) AS held, map_extract(f.cache, q.email)[1] AS known, coalesce(map_extract(f.runs, q.run_id)[1], 0) AS used, coalesce(map_extract(f.days, q.today)[1], 0) AS spent
    FROM f JOIN q ON q.account = f.account AND q.k = f.k + 1)))"""
 
 ORACLE_SQL: dict[str, str] = {

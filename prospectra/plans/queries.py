@@ -355,7 +355,7 @@ def ledger_budget(s, d):
 
 
 #: Rules of the ledgers that the queries keep: short lives and a long hold, so that every step decides something.
-LEDGER_RULES = ledger.Rules(per_run=3, per_day=2, days=10, unknown_days=3, hold=86400, reserve=100)
+LEDGER_RULES = ledger.Rules(per_run=3, per_day=2, days=10, unknown_days=3, hold=86400, reserve=100, per_venue=2)
 
 
 def ledger_requests(s: SparkSession, d: str) -> DataFrame:
@@ -364,12 +364,12 @@ def ledger_requests(s: SparkSession, d: str) -> DataFrame:
     k = F.col("event_id")
     email = F.when(k % 29 == 0, "nobody").otherwise(F.concat(F.lit("U"), (k % 7).cast("string"), F.lit("@Example.org ")))
     outcome = F.element_at(F.array(*map(F.lit, ("valid", "invalid", "timeout", "catch-all", "open"))), (k % 5 + 1).cast("int"))
-    return e.select(F.col("user_id").cast("string").alias("account"), k.alias("seq"), "ts", email.alias("email"), F.concat(F.lit("run"), F.floor(F.dayofmonth("ts") / 5).cast("string")).alias("run_id"), outcome.alias("outcome"), (k % 9 == 0).alias("retry_unknown"), (k % 31 != 0).alias("enabled"), (k % 37 != 0).alias("has_key"), F.when(k % 13 != 0, F.floor(F.col("value") * 20)).alias("balance"))
+    return e.select(F.col("user_id").cast("string").alias("account"), k.alias("seq"), "ts", email.alias("email"), F.concat(F.lit("run"), F.floor(F.dayofmonth("ts") / 5).cast("string")).alias("run_id"), outcome.alias("outcome"), (k % 9 == 0).alias("retry_unknown"), (k % 31 != 0).alias("enabled"), (k % 37 != 0).alias("has_key"), F.when(k % 13 != 0, F.floor(F.col("value") * 20)).alias("balance"), F.concat(F.lit("V"), (k % 2).cast("string")).alias("venue_id"))
 
 
 @query
 def ledger_decisions(s, d):
-    """All nine steps, sequential by account."""
+    """All ten steps, sequential by account."""
     return ledger.decisions(ledger_requests(s, d), LEDGER_RULES).select("account", "seq", "status", "cached", "charged", "reason")
 
 

@@ -64,6 +64,7 @@ class LedgerProcessor(StatefulProcessor):
         self.runs = handle.getMapState("runs", "run string", "n int, at double")
         self.day = handle.getMapState("day", "day string", "n int")
         self.inflight = handle.getMapState("inflight", "email string", "at double, run string")
+        self.venues = handle.getMapState("venues", "venue string", "n int, at double")
         self.due = handle.getMapState("due", "day int", "names array<string>")
 
     def _held(self) -> dict[str, tuple[float, str]]:
@@ -83,24 +84,24 @@ class LedgerProcessor(StatefulProcessor):
         kind, key = name[0], (name[2:],)
         if kind == "d":
             return (int(key[0]) + 1) * DAY if self.day.containsKey(key) else None
-        state = self.cache if kind == "c" else self.runs
+        state = {"c": self.cache, "r": self.runs, "v": self.venues}[kind]
         if not state.containsKey(key):
             return None
         value = state.getValue(key)
-        if kind == "r":
+        if kind in "rv":
             return value[1] + DAY * self.rules.run_days
         return value[1] + DAY * (self.rules.unknown_days if value[0] == "unknown" else self.rules.days)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         batch = pd.concat(list(rows)).sort_values(["seq", "ts", "email"], kind="stable")
         before = self._held()
-        maps = [Stored(s) for s in (self.cache, self.runs, self.day)]
-        decider = Decider(self.rules, *maps, dict(before))
+        maps = [Stored(s) for s in (self.cache, self.runs, self.day, self.venues)]
+        decider = Decider(self.rules, *maps[:3], dict(before), maps[3])
         out = decided(decider, batch)
         for m in maps:
             m.flush()
         self._keep(before, decider.inflight)
-        names = [f"{kind}:{k}" for kind, m in zip("crd", maps, strict=True) for k in m.changed]
+        names = [f"{kind}:{k}" for kind, m in zip("crdv", maps, strict=True) for k in m.changed]
         by_day: dict[int, list[str]] = {}
         for name in names:
             by_day.setdefault(int(self._lapse(name) // DAY), []).append(name)
@@ -120,7 +121,7 @@ class LedgerProcessor(StatefulProcessor):
             for name in self.due.getValue((day,))[0]:
                 lapse = self._lapse(name)
                 if lapse is not None and lapse < now:
-                    {"c": self.cache, "r": self.runs, "d": self.day}[name[0]].removeKey((name[2:],))
+                    {"c": self.cache, "r": self.runs, "d": self.day, "v": self.venues}[name[0]].removeKey((name[2:],))
                 elif lapse == now:  # still good at this instant: looked at a day later
                     again = list(self.due.getValue((day + 1,))[0]) if self.due.containsKey((day + 1,)) else []
                     self.due.updateValue((day + 1,), ([*again, name],))

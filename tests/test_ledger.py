@@ -68,21 +68,30 @@ def test_reservations_count_for_their_run_and_the_day():
     assert d.decide(2 * DAY + 1, "b@v.example", "r", "valid")[3] == "charged"
 
 
-SCHEMA = "account string, seq long, ts timestamp, email string, run_id string, outcome string, retry_unknown boolean, enabled boolean, has_key boolean, balance double"
-RULES = Rules(3, 4, days=3, unknown_days=1, hold=4000, reserve=10, run_days=2)
+def test_cap_of_a_venue():
+    d = decider(9, 9, per_venue=2, run_days=3)
+    ask = lambda x, ts=0, run="r", venue="v1": d.decide(ts, f"{x}@v.example", run, "valid", venue=venue)[3]
+    assert [ask(x) for x in "abca"] == ["charged", "charged", "venue_cap_reached", "venue_cap_reached"]
+    assert ask("a", venue="v2") == "cached" and ask("c", venue="v2") == "charged" and ask("d", venue=None) == "charged"
+    assert ask("e", run="other") == "charged" and ask("f", 4 * DAY) == "charged"
+    assert decider(9, 9).decide(0, "a@v.example", "r", "valid", venue="v1")[3] == "charged"
+
+
+SCHEMA = "account string, seq long, ts timestamp, email string, run_id string, outcome string, retry_unknown boolean, enabled boolean, has_key boolean, balance double, venue_id string"
+RULES = Rules(3, 4, days=3, unknown_days=1, hold=4000, reserve=10, run_days=2, per_venue=2)
 
 
 def request_rows(n=400, step=timedelta(minutes=20)):
     rng, start = random.Random(1), datetime(2024, 1, 1)
-    one = lambda k: (str(k % 3), k, start + k * step, rng.choice(["", "nobody", *[f" U{x}@v.example" for x in range(12)]]), rng.choice(["", *[f"r{k // 60 + x}" for x in range(2)]]), rng.choice(["valid", "timeout", "invalid", "open", None]), rng.random() < 0.2, rng.random() < 0.95, rng.random() < 0.95, rng.choice([None, 5.0, 50.0, 50.0, 50.0]))
+    one = lambda k: (str(k % 3), k, start + k * step, rng.choice(["", "nobody", *[f" U{x}@v.example" for x in range(12)]]), rng.choice(["", *[f"r{k // 60 + x}" for x in range(2)]]), rng.choice(["valid", "timeout", "invalid", "open", None]), rng.random() < 0.2, rng.random() < 0.95, rng.random() < 0.95, rng.choice([None, 5.0, 50.0, 50.0, 50.0]), rng.choice([None, "v1", "v2", "v3"]))
     return [one(k) for k in range(n)]
 
 
 def folded(rows, rules=RULES):
     out, deciders = set(), {}
-    for a, seq, ts, email, run, outcome, retry, enabled, key, balance in rows:
+    for a, seq, ts, email, run, outcome, retry, enabled, key, balance, venue in rows:
         at = (ts - datetime(1970, 1, 1)).total_seconds()
-        out.add((a, seq, *deciders.setdefault(a, Decider(rules)).decide(at, email, run, outcome, retry, balance, True, enabled, key)))
+        out.add((a, seq, *deciders.setdefault(a, Decider(rules)).decide(at, email, run, outcome, retry, balance, True, enabled, key, venue)))
     return out
 
 
@@ -94,7 +103,7 @@ def test_batch_is_the_fold(spark):
     rows = request_rows()
     want = folded(rows)
     reasons = {x[-1] for x in want}
-    assert reasons == {"invalid_email_input", "cached", "disabled", "no_api_key", "run_budget_reached", "day_budget_reached", "already_inflight", "credit_check_failed", "reserve_reached", "reserved", "charged", "call_failed"}
+    assert reasons == {"invalid_email_input", "cached", "disabled", "no_api_key", "run_budget_reached", "day_budget_reached", "already_inflight", "credit_check_failed", "reserve_reached", "reserved", "charged", "call_failed", "venue_cap_reached"}
     df = spark.createDataFrame(rows, SCHEMA)
     assert taken(ledger.decisions(df, RULES)) == want
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
@@ -104,7 +113,7 @@ def test_batch_is_the_fold(spark):
 
 def test_batch_awkward(spark):
     assert ledger.decisions(spark.createDataFrame([], SCHEMA), RULES).collect() == []
-    rows = [(None, 1, datetime(2024, 1, 1), "a@v.example", None, None, None, None, None, 50.0), (None, 2, datetime(2024, 1, 2), "A@v.example", None, "valid", None, None, None, None), ("x", 1, datetime(2024, 1, 1), None, "r", "valid", False, True, True, None)]
+    rows = [(None, 1, datetime(2024, 1, 1), "a@v.example", None, None, None, None, None, 50.0, None), (None, 2, datetime(2024, 1, 2), "A@v.example", None, "valid", None, None, None, None, None), ("x", 1, datetime(2024, 1, 1), None, "r", "valid", False, True, True, None, None)]
     df = spark.createDataFrame(rows, SCHEMA)
     assert taken(ledger.decisions(df, RULES)) == {(None, 1, "unknown", False, True, "charged"), (None, 2, "unknown", True, False, "cached"), ("x", 1, "deferred", False, False, "invalid_email_input")}
     bare = df.select("account", "seq", "ts", "email", "run_id", "outcome")
@@ -134,7 +143,7 @@ def test_stream_of_many_batches_is_the_batch(spark, tmp_path, store):
 
 def test_reservation_outlives_its_batch_and_expires(spark, tmp_path, store):
     at = lambda s: datetime(2024, 1, 1) + timedelta(seconds=s)
-    ask = lambda seq, s, email, outcome="valid", balance=50.0, key=True: ("x", seq, at(s), email, "r", outcome, False, True, key, balance)
+    ask = lambda seq, s, email, outcome="valid", balance=50.0, key=True: ("x", seq, at(s), email, "r", outcome, False, True, key, balance, None)
     parts = [[ask(1, 0, "a@v.example", "open"), ask(2, 1, "a@v.example")], [ask(3, 200, "a@v.example"), ask(4, 201, "b@v.example", key=False), ask(5, 202, "b@v.example", balance=None), ask(6, 203, "b@v.example", balance=10.0)], [ask(7, 301, "a@v.example")]]
     rules = Rules(5, 5, reserve=10)
     got = taken(drained(ledger_stream(stream_of(spark, tmp_path, parts), rules), "holds"))
@@ -146,20 +155,20 @@ def test_reservation_outlives_its_batch_and_expires(spark, tmp_path, store):
 def test_timers_leave_no_state(spark, tmp_path, store):
     """An account that doesn't come again is forgotten: its entries are gone from the store once all have lapsed."""
     at = lambda d: datetime(2024, 1, 1) + timedelta(days=d)
-    ask = lambda seq, d, account, outcome="valid": (account, seq, at(d), f"u{seq}@v.example", "r", outcome, False, True, True, 50.0)
+    ask = lambda seq, d, account, outcome="valid": (account, seq, at(d), f"u{seq}@v.example", "r", outcome, False, True, True, 50.0, "v1")
     parts = [[ask(1, 0, "gone"), ask(2, 0, "gone", "timeout"), ask(3, 0, "gone", "open")], [ask(4, 1, "other")], [ask(5, 9, "other")], [ask(6, 10, "other")], [ask(7, 11, "other")]]
     stream = stream_of(spark, tmp_path, parts)
     q = ledger_stream(stream, RULES).writeStream.format("memory").queryName("tidy").option("checkpointLocation", str(tmp_path / "check")).trigger(availableNow=True).start()
     q.awaitTermination()
     read = lambda name: spark.read.format("statestore").option("stateVarName", name).load(str(tmp_path / "check"))
-    for name in ("cache", "runs", "day", "inflight", "due"):
+    for name in ("cache", "runs", "day", "inflight", "venues", "due"):
         accounts = {r[0] for r in read(name).select(F.col("key.account") if "account" in str(read(name).schema["key"].dataType) else F.col("key.groupingKey.account")).collect()}
         assert "gone" not in accounts, name
 
 
 def test_budgets_at_a_time(spark):
     at = lambda s: datetime(2024, 1, 2) + timedelta(seconds=s)
-    row = lambda seq, s, email, run, outcome: ("x", seq, at(s), email, run, outcome, False, True, True, 50.0)
+    row = lambda seq, s, email, run, outcome: ("x", seq, at(s), email, run, outcome, False, True, True, 50.0, None)
     rows = [row(1, -50000, "a@v.example", "r", "valid"), row(2, 0, "b@v.example", "r", "timeout"), row(3, 5, "c@v.example", "r", "open"), row(4, 10, "d@v.example", "s", "open"), row(5, 400, "c@v.example", "s", "valid")]
     made = ledger.decisions(spark.createDataFrame(rows, SCHEMA), Rules(3, 9, reserve=10))
 
@@ -174,4 +183,4 @@ def test_budgets_at_a_time(spark):
 
 def test_every_step_decides_something_in_the_query(spark):
     reasons = {r.reason for r in queries.QUERIES["ledger_decisions"](spark, SF).select("reason").distinct().collect()}
-    assert len(reasons) == 12
+    assert len(reasons) == 13
