@@ -129,6 +129,49 @@ def card_reject(known: Column, location: Column, skip_types: tuple[str, ...]) ->
     )
 
 
+def taste_reject(known: Column, score: Column, skip_names: tuple[str, ...], least: int = 40) -> Column:
+    """Why a card (name) of a taste search is left out, or null: short, of a skipped kind, on file, a room, or below the score."""
+    n = F.lower(F.trim(F.coalesce("name", F.lit(""))))
+    room = F.contains(n, F.lit(" - ")) & vocab.any_of(n, ("room", "suite", "cottage", "cabin"))
+    return F.when(F.length(n) < 3, "short").when(vocab.any_of(n, skip_names), "kind").when(known, "exists").when(room, "room listing").when(score < least, "score")
+
+
+def found_by_name(asked: DataFrame, venues: DataFrame) -> DataFrame:
+    """S28 for many names at once: of each asked (name) the venue_id of the first venue of that name, else of the first whose name holds all of its words.
+
+    Equal names are joined; the others by the word of theirs that fewest venues' names hold, and are then verified.
+    """
+    own, want = F.lower(F.trim("name")), F.lower(F.trim("name"))
+    rows = venues.select(own.alias("own"), "venue_id", "_ord").where("own <> ''")
+    first = rows.groupBy("own").agg(F.min("_ord").alias("_ord"), F.min_by("venue_id", "_ord").alias("venue_id"))
+    ask = asked.select(want.alias("want")).where("want <> ''").distinct()
+    same = ask.join(first, F.col("want") == F.col("own"), "left")
+    hit = same.where("own is not null").select("want", "venue_id")
+    rest = same.where("own is null").select("want")
+    words = first.select("own", "venue_id", "_ord", F.explode(F.array_distinct(F.filter(F.split("own", r"\s+"), lambda w: w != ""))).alias("word"))
+    often = words.groupBy("word").agg(F.count("*").alias("n"))
+    # A word may stand inside a longer one, so the words asked for are looked up among those that hold them.
+    asks = rest.select("want", F.explode(F.array_distinct(F.split("want", r"\s+"))).alias("part"))
+    inside = contained_in(asks.select("part").distinct(), often.select("word"))
+    cost = asks.join(inside, "part", "left").join(often, "word", "left").groupBy("want", "part").agg(F.sum(F.coalesce("n", F.lit(0))).alias("n"))
+    rarest = cost.groupBy("want").agg(F.min_by("part", F.struct("n", "part")).alias("part"))
+    near = rarest.join(inside, "part").join(words, "word")
+    fits = F.forall(F.split("want", r"\s+"), lambda w: F.contains(F.col("own"), w))
+    found = near.where(fits).groupBy("want").agg(F.min_by("venue_id", F.struct("_ord", "venue_id")).alias("venue_id"))
+    return hit.unionByName(found).withColumnRenamed("want", "name")
+
+
+def contained_in(parts: DataFrame, words: DataFrame) -> DataFrame:
+    """part, word: in which of the distinct words each distinct part occurs."""
+    longer = words.withColumn("k", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("word")), lambda i: F.substr("word", i, F.lit(3))))))
+    asked = parts.withColumn("k", F.substring("part", 1, 3))
+    exact = asked.where(F.length("part") >= 3).join(longer.where(F.length("k") == 3), "k")
+    tiny = parts.where(F.length("part") < 3).withColumn("k", F.col("part"))
+    starts = words.withColumn("k", F.explode(F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(1), F.length("word")), lambda i: F.array(F.substr("word", i, F.lit(1)), F.substr("word", i, F.lit(2))))))))
+    both = exact.unionByName(tiny.join(starts, "k"))
+    return both.where(F.contains("word", F.col("part"))).select("part", "word").distinct()
+
+
 def known_mailboxes(candidates: DataFrame, contacts: DataFrame) -> DataFrame:
     """Candidates whose mailbox is not on file; deferred ones are tried again."""
     known = contacts.where("verified <> 'deferred' and email <> ''").select(F.lower("email").alias("_e")).distinct()

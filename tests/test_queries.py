@@ -6,11 +6,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_module
-from prospectra.plans import catalog, oracle, pages, queries, webs
+from prospectra.plans import catalog, oracle, pages, queries, service, webs
 
 from .conftest import SF
 
-QUERIES, ORACLE_SQL = {**queries.QUERIES, **catalog.QUERIES, **webs.QUERIES, **pages.QUERIES}, {**oracle.ORACLE_SQL, **catalog.ORACLE_SQL, **webs.ORACLE_SQL, **pages.ORACLE_SQL}
+QUERIES, ORACLE_SQL = {**queries.QUERIES, **catalog.QUERIES, **webs.QUERIES, **pages.QUERIES, **service.QUERIES}, {**oracle.ORACLE_SQL, **catalog.ORACLE_SQL, **webs.ORACLE_SQL, **pages.ORACLE_SQL, **service.ORACLE_SQL}
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "pages", "conversations")
 
 
