@@ -4,14 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import collect, crud, reports, screening
+from ..functions import rules, text
+from ..operators import collect, crud, graph, reports, screening
 from ..sources.files import write_rows
+from ..sources.projection import pick
 from ..sources.shared import new_folder
 from . import actions
 from .catalog import Compared
 from .oracle import ORACLE_SQL as NAMED_SQL
 from .oracle import typed
 from .queries import contacts, outreach, table, venues
+from .webs import LINKS, web
 
 BOOK = Compared()
 QUERIES, ORACLE_SQL = BOOK.queries, BOOK.oracle_sql
@@ -115,3 +118,58 @@ def recovered_matches(s, d):
     rows = contacts(s, d).select("contact_id", F.floor(F.col("_ord") / 10).alias("batch"), (F.col("_ord") % 10).alias("place"), "_ord")
     matches = rows.select("batch", "place", F.when(F.col("_ord") % 3 != 0, F.concat(F.lit("m-"), "_ord")).alias("match_id"))
     return screening.recovered(rows.drop("_ord"), matches).select("contact_id", "match_id")
+
+
+# ---------------------------------------------------------------- rules over varied inputs
+
+STATE_WORD = r"\b(DC|MD|VA|PA|DE|WV)\b"
+KINDS = "('luxury', 'hotel', 'fine', 'dining', 'restaurant', 'french', 'european', 'historic', 'bistro', 'private', 'club', 'wine', 'bar', 'country', 'winery', 'yacht', 'upscale', 'italian', 'boutique', 'inn', 'museum', 'event', 'space', 'art', 'gallery')"
+
+
+@BOOK.compared(typed(r"""a AS (SELECT venue_id, city AS raw, '12 Main St, ' || city || ', ' || state AS t, CASE _ord % 3 WHEN 0 THEN 'luxury Hotel ' WHEN 1 THEN '' ELSE 'wine bar in ' END || city || ' ' || state AS q, CASE WHEN _ord % 2 = 0 THEN 'seen in ' ELSE 'plays at ' END || city || ', ' || state || ' often' AS n FROM v)""",
+    rf"""b AS (SELECT *, regexp_extract(t, '{STATE_WORD}', 1) AS s1, regexp_replace(regexp_extract(t, '^(.*?)\b(DC|MD|VA|PA|DE|WV)\b', 1), '[\s,]+$', '') AS p1, regexp_extract(q, '{STATE_WORD}', 1) AS s2, regexp_replace(regexp_extract(q, '^(.*?)\b(DC|MD|VA|PA|DE|WV)\b', 1), '[\s,]+$', '') AS p2,
+  trim(regexp_extract(n, '((in |at )?[A-Z][a-z]+(\s[A-Z][a-z]+)*,?\s*(VA|MD|DC|PA))', 1)) AS x FROM a)""")
+    + f"""SELECT venue_id, CASE WHEN regexp_matches(trim(string_split(p1, ',')[-1]), '^[0-9]') THEN '' ELSE trim(string_split(p1, ',')[-1]) END AS city, s1 AS state, array_to_string(list_filter(regexp_split_to_array(p2, '\\s+'), lambda w: w <> '' AND lower(w) NOT IN {KINDS}), ' ') AS asked, s2 AS asked_state,
+ nullif(regexp_replace(x, '^(in|at) ', ''), '') AS noted, CASE WHEN contains(lower(raw), 'annapolis') OR contains(lower(raw), 'reston') THEN 'green' WHEN contains(lower(raw), 'baltimore') THEN 'yellow' ELSE 'default' END AS zone FROM b""")
+def every_place(s, d):
+    """T21 to T23, C11 over every venue: cities of several words, none, numbers, and ones with a state in them."""
+    v = venues(s, d)
+    place = text.city_state(F.concat(F.lit("12 Main St, "), "city", F.lit(", "), "state"))
+    head = F.when(F.col("_ord") % 3 == 0, "luxury Hotel ").when(F.col("_ord") % 3 == 1, "").otherwise("wine bar in ")
+    asked = text.query_place(F.concat(head, "city", F.lit(" "), "state"))
+    noted = text.notes_place(F.concat(F.when(F.col("_ord") % 2 == 0, "seen in ").otherwise("plays at "), "city", F.lit(", "), "state", F.lit(" often")))
+    return v.select("venue_id", place.city.alias("city"), place.state.alias("state"), asked.city.alias("asked"), asked.state.alias("asked_state"), noted.alias("noted"), rules.zone("city").alias("zone"))
+
+
+@BOOK.compared("""WITH x AS (SELECT c_custkey AS _ord, CASE WHEN c_custkey % 2 = 0 THEN 'id' ELSE '' END AS id, CASE c_custkey % 3 WHEN 0 THEN '' WHEN 1 THEN 'www.V' || c_custkey || '.example' ELSE 'other.example' END AS d, CASE c_custkey % 5 WHEN 0 THEN '' ELSE 'v' || c_custkey || '.example' END AS site FROM customer)
+SELECT _ord, CASE WHEN id <> '' THEN 10 ELSE 0 END + CASE WHEN d <> '' THEN 5 ELSE 0 END - CASE WHEN _ord % 7 = 0 THEN 20 ELSE 0 END + CASE WHEN site <> '' AND replace(lower(d), 'www.', '') = site THEN 50 ELSE 0 END AS score,
+ CASE _ord % 4 WHEN 0 THEN true WHEN 1 THEN false WHEN 2 THEN true ELSE false END AS content, _ord % 4 <> 3 AS branded FROM x""")
+def org_details(s, d):
+    """Scores by id, domain and chain; names in a page's text, in half of their words, or not; brands."""
+    k = F.col("c_custkey")
+    own = F.when(k % 3 == 0, "").when(k % 3 == 1, F.concat(F.lit("www.V"), k.cast("string"), F.lit(".example"))).otherwise("other.example")
+    site = F.when(k % 5 == 0, "").otherwise(F.concat(F.lit("v"), k.cast("string"), F.lit(".example")))
+    score = rules.org_score(F.when(k % 2 == 0, "id").otherwise(""), own, F.when(k % 7 == 0, "Hilton Worldwide Holdings").otherwise("Oak Tavern"), site)
+    body = F.element_at(F.array(*map(F.lit, ("<p>Welcome to Blue Ridge Winery</p>", "<p>Nothing here</p>", "the ridge <b>blue</b>", "<a href='blueridgewinery'>x</a>"))), (k % 4 + 1).cast("int"))
+    org = F.element_at(F.array(*map(F.lit, ("Blue Ridge Winery by Hilton", "The Blue Ridge Estate", "Blue Ridge", "Harbor Winery"))), (k % 4 + 1).cast("int"))
+    return table(s, d, "customer").select(k.alias("_ord"), score.alias("score"), rules.content_matches(F.lit("Blue Ridge Winery"), body).alias("content"), rules.org_matches(org, F.lit("Blue Ridge Winery")).alias("branded"))
+
+
+NEW_STEP, NEW_STATUS = pick("_ord", "emails", "people", "website", "form", "press"), pick("_ord", "DONE", "FAILED", "ODD", "SKIPPED", "done", "")
+
+
+@BOOK.compared(typed(f"sa AS (SELECT venue_id, _ord, {NEW_STEP} AS step, {NEW_STATUS} AS st, check_status AS s FROM v)",
+    r"sb AS (SELECT *, unnest(['website', 'emails', 'social', 'form', 'people', 'location', 'press']) AS k FROM sa)",
+    r"""sc AS (SELECT *, regexp_extract('|' || s, '\|' || k || ':([^|:]*)', 1) AS old, regexp_extract('|' || s, '\|' || k || ':[^|:]*:([^|]*)', 1) AS told FROM sb)""")
+    + """SELECT venue_id, k AS step, CASE WHEN k = step AND st IN ('DONE', 'FAILED', 'SKIPPED') THEN st ELSE old END AS status, CASE WHEN k = step AND st IN ('DONE', 'FAILED', 'SKIPPED') THEN '' ELSE told END AS detail FROM sc WHERE old <> '' OR (k = step AND st IN ('DONE', 'FAILED', 'SKIPPED'))""")
+def step_merges(s, d):
+    """Every step of every venue after one of them is saved, with statuses that are known and ones that are not."""
+    saved = crud.saved_step("check_status", F.expr(NEW_STEP), F.expr(NEW_STATUS))
+    return venues(s, d).select("venue_id", F.explode(saved).alias("step", "v")).select("venue_id", "step", "v.status", "v.detail")
+
+
+@BOOK.compared(f"""WITH {LINKS}, rows AS (SELECT s, p, q FROM hops WHERE p % 7 <> 3 UNION ALL SELECT s, NULL, q FROM (SELECT DISTINCT s, q FROM hops) QUALIFY row_number() OVER (PARTITION BY s ORDER BY q) <= 6)
+SELECT 's' || s || '.example.org' AS host, count(DISTINCT coalesce(p, -1)) AS n_pages, count(*) AS n_links, count(*) FILTER (WHERE q % 5 = 1) AS n_fragments, count(*) FILTER (WHERE q % 23 = 5) AS n_files FROM rows GROUP BY s""")
+def web_coverage(s, d):
+    """A16 over the web of the lines: links, fragments and files of each host."""
+    return graph.host_coverage(web(s, d))
