@@ -43,13 +43,17 @@ def crawl(pages: DataFrame, seeds: DataFrame, depth: int = 3, max_pages: int | N
     return reached
 
 
-def ranked_links(pages: DataFrame, most: int) -> DataFrame:
+def ranked_links(pages: DataFrame, most: int, first: DataFrame | None = None) -> DataFrame:
     """src, key, score, length, pos: of each page its best `most` links to pages of its own host, by (score, length, pos).
 
+    Of pages that share an address only that of `first` (key, url) counts, if it is given.
+
     `key` is the address without fragment; of several links to one the best counts. Score and length are those of the link
     as it stands, with its fragment and its anchor's text.
     """
     found = pages.select(normalize_url("url", False).alias("src"), "url", F.posexplode(anchors("html")).alias("pos", "a")).withColumn("child", normalize_url(resolve("a.href", "url")))
+    if first is not None:
+        found = found.join(first.select(F.col("key").alias("src"), "url"), ["src", "url"], "left_semi")
     found = found.select("src", "pos", normalize_url("child", False).alias("key"), url_score("child", "a.text").alias("score"), F.length("child").alias("length"))
     found = found.where((host("key") == host("src")) & (host("key") != "") & (url_class("key") == "page"))
     best = found.groupBy("src", "key").agg(F.min(F.struct("score", "length", "pos")).alias("o")).select("src", "key", "o.*")
@@ -70,13 +74,13 @@ def frontier(pages: DataFrame, seeds: DataFrame, max_pages: int = 25, max_depth:
     since all better ones of that page are tried before, and only pages within the depth are expanded. So the links of a
     host are those of at most limit ** depth pages, joined level by level.
 
-    Pages that share an address count as the first by url; seeds without a host, null links and rows of null html give nothing.
+    Of pages that share an address the first by url counts (all rows of that url); seeds without a host, null links and rows of null html give nothing.
     """
     most = max(4 * max_pages, max_pages + 20)
-    own = pages.where("url is not null").withColumn("key", normalize_url("url", False)).where("key is not null")
-    own = own.groupBy("key").agg(F.min(F.struct("url", "html")).alias("p")).select("key", "p.*")
-    there = cut(own.select("key"), "there")
-    links_ = cut(ranked_links(own.select("url", "html"), most), "links")
+    named = pages.select("url", normalize_url("url", False).alias("key")).where("key is not null")
+    first = cut(named.groupBy("key").agg(F.min("url").alias("url")), "there")
+    there = first.select("key")
+    links_ = cut(ranked_links(pages, most, first), "links")
     starts = seeds.withColumns({"key": normalize_url("url", False), "length": F.length(normalize_url("url"))}).withColumn("site", host("key")).where((F.col("site") != "") & (url_class("key") == "page"))
     best = starts.groupBy("site", "key").agg(F.min(F.struct("score", "depth", "length", "ord")).alias("o")).select("site", "key", "o.*")
     place = F.row_number().over(Window.partitionBy("site").orderBy("score", "depth", "length", "ord"))

@@ -59,8 +59,8 @@ def rank(url: str, label: str = "''") -> str:
 
 FRONTIER = f"""WITH RECURSIVE {LINKS},
 rows AS (SELECT s, p, q FROM hops WHERE p % 7 <> 3 UNION ALL SELECT s, NULL, q FROM (SELECT DISTINCT s, q FROM hops) QUALIFY row_number() OVER (PARTITION BY s ORDER BY q) <= 6),
-kids AS (SELECT s, coalesce(p, -1) AS p, list({{'score': score, 'len': length(href), 'q': q, 'key': key}} ORDER BY q) AS kids FROM
- (SELECT s, p, q, {HREF} AS href, {address('q')} AS key, {rank(HREF, "regexp_replace(" + LABEL.format('q') + ", '<[^>]*>', ' ', 'g')")} AS score FROM rows WHERE q % 23 <> 5) GROUP BY ALL),
+kids AS (SELECT s, coalesce(p, -1) AS p, list({{'score': score, 'len': length(href), 'q': q, 'key': key}} ORDER BY q) FILTER (WHERE q % 23 <> 5) AS kids, true AS here FROM
+ (SELECT s, p, q, {HREF} AS href, {address('q')} AS key, {rank(HREF, "regexp_replace(" + LABEL.format('q') + ", '<[^>]*>', ' ', 'g')")} AS score FROM rows) GROUP BY s, p),
 begins AS (SELECT s, list({{'score': score, 'depth': depth, 'len': length(url), 'n': p, 'p': p, 'key': url}}) AS queue FROM
  (SELECT DISTINCT l_suppkey AS s, -1 AS p, 0 AS depth, -1 AS score, 'https://' || CASE WHEN l_suppkey % 2 = 0 THEN 'www.' ELSE '' END || 's' || l_suppkey || '.example.org/' AS url FROM lineitem
   UNION ALL SELECT DISTINCT s, p, 1, {rank(address('p'))}, {address('p')} FROM (SELECT l_suppkey AS s, l_partkey AS p FROM lineitem WHERE l_partkey % 19 = 0 AND l_partkey % 23 <> 5)) GROUP BY s),
@@ -68,7 +68,7 @@ walk AS (SELECT s, CAST(0 AS bigint) AS tries, CAST(0 AS bigint) AS got, CAST([]
   CAST(NULL AS struct(score integer, depth integer, len bigint, n bigint, p bigint, key varchar)) AS x, false AS ok FROM begins
  UNION ALL SELECT s, tries + 1, got + CASE WHEN here THEN 1 ELSE 0 END, list_append(seen, top.key), n + 1000000000,
   list_filter(list_concat(queue, CASE WHEN here AND top.depth < 2 THEN list_transform(coalesce(kids, []), lambda k: {{'score': k.score, 'depth': top.depth + 1, 'len': k.len, 'n': n + k.q, 'p': k.q, 'key': k.key}}) ELSE [] END), lambda y: y.key <> top.key AND NOT list_contains(seen, y.key)), top, here
- FROM (SELECT w.*, kids, w.top.p = -1 OR (w.top.p % 7 <> 3 AND kids IS NOT NULL) AS here FROM (SELECT *, list_sort(queue)[1] AS top FROM walk WHERE len(queue) > 0 AND got < 8 AND tries < 32) w LEFT JOIN kids ON kids.s = w.s AND kids.p = w.top.p))
+ FROM (SELECT w.*, kids, coalesce(kids.here, false) AS here FROM (SELECT *, list_sort(queue)[1] AS top FROM walk WHERE len(queue) > 0 AND got < 8 AND tries < 32) w LEFT JOIN kids ON kids.s = w.s AND kids.p = w.top.p))
 """
 
 
