@@ -10,13 +10,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import anchors, emails, host, links, normalize_url, resolve, socials, url_class, url_score
-from ..sources.shared import cut
+from ..sources.shared import cut, settled
 
 
 def edges(pages: DataFrame) -> DataFrame:
     """Src, dst, fragment of each link that resolves; src and dst are normalised, without fragments."""
-    found = pages.select("url", F.explode(links("html")).alias("href")).withColumn("target", resolve("href", "url")).where("target is not null")
-    return found.select(normalize_url("url", False).alias("src"), normalize_url("target", False).alias("dst"), F.regexp_extract("target", r"#(.+)$", 1).alias("fragment")).where("dst is not null")
+    found = settled(pages.select("url", F.explode(links("html")).alias("href")).withColumn("target", resolve("href", "url"))).where("target is not null")
+    return settled(found.select(normalize_url("url", False).alias("src"), normalize_url("target", False).alias("dst"), F.regexp_extract("target", r"#(.+)$", 1).alias("fragment"))).where("dst is not null")
 
 
 def crawl(pages: DataFrame, seeds: DataFrame, depth: int = 3, max_pages: int | None = None) -> DataFrame:
@@ -51,11 +51,13 @@ def ranked_links(pages: DataFrame, most: int, first: DataFrame | None = None) ->
     `key` is the address without fragment; of several links to one the best counts. Score and length are those of the link
     as it stands, with its fragment and its anchor's text.
     """
-    found = pages.select(normalize_url("url", False).alias("src"), "url", F.posexplode(anchors("html")).alias("pos", "a")).withColumn("child", normalize_url(resolve("a.href", "url")))
+    found = pages.select(normalize_url("url", False).alias("src"), "url", F.posexplode(anchors("html")).alias("pos", "a"))
+    # One step a column: each is used several times by the next.
+    found = found.withColumn("target", resolve("a.href", "url")).where("target is not null").withColumn("child", normalize_url("target")).withColumn("key", normalize_url("child", False))
     if first is not None:
         found = found.join(first.select(F.col("key").alias("src"), "url"), ["src", "url"], "left_semi")
-    found = found.select("src", "pos", normalize_url("child", False).alias("key"), url_score("child", "a.text").alias("score"), F.length("child").alias("length"))
-    found = found.where((host("key") == host("src")) & (host("key") != "") & (url_class("key") == "page"))
+    found = found.select("src", "pos", "key", url_score("child", "a.text").alias("score"), F.length("child").alias("length"))
+    found = settled(found).where((host("key") == host("src")) & (host("key") != "") & (url_class("key") == "page"))
     best = found.groupBy("src", "key").agg(F.min(F.struct("score", "length", "pos")).alias("o")).select("src", "key", "o.*")
     place = F.row_number().over(Window.partitionBy("src").orderBy("score", "length", "pos"))
     return best.withColumn("_rn", place).where(F.col("_rn") <= most).drop("_rn")
@@ -81,7 +83,7 @@ def frontier(pages: DataFrame, seeds: DataFrame, max_pages: int = 25, max_depth:
     first = cut(named.groupBy("key").agg(F.min("url").alias("url")), "there")
     there = first.select("key")
     links_ = cut(ranked_links(pages, most, first), "links")
-    starts = seeds.withColumns({"key": normalize_url("url", False), "length": F.length(normalize_url("url"))}).withColumn("site", host("key")).where((F.col("site") != "") & (url_class("key") == "page"))
+    starts = settled(seeds.withColumns({"key": normalize_url("url", False), "length": F.length(normalize_url("url"))}).withColumn("site", host("key"))).where((F.col("site") != "") & (url_class("key") == "page"))
     best = starts.groupBy("site", "key").agg(F.min(F.struct("score", "depth", "length", "ord")).alias("o")).select("site", "key", "o.*")
     place = F.row_number().over(Window.partitionBy("site").orderBy("score", "depth", "length", "ord"))
     queue = cut(best.withColumn("_rn", place).where(F.col("_rn") <= most).drop("_rn").join(there.withColumn("ok", F.lit(True)), "key", "left").na.fill(False, ["ok"]), "queue")

@@ -7,6 +7,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
@@ -27,6 +28,11 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def settled(df: DataFrame) -> DataFrame:
+    """The same rows, made before any filter above: the optimiser would else put a filter below, in terms of all that made its columns, which for addresses is hundreds of patterns."""
+    return df.select(F.inline(F.array(F.struct(*df.columns))))
+
+
 def file_system(spark: SparkSession, path: str):
     """The store that holds a path, and the path in it."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..functions import vocab
 from ..functions.text import host, normalize_url, path, unescape_html, url_class, url_score
 from .files import robots_sitemaps
-from .shared import cut
+from .shared import cut, settled
 
 # Paths that sites use for what is looked for.
 KNOWN_PATHS = ("/contact", "/contact-us", "/get-in-touch", "/inquiry", "/enquiry", "/events", "/private-events", "/special-events", "/book-an-event", "/book-event", "/private-dining", "/group-dining", "/groups", "/catering", "/weddings", "/meetings", "/corporate-events", "/banquets", "/team", "/staff", "/leadership", "/about", "/press")
@@ -50,7 +50,7 @@ def _listed(sites: DataFrame, robots: DataFrame, maps: DataFrame, most_maps: int
     asked = sites.select("h", F.lit(0).alias("parent"), F.lit(0).alias("pos"), F.concat("origin", F.lit("/sitemap.xml")).alias("loc")).unionByName(said)
     seen = listed = None
     for _ in range(most_maps):
-        level = asked.withColumn("url", normalize_url("loc", False)).where(host("url") == F.col("h"))
+        level = settled(asked.withColumn("url", normalize_url("loc", False))).where(host("url") == F.col("h"))
         level = level.groupBy("h", "url").agg(F.min(F.struct("parent", "pos")).alias("o"))
         used = F.lit(0)
         if seen is not None:
@@ -77,7 +77,7 @@ def discover_seeds(sites: DataFrame, robots: DataFrame, maps: DataFrame, limit:
     """
     own = sites.select(F.lower(F.regexp_extract("url", r"(?i)^(https?://[^/?#]+)", 1)).alias("origin"), host("url").alias("h")).where("h <> ''")
     own = cut(own.groupBy("h").agg(F.min("origin").alias("origin")), "sites")
-    listed = _listed(own, robots, maps, most_maps, most_nested, most_urls).withColumn("url", normalize_url("loc"))
+    listed = settled(_listed(own, robots, maps, most_maps, most_nested, most_urls).withColumn("url", normalize_url("loc")))
     segments = F.size(F.filter(F.split(path("url"), "/"), lambda x: x != ""))
     wanted: Column = (url_score("url") < len(vocab.PAGE_KEYWORDS)) | (segments <= 2) | (url_class("url") == "pdf")
     listed = listed.where((host("url") == F.col("h")) & wanted).select("h", "url", "file", "pos")
