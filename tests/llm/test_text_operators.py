@@ -258,7 +258,10 @@ def lm_state(model):
     return c, t, seats
 
 
-def test_model_matches_brute_force(spark):
+@pytest.mark.parametrize("head", [pitman_yor.HEAD, 6])
+def test_model_matches_brute_force(spark, monkeypatch, head):
+    """With the second, only words of a sixth of the tokens have restaurants of their own: the others' roots and pooled contexts are checked."""
+    monkeypatch.setattr(pitman_yor, "HEAD", head)
     model = pitman_yor.train(spark.createDataFrame(list(enumerate(TWO)), "doc_id long, text string"))
     totals, (c, t, seats) = model.totals, lm_state(model)
     import pyarrow as pa
@@ -268,13 +271,15 @@ def test_model_matches_brute_force(spark):
     assert totals.types == 9 and totals.tokens == sum(count.values()) == sum(c.values())
     place = {int(h): k for k, h in enumerate(totals.head)}
     begin = len(totals.head)
+    assert begin == (9 if head > 6 else 3)
+    restaurant = lambda code: place.get(code, begin + 1 + (code >> 20) % pitman_yor.CLASSES)
     of = {None: end, **words}
     pairs = Counter()
     for x in TWO:
         before = begin
         for w in [*x.split(), None]:
             pairs[of[w], before] += 1
-            before = place.get(of[w], -1)
+            before = restaurant(of[w])
     assert pairs == Counter(c)
 
     def chance(word, context):
@@ -283,7 +288,7 @@ def test_model_matches_brute_force(spark):
         for s in range(len(t)):
             root_c = {w: sum(x for (v, _), x in t[s].items() if v == w) for w in of.values()}
             root_t = {w: seats[s].get(w, 0) for w in of.values()}
-            if word in root_t and not root_t[word]:  # a frequent word: its root tables are not in a bucket, so take its share as given
+            if word in place and not root_t[word]:  # a frequent word: its root tables are not in a bucket, so take its share as given
                 root = totals.head_root[s][place[word]]
             else:
                 all_c, all_t = totals.root[s]
@@ -306,7 +311,7 @@ def test_model_matches_brute_force(spark):
             else:
                 code = of[w]
             want += math.log10(chance(code, before))
-            before = place.get(code, begin + 1 + (code >> 20) % pitman_yor.CLASSES)
+            before = restaurant(code)
         assert abs(got[i] - want) < 1e-9
 
 
