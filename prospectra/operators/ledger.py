@@ -15,7 +15,7 @@ of equal seq are taken in order of time and mailbox; an empty table gives no row
 
 from __future__ import annotations
 
-from collections.abc import Iterator, MutableMapping
+from collections.abc import Callable, Iterator, MutableMapping
 from dataclasses import dataclass
 
 import pandas as pd
@@ -126,13 +126,11 @@ def requests(rows: DataFrame) -> DataFrame:
     return rows.select(F.col("account").cast("string").alias("account"), F.col("seq").cast("long").alias("seq"), "ts", F.lower(F.trim(F.coalesce("email", F.lit("")))).alias("email"), F.coalesce("run_id", F.lit("")).alias("run_id"), "outcome", flag("retry_unknown", False).alias("retry_unknown"), flag("enabled", True).alias("enabled"), flag("has_key", True).alias("has_key"), balance.alias("balance"), F.lit("balance" in has).alias("asked"), (F.unix_micros("ts") / 1_000_000).alias("at"), (F.col("venue_id").cast("string") if "venue_id" in has else F.lit(None).cast("string")).alias("venue_id"))
 
 
-def decided(decider: Decider, rows: pd.DataFrame) -> pd.DataFrame:
-    """Rows of one ledger (columns of REQUEST), in order, as rows of DECISION."""
-    balance = rows["balance"].astype(object).where(rows["balance"].notna(), None)
-    outcome = rows["outcome"].astype(object).where(rows["outcome"].notna(), None)
-    venue = rows["venue_id"].astype(object).where(rows["venue_id"].notna(), None)
-    columns = (rows["at"], rows["email"], rows["run_id"], outcome, rows["retry_unknown"], balance, rows["asked"], rows["enabled"], rows["has_key"], venue)
-    found = [decider.decide(*x) for x in zip(*(c.tolist() for c in columns), strict=True)]
+def decided(decider_of: Callable[[str | None], Decider], rows: pd.DataFrame) -> pd.DataFrame:
+    """Rows (columns of REQUEST), in order, as rows of DECISION; each is decided by the decider of its account."""
+    plain = lambda c: rows[c].astype(object).where(rows[c].notna(), None).tolist()
+    columns = (rows["at"].tolist(), rows["email"].tolist(), rows["run_id"].tolist(), plain("outcome"), rows["retry_unknown"].tolist(), plain("balance"), rows["asked"].tolist(), rows["enabled"].tolist(), rows["has_key"].tolist(), plain("venue_id"))
+    found = [decider_of(account).decide(*x) for account, *x in zip(plain("account"), *columns, strict=True)]
     out = rows[["account", "seq", "ts", "email", "run_id"]].reset_index(drop=True)
     return pd.concat([out, pd.DataFrame(found, columns=["status", "cached", "charged", "reason"])], axis=1)
 
@@ -144,13 +142,17 @@ def decisions(rows: DataFrame, rules: Rules) -> DataFrame:
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        account, decider = object(), Decider(rules)
+        held: list = [object(), Decider(rules)]
+
+        def decider_of(account: str | None) -> Decider:
+            if account != held[0]:
+                held[:] = account, Decider(rules)
+            return held[1]
+
         for batch in batches:
-            for name, part in batch.groupby("account", sort=False, dropna=False):
-                if name != account and not (pd.isna(name) and account is None):
-                    account, decider = None if pd.isna(name) else name, Decider(rules)
-                yield decided(decider, part)
-                decider.tidy(part["at"].iloc[-1])
+            if len(batch):
+                yield decided(decider_of, batch)
+                held[1].tidy(batch["at"].iloc[-1])
 
     ordered = requests(rows).repartition("account").sortWithinPartitions("account", "seq", "ts", "email")
     return ordered.mapInPandas(run, DECISION)

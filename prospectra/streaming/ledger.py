@@ -97,7 +97,7 @@ class LedgerProcessor(StatefulProcessor):
         before = self._held()
         maps = [Stored(s) for s in (self.cache, self.runs, self.day, self.venues)]
         decider = Decider(self.rules, *maps[:3], dict(before), maps[3])
-        out = decided(decider, batch)
+        out = decided(lambda _: decider, batch)
         for m in maps:
             m.flush()
         self._keep(before, decider.inflight)
