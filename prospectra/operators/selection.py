@@ -120,7 +120,7 @@ def batch(pool: DataFrame, n: int = 20) -> DataFrame:
     rank = F.row_number().over(Window.partitionBy("bucket").orderBy(*order()))
     pool = cut(pool.withColumn("bucket", bucket), "pool")  # read twice: the cascade before it runs once
     best = pool.withColumn("rank", rank).where(F.col("rank") <= n).drop("rank")
-    few = best.unionByName(pool.where(core).orderBy(*order()).limit(2 * n)).dropDuplicates(["venue_id"]).withColumn("rank", rank)
+    few = best.unionByName(pool.where(core).orderBy(*order()).limit(2 * n)).dropDuplicates(["venue_id"]).coalesce(1).withColumn("rank", rank)  # at most 7 n rows: one task orders them
     everywhere = Window.orderBy(*order())
     few = few.withColumn("picked", F.col("bucket").isNotNull() & (F.col("rank") <= limit))
     few = few.withColumn("have", F.count_if("picked").over(Window.partitionBy(F.lit(1))))
