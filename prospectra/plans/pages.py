@@ -102,3 +102,20 @@ def document_texts(s, d):
     """One sheet a supplier, whose lines are written in another order than they are read; and the mailboxes in it."""
     sheets = table(s, d, "supplier").select(F.col("s_suppkey").cast("string").alias("path"), F.expr(SHEET).cast("binary").alias("content"))
     return pdf.pdf_texts(sheets).select(F.col("path").cast("long").alias("page_id"), F.col("text").alias("shown"), F.array_join(text.emails("text"), " ").alias("email"))
+
+
+# ---------------------------------------------------------------- attributes
+
+PLACE = """CASE c_custkey % 4
+ WHEN 0 THEN '<div class="x"><span class="DkEaL">Wine bar</span><span>4.5</span><span> $$$ </span></div><div class="box"><h2>Highlights</h2><ul><li><span><span>Live music</span></span><li><span>Great wine list</span><li><span>12 photos</span><span>Photos</span><li aria-label="Rooftop seats"></ul></div><h3>Other</h3><span>Romantic</span>'
+ WHEN 1 THEN '<button jsaction="pane.category">Country club</button><b aria-label="Price: $$">x</b><p class="LTs0Rc">Outdoor seating</p><p class="iP2t7d">Parking</p><p class="wmQCje">a) patio</p><i aria-label="Good for groups of every size and for all kinds of occasions, it says"></i><i aria-label="Sunday Brunch"></i>'
+ WHEN 2 THEN '<div role="heading">Amenities</div><span>Wi-Fi</span><span>wi-fi</span><p class="LTs0Rc">Takeout</p>'
+ ELSE '<p>Nothing' END"""
+
+
+@BOOK.compared("""SELECT c_custkey AS page_id, CASE c_custkey % 4 WHEN 0 THEN 'Wine bar' WHEN 1 THEN 'Country club' ELSE '' END AS category, CASE c_custkey % 4 WHEN 0 THEN '$$$' WHEN 1 THEN '$$' ELSE '' END AS price,
+ CASE c_custkey % 4 WHEN 0 THEN 'live music, great wine list, rooftop seats' WHEN 1 THEN 'outdoor seating, sunday brunch' WHEN 2 THEN 'wi-fi' ELSE '' END AS attributes FROM customer""")
+def place_attributes(s, d):
+    """Category, price and attributes of places' pages, by sections, rows and labels."""
+    rows = markup.attribute_rows(table(s, d, "customer").select(F.col("c_custkey").alias("page_id"), F.expr(PLACE).alias("html")), "page_id")
+    return rows.withColumn("attributes", F.array_join("attributes", ", "))

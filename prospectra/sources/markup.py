@@ -222,3 +222,60 @@ def directory_rows(pages: DataFrame, id_: str, own: str, html: str = "html", sta
         return [(tree.lines(heads[0]).replace("\n", " ") if heads else "", address, city, website, facebook, instagram)]
 
     return per_page(pages, id_, html, read, "name string, address string, city string, website string, facebook string, instagram string")
+
+
+# What a place's page says of the place, by section heads and by words; and what of the page's own controls is no attribute.
+SECTIONS = ("highlight", "popular", "amenit", "atmospher", "service option", "planning", "accessibility", "dining option", "offering", "payment")
+GOOD_ATTRIBUTES = ("dine-in", "takeout", "delivery", "outdoor seating", "rooftop", "fireplace", "romantic", "live music", "live entertainment", "fine dining", "casual dining", "cozy", "upscale", "elegant", "trendy", "wine", "cocktail", "full bar", "beer", "patio", "terrace", "garden", "historic", "waterfront", "scenic", "intimate", "private dining", "private event", "banquet", "catering", "brunch", "lunch", "dinner", "breakfast", "late night", "valet", "reservation", "accepted", "required", "free parking", "street parking", "parking lot", "good for groups", "good for kids", "dog-friendly", "wi-fi", "comfort food", "farm-to-table", "organic", "vegetarian", "gluten-free", "prix fixe", "tasting menu", "wine list", "sommelier", "craft cocktails", "happy hour", "sunday brunch", "views", "courtyard", "lounge")
+OWN_WORDS = ("review", "direction", "photo", "send to", "share", "save", "add a", "write", "claim", "overview", "about", "nearby restaurants", "nearby hotels", "hotels", "things to do", "bars", "coffee", "takeout", "groceries", "attractions", "more places", "explore", "plan", "suggest an edit", "own this business", "questions", "updates", "see more", "show less", "menu", "order online", "order now", "see photos", "all reviews", "sort", "newest", "open now", "closed", "hours might differ")
+TYPE_LABEL, ROW_CLASSES = frozenset({"DkEaL"}), frozenset({"LTs0Rc", "iP2t7d", "wmQCje"})
+
+
+def attribute_rows(pages: DataFrame, id_: str, html: str = "html") -> DataFrame:
+    """Id, category, price, attributes of a place's page.
+
+    Attributes come three ways, in order: innermost spans and labels in the nearest classed element round a section's head; rows
+    of icons with a known word; labels with a known word. They are lower-cased, of 3 to 40 characters, distinct, and none of
+    the page's own controls (whose words open them, or a digit, or a letter and a bracket).
+    """
+
+    def read(tree: Tree) -> list[tuple]:
+        n, found = len(tree.tag), {}
+        shown = lambda k: tree.lines(k).replace("\n", " ")
+        inner = lambda k: takewhile(lambda j: tree.within(j, k), range(k + 1, n))
+        label = lambda k: tree.attrs[k].get("aria-label", "")
+        good = lambda x: any(w in x for w in GOOD_ATTRIBUTES)
+
+        def add(x: str) -> None:
+            x = x.strip().lower()
+            if 3 <= len(x) <= 40 and not x.startswith(OWN_WORDS) and not re.match(r"\d|[a-z]\)", x):
+                found.setdefault(x)
+
+        kinds = [k for k in range(1, n) if tree.has_class(k, TYPE_LABEL)] or tree.all(lambda t, a: t == "button" and "category" in a.get("jsaction", ""))
+        price = ""
+        for k in tree.all(lambda t, a: t == "span" or "Price" in a.get("aria-label", "")):
+            m = re.fullmatch(r"\${1,4}", shown(k)) or ("Price" in label(k) and re.search(r"\${1,4}", label(k)))
+            if m:
+                price = m[0]
+                break
+        for h in tree.all(lambda t, a: t in ("h2", "h3") or a.get("role") == "heading"):
+            head = shown(h).lower()
+            if any(s in head for s in SECTIONS):
+                box = h
+                while box > 0 and "class" not in tree.attrs[box]:
+                    box = tree.parent[box]
+                box = box or tree.parent[h]
+                for k in inner(box):
+                    if tree.tag[k] == "span" and not any(tree.tag[j] == "span" for j in inner(k)) and shown(k) != head:
+                        add(shown(k))
+                for k in inner(box):
+                    add(label(k))
+        for k in range(1, n):
+            if tree.has_class(k, ROW_CLASSES) and 3 <= len(shown(k)) <= 40 and good(shown(k).lower()):
+                add(shown(k))
+        for k in range(1, n):
+            if len(label(k)) < 60 and good(label(k).lower()):
+                add(label(k))
+        return [(shown(kinds[0]) if kinds else "", price, list(found))]
+
+    return per_page(pages, id_, html, read, "category string, price string, attributes array<string>")
