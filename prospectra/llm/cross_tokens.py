@@ -183,8 +183,8 @@ class Aligner:
         self.n += len(chunks)
         self.rows.append((n_a, n_b, n_groups, n_links, np.diff(upto, prepend=0), pairs, text))
 
-    def align(self, texts: list[str]) -> list[tuple[np.ndarray, str]]:
-        """The chunk numbers and the digest of the groups of each text."""
+    def align(self, texts: list[str]) -> list[tuple[np.ndarray, bytes]]:
+        """The chunk numbers and the groups of each text, as `a1,a2|b1;a3|b2`; nothing of a text without tokens."""
         cuts = [self.cut(t) if t else [] for t in texts]
         self.learn(list(set().union(*cuts).difference(self.known)))
         numbers = np.array([self.known[c] for c in chain.from_iterable(cuts)], np.int64)
@@ -202,8 +202,7 @@ class Aligner:
         upto = np.append(0, np.cumsum(width[all_]))
         out, k = [], 0
         for x in found:
-            digest = hashlib.sha256(said[upto[k] : upto[k + len(x)] - 1]).hexdigest() if len(x) else ""
-            out.append((x, digest))
+            out.append((x, said[upto[k] : upto[k + len(x)] - 1] if len(x) else b""))
             k += len(x)
         return out
 
@@ -276,7 +275,7 @@ def units(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
         size = waits = 0
 
         def settle() -> None:
-            found.extend(aligner.align(waiting))
+            found.extend((x, hashlib.sha256(said).hexdigest() if said else "") for x, said in aligner.align(waiting))
             waiting.clear()
 
         def unit() -> pa.RecordBatch:
@@ -306,6 +305,25 @@ def units(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, UNIT_SCHEMA)
 
 
+def token_groups(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
+    """doc_id, groups: the token ids of both vocabularies of each of docs (doc_id, text), cut where tokens of both end; empty for a text without tokens."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        aligner = loaded(a_path, b_path)
+        kind = pa.list_(pa.struct([("a", pa.list_(pa.int32())), ("b", pa.list_(pa.int32()))]))
+        ids_of = lambda part: list(map(int, part.split(",")))
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 64):
+                part = batch.slice(lo, 64)
+                found = [said.decode() for _, said in aligner.align([t or "" for t in part.column(1).to_pylist()])]
+                groups = [[{"a": ids_of(a), "b": ids_of(b)} for a, b in (g.split("|") for g in said.split(";"))] if said else [] for said in found]
+                yield pa.record_batch([part.column(0), pa.array(groups, kind)], names=["doc_id", "groups"])
+                if aligner.n > MEMORY:
+                    aligner.clear()
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, groups array<struct<a:array<int>,b:array<int>>>")
+
+
 def pair_counts(made: DataFrame) -> DataFrame:
     """a, b, docs, best: how many documents hold each id pair linked, and whether that is the highest of its A id."""
     counts = made.select(F.inline("pairs")).groupBy("a", "b").agg(F.sum("n").alias("docs"))

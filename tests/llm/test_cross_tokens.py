@@ -73,13 +73,13 @@ def test_overlaps():
 def test_chunks_are_tokens_of_the_whole(vocabularies):
     aligner = Aligner(*default_vocabularies())
     rows = fuzz(3000, 1) + ["▁", "a ▁b", "x  ▁ y"] + fuzz(300, 2, ["▁"])
-    for text, (chunks, digest) in zip(rows, aligner.align(rows)):
+    for text, (chunks, said) in zip(rows, aligner.align(rows)):
         want = slow(vocabularies, text)
-        assert (digest != "") == (want is not None), text
+        assert (said != b"") == (want is not None), text
         if want:
             sizes = aligner.tables()
             assert [int(sizes[k][chunks].sum()) for k in range(4)] == [want[0], want[1], len(want[2]), sum(want[3].values())], text
-            assert digest == hashlib.sha256(";".join(want[2]).encode()).hexdigest(), text
+            assert said.decode() == ";".join(want[2]), text
 
 
 def test_op11_is_brute_force(spark, vocabularies):
@@ -96,7 +96,7 @@ def test_small_units_and_memory(spark, vocabularies, monkeypatch):
     made = []
     for number, lo in enumerate(range(0, len(rows), 37)):
         part = rows[lo : lo + 37]
-        made.append(cross_tokens.unit_of(number, aligner, [i for i, _ in part], aligner.align([t for _, t in part])))
+        made.append(cross_tokens.unit_of(number, aligner, [i for i, _ in part], [(x, hashlib.sha256(said).hexdigest() if said else "") for x, said in aligner.align([t for _, t in part])]))
         if number % 3 == 2:
             aligner.clear()
     count, top = Counter(), defaultdict(int)
@@ -121,6 +121,14 @@ def test_op11_awkward(spark, vocabularies):
     assert sorted(map(tuple, op11_cross_tokens(nothing).collect())) == [(k, 0, 0, 0, 0, 0, 0, "") for k in (1, 2, 3)]
 
 
+def test_groups_are_given_back(spark, vocabularies):
+    from prospectra.llm.cross_tokens import token_groups
+
+    rows = [(k, t) for k, t in enumerate(fuzz(80, 5, ["▁"])) ] + [(None, "no id"), (900, None), (901, "")]
+    got = {(r.doc_id, ";".join(",".join(map(str, g.a)) + "|" + ",".join(map(str, g.b)) for g in r.groups)) for r in token_groups(spark.createDataFrame(rows, "doc_id long, text string"), *default_vocabularies()).collect()}
+    assert got == {(k, ";".join(x[2]) if (x := slow(vocabularies, t)) else "") for k, t in rows}
+
+
 def test_pair_counts_are_whole(spark, vocabularies):
     docs = spark.createDataFrame([(1, "the cat"), (2, "the cat"), (3, "the dog's")], "doc_id long, text string")
     counts = {(r.a, r.b): (r.docs, r.best) for r in alignments(docs, *default_vocabularies())[1].collect()}
