@@ -40,8 +40,9 @@ WIDTH = 2
 BLOCK_WORDS = 400_000
 SHARE, WORDS = 0.4, 32
 #: Seeds found, or words of passages, in one numpy pass.
-PASS = 1 << 21
-SCREEN_BITS = 24
+PASS = 1 << 19
+#: Places of the screen for each word of the items, and its size at most, as powers of two.
+SCREEN_ROOM, SCREEN_BITS = 6, 24
 
 
 def bare(text: str) -> Column:
@@ -106,8 +107,9 @@ class Items:
         self.size = np.array([len(w) for w in self.words], np.int64)
         #: The score that each item's passages must reach.
         self.need = np.maximum(np.ceil(np.minimum(share * self.size, most) - 1e-9).astype(np.int64), np.minimum(self.size, 3))
-        self.screen = np.zeros(1 << SCREEN_BITS if len(words.hash) else 1, bool)
-        self.screen[belongs(words.doc, words.hash)] = True
+        self.bits = min(len(words.hash).bit_length() + SCREEN_ROOM, SCREEN_BITS)
+        self.screen = np.zeros(1 << self.bits, bool)
+        self.screen[belongs(words.doc, words.hash, self.bits)] = True
         self.seeds(np.ones(len(self.key), bool))
 
     def seeds(self, taken: np.ndarray) -> None:
@@ -125,9 +127,9 @@ class Items:
         self.seeds(taken)
 
 
-def belongs(item: np.ndarray, word: np.ndarray) -> np.ndarray:
+def belongs(item: np.ndarray, word: np.ndarray, bits: int) -> np.ndarray:
     """Where the screen has whether an item holds a word; what shares a place by chance only loosens the bound."""
-    return (mix(word + (item.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - SCREEN_BITS)).astype(np.int64)
+    return (mix(word + (item.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)).astype(np.int64)
 
 
 def found(words: Words, keys: np.ndarray, widths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -200,7 +202,7 @@ def aligned(words: Words, items: Items, begin_of: np.ndarray, at: np.ndarray, lo
         length = (hi - lo)[a:b]
         start = np.cumsum(length) - length
         place = np.repeat(lo[a:b] - start, length) + np.arange(length.sum())
-        shared = items.screen[belongs(np.repeat(item[a:b], length), words.hash[place])]
+        shared = items.screen[belongs(np.repeat(item[a:b], length), words.hash[place], items.bits)]
         for k in a + np.flatnonzero(best_runs(shared, start) >= need[a:b]):
             own, part = items.words[item[k]], words.hash[lo[k] : hi[k]]
             if best_runs(np.isin(own, part), np.zeros(1, np.int64))[0] >= need[k]:
