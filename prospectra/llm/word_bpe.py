@@ -37,8 +37,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SHORT_WORD = 64
-#: Pieces whose encodings a worker keeps.
-MEMORY = 300_000
+#: Pieces whose encodings a worker keeps, alone or beside the ids and texts that it gives out.
+MEMORY, MEMORY_BESIDE = 300_000, 100_000
 
 
 def byte_symbols() -> list[str]:
@@ -79,6 +79,7 @@ class WordBpe:
         self.split = regex.compile(split["pattern"]["Regex"])
         self.find_special = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))))
         self.pieces: dict[str, tuple[bytes, str]] = {}
+        self.memory = MEMORY
 
     def word(self, data: bytes) -> list[int]:
         ids = [*map(self.inner.__getitem__, data[:-1]), self.last[data[-1]]]
@@ -123,7 +124,7 @@ class WordBpe:
         ids = [i for w in self.split.findall(text) for i in self.word(w.encode())]
         found = np.array(ids, "<u4").tobytes(), " ".join(map(self.tokens.__getitem__, ids))
         if len(piece) <= SHORT_WORD:
-            if len(self.pieces) >= MEMORY:
+            if len(self.pieces) >= self.memory:
                 self.pieces.clear()
             self.pieces[piece] = found
         return found
@@ -169,12 +170,14 @@ def encoded(docs: DataFrame, path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = loaded(path)
+        bpe.memory = MEMORY_BESIDE
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):
                 part = batch.slice(lo, 256)
                 found = [bpe.encode(t or "") for t in part.column(1).to_pylist()]
                 ids = pa.array([np.frombuffer(x[0], "<u4").astype(np.int32) for x in found], pa.list_(pa.int32()))
                 yield pa.record_batch([part.column(0), ids, pa.array([x[1] for x in found], pa.string())], names=["doc_id", "ids", "decoded"])
+        bpe.pieces.clear()  # a worker that goes on with other work keeps the vocabulary alone
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, ids array<int>, decoded string")
 
@@ -184,6 +187,7 @@ def fingerprints(docs: DataFrame, path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = loaded(path)
+        bpe.memory = MEMORY
         for batch in batches:
             count, ids, text = [], [], []
             for t in batch.column(1):
