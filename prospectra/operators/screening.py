@@ -237,10 +237,14 @@ def recovered(requests: DataFrame, matches: DataFrame) -> DataFrame:
 
 
 def location_pages(pages: DataFrame, venues: DataFrame) -> DataFrame:
-    """Of each venue's site, the page of its city: four address patterns in order, else the first page with the city's slug."""
+    """Of each venue's site, the page of its city: four address patterns in order, else the first page with the city's slug.
+
+    Venues may share a host: pages that name their venue (venue_id) are that venue's only, others are of all venues on their host.
+    """
     slug = F.regexp_replace(F.lower(F.trim("city")), r"[^a-z]+", "-")
     sites = venues.where("website <> '' and city <> ''").select("venue_id", text.site_host("website").alias("_h"), slug.alias("_s"))
-    found = pages.withColumn("_p", F.lower(text.path("url"))).join(sites, text.host("url") == F.col("_h")).where(F.contains("_p", "_s"))
+    keys = ["_h", "venue_id"] if "venue_id" in pages.columns else ["_h"]
+    found = pages.withColumns({"_p": F.lower(text.path("url")), "_h": text.host("url")}).join(sites, keys).where(F.contains("_p", "_s"))
     tail = lambda lead: F.regexp_replace("_p", "/+$", "") == F.concat(F.lit(lead), F.col("_s"))
     rank = F.when(tail("/locations/"), 1).when(tail("/location/"), 2).when(tail("/"), 3).when(tail("/restaurants/"), 4).otherwise(5)
     return found.groupBy("venue_id").agg(F.min_by("url", F.struct(rank.alias("r"), F.length("url").alias("n"), F.col("url").alias("u"))).alias("url"))
