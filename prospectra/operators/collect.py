@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text, vocab
 from ..functions.text import col
+from ..sources.shared import settled
 
 
 def ranked_links(links: DataFrame, limit: int) -> DataFrame:
@@ -53,10 +54,16 @@ def other_domain_mailboxes(pages: DataFrame, vendor_domain: str, site_domain: st
 
 
 def swept_mailboxes(pages: DataFrame, sites: DataFrame, paths: tuple[str, ...]) -> DataFrame:
-    """Mailboxes of the fetched pages of each site that are a fixed path or have a keyword in their address."""
+    """Mailboxes of the fetched pages of each site that are a fixed path or have a keyword in their address.
+
+    Sites may share a host: pages that name their venue (venue_id) are that venue's only, others are of all venues on their host.
+    """
+    keys = ["_h", "venue_id"] if "venue_id" in pages.columns else ["_h"]
     own = sites.select("venue_id", text.site_host("website").alias("_h"))
     chosen = pages.where(text.path("url").isin(*paths) | (text.url_score("url") < len(vocab.PAGE_KEYWORDS)))
-    rows = chosen.join(own, text.host("url") == F.col("_h")).select("venue_id", "url", F.explode(text.emails("html")).alias("email"))
+    # Read once a page, however many venues its host has.
+    read = settled(chosen.select(*keys[1:], "url", text.host("url").alias("_h"), text.emails("html").alias("_e")))
+    rows = read.join(own, keys).select("venue_id", "url", F.explode("_e").alias("email"))
     return rows.groupBy("venue_id", "email").agg(F.min("url").alias("first_url"), F.count_distinct("url").alias("n_sources"))
 
 
