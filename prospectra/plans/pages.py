@@ -12,6 +12,7 @@ from ..functions import text
 from ..operators import structured
 from ..sources import markup, pdf
 from ..sources.projection import pick
+from ..sources.shared import spread
 from .catalog import Compared
 from .queries import table
 
@@ -34,7 +35,7 @@ SELECT page_id, unnest(CASE page_id % 6 WHEN 0 THEN ['ann', 'bo', 'cy', 'di'] WH
 def structured_mailboxes(s, d):
     """Nested graphs, roots that are strings, broken scripts beside good ones, mailboxes that are in no script."""
     html = F.replace(F.expr(LD), F.lit("@H"), F.concat(F.lit("@v"), F.col("c_custkey").cast("string"), F.lit(".example.org")))
-    return structured.structured_mailboxes(table(s, d, "customer").select(F.col("c_custkey").alias("page_id"), html.alias("html")), "page_id")
+    return structured.structured_mailboxes(spread(table(s, d, "customer")).select(F.col("c_custkey").alias("page_id"), html.alias("html")), "page_id")
 
 
 # ---------------------------------------------------------------- people
@@ -55,7 +56,7 @@ def mailbox_people(s, d):
     """Names and titles from the row, item or division round a mailbox, with cells and items left unclosed."""
     code = "".join(f"{b:02x}" for b in (0x21, *(b ^ 0x21 for b in b"Ed@venue.org")))
     html = F.replace(F.replace(F.expr(STAFF), F.lit("@H"), F.concat(F.lit("@v"), F.col("c_custkey").cast("string"), F.lit(".example.org"))), F.lit('"CF"'), F.lit(f'"{code}"'))
-    return markup.mailbox_people(table(s, d, "customer").select(F.col("c_custkey").alias("page_id"), html.alias("html")), "page_id")
+    return markup.mailbox_people(spread(table(s, d, "customer")).select(F.col("c_custkey").alias("page_id"), html.alias("html")), "page_id")
 
 
 # ---------------------------------------------------------------- cards
@@ -88,7 +89,7 @@ SOCIAL = pick("s_suppkey", '<a href="https://www.Facebook.com/Cellar">f</a><a hr
 def directory_venues(s: SparkSession, d: str) -> DataFrame:
     """Name, address, city, website and profiles of a directory's pages, each by its chain of places."""
     html = F.concat(*[F.expr(x) for x in (HEAD, STREET, SITE, SOCIAL)])
-    return markup.directory_rows(table(s, d, "supplier").select(F.col("s_suppkey").alias("page_id"), html.alias("html")), "page_id", "list.example")
+    return markup.directory_rows(spread(table(s, d, "supplier")).select(F.col("s_suppkey").alias("page_id"), html.alias("html")), "page_id", "list.example")
 
 
 # ---------------------------------------------------------------- documents
@@ -100,7 +101,7 @@ SHEET = r"""concat('%PDF-1.4\n1 0 obj << /Type /Catalog /Pages 2 0 R >> endobj\n
 @BOOK.compared("""SELECT s_suppkey AS page_id, s_name || ' No. ' || s_suppkey || ' (' || s_nationkey || ')' || chr(10) || 'mail info@s' || s_suppkey || '.example.org' || chr(10) || 'Balance ' || CAST(CAST(s_acctbal AS decimal(12, 2)) AS varchar) AS shown, 'info@s' || s_suppkey || '.example.org' AS email FROM supplier""")
 def document_texts(s, d):
     """One sheet a supplier, whose lines are written in another order than they are read; and the mailboxes in it."""
-    sheets = table(s, d, "supplier").select(F.col("s_suppkey").cast("string").alias("path"), F.expr(SHEET).cast("binary").alias("content"))
+    sheets = spread(table(s, d, "supplier")).select(F.col("s_suppkey").cast("string").alias("path"), F.expr(SHEET).cast("binary").alias("content"))
     return pdf.pdf_texts(sheets).select(F.col("path").cast("long").alias("page_id"), F.col("text").alias("shown"), F.array_join(text.emails("text"), " ").alias("email"))
 
 
@@ -117,5 +118,5 @@ PLACE = """CASE c_custkey % 4
  CASE c_custkey % 4 WHEN 0 THEN 'live music, great wine list, rooftop seats' WHEN 1 THEN 'outdoor seating, sunday brunch' WHEN 2 THEN 'wi-fi' ELSE '' END AS attributes FROM customer""")
 def place_attributes(s, d):
     """Category, price and attributes of places' pages, by sections, rows and labels."""
-    rows = markup.attribute_rows(table(s, d, "customer").select(F.col("c_custkey").alias("page_id"), F.expr(PLACE).alias("html")), "page_id")
+    rows = markup.attribute_rows(spread(table(s, d, "customer")).select(F.col("c_custkey").alias("page_id"), F.expr(PLACE).alias("html")), "page_id")
     return rows.withColumn("attributes", F.array_join("attributes", ", "))
