@@ -71,9 +71,10 @@ CARD = f"""concat('<div class="x Nv2PK"><a href="#"><span class="qBF1Pd big">Pla
 SELECT page_id, 'Place ' || p AS name, CASE WHEN p % 3 <> 0 THEN 4 + (p % 10) / 10.0 END AS rating, CAST(1100 + p % 900 AS bigint) AS reviews, CASE p % 4 WHEN 1 THEN 2 WHEN 2 THEN 4 ELSE 0 END AS price, {KIND} AS category, CASE WHEN p % 4 = 2 THEN '' ELSE {TOWN} END AS place FROM x""")
 def page_cards(s, d):
     """Cards of result pages, with cards in cards, from nested markup."""
-    parts = table(s, d, "lineitem").select(F.col("l_suppkey").alias("page_id"), F.col("l_partkey").alias("p")).distinct().withColumn("card", F.expr(CARD))
-    html = F.concat(F.lit('<html><body><h2>Results</h2><div role="feed">'), F.array_join(F.sort_array(F.collect_list("card")), "\n"), F.lit("</div></body>"))
-    return markup.card_rows(parts.groupBy("page_id").agg(html.alias("html")), "page_id", ("Nv2PK", "lI9IFe"), ("fontHeadlineSmall", "qBF1Pd"))
+    # Only ids move: a page's text is made where the page is read.
+    parts = spread(table(s, d, "lineitem").select(F.col("l_suppkey").alias("page_id"), F.col("l_partkey").alias("p")), "page_id").distinct()
+    html = F.concat(F.lit('<html><body><h2>Results</h2><div role="feed">'), F.array_join(F.sort_array(F.expr(f"transform(l, p -> {CARD})")), "\n"), F.lit("</div></body>"))
+    return markup.card_rows(parts.groupBy("page_id").agg(F.collect_list("p").alias("l")).select("page_id", html.alias("html")), "page_id", ("Nv2PK", "lI9IFe"), ("fontHeadlineSmall", "qBF1Pd"))
 
 
 # ---------------------------------------------------------------- a directory
