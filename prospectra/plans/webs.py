@@ -13,6 +13,7 @@ from ..functions import text, vocab
 from ..operators import graph
 from ..sources import sitemaps
 from ..sources.projection import pick
+from ..sources.shared import cut
 from .catalog import Compared
 from .queries import table
 
@@ -36,11 +37,14 @@ HREF = f"concat({address('q')}, CASE WHEN q % 5 = 1 THEN '#cta' ELSE '' END)"
 def web(s: SparkSession, d: str) -> DataFrame:
     """s, p, url, html of the pages that can be fetched: each host's front page (p null) links to its first six parts, and of the parts' pages a seventh is missing."""
     table(s, d, "lineitem").createOrReplaceTempView("_lines")
-    hops = s.sql(f"WITH {LINKS.replace('lineitem', '_lines')} SELECT *, {HREF} AS href, {LABEL.format('q')} AS label FROM hops")
-    listed = lambda rows: rows.groupBy("s", "p").agg(F.sort_array(F.collect_set(F.struct("q", "href", "label"))).alias("l")).select("s", "p", F.array_join(F.transform("l", lambda x: F.concat(F.lit('<a class="n" href="'), x.href, F.lit('">'), x.label, F.lit("</a>\n"))), "").alias("html"))
+    # The links are narrow and found once; texts are made where they are read.
+    steps = s.sql(f"WITH {LINKS.replace('lineitem', '_lines')} SELECT * FROM steps WHERE q IS NOT NULL")
+    hops = cut(steps.groupBy("s", "p").agg(F.sort_array(F.collect_set("q")).alias("found")), "hops")
+    listed = lambda rows: rows.select("s", "p", F.expr(f"""array_join(transform(found, q -> concat('<a class="n" href="', {HREF}, '">', {LABEL.format('q')}, '</a>\\n')), '')""").alias("html"))
     parts = listed(hops.where("p % 7 <> 3")).withColumn("url", F.expr(address("p")))
-    first = hops.groupBy("s").agg(F.slice(F.sort_array(F.collect_set("q")), 1, 6).alias("q")).select("s", F.lit(None).cast("long").alias("p"), F.explode("q").alias("q"))
-    front = listed(first.withColumns({"href": F.expr(HREF), "label": F.expr(LABEL.format("q"))})).withColumn("url", F.expr("concat('https://', CASE WHEN s % 2 = 0 THEN 'www.' ELSE '' END, 's', cast(s AS string), '.example.org/')"))
+    first = hops.groupBy("s").agg(F.flatten(F.collect_list(F.slice("found", 1, 6))).alias("found"))
+    first = first.select("s", F.lit(None).cast("long").alias("p"), F.slice(F.sort_array(F.array_distinct("found")), 1, 6).alias("found"))
+    front = listed(first).withColumn("url", F.expr("concat('https://', CASE WHEN s % 2 = 0 THEN 'www.' ELSE '' END, 's', cast(s AS string), '.example.org/')"))
     return parts.unionByName(front)
 
 
