@@ -88,9 +88,8 @@ ORIGIN = "concat('https://', CASE WHEN s % 2 = 0 THEN 'www.' ELSE '' END, 's', c
 DEEP = f"concat({ORIGIN}, CASE WHEN p % 2 = 1 THEN '/a/b/c-' ELSE '/x/y/contact-' END, cast(p AS varchar(20)))"
 
 
-def sitemap_files(s: SparkSession, d: str) -> DataFrame:
-    """url, xml: an index with three parts, a file with prefixes, a broken file, or none, by host; and another file that robots name."""
-    parts = table(s, d, "lineitem").select(F.col("l_suppkey").alias("s"), F.col("l_partkey").alias("p")).distinct()
+def sitemap_files(parts: DataFrame) -> DataFrame:
+    """url, xml of hosts' parts (s, p): an index with three parts, a file with prefixes, a broken file, or none, by host; and another file that robots name."""
     parts = parts.withColumns({"a": F.expr(address("p")), "deep": F.expr(DEEP), "o": F.expr(ORIGIN)})
     entry = lambda tag, u: F.concat(F.lit(f"<{tag}url>\n <{tag}loc> "), u, F.lit(f" </{tag}loc></{tag}url>"))
     body = lambda rows, entry, by=("s", "o"): rows.groupBy(*by).agg(F.array_join(F.sort_array(F.collect_list(entry)), "").alias("b"))
@@ -113,7 +112,8 @@ u AS (SELECT s, {address('p')} AS url FROM parts WHERE s % 4 = 0 OR (s % 4 IN (1
 SELECT 's' || s || '.example.org' AS site, url, CASE WHEN url LIKE '%.pdf' OR url LIKE '%.pdf#top' THEN 'pdf' ELSE 'page' END AS kind, {rank('url')} AS score FROM u""")
 def site_seeds(s, d):
     """Seeds from known paths, indexes, files with prefixes, broken files, and files that robots name."""
-    hosts = table(s, d, "lineitem").select(F.col("l_suppkey").alias("s")).distinct()
+    parts = cut(table(s, d, "lineitem").select(F.col("l_suppkey").alias("s"), F.col("l_partkey").alias("p")).distinct(), "parts")
+    hosts = parts.select("s").distinct()
     ask = hosts.select(F.expr(f"concat({ORIGIN}, '/welcome')").alias("url"))
     robots = hosts.where("s % 3 <> 0").select(F.expr(f"concat({ORIGIN}, '/robots.txt')").alias("url"), F.concat(F.lit("User-agent: *\nSitemap: https://other.example.org/extra.xml\n  SITEMAP:"), F.expr(ORIGIN), F.lit("/extra.xml\n")).alias("body"))
-    return sitemaps.discover_seeds(ask, robots, sitemap_files(s, d), limit=100_000).drop("place")
+    return sitemaps.discover_seeds(ask, robots, sitemap_files(parts), limit=100_000).drop("place")

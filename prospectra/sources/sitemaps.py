@@ -24,19 +24,26 @@ KNOWN_PATHS = ("/contact", "/contact-us", "/get-in-touch", "/inquiry", "/enquiry
 XML = "url array<struct<loc:array<string>>>, sitemap array<struct<loc:array<string>>>, _corrupt_record string"
 
 
-def sitemap_entries(maps: DataFrame, most_nested: int = 50, most_urls: int = 5000) -> DataFrame:
-    """url, kind (`page` or `map`), pos, loc of the entries of sitemap files (url, xml), in order; pos counts from 0 within a kind."""
-    parsed = maps.select("url", "xml", F.from_xml("xml", XML, {"ignoreNamespace": "true", "mode": "PERMISSIVE"}).alias("x"))
-    parsed = cut(parsed.select("url", "xml", F.col("x.url").alias("own"), F.col("x.sitemap").alias("nested"), F.col("x._corrupt_record").alias("bad")), "parsed")
+def listed_by_file(maps: DataFrame, most_nested: int = 50, most_urls: int = 5000) -> DataFrame:
+    """url, map, page: the nested files and the addresses that each sitemap file (url, xml) lists, in order."""
+    parsed = maps.where("xml is not null").select("url", "xml", F.from_xml("xml", XML, {"ignoreNamespace": "true", "mode": "PERMISSIVE"}).alias("x"))
+    # What is broken is read again; the text of other files is done with.
+    bad = F.col("x._corrupt_record").isNotNull()
+    parsed = cut(parsed.select("url", F.when(bad, F.col("xml")).alias("xml"), F.col("x.url").alias("own"), F.col("x.sitemap").alias("nested"), bad.alias("bad")), "parsed")
     locs = lambda c: F.flatten(F.transform(F.coalesce(F.filter(c, lambda u: u.isNotNull() & u["loc"].isNotNull()), F.array().cast("array<struct<loc:array<string>>>")), lambda u: u["loc"]))
     plain = F.transform(F.regexp_extract_all("xml", F.lit(r"(?is)<(?:[a-z0-9_.-]+:)?loc>\s*(.*?)\s*</(?:[a-z0-9_.-]+:)?loc>"), 1), lambda u: unescape_html(F.trim(u)))
     # Of a broken file only the names tell indexes from pages.
     is_map = lambda u: F.contains(F.lower(u), F.lit("sitemap")) & F.endswith(F.split_part(F.lower(u), F.lit("?"), F.lit(1)), F.lit(".xml"))
-    broken = F.col("bad").isNotNull()
+    broken = F.col("bad")
     clean = lambda a, most: F.slice(F.filter(F.transform(a, lambda u: F.trim(F.regexp_replace(u, r"^\s+|\s+$", ""))), lambda u: u != ""), 1, most)
     nested = clean(F.when(broken, F.filter(plain, is_map)).otherwise(locs("nested")), most_nested)
     pages = clean(F.when(broken, F.filter(plain, lambda u: ~is_map(u))).otherwise(locs("own")), most_urls)
-    rows = parsed.where("xml is not null").select("url", nested.alias("map"), pages.alias("page"))
+    return parsed.select("url", nested.alias("map"), pages.alias("page"))
+
+
+def sitemap_entries(maps: DataFrame, most_nested: int = 50, most_urls: int = 5000) -> DataFrame:
+    """url, kind (`page` or `map`), pos, loc of the entries of sitemap files (url, xml), in order; pos counts from 0 within a kind."""
+    rows = listed_by_file(maps, most_nested, most_urls)
     one = lambda kind: rows.select("url", F.lit(kind).alias("kind"), F.posexplode(kind).alias("pos", "loc"))
     return one("page").unionByName(one("map"))
 
@@ -44,11 +51,11 @@ def sitemap_entries(maps: DataFrame, most_nested: int = 50, most_urls: int = 500
 def _listed(sites: DataFrame, robots: DataFrame, maps: DataFrame, most_maps: int, most_nested: int, most_urls: int) -> DataFrame:
     """h, file, pos, loc: the addresses that each site's sitemaps list, with the place of the file among the site's."""
     own = maps.withColumn("url", normalize_url("url", False)).where("url is not null").groupBy("url").agg(F.min("xml").alias("xml"))
-    entries = cut(sitemap_entries(own, most_nested, most_urls), "entries")
+    entries = cut(listed_by_file(own, most_nested, most_urls), "entries")
     said = robots.where(F.lower(path("url")) == "/robots.txt").select(host("url").alias("h"), F.posexplode(robots_sitemaps("body")).alias("pos", "loc"))
     said = said.join(sites.select("h"), "h", "left_semi").select("h", F.lit(0).alias("parent"), (F.col("pos") + 1).alias("pos"), "loc")
     asked = sites.select("h", F.lit(0).alias("parent"), F.lit(0).alias("pos"), F.concat("origin", F.lit("/sitemap.xml")).alias("loc")).unionByName(said)
-    seen = listed = None
+    seen = None
     for _ in range(most_maps):
         level = settled(asked.withColumn("url", normalize_url("loc", False))).where(host("url") == F.col("h"))
         level = level.groupBy("h", "url").agg(F.min(F.struct("parent", "pos")).alias("o"))
@@ -61,11 +68,11 @@ def _listed(sites: DataFrame, robots: DataFrame, maps: DataFrame, most_maps: int
         if level.isEmpty():
             break
         seen = level if seen is None else seen.unionByName(level)
-        found = level.join(entries, "url")
-        here = found.where("kind = 'page'").select("h", "file", "pos", "loc")
-        listed = here if listed is None else listed.unionByName(here)
-        asked = found.where("kind = 'map'").select("h", F.col("file").alias("parent"), "pos", "loc")
-    return listed if listed is not None else asked.select("h", F.col("parent").alias("file"), "pos", "loc").limit(0)
+        asked = level.join(entries.select("url", "map"), "url").select("h", F.col("file").alias("parent"), F.posexplode("map").alias("pos", "loc"))
+    if seen is None:
+        return asked.select("h", F.col("parent").alias("file"), "pos", "loc").limit(0)
+    # A file's row has its addresses: files are joined, not addresses.
+    return seen.join(entries.select("url", "page"), "url").select("h", "file", F.posexplode("page").alias("pos", "loc"))
 
 
 def discover_seeds(sites: DataFrame, robots: DataFrame, maps: DataFrame, limit: int = 80, most_maps: int = 12, most_nested: int = 50, most_urls: int = 5000) -> DataFrame:
@@ -77,14 +84,17 @@ def discover_seeds(sites: DataFrame, robots: DataFrame, maps: DataFrame, limit:
     """
     own = sites.select(F.lower(F.regexp_extract("url", r"(?i)^(https?://[^/?#]+)", 1)).alias("origin"), host("url").alias("h")).where("h <> ''")
     own = cut(own.groupBy("h").agg(F.min("origin").alias("origin")), "sites")
-    listed = settled(_listed(own, robots, maps, most_maps, most_nested, most_urls).withColumn("url", normalize_url("loc")))
+    listed = settled(_listed(own, robots, maps, most_maps, most_nested, most_urls).select("h", normalize_url("loc").alias("url"), "file", "pos"))
+    listed = settled(listed.where(host("url") == F.col("h")).select("h", "url", "file", "pos", url_score("url").alias("score")))
     segments = F.size(F.filter(F.split(path("url"), "/"), lambda x: x != ""))
-    wanted: Column = (url_score("url") < len(vocab.PAGE_KEYWORDS)) | (segments <= 2) | (url_class("url") == "pdf")
-    listed = listed.where((host("url") == F.col("h")) & wanted).select("h", "url", "file", "pos")
+    wanted: Column = (F.col("score") < len(vocab.PAGE_KEYWORDS)) | (segments <= 2) | (url_class("url") == "pdf")
     known = own.select("h", F.posexplode(F.array(*map(F.lit, KNOWN_PATHS))).alias("pos", "p"), "origin")
     known = known.select("h", normalize_url(F.concat("origin", "p")).alias("url"), F.lit(0).alias("file"), "pos")
-    once = known.unionByName(listed).groupBy("h", "url").agg(F.min(F.struct("file", "pos")).alias("o"))
-    scored = once.withColumns({"kind": url_class("url"), "score": url_score("url")}).where("kind <> 'asset'")
+    known = known.withColumn("score", url_score("url"))
+    # File and place as one number, which is added up without sorting.
+    order = F.shiftleft(F.col("file").cast("long"), 32) + F.col("pos")
+    once = known.unionByName(listed.where(wanted)).groupBy("h", "url").agg(F.min(order).alias("o"), F.min("score").alias("score"))
+    scored = settled(once.withColumn("kind", url_class("url"))).where("kind <> 'asset'")
     place = F.row_number().over(Window.partitionBy("h", "kind").orderBy("score", F.length("url"), "o"))
     most = F.when(F.col("kind") == "pdf", max(10, limit // 3)).otherwise(limit)
     return scored.withColumn("place", place).where(F.col("place") <= most).select(F.col("h").alias("site"), "url", "kind", "score", "place")
