@@ -30,8 +30,10 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 import uuid
 import zlib
+from codecs import charmap_decode
 from collections.abc import Iterator
 
 import numpy as np
@@ -45,6 +47,12 @@ from .common import new_path
 
 MASK = 0xA282EAD8
 HEAD, FOOT, DOC, ENTRY = 12, 4, 8, 32
+#: The alphabet of bytes: those that print stand for themselves, others for the characters from 256 on.
+PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
+OTHERS = [b for b in range(256) if b not in PRINTED]
+BYTES = "".join(chr(b if b in PRINTED else 256 + OTHERS.index(b)) for b in range(256))
+#: The first character after the Latin letters, which all versions of Unicode know as letters.
+LATIN = "\u0250"
 #: Words that a worker keeps.
 MEMORY = 1_000_000
 #: Bytes of records that one read takes on.
@@ -77,7 +85,8 @@ class Encoder:
     """tokenizers' ids of whole texts, with a bounded memory of words.
 
     A blank or line feed between other than white space starts a part of its own in the split pattern, so a text
-    without other white space is its words' ids in order. New words are encoded many at a time, with line feeds
+    without other white space is its words' ids in order. A new word of Latin letters is one part, which the library's
+    model gets as it is, in the alphabet of bytes; other new words are encoded many at a time, with line feeds
     between them, and parted at the line feeds' id. Any other text is encoded as it is.
     """
 
@@ -89,12 +98,19 @@ class Encoder:
     def __init__(self, path: str, width: int):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.models import BPE
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.model, self.kind = Tokenizer.from_file(path), f"<u{width}"
         self.special = [t.content for t in self.model.get_added_tokens_decoder().values()]
         feed = self._ids("a\nb")
         self.feed = int(feed[1]) if len(feed) == 3 else None
         self.feed_raw = feed[1:2].tobytes()
+        split = self.model.pre_tokenizer
+        byte_level = isinstance(split, ByteLevel) and split.use_regex and not split.add_prefix_space
+        #: The model itself, where parts of letters reach it unchanged.
+        self.part = self.model.model.tokenize if byte_level and isinstance(self.model.model, BPE) and self.model.normalizer is None else None
+        self.kinds = [struct.Struct(f"<{n}{'H' if width == 2 else 'I'}").pack for n in range(64)]
         #: Ids of words after a blank, and of a line feed with the word after it.
         self.known: dict[str, bytes] = {}
         self.mark_ids: dict[str, bytes] = {}
@@ -108,6 +124,19 @@ class Encoder:
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.model.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.kind)
 
+    def _encode_letters(self, words: list[str]) -> None:
+        """Words of Latin letters, each a part with the blank before it or after its line feed."""
+        if not words:
+            return
+        part, known, kinds = self.part, self.known, self.kinds
+        lines = [w[0] == "\n" for w in words]
+        raw = "\n".join([w[1:] if line else " " + w for w, line in zip(words, lines, strict=True)])
+        # Line feeds are of the alphabet too.
+        for w, line, x in zip(words, lines, charmap_decode(raw.encode(), "strict", BYTES)[0].split(BYTES[10]), strict=True):
+            ids = [y.id for y in part(x)]
+            out = kinds[len(ids)](*ids) if len(ids) < 64 else np.array(ids, self.kind).tobytes()
+            known[w] = self.feed_raw + out if line else out
+
     def _encode_words(self, words: list[str]) -> None:
         """Words of one kind; the known ids get those of their line feed too."""
         if not words:
@@ -130,6 +159,10 @@ class Encoder:
         marked = [w for w in new if w[-1] in self.marks and w[w[0] == "\n" : -1].isalpha()]
         new.difference_update(marked)
         new.update({w[:-1] for w in marked}.difference(self.known))
+        if self.part is not None:
+            letters = [w for w in new if w[w[:1] == "\n" :].isalpha() and (w.isascii() or max(w) < LATIN)]
+            self._encode_letters(letters)
+            new.difference_update(letters)
         self._encode_words([w for w in new if w[0] != "\n"])
         self._encode_words([w for w in new if w[0] == "\n"])
         for w in marked:

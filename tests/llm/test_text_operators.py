@@ -58,6 +58,19 @@ def test_encoder_is_the_library():
     assert [np.frombuffer(x, "<u4").tolist() for x in e.encode(rows)] == [t.encode(r, add_special_tokens=False).ids for r in rows]
 
 
+def test_letters_go_to_the_model_itself(monkeypatch):
+    """op1_token_records: new words of letters went through the library's pipeline for texts, which takes longer than its model does."""
+    path = token_records.default_tokenizer()
+    t, e = tokenizer(path), token_records.Encoder(path, 2)
+    whole, ids = [], e._ids
+    monkeypatch.setattr(e, "_ids", lambda text: whole.append(text) or ids(text))
+    latin = "naïve Straße\nélan oferedeation thonanhe " + "lang" * 60
+    texts_ = [latin, f"{latin}, {latin}!", "ªº ǅ words", "日本語 и ʰ a1 don't (x) ***"]
+    assert [np.frombuffer(x, "<u2").tolist() for x in e.encode(texts_[:1])] == [t.encode(latin, add_special_tokens=False).ids] and not whole
+    for _ in range(2):
+        assert [np.frombuffer(x, "<u2").tolist() for x in e.encode(texts_)] == [t.encode(x, add_special_tokens=False).ids for x in texts_]
+
+
 def test_records_round_trip(spark):
     folder, path = new_path(spark, "records"), token_records.default_tokenizer()
     manifest = token_records.write_records(awkward(spark), path, 2, folder)
